@@ -75,3 +75,302 @@ prepared AS (
               WHEN rn > n - {cfg.reserved} THEN 'history'
               ELSE 'train' END AS role
   FROM ranked)"""
+
+
+# ---------------------------------------------------------------- statements
+def _with(*blocks: str) -> str:
+    return "WITH " + ",\n".join(blocks) + "\n"
+
+
+TRAIN = "train AS (SELECT user_id, book_id, is_read, rating, is_reviewed FROM prepared WHERE role = 'train')"
+
+
+def _active_cte(cfg: Config) -> str:
+    return (f"active AS (SELECT * FROM fx WHERE user_id IN "
+            f"(SELECT user_id FROM fx GROUP BY user_id HAVING count(*) >= {cfg.min_interactions}))")
+
+
+def _sampled_cte(cfg: Config) -> str:
+    return (f"sampled AS (SELECT * FROM active WHERE "
+            f"substr(md5(concat_ws('|', 'sample', {cfg.sample_seed}, user_id)), 1, 8) < '{hex_threshold(cfg.sample_fraction)}')")
+
+
+def _pct(num: str, den: str) -> str:
+    return f"round(100.0::DOUBLE * ({num}) / NULLIF({den}, 0), 6)"
+
+
+def _coverage_select(name: str, src: str) -> str:
+    cols = {"rated": "rating > 0", "read": "is_read = 1", "reviewed": "is_reviewed = 1",
+            "rated_and_read": "rating > 0 AND is_read = 1"}
+    counts = ", ".join(f"count(*) FILTER (WHERE {c}) AS n_{k}" for k, c in cols.items())
+    pcts = ", ".join(f"{_pct('n_' + k, 'n_rows')} AS pct_{k}" for k in cols)
+    return (f"SELECT '{name}' AS dataset, n_rows, {', '.join('n_' + k for k in cols)}, {pcts} "
+            f"FROM (SELECT count(*) AS n_rows, {counts} FROM {src})")
+
+
+def _table_name() -> str:
+    return "CASE WHEN role = 'train' THEN 'train' ELSE split || '_' || role END"
+
+
+def _scores_cte(name: str = "scores", src: str = "train", variant: str = "product") -> str:
+    score = {"product": "avg_rating * ln(read_count)", "read_count": "CAST(read_count AS DOUBLE)",
+             "avg_rating": "avg_rating"}[variant]
+    return f"""{name} AS (
+  SELECT book_id, read_count, avg_rating, {score} AS popularity_score FROM (
+    SELECT book_id, count(*) FILTER (WHERE is_read = 1) AS read_count,
+           avg(CASE WHEN rating > 0 THEN rating END) AS avg_rating
+    FROM {src} GROUP BY book_id)
+  WHERE read_count > 0 AND avg_rating IS NOT NULL)"""
+
+
+def _top_cte(name: str, scores: str, k: int) -> str:
+    return f"""{name} AS (
+  SELECT * FROM (SELECT *, CAST(row_number() OVER (ORDER BY popularity_score DESC, book_id ASC) AS INTEGER) AS rank
+                 FROM {scores}) WHERE rank <= {k})"""
+
+
+def _per_user_cte(name: str, top: str, holdout_filter: str = "TRUE") -> str:
+    return f"""{name} AS (
+  SELECT h.split, h.user_id, count(*) AS n_holdout, count(t.rank) AS n_hits, min(t.rank) AS best_rank,
+         CASE WHEN min(t.rank) IS NOT NULL THEN 1.0::DOUBLE / min(t.rank) ELSE 0.0::DOUBLE END AS ap,
+         CASE WHEN min(t.rank) IS NOT NULL THEN 1.0::DOUBLE / log2(min(t.rank) + 1) ELSE 0.0::DOUBLE END AS ndcg
+  FROM (SELECT split, user_id, book_id FROM prepared WHERE role = 'holdout' AND {holdout_filter}) h
+  LEFT JOIN {top} t ON h.book_id = t.book_id
+  GROUP BY h.split, h.user_id)"""
+
+
+def _summary_select(per: str, extra_key: str = "") -> str:
+    k = f"{extra_key}, " if extra_key else ""
+    return f"""SELECT {k}split, round(coalesce(avg(ap), 0.0), 6) AS map, round(coalesce(avg(ndcg), 0.0), 6) AS ndcg,
+       count(*) AS n_users, count(best_rank) AS n_user_hits, CAST(coalesce(sum(n_hits), 0) AS BIGINT) AS n_item_hits,
+       round(count(best_rank)::DOUBLE / NULLIF(count(*), 0), 6) AS user_hit_rate,
+       round(CAST(coalesce(sum(n_hits), 0) AS DOUBLE) / NULLIF(count(*), 0), 6) AS item_hit_rate
+FROM {per} GROUP BY {k}split"""
+
+
+def _variant_ctes(cfg: Config) -> list[str]:
+    blocks = []
+    for v in ("product", "read_count", "avg_rating"):
+        blocks.append(_scores_cte(f"sc_{v}", "train", v))
+        blocks.append(_top_cte(f"top_{v}", f"sc_{v}", cfg.top_k))
+        blocks.append(_per_user_cte(f"pu_{v}", f"top_{v}"))
+    union = " UNION ALL ".join(f"SELECT '{v}' AS variant, * FROM pu_{v}" for v in ("product", "read_count", "avg_rating"))
+    blocks.append(f"pu AS ({union})")
+    blocks.append(f"vt AS ({_summary_select('pu', 'variant')})")
+    return blocks
+
+
+def _segment_ctes(cfg: Config) -> list[str]:
+    t = cfg.num_hash_tables
+    return [
+        readers_cte(),
+        "rp AS (SELECT DISTINCT user_id, book_id FROM rd WHERE is_read = 1)",
+        f"qi AS (SELECT book_id, count(*) AS n_readers FROM rp GROUP BY book_id HAVING count(*) >= {cfg.min_readers})",
+        "qp AS (SELECT * FROM rp WHERE book_id IN (SELECT book_id FROM qi))",
+        f"""sig AS (SELECT book_id, CAST(k AS INTEGER) AS hash_table,
+                 min(md5(concat_ws('|', 'minhash', {cfg.minhash_seed}, k, user_id))) AS signature
+          FROM qp CROSS JOIN (SELECT unnest(range({t})) AS k) ks GROUP BY book_id, k)""",
+        """cand AS (SELECT DISTINCT a.book_id AS book_id_1, b.book_id AS book_id_2
+           FROM sig a JOIN sig b ON a.hash_table = b.hash_table AND a.signature = b.signature
+           AND a.book_id < b.book_id)""",
+        """co AS (SELECT c.book_id_1, c.book_id_2, count(*) AS co FROM cand c
+          JOIN qp x ON x.book_id = c.book_id_1
+          JOIN qp y ON y.book_id = c.book_id_2 AND y.user_id = x.user_id GROUP BY 1, 2)""",
+        f"""lsh AS (SELECT book_id_1, book_id_2, round(1.0::DOUBLE - dist, 6) AS jaccard_similarity FROM (
+            SELECT co.book_id_1, co.book_id_2,
+                   1.0::DOUBLE - co.co::DOUBLE / (q1.n_readers + q2.n_readers - co.co)::DOUBLE AS dist
+            FROM co JOIN qi q1 ON q1.book_id = co.book_id_1 JOIN qi q2 ON q2.book_id = co.book_id_2)
+          WHERE dist < {float(cfg.jaccard_distance)}::DOUBLE)""",
+        f"""toppairs AS (SELECT * FROM (
+            SELECT *, CAST(row_number() OVER (ORDER BY jaccard_similarity DESC, book_id_1, book_id_2) AS INTEGER) AS rank
+            FROM lsh) WHERE rank <= {cfg.top_k})""",
+    ]
+
+
+def oracle_sql(cfg: Config = FIXTURE) -> dict[str, str]:
+    P = prepared_ctes(cfg)
+    A = _active_cte(cfg)
+    S = _sampled_cte(cfg)
+    q: dict[str, str] = {}
+
+    q["interactions"] = _with(fx_cte()) + "SELECT * FROM fx"
+    q["item_id_map"] = _with(item_map_cte()) + "SELECT * FROM im"
+    q["user_activity"] = _with(fx_cte()) + "SELECT user_id, count(*) AS n_interactions FROM fx GROUP BY user_id"
+    q["active_user_filter"] = _with(fx_cte(), A) + "SELECT * FROM active"
+    q["user_sample"] = _with(fx_cte(), A, S) + "SELECT * FROM sampled"
+    q["activity_summary"] = _with(fx_cte(), A, S) + " UNION ALL ".join(
+        f"SELECT '{n}' AS stage, count(*) AS n_rows, count(DISTINCT user_id) AS n_users, "
+        f"CAST(count(*) // count(DISTINCT user_id) AS BIGINT) AS avg_per_user FROM {t}"
+        for n, t in (("raw", "fx"), ("active", "active"), ("sampled", "sampled")))
+    q["user_split"] = _with(P) + "SELECT DISTINCT user_id, split FROM prepared"
+    q["holdout_roles"] = _with(P) + "SELECT * FROM prepared"
+    q["train_union"] = _with(P) + ("SELECT user_id, book_id, is_read, rating, is_reviewed, split AS source "
+                                   "FROM prepared WHERE role = 'train'")
+    q["split_accounting"] = _with(P) + f"""SELECT p.split, p.role, p.n_rows, {_pct('p.n_rows', 't.tot')} AS pct_of_role
+FROM (SELECT split, role, count(*) AS n_rows FROM prepared GROUP BY split, role) p
+JOIN (SELECT role, count(*) AS tot FROM prepared GROUP BY role) t ON p.role = t.role"""
+    q["sample_drift"] = _with(fx_cte(), A, S) + f"""SELECT s.signal, a.pct AS pct_active, s.pct AS pct_sample,
+       round(s.pct - a.pct, 6) AS diff FROM
+ (UNPIVOT ({_coverage_select('a', 'active')}) ON pct_rated AS rated, pct_read AS read, pct_reviewed AS reviewed,
+   pct_rated_and_read AS rated_and_read INTO NAME signal VALUE pct) a
+ JOIN (UNPIVOT ({_coverage_select('s', 'sampled')}) ON pct_rated AS rated, pct_read AS read, pct_reviewed AS reviewed,
+   pct_rated_and_read AS rated_and_read INTO NAME signal VALUE pct) s ON a.signal = s.signal"""
+    q["user_split_shares"] = _with(P) + f"""SELECT split, count(*) AS n_users,
+       {_pct('count(*)', '(SELECT count(DISTINCT user_id) FROM prepared)')} AS pct
+FROM (SELECT DISTINCT user_id, split FROM prepared) GROUP BY split"""
+
+    # profiles
+    q["split_table_stats"] = _with(P) + f"""SELECT {_table_name()} AS "table", count(*) AS n_rows,
+       count(DISTINCT user_id) AS n_users, count(DISTINCT book_id) AS n_books FROM prepared GROUP BY 1"""
+    q["signal_coverage"] = _with(P, TRAIN) + " UNION ALL ".join(
+        [_coverage_select("all", "fx"), _coverage_select("sampled", "prepared"), _coverage_select("train", "train")])
+    q["signal_breakdown"] = _with(P, TRAIN) + " UNION ALL ".join(
+        f"SELECT '{n}' AS dataset, is_read, is_reviewed, rating > 0 AS has_rating, count(*) AS n_rows "
+        f"FROM {t} GROUP BY is_read, is_reviewed, rating > 0" for n, t in (("sampled", "prepared"), ("train", "train")))
+    q["rating_histogram"] = _with(P, TRAIN) + f"""SELECT h.rating, h.n_ratings, {_pct('h.n_ratings', 't.tot')} AS pct,
+       round(t.mean, 6) AS mean_rating
+FROM (SELECT rating, count(*) AS n_ratings FROM train WHERE rating > 0 GROUP BY rating) h,
+     (SELECT count(*) AS tot, avg(rating) AS mean FROM train WHERE rating > 0) t"""
+    q["user_activity_stats"] = _with(P, TRAIN) + """SELECT min(n) AS min, quantile_disc(n, 0.25) AS p25,
+       quantile_disc(n, 0.5) AS median, round(avg(n), 6) AS mean, quantile_disc(n, 0.75) AS p75, max(n) AS max
+FROM (SELECT user_id, count(*) AS n FROM train GROUP BY user_id)"""
+    for role, exp in (("history", cfg.history_size), ("holdout", cfg.holdout_size)):
+        q[f"{role}_size_check"] = _with(P) + f"""SELECT split, min(n) AS min, max(n) AS max, round(avg(n), 6) AS mean,
+       count(*) AS n_users, (min(n) = {exp} AND max(n) = {exp}) AS all_expected, CAST({exp} AS BIGINT) AS expected
+FROM (SELECT split, user_id, count(*) AS n FROM prepared WHERE role = '{role}' AND split <> 'train'
+      GROUP BY split, user_id) GROUP BY split"""
+    q["split_user_overlap"] = _with(P) + """, flags AS (SELECT user_id,
+   max(CASE WHEN split = 'train' THEN 1 ELSE 0 END) AS s_train,
+   max(CASE WHEN split = 'tuning' THEN 1 ELSE 0 END) AS s_tuning,
+   max(CASE WHEN split = 'test' THEN 1 ELSE 0 END) AS s_test,
+   max(CASE WHEN role = 'train' THEN 1 ELSE 0 END) AS t_train,
+   max(CASE WHEN split = 'tuning' AND role = 'history' THEN 1 ELSE 0 END) AS t_tuning,
+   max(CASE WHEN split = 'test' AND role = 'history' THEN 1 ELSE 0 END) AS t_test
+ FROM prepared GROUP BY user_id)
+SELECT "check", n_users FROM (UNPIVOT (SELECT
+   count(*) FILTER (WHERE s_tuning = 1 AND s_train = 1) AS split_tuning_in_train,
+   count(*) FILTER (WHERE s_test = 1 AND s_train = 1) AS split_test_in_train,
+   count(*) FILTER (WHERE s_tuning = 1 AND s_test = 1) AS split_tuning_in_test,
+   count(*) FILTER (WHERE t_tuning = 1 AND t_train = 1) AS table_tuning_in_train,
+   count(*) FILTER (WHERE t_test = 1 AND t_train = 1) AS table_test_in_train,
+   count(*) FILTER (WHERE t_tuning = 1 AND t_test = 1) AS table_tuning_in_test FROM flags)
+ ON COLUMNS(*) INTO NAME "check" VALUE n_users)"""
+
+    def readiness(rule: str, extra: dict[str, str]) -> str:
+        parts = [f"""SELECT {_table_name()} AS "table", count(*) AS n_rows, count(DISTINCT user_id) AS n_users
+FROM prepared WHERE {rule} GROUP BY 1"""]
+        for s in ("tuning", "test"):
+            parts.append(f"""SELECT 'fit_{s}' AS "table", count(*) AS n_rows, count(DISTINCT user_id) AS n_users
+FROM prepared WHERE {rule} AND (role = 'train' OR (split = '{s}' AND role = 'history'))""")
+        for name, cond in extra.items():
+            parts.append(f"""SELECT '{name}' AS "table", count(*) AS n_rows, count(DISTINCT user_id) AS n_users
+FROM prepared WHERE {rule} AND role = 'train' AND {cond}""")
+        return _with(P) + "SELECT *, n_rows > 0 AS ready FROM (" + " UNION ALL ".join(parts) + ")"
+
+    q["explicit_readiness"] = readiness("rating > 0", {})
+    q["implicit_readiness"] = readiness("is_read = 1", {"train_read_only": "is_reviewed = 0",
+                                                        "train_read_reviewed": "is_reviewed = 1"})
+    hist = lambda s: f"(split = '{s}' AND role = 'history')"
+    hold = lambda s: f"(split = '{s}' AND role = 'holdout')"
+    summary = {
+        "total_users": "count(DISTINCT user_id)",
+        "train_users": "count(DISTINCT user_id) FILTER (WHERE split = 'train')",
+        "tuning_users": "count(DISTINCT user_id) FILTER (WHERE split = 'tuning')",
+        "test_users": "count(DISTINCT user_id) FILTER (WHERE split = 'test')",
+        "train_rows": "count(*) FILTER (WHERE role = 'train')",
+        "tuning_history_rows": f"count(*) FILTER (WHERE {hist('tuning')})",
+        "tuning_holdout_rows": f"count(*) FILTER (WHERE {hold('tuning')})",
+        "test_history_rows": f"count(*) FILTER (WHERE {hist('test')})",
+        "test_holdout_rows": f"count(*) FILTER (WHERE {hold('test')})",
+        "explicit_train_rows": "count(*) FILTER (WHERE role = 'train' AND rating > 0)",
+        "explicit_fit_rows": f"count(*) FILTER (WHERE (role = 'train' OR {hist('tuning')}) AND rating > 0)",
+        "explicit_eval_users_tuning": f"count(DISTINCT user_id) FILTER (WHERE {hold('tuning')} AND rating > 0)",
+        "explicit_eval_users_test": f"count(DISTINCT user_id) FILTER (WHERE {hold('test')} AND rating > 0)",
+        "implicit_train_rows": "count(*) FILTER (WHERE role = 'train' AND is_read = 1)",
+        "implicit_fit_rows": f"count(*) FILTER (WHERE (role = 'train' OR {hist('tuning')}) AND is_read = 1)",
+        "implicit_eval_users_tuning": f"count(DISTINCT user_id) FILTER (WHERE {hold('tuning')} AND is_read = 1)",
+        "implicit_eval_users_test": f"count(DISTINCT user_id) FILTER (WHERE {hold('test')} AND is_read = 1)",
+        "total_rows": "count(*)",
+    }
+    q["dataset_summary"] = _with(P) + " UNION ALL ".join(
+        f"SELECT '{k}' AS metric, CAST((SELECT {v} FROM prepared) AS BIGINT) AS value" for k, v in summary.items())
+
+    # signals
+    a, b, w = cfg.alpha, cfg.beta, cfg.rating_weight
+    q["explicit_matrix"] = _with(P, TRAIN) + "SELECT user_id, book_id, rating FROM train WHERE rating > 0"
+    q["implicit_confidence"] = _with(P, TRAIN) + (
+        f"SELECT user_id, book_id, CAST(1 + {int(a)} * is_read + {int(b)} * is_reviewed AS INTEGER) AS confidence "
+        f"FROM train WHERE is_read = 1")
+    comb = (f"CAST(1.0::DOUBLE + {float(a)}::DOUBLE * is_read + {float(b)}::DOUBLE * is_reviewed "
+            f"+ {float(w)}::DOUBLE * rating AS FLOAT)")
+    any_sig = "(is_read = 1 OR rating > 0 OR is_reviewed = 1)"
+    q["combined_confidence"] = _with(P, TRAIN) + f"SELECT user_id, book_id, {comb} AS confidence FROM train WHERE {any_sig}"
+    q["confidence_levels"] = _with(P, TRAIN) + f"""SELECT model, confidence, count(*) AS n_rows FROM (
+  SELECT 'implicit' AS model, CAST(1 + {int(a)} * is_read + {int(b)} * is_reviewed AS DOUBLE) AS confidence
+  FROM train WHERE is_read = 1
+  UNION ALL SELECT 'combined', CAST({comb} AS DOUBLE) FROM train WHERE {any_sig}) GROUP BY model, confidence"""
+    q["model_coverage"] = _with(P, TRAIN) + f"""SELECT model, n_rows, {_pct('n_rows', 'tot')} AS pct FROM (
+  SELECT 'explicit' AS model, count(*) FILTER (WHERE rating > 0) AS n_rows, count(*) AS tot FROM train
+  UNION ALL SELECT 'implicit', count(*) FILTER (WHERE is_read = 1), count(*) FROM train
+  UNION ALL SELECT 'combined', count(*) FILTER (WHERE {any_sig}), count(*) FROM train)"""
+    q["fit_data"] = _with(P) + " UNION ALL ".join(
+        f"SELECT '{s}' AS fit, user_id, book_id, {comb} AS confidence FROM prepared "
+        f"WHERE (role = 'train' OR (split = '{s}' AND role = 'history')) AND {any_sig}" for s in ("tuning", "test"))
+    q["initial_rating_weight"] = _with(P, TRAIN) + f"""SELECT round(m, 6) AS mean_rating, {float(a)}::DOUBLE AS alpha,
+       round({float(a)}::DOUBLE / m, 6) AS w0 FROM (SELECT avg(rating) AS m FROM train WHERE rating > 0)"""
+
+    # popularity + evaluation
+    SC = _scores_cte()
+    TOP = _top_cte("top", "scores", cfg.top_k)
+    q["popularity_scores"] = _with(P, TRAIN, SC) + (
+        "SELECT book_id, read_count, round(avg_rating, 6) AS avg_rating, round(popularity_score, 6) AS popularity_score FROM scores")
+    q["popularity_topk"] = _with(P, TRAIN, SC, TOP) + (
+        "SELECT rank, book_id, read_count, round(avg_rating, 6) AS avg_rating, "
+        "round(popularity_score, 6) AS popularity_score FROM top")
+    q["popularity_coverage"] = _with(P, TRAIN, SC) + "SELECT count(*) AS n_scored_books FROM scores"
+    per_out = ("SELECT split, user_id, n_holdout, n_hits, CAST(best_rank AS DOUBLE) AS best_rank, "
+               "round(ap, 6) AS ap, round(ndcg, 6) AS ndcg FROM pu")
+    q["popularity_eval_users"] = _with(P, TRAIN, SC, TOP, _per_user_cte("pu", "top")) + per_out
+    q["popularity_eval"] = _with(P, TRAIN, SC, TOP, _per_user_cte("pu", "top")) + _summary_select("pu")
+    q["ranking_eval_users"] = _with(P, TRAIN, SC, TOP, _per_user_cte("pu", "top", "is_read = 1")) + per_out
+    q["ranking_eval"] = _with(P, TRAIN, SC, TOP, _per_user_cte("pu", "top", "is_read = 1")) + _summary_select("pu")
+    q["holdout_labels"] = _with(P) + ("SELECT split, user_id, count(*) AS n_holdout FROM prepared "
+                                      "WHERE role = 'holdout' GROUP BY split, user_id")
+    names = ["map", "ndcg", "n_users", "n_user_hits", "n_item_hits", "user_hit_rate", "item_hit_rate"]
+    q["metrics_long"] = _with(P, TRAIN, SC, TOP, _per_user_cte("pu", "top"), f"ev AS ({_summary_select('pu')})") + \
+        " UNION ALL ".join(f"SELECT split || '_{n}' AS metric, CAST({n} AS DOUBLE) AS value FROM ev" for n in names)
+    V = _variant_ctes(cfg)
+    q["best_config"] = _with(P, TRAIN, *V) + (
+        "SELECT variant, map, ndcg FROM vt WHERE split = 'tuning' ORDER BY map DESC, variant ASC LIMIT 1")
+    q["model_comparison"] = _with(P, TRAIN, *V) + """SELECT t.variant, t.map, t.ndcg,
+       round(100.0::DOUBLE * (t.map / NULLIF(b.map, 0.0) - 1), 6) AS map_lift_pct,
+       round(100.0::DOUBLE * (t.ndcg / NULLIF(b.ndcg, 0.0) - 1), 6) AS ndcg_lift_pct
+FROM (SELECT * FROM vt WHERE split = 'test') t,
+     (SELECT map, ndcg FROM vt WHERE split = 'test' AND variant = 'product') b"""
+    q["stability_gap"] = _with(P, TRAIN, *V) + """SELECT variant,
+       max(map) FILTER (WHERE split = 'tuning') AS map_tuning, max(map) FILTER (WHERE split = 'test') AS map_test,
+       max(ndcg) FILTER (WHERE split = 'tuning') AS ndcg_tuning, max(ndcg) FILTER (WHERE split = 'test') AS ndcg_test,
+       round(max(map) FILTER (WHERE split = 'test') - max(map) FILTER (WHERE split = 'tuning'), 6) AS map_gap,
+       round(max(ndcg) FILTER (WHERE split = 'test') - max(ndcg) FILTER (WHERE split = 'tuning'), 6) AS ndcg_gap
+FROM vt GROUP BY variant"""
+
+    # segments
+    G = _segment_ctes(cfg)
+    q["reader_pairs"] = _with(*G[:2]) + "SELECT user_id, book_id FROM rp"
+    q["qualified_items"] = _with(*G[:3]) + "SELECT book_id, n_readers FROM qi"
+    q["minhash_signatures"] = _with(*G[:5]) + "SELECT book_id, hash_table, signature FROM sig"
+    q["lsh_candidates"] = _with(*G[:6]) + "SELECT book_id_1, book_id_2 FROM cand"
+    q["lsh_pairs"] = _with(*G[:8]) + "SELECT book_id_1, book_id_2, jaccard_similarity FROM lsh"
+    q["lsh_reduction"] = _with(*G[:8]) + """SELECT n_items, n_pairs, CAST(n_items * (n_items - 1) // 2 AS BIGINT) AS all_pairs,
+       round(n_pairs::DOUBLE / NULLIF(n_items * (n_items - 1) // 2, 0), 9) AS pair_ratio,
+       round(100.0::DOUBLE * (1.0::DOUBLE - n_pairs::DOUBLE / NULLIF(n_items * (n_items - 1) // 2, 0)), 6) AS reduction_pct,
+       n_pairs < 100 AS low_yield
+FROM (SELECT (SELECT count(*) FROM qi) AS n_items, (SELECT count(*) FROM lsh) AS n_pairs)"""
+    q["segment_topk"] = _with(*G, item_map_cte()) + """SELECT t.rank, t.book_id_1, t.book_id_2, t.jaccard_similarity,
+       m1.book_id AS external_id_1, m2.book_id AS external_id_2
+FROM toppairs t LEFT JOIN im m1 ON m1.book_id_csv = t.book_id_1 LEFT JOIN im m2 ON m2.book_id_csv = t.book_id_2"""
+    q["similarity_bands"] = _with(*G) + """SELECT CASE WHEN jaccard_similarity >= 0.90 THEN '0.90-1.00'
+            WHEN jaccard_similarity >= 0.85 THEN '0.85-0.90'
+            WHEN jaccard_similarity >= 0.80 THEN '0.80-0.85' ELSE 'below-0.80' END AS band, count(*) AS n_pairs
+FROM toppairs GROUP BY 1"""
+    return q
