@@ -19,6 +19,8 @@ Scale notes
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -71,18 +73,21 @@ def order_seed(cfg: Config):
     return F.when(F.col("split") == "tuning", F.lit(cfg.seed_tuning)).otherwise(F.lit(cfg.seed_test))
 
 
-def assign_roles(rows: DataFrame, cfg: Config, min_interactions: int = 0) -> DataFrame:
-    """Add ``role`` to rows that already carry ``split``; keep active users only.
+def keyed_rows(rows: DataFrame, cfg: Config) -> DataFrame:
+    """Add the per-split random-order key ``_k`` and its level ``_lvl``."""
+    return (rows
+            .withColumn("_k", hash_key(ORDER_TAG, order_seed(cfg), "user_id", "book_id"))
+            .withColumn("_lvl", top_level(F.col("_k"))))
+
+
+def assign_roles(keyed: DataFrame, cfg: Config, min_interactions: int = 0) -> DataFrame:
+    """Add ``role`` to keyed rows (``keyed_rows``); keep active users only.
 
     Semantics (per tuning/test user, rows in random order by the hashed key):
     the last ``holdout`` rows are holdout, the ``history`` rows before them are
     history, everything else is train.  Train-split users keep all rows as train.
     """
     reserved = cfg.reserved
-    keyed = (rows
-             .withColumn("_k", hash_key(ORDER_TAG, order_seed(cfg), "user_id", "book_id"))
-             .withColumn("_lvl", top_level(F.col("_k"))))
-
     # Per (user, level) counts -> n and the deepest level still holding
     # min(n, reserved) rows.  Small: at most 33 rows per user.
     hist = keyed.groupBy("user_id", "_lvl").agg(F.count(F.lit(1)).alias("_c"))
@@ -113,11 +118,33 @@ def assign_roles(rows: DataFrame, cfg: Config, min_interactions: int = 0) -> Dat
     return rest.unionByName(cand)
 
 
-def prepare(interactions: DataFrame, cfg: Config) -> DataFrame:
-    """Activity filter + user sample + user split + roles, in one plan."""
+def prepare(interactions: DataFrame, cfg: Config, materialize: bool = False) -> DataFrame:
+    """Activity filter + user sample + user split + roles.
+
+    With ``materialize`` the sampled, keyed rows are written once to the shared
+    checkpoint folder and both passes of the role assignment (histogram, then
+    join) read that copy instead of re-reading the raw input: the sample
+    predicate hashes ``user_id`` and cannot prune Parquet row groups, so two
+    raw scans would cost twice the raw size."""
     rows = (sample_users(interactions.select(*INTERACTION_COLS), cfg.sample_fraction, cfg.sample_seed)
             .withColumn("split", split_column(cfg)))
-    return assign_roles(rows, cfg, cfg.min_interactions)
+    keyed = keyed_rows(rows, cfg)
+    if materialize:
+        from affinity.sources.sinks import materialize as _mat
+        keyed = _mat(keyed.sparkSession, keyed, f"sampled-{uuid.uuid4().hex}")
+    return assign_roles(keyed, cfg, cfg.min_interactions)
+
+
+def prepare_table(interactions: DataFrame, cfg: Config, path: str | None = None) -> DataFrame:
+    """``prepare`` written once as Parquet partitioned by (split, role) under
+    the shared checkpoint folder (or ``path``) and read back: downstream
+    readers of one role prune to its directories."""
+    from affinity.session import scratch_path
+    from affinity.sources.sinks import write_splits
+    spark = interactions.sparkSession
+    path = path or scratch_path(spark, f"prepared-{uuid.uuid4().hex}")
+    write_splits(prepare(interactions, cfg, materialize=True), path)
+    return spark.read.parquet(path).select(*INTERACTION_COLS, "split", "role")
 
 
 def split_users(prepared: DataFrame) -> DataFrame:

@@ -30,7 +30,9 @@ def _inter(spark, sf):
 
 
 def _prepared(spark, sf):
-    return prep.prepare(_inter(spark, sf), CFG)
+    """The prepared split table, materialised once per query (partitioned by
+    split and role) like the study's split files."""
+    return prep.prepare_table(_inter(spark, sf), CFG)
 
 
 def _train(spark, sf):
