@@ -125,7 +125,7 @@ def _scores_cte(name: str = "scores", src: str = "train", variant: str = "produc
 
 def _top_cte(name: str, scores: str, k: int) -> str:
     return f"""{name} AS (
-  SELECT * FROM (SELECT *, CAST(row_number() OVER (ORDER BY popularity_score DESC, book_id ASC) AS INTEGER) AS rank
+  SELECT * FROM (SELECT *, CAST(row_number() OVER (ORDER BY round(popularity_score, 9) DESC, book_id ASC) AS INTEGER) AS rank
                  FROM {scores}) WHERE rank <= {k})"""
 
 

@@ -1,0 +1,97 @@
+import math
+
+import pytest
+from pyspark.sql import functions as F
+
+from affinity.operators import profile as PR
+from affinity.operators import signals as SG
+from conftest import interactions_df
+
+# six_cells: all (is_read, is_reviewed, rated) cells plus rated-unread rows.
+SIX_CELLS = [
+    (1, 1, 0, 0, 0), (1, 2, 0, 0, 1),            # 0,0,N  0,1,N
+    (1, 3, 1, 0, 0), (2, 1, 1, 3, 0),            # 1,0,N  1,0,Y
+    (2, 2, 1, 5, 0), (2, 3, 1, 0, 1),            # 1,0,Y  1,1,N
+    (3, 1, 1, 5, 1), (3, 2, 1, 4, 1),            # 1,1,Y  1,1,Y
+    (3, 3, 0, 4, 0), (4, 1, 0, 2, 1),            # 0,0,Y  0,1,Y
+    (4, 2, 0, 0, 0), (4, 3, 1, 1, 0),            # 0,0,N  1,0,Y
+]
+
+
+def test_coverage_one_pass(spark):
+    df = interactions_df(spark, SIX_CELLS)
+    r = PR.coverage(df).collect()[0]
+    assert r.n_rows == 12
+    assert r.n_rated == 7 and r.n_read == 7 and r.n_reviewed == 5 and r.n_rated_and_read == 5
+    assert r.pct_rated == pytest.approx(round(100 * 7 / 12, 6))
+
+
+def test_signal_breakdown_cells(spark):
+    df = interactions_df(spark, SIX_CELLS)
+    rows = PR.signal_breakdown({"x": df}).collect()
+    cells = {(r.is_read, r.is_reviewed, r.has_rating): r.n_rows for r in rows}
+    assert cells == {(0, 0, False): 2, (0, 1, False): 1, (1, 0, False): 1, (1, 0, True): 3,
+                     (1, 1, False): 1, (1, 1, True): 2, (0, 0, True): 1, (0, 1, True): 1}
+
+
+def test_rating_histogram(spark):
+    df = interactions_df(spark, SIX_CELLS)
+    rows = {r.rating: r for r in PR.rating_histogram(df).collect()}
+    assert {k: v.n_ratings for k, v in rows.items()} == {1: 1, 2: 1, 3: 1, 4: 2, 5: 2}
+    assert rows[4].mean_rating == pytest.approx(round(24 / 7, 6))
+
+
+def test_distribution_stats(spark):
+    df = spark.range(1, 101).select(F.col("id").alias("n"))
+    r = PR.distribution_stats(df, "n").collect()[0]
+    assert (r["min"], r.p25, r.median, r.p75, r["max"]) == (1, 25, 50, 75, 100)
+    assert r.mean == 50.5
+
+
+# Confidence table of the study (alpha 10, beta 20, w 5).
+CONFIDENCE = [((1, 0, 0), 11), ((1, 0, 3), 26), ((1, 0, 5), 36), ((1, 1, 0), 31), ((1, 1, 5), 56), ((0, 0, 4), 21)]
+
+
+def test_combined_confidence_table(spark):
+    rows = [(i, i, rd, rt, rv) for i, ((rd, rv, rt), _) in enumerate(CONFIDENCE)] + [(99, 99, 0, 0, 0)]
+    got = {r.user_id: r.confidence for r in SG.build_combined_confidence(interactions_df(spark, rows), 10, 20, 5).collect()}
+    assert got == {i: float(c) for i, (_, c) in enumerate(CONFIDENCE)}  # no-signal row excluded
+    assert all(c >= 1 for c in got.values())
+
+
+def test_implicit_confidence_and_explicit_matrix(spark):
+    df = interactions_df(spark, SIX_CELLS)
+    imp = {(r.user_id, r.book_id): r.confidence for r in SG.add_confidence(df, 10, 40).collect()}
+    assert imp[(1, 3)] == 11 and imp[(2, 3)] == 51 and len(imp) == 7
+    exp = SG.explicit_matrix(df)
+    assert exp.count() == 7 and exp.where("rating = 0").count() == 0
+
+
+def test_model_coverage_and_levels(spark):
+    df = interactions_df(spark, SIX_CELLS)
+    cov = {r.model: r.n_rows for r in SG.model_coverage(df).collect()}
+    assert cov == {"explicit": 7, "implicit": 7, "combined": 10}
+    lv = {(r.model, r.confidence): r.n_rows for r in SG.confidence_levels(df, 10, 20, 5).collect()}
+    assert sum(v for (m, _), v in lv.items() if m == "combined") == 10
+    w0 = SG.initial_rating_weight(df, 10).collect()[0]
+    assert w0.w0 == pytest.approx(round(10 / (24 / 7), 6))
+
+
+def test_split_profiles(spark):
+    from affinity.config import Config
+    from affinity.operators import prep
+    from test_prep import _random_rows
+    cfg = Config(min_interactions=40, sample_fraction=1.0)
+    p = prep.prepare(interactions_df(spark, _random_rows(150, 2)), cfg).persist()
+    hist = {r.split: r for r in PR.size_check(p, "history", 10).collect()}
+    hold = {r.split: r for r in PR.size_check(p, "holdout", 20).collect()}
+    assert all(r.all_expected for r in hist.values()) and all(r.all_expected for r in hold.values())
+    ov = {r.check: r.n_users for r in PR.split_user_overlap(p).collect()}
+    assert ov["split_tuning_in_train"] == ov["split_test_in_train"] == ov["split_tuning_in_test"] == 0
+    assert ov["table_tuning_in_train"] > 0  # extras of tuning users are train rows
+    stats = {r.table: r for r in PR.split_table_stats(p).collect()}
+    assert sum(r.n_rows for r in stats.values()) == p.count()
+    summ = {r.metric: r.value for r in PR.dataset_summary(p).collect()}
+    assert summ["total_rows"] == p.count()
+    assert summ["tuning_holdout_rows"] == 20 * summ["tuning_users"]
+    p.unpersist()
