@@ -14,7 +14,7 @@ the workload and is bounded by (evaluated users × items).
 from __future__ import annotations
 
 from pyspark.ml.recommendation import ALS, ALSModel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
 from affinity.config import Config
@@ -43,16 +43,27 @@ def holdout_rule(kind: str):
     return {"explicit": F.col("rating") > 0, "implicit": F.col("is_read") == 1, "combined": F.lit(True)}[kind]
 
 
-def estimator(kind: str, rank: int, reg: float, max_iter: int, seed: int, checkpoint_interval: int = 2) -> ALS:
+MAX_BLOCKS = 1024
+
+
+def num_blocks(spark) -> int:
+    """ALS user / item blocks: one per task slot of the cluster (MLlib's fixed
+    default of 10 would cap a large cluster at 10 concurrent solves)."""
+    return max(2, min(MAX_BLOCKS, spark.sparkContext.defaultParallelism))
+
+
+def estimator(kind: str, rank: int, reg: float, max_iter: int, seed: int, checkpoint_interval: int = 2,
+              blocks: int = 10) -> ALS:
     return ALS(rank=rank, maxIter=max_iter, regParam=reg, userCol="user_id", itemCol="book_id",
                ratingCol="value", implicitPrefs=(kind != "explicit"), coldStartStrategy="drop",
-               nonnegative=False, checkpointInterval=checkpoint_interval, seed=seed)
+               nonnegative=False, checkpointInterval=checkpoint_interval, seed=seed,
+               numUserBlocks=blocks, numItemBlocks=blocks)
 
 
 def fit(spark, train_matrix: DataFrame, kind: str, rank: int, reg: float, max_iter: int, seed: int,
         checkpoint_interval: int = 2) -> ALSModel:
     checkpoint_dir(spark)  # lineage cuts go to the shared folder
-    return estimator(kind, rank, reg, max_iter, seed, checkpoint_interval).fit(train_matrix)
+    return estimator(kind, rank, reg, max_iter, seed, checkpoint_interval, num_blocks(spark)).fit(train_matrix)
 
 
 def recommend(model: ALSModel, users: DataFrame, k: int) -> DataFrame:
@@ -89,10 +100,11 @@ def run_split(spark, prepared: DataFrame, kind: str, split: str, cfg: Config, ra
     try:
         model = fit(spark, fit_df, kind, rank, reg, max_iter, cfg.als_seed, cfg.checkpoint_interval)
         holdout = prep.holdout_of(prepared, split).where(holdout_rule(kind))
-        summary = evaluate_model(model, holdout, cfg.top_k)
+        summary = evaluate_model(model, holdout, cfg.top_k).select(F.lit(split).alias("split"), "*")
+        row = summary.collect()[0].asDict()  # one metric row
         if with_rmse if with_rmse is not None else kind == "explicit":
-            summary = summary.crossJoin(rmse(model, holdout).select(r6(F.col("rmse")).alias("rmse")))
-        rows = summary.select(F.lit(split).alias("split"), "*").collect()  # one row
+            row["rmse"] = rmse(model, holdout).select(r6(F.col("rmse")).alias("rmse")).collect()[0]["rmse"]
+        rows = [Row(**row)]
     finally:
         fit_df.unpersist()
     return model, rows

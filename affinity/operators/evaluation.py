@@ -13,7 +13,7 @@ reported.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from affinity.functions.metrics import best_hit_ndcg, r6, reciprocal_rank
@@ -94,13 +94,15 @@ def best_config(table: DataFrame, config_col: str, metric: str = "map", split: s
 
 
 def model_comparison(table: DataFrame, config_col: str, baseline: str, split: str = "test") -> DataFrame:
-    """Per configuration: map / ndcg and % lift over the baseline row."""
+    """Per configuration: map / ndcg and % lift over the baseline row (the
+    baseline value comes from a window over the small metric table)."""
     t = table.where(F.col("split") == split).select(config_col, "map", "ndcg")
-    base = t.where(F.col(config_col) == baseline).select(F.col("map").alias("_bm"), F.col("ndcg").alias("_bn"))
-    return (t.crossJoin(F.broadcast(base))  # one-row side
-            .select(config_col, "map", "ndcg",
-                    r6(F.lit(100.0) * (F.col("map") / F.nullif(F.col("_bm"), F.lit(0.0)) - 1)).alias("map_lift_pct"),
-                    r6(F.lit(100.0) * (F.col("ndcg") / F.nullif(F.col("_bn"), F.lit(0.0)) - 1)).alias("ndcg_lift_pct")))
+    everything = Window.partitionBy()
+    bm = F.max(F.when(F.col(config_col) == baseline, F.col("map"))).over(everything)
+    bn = F.max(F.when(F.col(config_col) == baseline, F.col("ndcg"))).over(everything)
+    return t.select(config_col, "map", "ndcg",
+                    r6(F.lit(100.0) * (F.col("map") / F.nullif(bm, F.lit(0.0)) - 1)).alias("map_lift_pct"),
+                    r6(F.lit(100.0) * (F.col("ndcg") / F.nullif(bn, F.lit(0.0)) - 1)).alias("ndcg_lift_pct"))
 
 
 def stability_gap(table: DataFrame, config_col: str) -> DataFrame:

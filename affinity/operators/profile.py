@@ -6,7 +6,7 @@ counter; results are small DataFrames, never driver-side loops.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from affinity.functions.metrics import r6
@@ -57,14 +57,14 @@ def signal_breakdown(frames: dict[str, DataFrame]) -> DataFrame:
 
 
 def rating_histogram(df: DataFrame) -> DataFrame:
-    """Rated rows per star value with their share and the overall mean."""
-    rated = df.where(has_rating())
-    hist = rated.groupBy("rating").agg(F.count(F.lit(1)).alias("n_ratings"))
-    tot = rated.agg(F.count(F.lit(1)).alias("_tot"), F.avg("rating").alias("_mean"))
-    return (hist.crossJoin(F.broadcast(tot))  # one-row side
-            .select("rating", "n_ratings",
-                    pct(F.col("n_ratings"), F.col("_tot")).alias("pct"),
-                    r6(F.col("_mean")).alias("mean_rating"))
+    """Rated rows per star value with their share and the overall mean.
+    Totals come from a window over the (at most 5-row) histogram."""
+    hist = df.where(has_rating()).groupBy("rating").agg(F.count(F.lit(1)).alias("n_ratings"))
+    everything = Window.partitionBy()
+    tot = F.sum("n_ratings").over(everything)
+    mean = F.sum(F.col("rating") * F.col("n_ratings")).over(everything) / tot
+    return (hist.select("rating", "n_ratings", pct(F.col("n_ratings"), tot).alias("pct"),
+                        r6(mean).alias("mean_rating"))
             .orderBy("rating"))
 
 
@@ -124,35 +124,43 @@ def split_user_overlap(prepared: DataFrame) -> DataFrame:
 
 
 def split_table_stats(prepared: DataFrame) -> DataFrame:
-    """Rows / distinct users / distinct items of each of the five tables, one pass."""
-    return (prepared.withColumn("table", table_name())
-            .groupBy("table")
-            .agg(F.count(F.lit(1)).alias("n_rows"),
-                 F.countDistinct("user_id").alias("n_users"),
-                 F.countDistinct("book_id").alias("n_books")))
+    """Rows / distinct users / distinct items of each of the five tables.
+    Distinct counts are two-level aggregates (no Expand of the input)."""
+    t = prepared.withColumn("table", table_name())
+    users = (t.groupBy("table", "user_id").agg(F.count(F.lit(1)).alias("_r"))
+             .groupBy("table").agg(F.sum("_r").alias("n_rows"), F.count(F.lit(1)).alias("n_users")))
+    books = (t.groupBy("table", "book_id").agg(F.count(F.lit(1)).alias("_r"))
+             .groupBy("table").agg(F.count(F.lit(1)).alias("n_books")))
+    return users.join(books, "table").select("table", F.col("n_rows").cast("bigint").alias("n_rows"),
+                                             "n_users", "n_books")
 
 
 def readiness(prepared: DataFrame, rule, extra: dict | None = None) -> DataFrame:
     """Rows / users kept by a model's inclusion ``rule`` in each table and in
-    the two fit sets (train + that split's history)."""
-    kept = prepared.where(rule).withColumn("table", table_name())
-    per_table = kept.groupBy("table").agg(F.count(F.lit(1)).alias("n_rows"),
-                                          F.countDistinct("user_id").alias("n_users"))
-    fits = None
-    for split in ("tuning", "test"):
-        in_fit = (F.col("role") == "train") | ((F.col("split") == split) & (F.col("role") == "history"))
-        part = (kept.where(in_fit)
-                .agg(F.count(F.lit(1)).alias("n_rows"), F.countDistinct("user_id").alias("n_users"))
-                .select(F.lit(f"fit_{split}").alias("table"), "n_rows", "n_users"))
-        fits = part if fits is None else fits.unionByName(part)
-    out = per_table.unionByName(fits)
-    if extra:
-        for name, cond in extra.items():
-            part = (kept.where((F.col("role") == "train") & cond)
-                    .agg(F.count(F.lit(1)).alias("n_rows"), F.countDistinct("user_id").alias("n_users"))
-                    .select(F.lit(name).alias("table"), "n_rows", "n_users"))
-            out = out.unionByName(part)
-    return out.withColumn("ready", F.col("n_rows") > 0)
+    the two fit sets (train + that split's history).  One per-user partial
+    aggregate of conditional counts, then conditional counts over users."""
+    kept = prepared.where(rule)
+    is_train = F.col("role") == "train"
+    sets = {
+        "train": is_train,
+        "tuning_history": (F.col("split") == "tuning") & (F.col("role") == "history"),
+        "tuning_holdout": (F.col("split") == "tuning") & (F.col("role") == "holdout"),
+        "test_history": (F.col("split") == "test") & (F.col("role") == "history"),
+        "test_holdout": (F.col("split") == "test") & (F.col("role") == "holdout"),
+    }
+    sets["fit_tuning"] = is_train | sets["tuning_history"]
+    sets["fit_test"] = is_train | sets["test_history"]
+    for name, cond in (extra or {}).items():
+        sets[name] = is_train & cond
+    names = list(sets)
+    per_user = kept.groupBy("user_id").agg(*[F.count_if(c).alias(f"_{i}") for i, c in enumerate(sets.values())])
+    agg = per_user.agg(*[F.sum(f"_{i}").cast("bigint").alias(f"r{i}") for i in range(len(names))],
+                       *[F.count_if(F.col(f"_{i}") > 0).alias(f"u{i}") for i in range(len(names))])
+    rows = F.explode(F.array(*[F.struct(F.lit(n).alias("table"), F.coalesce(F.col(f"r{i}"), F.lit(0)).alias("n_rows"),
+                                        F.col(f"u{i}").alias("n_users")) for i, n in enumerate(names)]))
+    out = agg.select(rows.alias("x")).select("x.table", "x.n_rows", "x.n_users")
+    # tables with no kept row do not appear (as in a GROUP BY)
+    return out.where(F.col("n_rows") > 0).withColumn("ready", F.col("n_rows") > 0)
 
 
 def activity_summary(interactions: DataFrame, active: DataFrame, sampled: DataFrame) -> DataFrame:
@@ -167,24 +175,25 @@ def activity_summary(interactions: DataFrame, active: DataFrame, sampled: DataFr
 
 
 def sample_drift(active: DataFrame, sampled: DataFrame) -> DataFrame:
-    """Signal coverage before and after the user sample, and the difference."""
-    a = coverage(active)
-    s = coverage(sampled)
-    cols = []
-    for sig in SIGNALS:
-        cols.append(F.struct(F.lit(sig).alias("signal"), F.col(f"a.pct_{sig}").alias("pct_active"),
-                             F.col(f"s.pct_{sig}").alias("pct_sample")))
-    return (a.alias("a").crossJoin(s.alias("s"))  # two one-row frames
-            .select(F.explode(F.array(*cols)).alias("r"))
-            .select("r.signal", "r.pct_active", "r.pct_sample",
-                    r6(F.col("r.pct_sample") - F.col("r.pct_active")).alias("diff")))
+    """Signal coverage before and after the user sample, and the difference
+    (two one-row profiles unpivoted and pivoted back by signal)."""
+    def long(df, name):
+        c = coverage(df)
+        return c.select(F.explode(F.array(*[F.struct(F.lit(name).alias("ds"), F.lit(sg).alias("signal"),
+                                                     F.col(f"pct_{sg}").alias("pct")) for sg in SIGNALS])).alias("x")
+                        ).select("x.*")
+    both = long(active, "active").unionByName(long(sampled, "sample"))
+    return (both.groupBy("signal")
+            .agg(F.max(F.when(F.col("ds") == "active", F.col("pct"))).alias("pct_active"),
+                 F.max(F.when(F.col("ds") == "sample", F.col("pct"))).alias("pct_sample"))
+            .withColumn("diff", r6(F.col("pct_sample") - F.col("pct_active"))))
 
 
 def user_split_shares(prepared: DataFrame) -> DataFrame:
-    users = prepared.select("user_id", "split").distinct()
-    per = users.groupBy("split").agg(F.count(F.lit(1)).alias("n_users"))
-    tot = users.agg(F.count(F.lit(1)).alias("_tot"))
-    return per.crossJoin(F.broadcast(tot)).select("split", "n_users", pct(F.col("n_users"), F.col("_tot")).alias("pct"))
+    """Users per split and share of all sampled users (window total over 3 rows)."""
+    per = (prepared.groupBy("user_id", "split").agg(F.count(F.lit(1)).alias("_r"))
+           .groupBy("split").agg(F.count(F.lit(1)).alias("n_users")))
+    return per.select("split", "n_users", pct(F.col("n_users"), F.sum("n_users").over(Window.partitionBy())).alias("pct"))
 
 
 def split_accounting(prepared: DataFrame) -> DataFrame:
@@ -195,15 +204,16 @@ def split_accounting(prepared: DataFrame) -> DataFrame:
 
 
 def dataset_summary(prepared: DataFrame) -> DataFrame:
-    """Long-form summary (metric, value) of the prepared dataset, one pass."""
+    """Long-form summary (metric, value) of the prepared dataset: one per-user
+    partial aggregate, then counts over users (no distinct-count Expand)."""
     is_train = F.col("role") == "train"
     hist = lambda s: (F.col("split") == s) & (F.col("role") == "history")
     hold = lambda s: (F.col("split") == s) & (F.col("role") == "holdout")
-    agg = prepared.agg(
-        F.countDistinct("user_id").alias("total_users"),
-        F.countDistinct(F.when(F.col("split") == "train", F.col("user_id"))).alias("train_users"),
-        F.countDistinct(F.when(F.col("split") == "tuning", F.col("user_id"))).alias("tuning_users"),
-        F.countDistinct(F.when(F.col("split") == "test", F.col("user_id"))).alias("test_users"),
+    read = F.col("is_read") == 1
+    per_user = prepared.groupBy("user_id").agg(
+        F.max(F.when(F.col("split") == "train", 1).otherwise(0)).alias("s_train"),
+        F.max(F.when(F.col("split") == "tuning", 1).otherwise(0)).alias("s_tuning"),
+        F.max(F.when(F.col("split") == "test", 1).otherwise(0)).alias("s_test"),
         F.count_if(is_train).alias("train_rows"),
         F.count_if(hist("tuning")).alias("tuning_history_rows"),
         F.count_if(hold("tuning")).alias("tuning_holdout_rows"),
@@ -211,14 +221,27 @@ def dataset_summary(prepared: DataFrame) -> DataFrame:
         F.count_if(hold("test")).alias("test_holdout_rows"),
         F.count_if(is_train & has_rating()).alias("explicit_train_rows"),
         F.count_if((is_train | hist("tuning")) & has_rating()).alias("explicit_fit_rows"),
-        F.countDistinct(F.when(hold("tuning") & has_rating(), F.col("user_id"))).alias("explicit_eval_users_tuning"),
-        F.countDistinct(F.when(hold("test") & has_rating(), F.col("user_id"))).alias("explicit_eval_users_test"),
-        F.count_if(is_train & (F.col("is_read") == 1)).alias("implicit_train_rows"),
-        F.count_if((is_train | hist("tuning")) & (F.col("is_read") == 1)).alias("implicit_fit_rows"),
-        F.countDistinct(F.when(hold("tuning") & (F.col("is_read") == 1), F.col("user_id"))).alias("implicit_eval_users_tuning"),
-        F.countDistinct(F.when(hold("test") & (F.col("is_read") == 1), F.col("user_id"))).alias("implicit_eval_users_test"),
+        F.count_if(hold("tuning") & has_rating()).alias("_eh_tuning"),
+        F.count_if(hold("test") & has_rating()).alias("_eh_test"),
+        F.count_if(is_train & read).alias("implicit_train_rows"),
+        F.count_if((is_train | hist("tuning")) & read).alias("implicit_fit_rows"),
+        F.count_if(hold("tuning") & read).alias("_ih_tuning"),
+        F.count_if(hold("test") & read).alias("_ih_test"),
         F.count(F.lit(1)).alias("total_rows"),
     )
+    sums = ["train_rows", "tuning_history_rows", "tuning_holdout_rows", "test_history_rows", "test_holdout_rows",
+            "explicit_train_rows", "explicit_fit_rows", "implicit_train_rows", "implicit_fit_rows", "total_rows"]
+    agg = per_user.agg(
+        F.count(F.lit(1)).alias("total_users"),
+        F.count_if(F.col("s_train") == 1).alias("train_users"),
+        F.count_if(F.col("s_tuning") == 1).alias("tuning_users"),
+        F.count_if(F.col("s_test") == 1).alias("test_users"),
+        *[F.sum(c).alias(c) for c in sums],
+        F.count_if(F.col("_eh_tuning") > 0).alias("explicit_eval_users_tuning"),
+        F.count_if(F.col("_eh_test") > 0).alias("explicit_eval_users_test"),
+        F.count_if(F.col("_ih_tuning") > 0).alias("implicit_eval_users_tuning"),
+        F.count_if(F.col("_ih_test") > 0).alias("implicit_eval_users_test"),
+    )
     names = agg.columns
     stack = "stack({}, {}) as (metric, value)".format(
         len(names), ", ".join(f"'{n}', CAST({n} AS BIGINT)" for n in names))

@@ -107,12 +107,13 @@ def lsh_pairs(readers: DataFrame, min_readers: int, num_tables: int, seed: int,
 
 
 def lsh_reduction(n_items: DataFrame, found: DataFrame, low_yield_below: int = 100) -> DataFrame:
-    """Pairs found vs all n(n-1)/2 item pairs."""
-    n = n_items.agg(F.count(F.lit(1)).alias("n_items"))
-    p = found.agg(F.count(F.lit(1)).alias("n_pairs"))
+    """Pairs found vs all n(n-1)/2 item pairs (two counts, one tagged union)."""
+    tagged = (n_items.select(F.lit(1).alias("_i"), F.lit(0).alias("_p"))
+              .unionByName(found.select(F.lit(0).alias("_i"), F.lit(1).alias("_p"))))
+    agg = tagged.agg(F.sum("_i").cast("bigint").alias("n_items"), F.sum("_p").cast("bigint").alias("n_pairs"))
+    agg = agg.select(F.coalesce("n_items", F.lit(0)).alias("n_items"), F.coalesce("n_pairs", F.lit(0)).alias("n_pairs"))
     allp = (F.col("n_items") * (F.col("n_items") - 1) / 2).cast("bigint")
-    return (n.crossJoin(p)  # two one-row frames
-            .select("n_items", "n_pairs", allp.alias("all_pairs"))
+    return (agg.select("n_items", "n_pairs", allp.alias("all_pairs"))
             .withColumn("pair_ratio", F.round(F.col("n_pairs") / F.nullif(F.col("all_pairs"), F.lit(0)), 9))
             .withColumn("reduction_pct", r6(F.lit(100.0) * (F.lit(1.0) - F.col("n_pairs") / F.nullif(F.col("all_pairs"), F.lit(0)))))
             .withColumn("low_yield", F.col("n_pairs") < low_yield_below))
