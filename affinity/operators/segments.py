@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from affinity.functions.hashing import hash_key
+from affinity.functions.hashing import hash_key, prefix_value
 from affinity.functions.metrics import r6
 
 MINHASH_TAG = "minhash"
@@ -39,9 +39,29 @@ def qualified_pairs(pairs: DataFrame, min_readers: int) -> DataFrame:
     return pairs.join(qualified_items(pairs, min_readers).select("book_id"), "book_id", "left_semi")
 
 
-def reader_sets(pairs: DataFrame) -> DataFrame:
-    """Item -> sorted reader-token array (MLlib route only: one row per item
-    holds the whole reader set)."""
+# Readers per token-list row: an item's reader set is split into
+# ceil(n_readers / READER_CHUNK) hash chunks so no row (or task) holds the
+# whole audience of a hot item.
+READER_CHUNK = 1000
+CHUNK_TAG = "chunk"
+
+
+def reader_sets(pairs: DataFrame, counts: DataFrame, chunk_size: int = READER_CHUNK) -> DataFrame:
+    """Item -> reader tokens in bounded chunks:
+    ``(book_id, chunk, n_tokens, user_tokens array<string>)``, tokens sorted by
+    user id.  ``counts`` is ``(book_id, n_readers)`` (``qualified_items``)."""
+    n_chunks = F.ceil(F.col("n_readers") / F.lit(chunk_size)).cast("bigint")
+    chunk = F.pmod(prefix_value(F.md5(F.concat_ws("|", F.lit(CHUNK_TAG), F.col("user_id").cast("string")))), n_chunks)
+    return (pairs.join(counts.select("book_id", "n_readers"), "book_id")
+            .withColumn("chunk", chunk.cast("int"))
+            .groupBy("book_id", "chunk")
+            .agg(F.count(F.lit(1)).alias("n_tokens"), F.array_sort(F.collect_list("user_id")).alias("_u"))
+            .select("book_id", "chunk", "n_tokens",
+                    F.transform("_u", lambda u: u.cast("string")).alias("user_tokens")))
+
+
+def _whole_reader_sets(pairs: DataFrame) -> DataFrame:
+    """One row per item with its whole reader set (MLlib route only)."""
     return (pairs.groupBy("book_id")
             .agg(F.array_sort(F.collect_list(F.col("user_id"))).alias("_u"))
             .select("book_id", F.transform("_u", lambda u: u.cast("string")).alias("user_tokens")))
@@ -164,7 +184,7 @@ def mllib_lsh_pairs(readers: DataFrame, min_readers: int, num_tables: int, seed:
     pairs = reader_pairs(readers)
     counts = qualified_items(pairs, min_readers)
     qp = pairs.join(counts.select("book_id"), "book_id", "left_semi")
-    tokens = reader_sets(qp)
+    tokens = _whole_reader_sets(qp)
     vec = HashingTF(inputCol="user_tokens", outputCol="features", numFeatures=num_features, binary=True).transform(tokens)
     model = MinHashLSH(inputCol="features", outputCol="hashes", numHashTables=num_tables, seed=seed).fit(vec)
     j = model.approxSimilarityJoin(vec, vec, max_distance, distCol="jaccard_dist")

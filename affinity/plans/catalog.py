@@ -294,6 +294,12 @@ def q_qualified_items(spark, sf):
     return _qualified(spark, sf)[1]
 
 
+def q_reader_sets(spark, sf):
+    qp, counts = _qualified(spark, sf)
+    return (SEG.reader_sets(qp, counts)
+            .select("book_id", "chunk", "n_tokens", F.array_join("user_tokens", " ").alias("user_tokens")))
+
+
 def q_minhash_signatures(spark, sf):
     qp, _ = _qualified(spark, sf)
     return SEG.minhash_signatures(qp, CFG.num_hash_tables, CFG.minhash_seed)

@@ -358,6 +358,13 @@ FROM vt GROUP BY variant"""
     G = _segment_ctes(cfg)
     q["reader_pairs"] = _with(*G[:2]) + "SELECT user_id, book_id FROM rp"
     q["qualified_items"] = _with(*G[:3]) + "SELECT book_id, n_readers FROM qi"
+    q["reader_sets"] = _with(*G[:4]) + """SELECT book_id, chunk, count(*) AS n_tokens,
+       string_agg(CAST(user_id AS VARCHAR), ' ' ORDER BY user_id) AS user_tokens
+FROM (SELECT qp.book_id, qp.user_id,
+             CAST(CAST('0x' || substr(md5('chunk|' || CAST(qp.user_id AS VARCHAR)), 1, 8) AS BIGINT)
+                  % CAST(ceil(qi.n_readers / 1000.0) AS BIGINT) AS INTEGER) AS chunk
+      FROM qp JOIN qi ON qp.book_id = qi.book_id)
+GROUP BY book_id, chunk"""
     q["minhash_signatures"] = _with(*G[:5]) + "SELECT book_id, hash_table, signature FROM sig"
     q["lsh_candidates"] = _with(*G[:6]) + "SELECT book_id_1, book_id_2 FROM cand"
     q["lsh_pairs"] = _with(*G[:8]) + "SELECT book_id_1, book_id_2, jaccard_similarity FROM lsh"

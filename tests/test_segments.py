@@ -100,3 +100,17 @@ def test_mllib_route_agrees_on_similarity(spark):
     assert set(ml) <= set(exact) and all(ml[p] == exact[p] for p in ml)
     common = set(ml) & set(native)
     assert common and all(ml[p] == native[p] for p in common)
+
+
+def test_reader_sets_bounded_chunks(spark):
+    sets = {1: set(range(0, 250)), 2: set(range(100, 110))}
+    pairs = SEG.reader_pairs(readers_df(spark, sets))
+    counts = SEG.qualified_items(pairs, 1)
+    rows = SEG.reader_sets(pairs, counts, chunk_size=100).collect()
+    by_item = {}
+    for r in rows:
+        assert r.n_tokens == len(r.user_tokens) and r.n_tokens <= 2 * 100
+        assert [int(x) for x in r.user_tokens] == sorted(int(x) for x in r.user_tokens)
+        by_item.setdefault(r.book_id, set()).update(int(x) for x in r.user_tokens)
+    assert by_item == sets
+    assert len([r for r in rows if r.book_id == 1]) == 3  # ceil(250 / 100) chunks
