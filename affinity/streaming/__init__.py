@@ -1,0 +1,7 @@
+"""Intentionally empty.
+
+The analytics this library rebuilds are batch only: there is no stream,
+watermark, event-time window or stateful operator in the workload (the
+interaction table has no timestamps, which is also why holdouts are drawn by
+hashed random order).  Nothing is added here that the workload does not do.
+"""
