@@ -56,6 +56,12 @@ def weighted_bucket(tag: str, seed, labels: Sequence[str], weights: Sequence[flo
     return F.lit(labels[-1]) if expr is None else expr.otherwise(F.lit(labels[-1]))
 
 
+def hash60(tag: str, seed, *cols) -> Column:
+    """First 60 bits of ``md5(tag|seed|ids)`` as a non-negative bigint: a
+    fixed-width value, so ``min`` over it plans as a codegen'd HashAggregate."""
+    return F.conv(F.substring(hash_key(tag, seed, *cols), 1, 15), 16, 10).cast("bigint")
+
+
 def prefix_value(key: Column) -> Column:
     """First 32 bits of an md5 hex key as a bigint in [0, 2**32)."""
     return F.conv(F.substring(key, 1, 8), 16, 10).cast("bigint")

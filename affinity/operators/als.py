@@ -22,20 +22,29 @@ from affinity.functions.metrics import r6
 from affinity.operators import evaluation as E
 from affinity.operators import prep
 from affinity.operators import signals as SG
-from affinity.session import checkpoint_dir
+from affinity.session import checkpoint_dir, persisted
 
 KINDS = ("explicit", "implicit", "combined")
 
 
-def matrix(rows: DataFrame, kind: str, alpha: float, beta: float, w: float) -> DataFrame:
-    """Training matrix ``(user_id, book_id, value)`` for a model kind."""
+def matrix(rows: DataFrame, kind: str, alpha: float, beta: float, w: float,
+           confidence_offset: float = 0.0) -> DataFrame:
+    """Training matrix ``(user_id, book_id, value)`` for a model kind.
+
+    MLlib weights an implicit entry as ``1 + alpha_als * value`` (alpha_als = 1
+    by default), so a confidence that already holds the "1 +" is shifted by
+    one.  The study keeps that (default offset 0); ``confidence_offset=-1``
+    hands MLlib ``c - 1`` so the fitted weight is exactly ``c``."""
     if kind == "explicit":
         return SG.explicit_matrix(rows).select("user_id", "book_id", F.col("rating").cast("float").alias("value"))
     if kind == "implicit":
-        return SG.add_confidence(rows, alpha, beta).select("user_id", "book_id", F.col("confidence").cast("float").alias("value"))
-    if kind == "combined":
-        return SG.build_combined_confidence(rows, alpha, beta, w).select("user_id", "book_id", F.col("confidence").alias("value"))
-    raise ValueError(kind)
+        conf = SG.add_confidence(rows, alpha, beta)
+    elif kind == "combined":
+        conf = SG.build_combined_confidence(rows, alpha, beta, w)
+    else:
+        raise ValueError(kind)
+    value = F.col("confidence").cast("float") + F.lit(float(confidence_offset)).cast("float")
+    return conf.select("user_id", "book_id", value.cast("float").alias("value"))
 
 
 def holdout_rule(kind: str):
@@ -96,18 +105,14 @@ def run_split(spark, prepared: DataFrame, kind: str, split: str, cfg: Config, ra
     alpha = cfg.alpha if alpha is None else alpha
     beta = cfg.beta if beta is None else beta
     w = cfg.rating_weight if w is None else w
-    fit_df = matrix(prep.fit_rows(prepared, split), kind, alpha, beta, w).persist()
-    try:
+    with persisted(matrix(prep.fit_rows(prepared, split), kind, alpha, beta, w)) as fit_df:
         model = fit(spark, fit_df, kind, rank, reg, max_iter, cfg.als_seed, cfg.checkpoint_interval)
         holdout = prep.holdout_of(prepared, split).where(holdout_rule(kind))
         summary = evaluate_model(model, holdout, cfg.top_k).select(F.lit(split).alias("split"), "*")
         row = summary.collect()[0].asDict()  # one metric row
         if with_rmse if with_rmse is not None else kind == "explicit":
             row["rmse"] = rmse(model, holdout).select(r6(F.col("rmse")).alias("rmse")).collect()[0]["rmse"]
-        rows = [Row(**row)]
-    finally:
-        fit_df.unpersist()
-    return model, rows
+    return model, [Row(**row)]
 
 
 def two_model_protocol(spark, prepared: DataFrame, kind: str, cfg: Config, **params) -> DataFrame:

@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from affinity.functions.hashing import hash_key, prefix_value
+from affinity.functions.hashing import hash60, prefix_value
 from affinity.functions.metrics import r6
 
 MINHASH_TAG = "minhash"
@@ -68,11 +68,11 @@ def _whole_reader_sets(pairs: DataFrame) -> DataFrame:
 
 
 def minhash_signatures(pairs: DataFrame, num_tables: int, seed: int) -> DataFrame:
-    """``(book_id, hash_table, signature)``: per table k the smallest
-    ``md5(minhash|seed|k|user)`` over the item's readers.  All K minima come
+    """``(book_id, hash_table, signature)``: per table k the smallest 60-bit
+    ``md5(minhash|seed|k|user)`` prefix over the item's readers.  All K minima come
     from one ``groupBy(book_id)`` with map-side partial aggregation, then the
     small per-item row is unpivoted."""
-    mins = [F.min(hash_key(MINHASH_TAG, seed, F.lit(k), "user_id")).alias(f"s{k}") for k in range(num_tables)]
+    mins = [F.min(hash60(MINHASH_TAG, seed, F.lit(k), "user_id")).alias(f"s{k}") for k in range(num_tables)]
     per_item = pairs.groupBy("book_id").agg(*mins)
     stack = "stack({}, {}) as (hash_table, signature)".format(
         num_tables, ", ".join(f"{k}, s{k}" for k in range(num_tables)))

@@ -168,7 +168,7 @@ def _segment_ctes(cfg: Config) -> list[str]:
         f"qi AS (SELECT book_id, count(*) AS n_readers FROM rp GROUP BY book_id HAVING count(*) >= {cfg.min_readers})",
         "qp AS (SELECT * FROM rp WHERE book_id IN (SELECT book_id FROM qi))",
         f"""sig AS (SELECT book_id, CAST(k AS INTEGER) AS hash_table,
-                 min(md5(concat_ws('|', 'minhash', {cfg.minhash_seed}, k, user_id))) AS signature
+                 min(CAST('0x' || substr(md5(concat_ws('|', 'minhash', {cfg.minhash_seed}, k, user_id)), 1, 15) AS BIGINT)) AS signature
           FROM qp CROSS JOIN (SELECT unnest(range({t})) AS k) ks GROUP BY book_id, k)""",
         """cand AS (SELECT DISTINCT a.book_id AS book_id_1, b.book_id AS book_id_2
            FROM sig a JOIN sig b ON a.hash_table = b.hash_table AND a.signature = b.signature

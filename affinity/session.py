@@ -6,6 +6,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -49,3 +50,15 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A path under the shared checkpoint folder for written intermediates."""
     base = checkpoint_dir(spark)
     return base.rstrip("/") + "/" + name
+
+
+@contextmanager
+def persisted(df):
+    """Cache a frame only while it feeds several jobs (MEMORY_AND_DISK, so a
+    lost executor's blocks are recomputed from lineage), then release it."""
+    from pyspark import StorageLevel
+    cached = df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        yield cached
+    finally:
+        cached.unpersist()

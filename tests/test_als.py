@@ -55,3 +55,11 @@ def test_model_roundtrip(spark, tmp_path):
     a = {(r.user_id, r.rank): r.book_id for r in als.recommend(model, users, 3).collect()}
     b = {(r.user_id, r.rank): r.book_id for r in als.recommend(loaded, users, 3).collect()}
     assert a == b
+
+
+def test_confidence_offset(spark):
+    from affinity.sources.tables import INTERACTION_SCHEMA
+    df = spark.createDataFrame([(1, 1, 1, 5, 1), (1, 2, 1, 0, 0)], INTERACTION_SCHEMA)
+    base = {r.book_id: r.value for r in als.matrix(df, "combined", 10, 20, 5).collect()}
+    shifted = {r.book_id: r.value for r in als.matrix(df, "combined", 10, 20, 5, confidence_offset=-1).collect()}
+    assert base == {1: 56.0, 2: 11.0} and shifted == {1: 55.0, 2: 10.0}
