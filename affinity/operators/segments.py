@@ -15,6 +15,8 @@ approximate, as with MLlib, which verifies on the vectors.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -90,6 +92,36 @@ def lsh_candidates(signatures: DataFrame) -> DataFrame:
             .select("book_id_1", "book_id_2").distinct())
 
 
+def size_band(n_col, min_similarity: float):
+    """Reader-count band of width ln(1/s): two items whose smaller/larger reader
+    count ratio is at least s lie in the same or adjacent bands (J <= min/max,
+    so other pairs can never reach similarity s).  The width is widened by
+    1e-9 relative so float rounding cannot split a feasible pair."""
+    if min_similarity <= 0.0:
+        return F.lit(0).cast("bigint")
+    width = math.log(1.0 / min_similarity) * (1.0 + 1e-9)
+    if width <= 0.0:  # s = 1: every feasible pair has equal counts
+        return n_col.cast("bigint")
+    return F.floor(F.log(n_col.cast("double")) / F.lit(width)).cast("bigint")
+
+
+def banded_candidates(signatures: DataFrame, counts: DataFrame, max_distance: float) -> DataFrame:
+    """Candidate pairs (a < b) sharing a signature *and* a reader-count band
+    (or adjacent bands).  Exact for the verified result: the pairs dropped
+    here fail the size bound.  A bucket of items with very different audience
+    sizes (e.g. everything one heavy reader touched) no longer enumerates its
+    hopeless pairs; AQE still splits a hot (table, signature, band) key."""
+    banded = signatures.join(counts.select("book_id", "n_readers"), "book_id").withColumn(
+        "band", size_band(F.col("n_readers"), 1.0 - max_distance))
+    a = banded.select("hash_table", "signature", "band", F.col("book_id").alias("book_id_1"))
+    b = banded.select("hash_table", "signature",
+                      F.explode(F.array(F.col("band") - 1, F.col("band"), F.col("band") + 1)).alias("band"),
+                      F.col("book_id").alias("book_id_2"))
+    return (a.join(b, ["hash_table", "signature", "band"])
+            .where(F.col("book_id_1") < F.col("book_id_2"))
+            .select("book_id_1", "book_id_2").distinct())
+
+
 def verify_pairs(candidates: DataFrame, pairs: DataFrame, counts: DataFrame, max_distance: float) -> DataFrame:
     """Exact Jaccard of candidate pairs, kept when distance < ``max_distance``.
 
@@ -122,7 +154,7 @@ def lsh_pairs(readers: DataFrame, min_readers: int, num_tables: int, seed: int,
     pairs = reader_pairs(readers)
     counts = qualified_items(pairs, min_readers)
     qp = pairs.join(counts.select("book_id"), "book_id", "left_semi")
-    cand = lsh_candidates(minhash_signatures(qp, num_tables, seed))
+    cand = banded_candidates(minhash_signatures(qp, num_tables, seed), counts, max_distance)
     return verify_pairs(cand, qp, counts, max_distance)
 
 

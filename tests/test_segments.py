@@ -114,3 +114,18 @@ def test_reader_sets_bounded_chunks(spark):
         by_item.setdefault(r.book_id, set()).update(int(x) for x in r.user_tokens)
     assert by_item == sets
     assert len([r for r in rows if r.book_id == 1]) == 3  # ceil(250 / 100) chunks
+
+
+def test_banded_candidates_keep_every_feasible_pair(spark):
+    rnd = random.Random(9)
+    sets = {i: set(rnd.sample(range(400), rnd.choice([5, 20, 60, 150, 300]))) for i in range(40)}
+    pairs = SEG.reader_pairs(readers_df(spark, sets))
+    counts = SEG.qualified_items(pairs, 1)
+    sig = SEG.minhash_signatures(pairs, 5, 42)
+    for dist in (0.5, 0.8):
+        allc = {(r.book_id_1, r.book_id_2) for r in SEG.lsh_candidates(sig).collect()}
+        band = {(r.book_id_1, r.book_id_2) for r in SEG.banded_candidates(sig, counts, dist).collect()}
+        feasible = {(a, b) for a, b in allc
+                    if min(len(sets[a]), len(sets[b])) / max(len(sets[a]), len(sets[b])) >= 1 - dist}
+        assert feasible <= band <= allc
+        assert len(band) < len(allc)
