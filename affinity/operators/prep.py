@@ -80,6 +80,22 @@ def keyed_rows(rows: DataFrame, cfg: Config) -> DataFrame:
             .withColumn("_lvl", top_level(F.col("_k"))))
 
 
+def role_cuts(keyed: DataFrame, reserved: int) -> DataFrame:
+    """Per user: ``_n`` rows and ``_cut``, the deepest key level still holding
+    ``min(_n, reserved)`` rows.  Built from per-(user, level) counts — a
+    partial aggregate with at most 33 output rows per user — so a hot user
+    costs one map-side combine, not one sort task."""
+    hist = keyed.groupBy("user_id", "_lvl").agg(F.count(F.lit(1)).alias("_c"))
+    deeper_first = Window.partitionBy("user_id").orderBy(F.col("_lvl").desc())
+    whole_user = Window.partitionBy("user_id")
+    hist = (hist.withColumn("_cum", F.sum("_c").over(deeper_first))
+                .withColumn("_n", F.sum("_c").over(whole_user)))
+    return (hist.groupBy("user_id")
+            .agg(F.first("_n").alias("_n"),
+                 F.max(F.when(F.col("_cum") >= F.least(F.col("_n"), F.lit(reserved)),
+                              F.col("_lvl"))).alias("_cut")))
+
+
 def assign_roles(keyed: DataFrame, cfg: Config, min_interactions: int = 0) -> DataFrame:
     """Add ``role`` to keyed rows (``keyed_rows``); keep active users only.
 
@@ -88,19 +104,7 @@ def assign_roles(keyed: DataFrame, cfg: Config, min_interactions: int = 0) -> Da
     history, everything else is train.  Train-split users keep all rows as train.
     """
     reserved = cfg.reserved
-    # Per (user, level) counts -> n and the deepest level still holding
-    # min(n, reserved) rows.  Small: at most 33 rows per user.
-    hist = keyed.groupBy("user_id", "_lvl").agg(F.count(F.lit(1)).alias("_c"))
-    deeper_first = Window.partitionBy("user_id").orderBy(F.col("_lvl").desc())
-    whole_user = Window.partitionBy("user_id")
-    hist = (hist.withColumn("_cum", F.sum("_c").over(deeper_first))
-                .withColumn("_n", F.sum("_c").over(whole_user)))
-    per_user = (hist.groupBy("user_id")
-                .agg(F.first("_n").alias("_n"),
-                     F.max(F.when(F.col("_cum") >= F.least(F.col("_n"), F.lit(reserved)),
-                                  F.col("_lvl"))).alias("_cut"))
-                .where(F.col("_n") >= min_interactions))
-
+    per_user = role_cuts(keyed, reserved).where(F.col("_n") >= min_interactions)
     joined = keyed.join(per_user, "user_id")  # inner = activity filter
     is_cand = (F.col("split") != "train") & (F.col("_lvl") >= F.col("_cut"))
 
