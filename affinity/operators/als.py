@@ -109,19 +109,30 @@ def run_split(spark, prepared: DataFrame, kind: str, split: str, cfg: Config, ra
         model = fit(spark, fit_df, kind, rank, reg, max_iter, cfg.als_seed, cfg.checkpoint_interval)
         holdout = prep.holdout_of(prepared, split).where(holdout_rule(kind))
         summary = evaluate_model(model, holdout, cfg.top_k).select(F.lit(split).alias("split"), "*")
-        row = summary.collect()[0].asDict()  # one metric row
+        row = {"kind": kind, "rank": rank, "reg": float(reg), "max_iter": max_iter,
+               "alpha": None if kind == "explicit" else float(alpha),
+               "beta": None if kind == "explicit" else float(beta),
+               "rating_weight": float(w) if kind == "combined" else None}
+        row.update(summary.collect()[0].asDict())  # one metric row
         if with_rmse if with_rmse is not None else kind == "explicit":
             row["rmse"] = rmse(model, holdout).select(r6(F.col("rmse")).alias("rmse")).collect()[0]["rmse"]
     return model, [Row(**row)]
 
 
+EVAL_SCHEMA = ("kind string, rank int, reg double, max_iter int, alpha double, beta double, rating_weight double, "
+               "split string, map double, ndcg double, n_users bigint, n_user_hits bigint, n_item_hits bigint, "
+               "user_hit_rate double, item_hit_rate double, rmse double")
+
+
 def two_model_protocol(spark, prepared: DataFrame, kind: str, cfg: Config, **params) -> DataFrame:
-    """The study's final evaluation: one model per evaluation split."""
+    """The study's final evaluation: one model per evaluation split, one row
+    per split with the configuration it ran."""
     rows = []
     for split in ("tuning", "test"):
         _, r = run_split(spark, prepared, kind, split, cfg, **params)
         rows.extend(r)
-    return spark.createDataFrame(rows)
+    cols = [c.split()[0] for c in EVAL_SCHEMA.split(", ")]
+    return spark.createDataFrame([tuple(r.asDict().get(c) for c in cols) for r in rows], EVAL_SCHEMA)
 
 
 def save_model(model: ALSModel, path: str) -> None:
