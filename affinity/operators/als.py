@@ -13,6 +13,8 @@ the workload and is bounded by (evaluated users × items).
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.ml.recommendation import ALS, ALSModel
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
@@ -124,13 +126,22 @@ EVAL_SCHEMA = ("kind string, rank int, reg double, max_iter int, alpha double, b
                "user_hit_rate double, item_hit_rate double, rmse double")
 
 
-def two_model_protocol(spark, prepared: DataFrame, kind: str, cfg: Config, **params) -> DataFrame:
+def run_parallel(tasks, parallelism: int):
+    """Run independent fits concurrently (like ``TrainValidationSplit``'s
+    ``parallelism``): each task submits its own Spark jobs from a thread."""
+    if parallelism <= 1 or len(tasks) <= 1:
+        return [t() for t in tasks]
+    with ThreadPoolExecutor(max_workers=min(parallelism, len(tasks))) as pool:
+        return list(pool.map(lambda t: t(), tasks))
+
+
+def two_model_protocol(spark, prepared: DataFrame, kind: str, cfg: Config, parallelism: int = 2,
+                       **params) -> DataFrame:
     """The study's final evaluation: one model per evaluation split, one row
-    per split with the configuration it ran."""
-    rows = []
-    for split in ("tuning", "test"):
-        _, r = run_split(spark, prepared, kind, split, cfg, **params)
-        rows.extend(r)
+    per split with the configuration it ran.  The two fits are independent
+    and run concurrently."""
+    tasks = [lambda s=split: run_split(spark, prepared, kind, s, cfg, **params)[1] for split in ("tuning", "test")]
+    rows = [r for part in run_parallel(tasks, parallelism) for r in part]
     cols = [c.split()[0] for c in EVAL_SCHEMA.split(", ")]
     return spark.createDataFrame([tuple(r.asDict().get(c) for c in cols) for r in rows], EVAL_SCHEMA)
 
