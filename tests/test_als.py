@@ -63,3 +63,32 @@ def test_confidence_offset(spark):
     base = {r.book_id: r.value for r in als.matrix(df, "combined", 10, 20, 5).collect()}
     shifted = {r.book_id: r.value for r in als.matrix(df, "combined", 10, 20, 5, confidence_offset=-1).collect()}
     assert base == {1: 56.0, 2: 11.0} and shifted == {1: 55.0, 2: 10.0}
+
+
+def test_grids_and_protocol(spark):
+    from affinity.config import Config
+    from affinity.operators import prep, tuning
+    from affinity.sources.tables import INTERACTION_SCHEMA
+    rnd = random.Random(5)
+    rows = []
+    for u in range(120):
+        group = range(0, 60) if u % 2 else range(60, 120)
+        for b in rnd.sample(list(group), 45):
+            rows.append((u, b, 1, rnd.randint(1, 5), rnd.randint(0, 1)))
+    df = spark.createDataFrame(rows, INTERACTION_SCHEMA)
+    cfg = Config(min_interactions=40, sample_fraction=1.0, als_rank=4, als_iter=3, als_tune_iter=3, top_k=10,
+                 implicit_stage1_grid={"rank": [2, 4], "regParam": [0.1]},
+                 implicit_stage2_grid={"alpha": [1.0, 10.0], "beta": [20.0]},
+                 explicit_grid={"rank": [2], "regParam": [0.1, 1.0]}, combined_grid={"rating_weight": [1.0, 5.0]})
+    p = prep.prepare(df, cfg).persist()
+    imp = tuning.implicit_grid(spark, p, cfg).collect()
+    s1 = [r for r in imp if r.stage == 1]
+    s2 = [r for r in imp if r.stage == 2]
+    best = max(s1, key=lambda r: (r.map, -r.rank, -r.reg))
+    assert len(s1) == 2 and len(s2) == 2 and all(r.rank == best.rank and r.reg == best.reg for r in s2)
+    exp = tuning.explicit_grid(spark, p, cfg).collect()
+    assert len(exp) == 2 and all(r.rmse is not None and r.rmse > 0 for r in exp)
+    ev = {r.split: r for r in als.two_model_protocol(spark, p, "combined", cfg).collect()}
+    assert set(ev) == {"tuning", "test"}
+    assert all(0 <= r.map <= r.ndcg <= 1 and r.kind == "combined" for r in ev.values())
+    p.unpersist()
