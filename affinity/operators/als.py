@@ -16,7 +16,7 @@ from __future__ import annotations
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.ml.recommendation import ALS, ALSModel
-from pyspark.sql import DataFrame, Row
+from pyspark.sql import DataFrame, Row, Window
 from pyspark.sql import functions as F
 
 from affinity.config import Config
@@ -82,6 +82,31 @@ def recommend(model: ALSModel, users: DataFrame, k: int) -> DataFrame:
     return E.ranked_from_arrays(model.recommendForUserSubset(users.select("user_id").distinct(), k))
 
 
+def recommend_unseen(model: ALSModel, users: DataFrame, seen: DataFrame, k: int) -> DataFrame:
+    """Top-k per user among items the user has not seen (the study keeps seen
+    items; this is the optional fix).  Exact without a candidate cap: a user's
+    top-k unseen items lie in their top-(k + n_seen) overall, so users are
+    grouped by the power of two at or above their seen count and each group
+    asks MLlib for that many, then seen items are anti-joined and ranks
+    recomputed.  The driver loops over at most ~log2(max seen) group sizes,
+    never over data."""
+    users = users.select("user_id").distinct()
+    n_seen = (seen.select("user_id", "book_id").join(users, "user_id", "left_semi")
+              .groupBy("user_id").agg(F.count(F.lit(1)).alias("_s")))
+    bucket = F.when(F.col("_s") <= 0, F.lit(0)).otherwise(
+        F.pow(F.lit(2), F.ceil(F.log2(F.col("_s").cast("double")))).cast("bigint"))
+    sized = users.join(n_seen, "user_id", "left").fillna(0, ["_s"]).withColumn("_b", bucket)
+    sizes = sorted(r["_b"] for r in sized.select("_b").distinct().collect())  # a few group sizes
+    parts = [recommend(model, sized.where(F.col("_b") == b).select("user_id"), k + int(b)) for b in sizes]
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    kept = out.join(seen.select("user_id", "book_id"), ["user_id", "book_id"], "left_anti")
+    w = Window.partitionBy("user_id").orderBy(F.col("score").desc(), F.col("book_id").asc())
+    return (kept.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+            .select("user_id", "rank", "book_id", "score"))
+
+
 def rmse(model: ALSModel, holdout: DataFrame) -> DataFrame:
     """RMSE over rated holdout rows the model can score (unknown ids dropped)."""
     pred = (model.transform(holdout.where(F.col("rating") > 0).select("user_id", "book_id", "rating"))
@@ -90,15 +115,17 @@ def rmse(model: ALSModel, holdout: DataFrame) -> DataFrame:
                     F.count(F.lit(1)).alias("n_scored"))
 
 
-def evaluate_model(model: ALSModel, holdout: DataFrame, k: int) -> DataFrame:
-    """Summary row of the ranking metrics for one fitted model."""
-    recs = recommend(model, holdout, k)
+def evaluate_model(model: ALSModel, holdout: DataFrame, k: int, seen: DataFrame | None = None) -> DataFrame:
+    """Summary row of the ranking metrics for one fitted model (``seen``:
+    optionally drop already-seen items from the lists, exactly)."""
+    recs = recommend(model, holdout, k) if seen is None else recommend_unseen(model, holdout, seen, k)
     return E.evaluate(recs, holdout)
 
 
 def run_split(spark, prepared: DataFrame, kind: str, split: str, cfg: Config, rank: int | None = None,
               reg: float | None = None, max_iter: int | None = None, alpha: float | None = None,
-              beta: float | None = None, w: float | None = None, with_rmse: bool | None = None):
+              beta: float | None = None, w: float | None = None, with_rmse: bool | None = None,
+              exclude_seen: bool = False):
     """Fit on train + ``split`` history and evaluate on ``split`` holdout.
     Returns ``(model, summary DataFrame)``; the summary is one row."""
     rank = rank or cfg.als_rank
@@ -110,7 +137,8 @@ def run_split(spark, prepared: DataFrame, kind: str, split: str, cfg: Config, ra
     with persisted(matrix(prep.fit_rows(prepared, split), kind, alpha, beta, w)) as fit_df:
         model = fit(spark, fit_df, kind, rank, reg, max_iter, cfg.als_seed, cfg.checkpoint_interval)
         holdout = prep.holdout_of(prepared, split).where(holdout_rule(kind))
-        summary = evaluate_model(model, holdout, cfg.top_k).select(F.lit(split).alias("split"), "*")
+        seen = prep.fit_rows(prepared, split) if exclude_seen else None
+        summary = evaluate_model(model, holdout, cfg.top_k, seen).select(F.lit(split).alias("split"), "*")
         row = {"kind": kind, "rank": rank, "reg": float(reg), "max_iter": max_iter,
                "alpha": None if kind == "explicit" else float(alpha),
                "beta": None if kind == "explicit" else float(beta),

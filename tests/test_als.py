@@ -92,3 +92,26 @@ def test_grids_and_protocol(spark):
     assert set(ev) == {"tuning", "test"}
     assert all(0 <= r.map <= r.ndcg <= 1 and r.kind == "combined" for r in ev.values())
     p.unpersist()
+
+
+def test_recommend_unseen_exact(spark):
+    import numpy as np
+    train, _ = two_tastes(spark)
+    liked = train.where("value > 3")
+    model = als.fit(spark, liked, "implicit", rank=4, reg=0.1, max_iter=5, seed=42)
+    k = 5
+    got = {}
+    for r in als.recommend_unseen(model, liked.select("user_id"), liked, k).collect():
+        got.setdefault(r.user_id, []).append((r.rank, r.book_id))
+    uf = {r.id: np.array(r.features) for r in model.userFactors.collect()}
+    itf = {r.id: np.array(r.features) for r in model.itemFactors.collect()}
+    seen = {}
+    for r in liked.collect():
+        seen.setdefault(r.user_id, set()).add(r.book_id)
+    for u, recs in got.items():
+        scores = sorted(((-float(np.float32(uf[u] @ itf[i])), i) for i in itf if i not in seen[u]))
+        expect_top = [i for _, i in scores[:k]]
+        got_items = [b for _, b in sorted(recs)]
+        assert not set(got_items) & seen[u]
+        assert len(got_items) == k
+        assert set(got_items) == set(expect_top) or abs(scores[k - 1][0] - scores[k][0]) < 1e-4
