@@ -32,7 +32,7 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8, app: st
 
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared checkpoint folder: the cluster's ``spark.checkpoint.dir`` if set,
-    else a fresh local folder (tests only).  Also registers it with the
+    else — in local mode only (tests, bench) — a fresh local folder.  Also registers it with the
     SparkContext so ``DataFrame.checkpoint`` and ALS ``checkpointInterval`` work."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -40,7 +40,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return current
     conf = sc.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
     if not conf:
-        # Unset: only the case in local tests / bench runs.
+        if not sc.master.startswith("local"):
+            # A machine-local folder is not shared by executors and dies with them.
+            raise RuntimeError("set spark.checkpoint.dir to a shared (distributed) folder")
         conf = tempfile.mkdtemp(prefix="affinity-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(conf)
     return sc.getCheckpointDir() or conf
