@@ -40,14 +40,13 @@ def best_ranks(recs: DataFrame, holdout: DataFrame, keys: tuple[str, ...] = ())
         return (joined.groupBy(*keys, "user_id")
                 .agg(F.count(F.lit(1)).alias("n_holdout"), F.count("rank").alias("n_hits"),
                      F.min("rank").alias("best_rank")))
-    hits = (recs.select(*keys, "user_id", F.col("book_id").cast("int").alias("book_id"), "rank")
-            .join(hold, [*keys, "user_id", "book_id"])
+    # Per-user lists hold each item once: one left join of the holdout to the
+    # lists on (user, item), then one aggregate (users without hits stay, 0).
+    ranked = recs.select(*keys, "user_id", F.col("book_id").cast("int").alias("book_id"), "rank")
+    return (hold.join(ranked, [*keys, "user_id", "book_id"], "left")
             .groupBy(*keys, "user_id")
-            .agg(F.count(F.lit(1)).alias("n_hits"), F.min("rank").alias("best_rank")))
-    labels = hold.groupBy(*keys, "user_id").agg(F.count(F.lit(1)).alias("n_holdout"))
-    return (labels.join(hits, [*keys, "user_id"], "left")
-            .select(*keys, "user_id", "n_holdout",
-                    F.coalesce(F.col("n_hits"), F.lit(0)).cast("bigint").alias("n_hits"), "best_rank"))
+            .agg(F.count(F.lit(1)).alias("n_holdout"), F.count("rank").alias("n_hits"),
+                 F.min("rank").alias("best_rank")))
 
 
 def evaluate_users(recs: DataFrame, holdout: DataFrame, keys: tuple[str, ...] = ()) -> DataFrame:
