@@ -97,14 +97,21 @@ def size_band(n_col, min_similarity: float):
     count ratio is at least s lie in the same or adjacent bands (J <= min/max,
     so other pairs can never reach similarity s).  The width is widened by
     1e-9 relative so float rounding cannot split a feasible pair."""
-    if min_similarity <= 0.0:
+    width = band_width(min_similarity)
+    if width is None:
         return F.lit(0).cast("bigint")
-    width = math.log(1.0 / min_similarity) * (1.0 + 1e-9)
     if width <= 0.0:  # s = 1: every feasible pair has equal counts
         return n_col.cast("bigint")
     return F.floor(F.log(n_col.cast("double")) / F.lit(width)).cast("bigint")
 
 
+def band_width(min_similarity: float) -> float | None:
+    """ln(1/s), widened by 1e-9 relative; None when there is no size bound."""
+    if min_similarity <= 0.0:
+        return None
+    return math.log(1.0 / min_similarity) * (1.0 + 1e-9)
+
+
 def banded_candidates(signatures: DataFrame, counts: DataFrame, max_distance: float) -> DataFrame:
     """Candidate pairs (a < b) sharing a signature *and* a reader-count band
     (or adjacent bands).  Exact for the verified result: the pairs dropped

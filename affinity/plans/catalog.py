@@ -306,8 +306,11 @@ def q_minhash_signatures(spark, sf):
 
 
 def q_lsh_candidates(spark, sf):
-    qp, _ = _qualified(spark, sf)
-    return SEG.lsh_candidates(SEG.minhash_signatures(qp, CFG.num_hash_tables, CFG.minhash_seed))
+    """Candidate pairs the verifier sees: a shared signature and reader counts
+    close enough to reach the threshold (same or adjacent size band)."""
+    qp, counts = _qualified(spark, sf)
+    sig = SEG.minhash_signatures(qp, CFG.num_hash_tables, CFG.minhash_seed)
+    return SEG.banded_candidates(sig, counts, CFG.jaccard_distance)
 
 
 def q_lsh_pairs(spark, sf):

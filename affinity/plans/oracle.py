@@ -366,7 +366,13 @@ FROM (SELECT qp.book_id, qp.user_id,
       FROM qp JOIN qi ON qp.book_id = qi.book_id)
 GROUP BY book_id, chunk"""
     q["minhash_signatures"] = _with(*G[:5]) + "SELECT book_id, hash_table, signature FROM sig"
-    q["lsh_candidates"] = _with(*G[:6]) + "SELECT book_id_1, book_id_2 FROM cand"
+    from affinity.operators.segments import band_width
+    width = band_width(1.0 - cfg.jaccard_distance)
+    band = f"CAST(floor(ln(qi.n_readers) / {width!r}::DOUBLE) AS BIGINT)" if width else "CAST(0 AS BIGINT)"
+    q["lsh_candidates"] = _with(*G[:5], f"""bsig AS (SELECT sig.book_id, sig.hash_table, sig.signature, {band} AS band
+          FROM sig JOIN qi ON qi.book_id = sig.book_id)""") + """SELECT DISTINCT a.book_id AS book_id_1, b.book_id AS book_id_2
+FROM bsig a JOIN bsig b ON a.hash_table = b.hash_table AND a.signature = b.signature
+ AND abs(a.band - b.band) <= 1 AND a.book_id < b.book_id"""
     q["lsh_pairs"] = _with(*G[:8]) + "SELECT book_id_1, book_id_2, jaccard_similarity FROM lsh"
     q["lsh_reduction"] = _with(*G[:8]) + """SELECT n_items, n_pairs, CAST(n_items * (n_items - 1) // 2 AS BIGINT) AS all_pairs,
        round(n_pairs::DOUBLE / NULLIF(n_items * (n_items - 1) // 2, 0), 9) AS pair_ratio,
