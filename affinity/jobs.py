@@ -48,7 +48,7 @@ def preprocess(spark: SparkSession, interactions_csv: str, base: str, cfg: Confi
     return summary
 
 
-def analyze(spark: SparkSession, base: str) -> dict[str, DataFrame]:
+def analyze(spark: SparkSession, base: str, cfg: Config = PUBLISHED) -> dict[str, DataFrame]:
     """Profiles and checks of the split table, one small CSV each."""
     p = splits(spark, base)
     train = prep.train_of(p)
@@ -60,8 +60,8 @@ def analyze(spark: SparkSession, base: str) -> dict[str, DataFrame]:
         "signal_coverage": PR.tagged_coverage({"train": train}),
         "rating_histogram": PR.rating_histogram(train),
         "signal_breakdown": PR.signal_breakdown({"train": train}),
-        "history_size_check": PR.size_check(p, "history", 10),
-        "holdout_size_check": PR.size_check(p, "holdout", 20),
+        "history_size_check": PR.size_check(p, "history", cfg.history_size),
+        "holdout_size_check": PR.size_check(p, "holdout", cfg.holdout_size),
         "explicit_readiness": PR.readiness(p, F.col("rating") > 0),
         "implicit_readiness": PR.readiness(p, F.col("is_read") == 1),
         "dataset_summary": PR.dataset_summary(p),
