@@ -1,7 +1,6 @@
 import random
 from itertools import combinations
 
-import pytest
 
 from affinity.operators import segments as SEG
 
