@@ -1,4 +1,3 @@
-
 import pytest
 
 import __spark_entry__ as E

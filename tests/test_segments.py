@@ -1,7 +1,6 @@
 import random
 from itertools import combinations
 
-
 from affinity.operators import segments as SEG
 
 
