@@ -159,8 +159,11 @@ def readiness(prepared: DataFrame, rule, extra: dict | None = None) -> DataFrame
     rows = F.explode(F.array(*[F.struct(F.lit(n).alias("table"), F.coalesce(F.col(f"r{i}"), F.lit(0)).alias("n_rows"),
                                         F.col(f"u{i}").alias("n_users")) for i, n in enumerate(names)]))
     out = agg.select(rows.alias("x")).select("x.table", "x.n_rows", "x.n_users")
-    # tables with no kept row do not appear (as in a GROUP BY)
-    return out.where(F.col("n_rows") > 0).withColumn("ready", F.col("n_rows") > 0)
+    # A study table with no kept row does not appear (as in a GROUP BY);
+    # fit sets and extra counts are always reported.
+    study_tables = ["train", "tuning_history", "tuning_holdout", "test_history", "test_holdout"]
+    keep = (F.col("n_rows") > 0) | ~F.col("table").isin(*study_tables)
+    return out.where(keep).withColumn("ready", F.col("n_rows") > 0)
 
 
 def activity_summary(interactions: DataFrame, active: DataFrame, sampled: DataFrame) -> DataFrame:

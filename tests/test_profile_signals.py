@@ -93,3 +93,12 @@ def test_split_profiles(spark):
     assert summ["total_rows"] == p.count()
     assert summ["tuning_holdout_rows"] == 20 * summ["tuning_users"]
     p.unpersist()
+
+
+def test_readiness_reports_empty_fit_sets(spark):
+    from affinity.config import Config
+    from affinity.operators import prep
+    from test_prep import _random_rows
+    p = prep.prepare(interactions_df(spark, _random_rows(60, 8)), Config(min_interactions=40, sample_fraction=1.0))
+    rows = {r.table: r for r in PR.readiness(p, F.col("rating") > 99).collect()}  # nothing kept
+    assert set(rows) == {"fit_tuning", "fit_test"} and all(r.n_rows == 0 and not r.ready for r in rows.values())
