@@ -172,7 +172,8 @@ def activity_summary(interactions: DataFrame, active: DataFrame, sampled: DataFr
     for stage, df in (("raw", interactions), ("active", active), ("sampled", sampled)):
         part = (df.agg(F.count(F.lit(1)).alias("n_rows"), F.countDistinct("user_id").alias("n_users"))
                 .select(F.lit(stage).alias("stage"), "n_rows", "n_users",
-                        F.floor(F.col("n_rows") / F.col("n_users")).cast("bigint").alias("avg_per_user")))
+                        F.floor(F.col("n_rows") / F.nullif(F.col("n_users"), F.lit(0))).cast("bigint")
+                        .alias("avg_per_user")))
         out = part if out is None else out.unionByName(part)
     return out
 

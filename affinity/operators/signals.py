@@ -47,7 +47,8 @@ def model_coverage(train: DataFrame) -> DataFrame:
     rows = F.explode(F.array(*[F.struct(F.lit(m).alias("model"), F.col(m).alias("n_rows")) for m in
                                ("explicit", "implicit", "combined")]))
     return (agg.select("_tot", rows.alias("r"))
-            .select("r.model", "r.n_rows", r6(F.lit(100.0) * F.col("r.n_rows") / F.col("_tot")).alias("pct")))
+            .select("r.model", "r.n_rows",
+                    r6(F.lit(100.0) * F.col("r.n_rows") / F.nullif(F.col("_tot"), F.lit(0))).alias("pct")))
 
 
 def initial_rating_weight(train: DataFrame, alpha: float) -> DataFrame:

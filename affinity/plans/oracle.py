@@ -200,7 +200,7 @@ def oracle_sql(cfg: Config = FIXTURE) -> dict[str, str]:
     q["user_sample"] = _with(fx_cte(), A, S) + "SELECT * FROM sampled"
     q["activity_summary"] = _with(fx_cte(), A, S) + " UNION ALL ".join(
         f"SELECT '{n}' AS stage, count(*) AS n_rows, count(DISTINCT user_id) AS n_users, "
-        f"CAST(count(*) // count(DISTINCT user_id) AS BIGINT) AS avg_per_user FROM {t}"
+        f"CAST(count(*) // NULLIF(count(DISTINCT user_id), 0) AS BIGINT) AS avg_per_user FROM {t}"
         for n, t in (("raw", "fx"), ("active", "active"), ("sampled", "sampled")))
     q["user_split"] = _with(P) + "SELECT DISTINCT user_id, split FROM prepared"
     q["holdout_roles"] = _with(P) + "SELECT * FROM prepared"
