@@ -64,3 +64,25 @@ def persisted(df):
         yield cached
     finally:
         cached.unpersist()
+
+
+def scale_conf(input_bytes: int, total_cores: int, target_partition_bytes: int = 256 << 20) -> dict[str, str]:
+    """Spark settings for a run over ``input_bytes`` on ``total_cores`` task
+    slots: an initial shuffle-partition count large enough that no partition
+    exceeds ~``target_partition_bytes`` before AQE coalesces (at least 3 waves
+    of tasks), 128 MB file splits, and AQE skew splitting for hot keys.
+    Apply at session build time (``SparkSession.builder.config(map=...)``)."""
+    by_size = -(-input_bytes // target_partition_bytes)
+    partitions = max(3 * total_cores, by_size)
+    return {
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(partitions),
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes // 2),
+        "spark.sql.files.maxPartitionBytes": str(128 << 20),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    }

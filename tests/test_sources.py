@@ -46,3 +46,11 @@ def test_materialize_cuts_lineage(spark):
     assert m.count() == 100
     n = materialize(spark, df, "mat-test")
     assert sorted(r.x for r in n.collect())[:3] == [0, 2, 4]
+
+
+def test_scale_conf():
+    from affinity.session import scale_conf
+    c = scale_conf(100 * (1 << 40), 8000)  # 100 TB on 8,000 cores
+    assert int(c["spark.sql.shuffle.partitions"]) == 409600  # 256 MB per partition before coalescing
+    small = scale_conf(1 << 30, 8)
+    assert int(small["spark.sql.shuffle.partitions"]) == 24  # at least 3 waves
