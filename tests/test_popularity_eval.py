@@ -95,3 +95,27 @@ def test_metrics_long_typed(spark):
                               "n_item_hits long, user_hit_rate double, item_hit_rate double")
     m = {r.metric: r.value for r in E.metrics_long(s).collect()}
     assert m["test_map"] == 0.1 and m["test_n_users"] == 5.0 and len(m) == 7
+
+
+from hypothesis import HealthCheck, given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.dictionaries(st.integers(0, 9), st.lists(st.integers(0, 30), min_size=1, max_size=12, unique=True),
+                       min_size=1, max_size=6),
+       st.lists(st.tuples(st.integers(0, 11), st.integers(0, 30)), min_size=1, max_size=40, unique=True))
+def test_evaluator_matches_bruteforce(spark, lists, holdout):
+    recs = spark.createDataFrame([(u, r + 1, b) for u, items in lists.items() for r, b in enumerate(items)] or
+                                 [(99, 1, 99)], "user_id int, rank int, book_id int")
+    hold = spark.createDataFrame(holdout, "user_id int, book_id int")
+    got = {r.user_id: r for r in E.evaluate_users(recs, hold).collect()}
+    users = {u for u, _ in holdout}
+    assert set(got) == users
+    for u in users:
+        items = [b for uu, b in holdout if uu == u]
+        ranks = [lists[u].index(b) + 1 for b in items if b in lists.get(u, [])]
+        best = min(ranks) if ranks else None
+        assert got[u].n_holdout == len(items) and got[u].n_hits == len(ranks) and got[u].best_rank == best
+        assert got[u].ap == pytest.approx(1 / best if best else 0.0)
+        assert got[u].ndcg == pytest.approx(1 / math.log2(best + 1) if best else 0.0)
