@@ -122,10 +122,15 @@ def evaluate_model(model: ALSModel, holdout: DataFrame, k: int, seen: DataFrame
     return E.evaluate(recs, holdout)
 
 
+def fit_matrix(prepared: DataFrame, kind: str, split: str, alpha: float, beta: float, w: float) -> DataFrame:
+    """Training matrix of the model for ``split``: train + that split's history."""
+    return matrix(prep.fit_rows(prepared, split), kind, alpha, beta, w)
+
+
 def run_split(spark, prepared: DataFrame, kind: str, split: str, cfg: Config, rank: int | None = None,
               reg: float | None = None, max_iter: int | None = None, alpha: float | None = None,
               beta: float | None = None, w: float | None = None, with_rmse: bool | None = None,
-              exclude_seen: bool = False):
+              exclude_seen: bool = False, fit_df: DataFrame | None = None):
     """Fit on train + ``split`` history and evaluate on ``split`` holdout.
     Returns ``(model, summary DataFrame)``; the summary is one row."""
     rank = rank or cfg.als_rank
@@ -134,18 +139,21 @@ def run_split(spark, prepared: DataFrame, kind: str, split: str, cfg: Config, ra
     alpha = cfg.alpha if alpha is None else alpha
     beta = cfg.beta if beta is None else beta
     w = cfg.rating_weight if w is None else w
-    with persisted(matrix(prep.fit_rows(prepared, split), kind, alpha, beta, w)) as fit_df:
-        model = fit(spark, fit_df, kind, rank, reg, max_iter, cfg.als_seed, cfg.checkpoint_interval)
-        holdout = prep.holdout_of(prepared, split).where(holdout_rule(kind))
-        seen = prep.fit_rows(prepared, split) if exclude_seen else None
-        summary = evaluate_model(model, holdout, cfg.top_k, seen).select(F.lit(split).alias("split"), "*")
-        row = {"kind": kind, "rank": rank, "reg": float(reg), "max_iter": max_iter,
-               "alpha": None if kind == "explicit" else float(alpha),
-               "beta": None if kind == "explicit" else float(beta),
-               "rating_weight": float(w) if kind == "combined" else None}
-        row.update(summary.collect()[0].asDict())  # one metric row
-        if with_rmse if with_rmse is not None else kind == "explicit":
-            row["rmse"] = rmse(model, holdout).select(r6(F.col("rmse")).alias("rmse")).collect()[0]["rmse"]
+    if fit_df is None:  # build and cache this point's matrix for the fit's many passes
+        with persisted(fit_matrix(prepared, kind, split, alpha, beta, w)) as cached:
+            return run_split(spark, prepared, kind, split, cfg, rank, reg, max_iter, alpha, beta, w,
+                             with_rmse, exclude_seen, cached)
+    model = fit(spark, fit_df, kind, rank, reg, max_iter, cfg.als_seed, cfg.checkpoint_interval)
+    holdout = prep.holdout_of(prepared, split).where(holdout_rule(kind))
+    seen = prep.fit_rows(prepared, split) if exclude_seen else None
+    summary = evaluate_model(model, holdout, cfg.top_k, seen).select(F.lit(split).alias("split"), "*")
+    row = {"kind": kind, "rank": rank, "reg": float(reg), "max_iter": max_iter,
+           "alpha": None if kind == "explicit" else float(alpha),
+           "beta": None if kind == "explicit" else float(beta),
+           "rating_weight": float(w) if kind == "combined" else None}
+    row.update(summary.collect()[0].asDict())  # one metric row
+    if with_rmse if with_rmse is not None else kind == "explicit":
+        row["rmse"] = rmse(model, holdout).select(r6(F.col("rmse")).alias("rmse")).collect()[0]["rmse"]
     return model, [Row(**row)]
 
 
