@@ -147,8 +147,10 @@ def prepare_table(interactions: DataFrame, cfg: Config, path: str | None = None)
     from affinity.sources.sinks import write_splits
     spark = interactions.sparkSession
     path = path or scratch_path(spark, f"prepared-{uuid.uuid4().hex}")
-    write_splits(prepare(interactions, cfg, materialize=True), path)
-    return spark.read.parquet(path).select(*INTERACTION_COLS, "split", "role")
+    prepared = prepare(interactions, cfg, materialize=True)
+    write_splits(prepared, path)
+    # known schema (partition columns last): no footer inference on read-back
+    return spark.read.schema(prepared.schema).parquet(path).select(*INTERACTION_COLS, "split", "role")
 
 
 def split_users(prepared: DataFrame) -> DataFrame:

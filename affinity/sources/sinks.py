@@ -40,4 +40,4 @@ def materialize(spark: SparkSession, df: DataFrame, name: str | None = None) ->
         return df.checkpoint(eager=True)
     path = base.rstrip("/") + "/" + name
     write_parquet(df, path)
-    return spark.read.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)  # known schema: no footer inference

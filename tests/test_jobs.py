@@ -21,6 +21,7 @@ def test_jobs_end_to_end(spark, tmp_path):
                  als_rank=4, als_iter=3, als_tune_iter=2, combined_grid={"rating_weight": [1.0, 5.0]})
     summary = {r.metric: r.value for r in jobs.preprocess(spark, str(csv), base, cfg).collect()}
     assert summary["total_users"] == 90 and summary["tuning_holdout_rows"] == 20 * summary["tuning_users"]
+    jobs.main(["analyze", "--base", base])  # CLI path (published sizes; checks just run)
     out = jobs.analyze(spark, base, cfg)
     assert all(r.all_expected for r in out["holdout_size_check"].collect())
     m = {r.metric: r.value for r in jobs.popularity(spark, base, cfg).collect()}
