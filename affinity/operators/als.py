@@ -122,15 +122,16 @@ def evaluate_model(model: ALSModel, holdout: DataFrame, k: int, seen: DataFrame
     return E.evaluate(recs, holdout)
 
 
-def fit_matrix(prepared: DataFrame, kind: str, split: str, alpha: float, beta: float, w: float) -> DataFrame:
+def fit_matrix(prepared: DataFrame, kind: str, split: str, alpha: float, beta: float, w: float,
+               confidence_offset: float = 0.0) -> DataFrame:
     """Training matrix of the model for ``split``: train + that split's history."""
-    return matrix(prep.fit_rows(prepared, split), kind, alpha, beta, w)
+    return matrix(prep.fit_rows(prepared, split), kind, alpha, beta, w, confidence_offset)
 
 
 def run_split(spark, prepared: DataFrame, kind: str, split: str, cfg: Config, rank: int | None = None,
               reg: float | None = None, max_iter: int | None = None, alpha: float | None = None,
               beta: float | None = None, w: float | None = None, with_rmse: bool | None = None,
-              exclude_seen: bool = False, fit_df: DataFrame | None = None):
+              exclude_seen: bool = False, fit_df: DataFrame | None = None, confidence_offset: float = 0.0):
     """Fit on train + ``split`` history and evaluate on ``split`` holdout.
     Returns ``(model, summary DataFrame)``; the summary is one row."""
     rank = rank or cfg.als_rank
@@ -140,9 +141,9 @@ def run_split(spark, prepared: DataFrame, kind: str, split: str, cfg: Config, ra
     beta = cfg.beta if beta is None else beta
     w = cfg.rating_weight if w is None else w
     if fit_df is None:  # build and cache this point's matrix for the fit's many passes
-        with persisted(fit_matrix(prepared, kind, split, alpha, beta, w)) as cached:
+        with persisted(fit_matrix(prepared, kind, split, alpha, beta, w, confidence_offset)) as cached:
             return run_split(spark, prepared, kind, split, cfg, rank, reg, max_iter, alpha, beta, w,
-                             with_rmse, exclude_seen, cached)
+                             with_rmse, exclude_seen, cached, confidence_offset)
     model = fit(spark, fit_df, kind, rank, reg, max_iter, cfg.als_seed, cfg.checkpoint_interval)
     holdout = prep.holdout_of(prepared, split).where(holdout_rule(kind))
     seen = prep.fit_rows(prepared, split) if exclude_seen else None

@@ -372,6 +372,16 @@ def q_als_combined_eval(spark, sf):
     return als.two_model_protocol(spark, _prepared(spark, sf), "combined", CFG)
 
 
+def q_als_implicit_eval_unseen(spark, sf):
+    """Quirk option Q10: lists without already-seen items (exact)."""
+    return als.two_model_protocol(spark, _prepared(spark, sf), "implicit", CFG, exclude_seen=True)
+
+
+def q_als_combined_eval_offset(spark, sf):
+    """Quirk option Q9: MLlib receives c - 1 so the fitted weight is exactly c."""
+    return als.two_model_protocol(spark, _prepared(spark, sf), "combined", CFG, confidence_offset=-1.0)
+
+
 def q_als_explicit_tune(spark, sf):
     return T.explicit_grid(spark, _prepared(spark, sf), CFG)
 
