@@ -56,3 +56,15 @@ def test_hot_user_sends_few_rows_to_role_window(spark):
     per = {r.user_id: r["count"] for r in cand.groupBy("user_id").count().collect()}
     assert cfg.reserved <= per[1] <= 8 * cfg.reserved  # not 50,000
     assert per[2] == 40
+
+
+def test_role_window_only_sees_candidates(spark):
+    from affinity.sources import fx_interactions
+    cfg = Config(min_interactions=1, sample_fraction=1.0)
+    df = prep.prepare(fx_interactions(spark, SF001), cfg, materialize=True)
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    window_part = plan[plan.index("row_number()"):]
+    # the per-user row_number window is fed by the candidate join (level >= cut), not by all rows
+    assert "(_lvl#" in window_part and ">= _cut#" in window_part
+    assert plan.count("row_number()") == 1
