@@ -120,13 +120,15 @@ def banded_candidates(signatures: DataFrame, counts: DataFrame, max_distance: fl
     hopeless pairs; AQE still splits a hot (table, signature, band) key."""
     banded = signatures.join(counts.select("book_id", "n_readers"), "book_id").withColumn(
         "band", size_band(F.col("n_readers"), 1.0 - max_distance))
-    a = banded.select("hash_table", "signature", "band", F.col("book_id").alias("book_id_1"))
+    a = banded.select("hash_table", "signature", "band", F.col("book_id").alias("book_id_1"),
+                      F.col("n_readers").alias("n1"))
     b = banded.select("hash_table", "signature",
                       F.explode(F.array(F.col("band") - 1, F.col("band"), F.col("band") + 1)).alias("band"),
-                      F.col("book_id").alias("book_id_2"))
+                      F.col("book_id").alias("book_id_2"), F.col("n_readers").alias("n2"))
+    # reader counts ride along (functionally dependent on the ids) for the verifier
     return (a.join(b, ["hash_table", "signature", "band"])
             .where(F.col("book_id_1") < F.col("book_id_2"))
-            .select("book_id_1", "book_id_2").distinct())
+            .select("book_id_1", "book_id_2", "n1", "n2").distinct())
 
 
 def verify_pairs(candidates: DataFrame, pairs: DataFrame, counts: DataFrame, max_distance: float) -> DataFrame:
@@ -136,10 +138,11 @@ def verify_pairs(candidates: DataFrame, pairs: DataFrame, counts: DataFrame, max
     (J <= min/max).  Co-reader counts: the smaller reader set of each pair is
     joined to the reader pairs and probed against the other item."""
     min_sim = 1.0 - max_distance
-    c1 = counts.select(F.col("book_id").alias("book_id_1"), F.col("n_readers").alias("n1"))
-    c2 = counts.select(F.col("book_id").alias("book_id_2"), F.col("n_readers").alias("n2"))
-    sized = (candidates.join(c1, "book_id_1").join(c2, "book_id_2")
-             .where(F.least("n1", "n2") / F.greatest("n1", "n2") >= F.lit(min_sim - 1e-9)))
+    if not {"n1", "n2"} <= set(candidates.columns):
+        c1 = counts.select(F.col("book_id").alias("book_id_1"), F.col("n_readers").alias("n1"))
+        c2 = counts.select(F.col("book_id").alias("book_id_2"), F.col("n_readers").alias("n2"))
+        candidates = candidates.select("book_id_1", "book_id_2").join(c1, "book_id_1").join(c2, "book_id_2")
+    sized = candidates.where(F.least("n1", "n2") / F.greatest("n1", "n2") >= F.lit(min_sim - 1e-9))
     small_first = F.col("n1") <= F.col("n2")
     oriented = sized.select(
         "book_id_1", "book_id_2", "n1", "n2",

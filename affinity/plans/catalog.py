@@ -310,7 +310,7 @@ def q_lsh_candidates(spark, sf):
     close enough to reach the threshold (same or adjacent size band)."""
     qp, counts = _qualified(spark, sf)
     sig = SEG.minhash_signatures(qp, CFG.num_hash_tables, CFG.minhash_seed)
-    return SEG.banded_candidates(sig, counts, CFG.jaccard_distance)
+    return SEG.banded_candidates(sig, counts, CFG.jaccard_distance).select("book_id_1", "book_id_2")
 
 
 def q_lsh_pairs(spark, sf):

@@ -123,6 +123,8 @@ def test_banded_candidates_keep_every_feasible_pair(spark):
     for dist in (0.5, 0.8):
         allc = {(r.book_id_1, r.book_id_2) for r in SEG.lsh_candidates(sig).collect()}
         band = {(r.book_id_1, r.book_id_2) for r in SEG.banded_candidates(sig, counts, dist).collect()}
+        assert all(r.n1 == len(sets[r.book_id_1]) and r.n2 == len(sets[r.book_id_2])
+                   for r in SEG.banded_candidates(sig, counts, dist).collect())
         feasible = {(a, b) for a, b in allc
                     if min(len(sets[a]), len(sets[b])) / max(len(sets[a]), len(sets[b])) >= 1 - dist}
         assert feasible <= band <= allc
