@@ -129,6 +129,10 @@ def main(argv=None) -> None:
     ap.add_argument("--item-map", help="item-id map CSV (segments)")
     ap.add_argument("--kind", choices=list(als.KINDS), help="ALS model kind")
     args = ap.parse_args(argv)
+    if args.job == "preprocess" and not args.input:
+        ap.error("preprocess needs --input")
+    if args.job in ("als_tune", "als_final") and not args.kind:
+        ap.error(f"{args.job} needs --kind")
     spark = SparkSession.builder.appName(f"affinity-{args.job}").getOrCreate()
     if args.job == "preprocess":
         preprocess(spark, args.input, args.base)
