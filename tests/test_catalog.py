@@ -28,3 +28,12 @@ def test_oracle_sf0001(spark, name):
     con = duck(SF001)
     r = compare(spark, con, SF001, name, E.queries()[name], E.oracle_sql()[name])
     assert r["status"] == "ok", r
+
+
+def test_every_oracle_sql_runs_and_names_match_spark(spark):
+    con = duck(SF001)
+    qs = E.queries()
+    for name, sql in E.oracle_sql().items():
+        cols = [d[0] for d in con.sql(sql).description]
+        spark_cols = qs[name](spark, SF001).columns
+        assert sorted(cols) == sorted(spark_cols), (name, cols, spark_cols)
