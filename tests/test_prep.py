@@ -148,3 +148,18 @@ def test_prepare_table_roundtrip(spark):
     lazy = {tuple(r) for r in prep.prepare(df, cfg).collect()}
     stored = {tuple(r) for r in prep.prepare_table(df, cfg).collect()}
     assert lazy == stored
+
+
+def test_prepare_independent_of_partitioning(spark):
+    cfg = Config(min_interactions=40, sample_fraction=0.7)
+    rows = _random_rows(120, 21)
+    results = []
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        for parts in ("3", "11"):
+            spark.conf.set("spark.sql.shuffle.partitions", parts)
+            df = interactions_df(spark, rows).repartition(int(parts))
+            results.append({tuple(r) for r in prep.prepare(df, cfg).collect()})
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+    assert results[0] == results[1] and results[0]
