@@ -8,7 +8,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-MODULES = ["quality"]
+MODULES = ["quality", "decontaminate"]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
