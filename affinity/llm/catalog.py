@@ -8,7 +8,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-MODULES = ["quality", "decontaminate", "secrets"]
+MODULES = ["quality", "decontaminate", "secrets", "sentencepiece_bpe"]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
