@@ -38,8 +38,8 @@ from affinity.llm.rows import map_texts
 from affinity.session import scratch_path
 
 MASK = 0xA282EAD8
-#: Chunks of text that a worker remembers between batches.
-REMEMBERED = 600_000
+#: Chunks of text that a worker remembers between batches, in each of two generations.
+REMEMBERED = 500_000
 
 
 def masked(data: bytes) -> bytes:
@@ -80,42 +80,65 @@ def read_record(file) -> bytes:
 class Encoder:
     """The tokenizers library over distinct chunks of text.
 
-    The vocabulary drops white space between words and none of its rules spans
-    a blank or a line end, so a text's ids are those of its chunks in order.
-    New chunks are encoded in one text with a special token between them."""
+    The vocabulary drops white space between words, folds case, and none of its
+    rules spans a blank, a line end, or the point between a letter and a last
+    run of one full stop or comma.  So a text's ids are those of its chunks in
+    order, and a chunk's those of its ASCII-folded body and its last mark.  New
+    bodies are encoded in one text with a special token between them.  Chunks
+    that could hold a special token are encoded as they are."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.library = Tokenizer.from_file(path)
-        self.special = {t.content: i for i, t in self.library.get_added_tokens_decoder().items()}
-        self.mark, self.mark_id = max(self.special.items(), key=lambda x: x[1])
-        self.known: dict[str, bytes] = {"": b""}
+        self.mark_id, self.mark = max((i, t.content) for i, t in self.library.get_added_tokens_decoder().items())
+        self.known: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+        self.marks = {m: self.alone(m) for m in ".,"}
+
+    def alone(self, chunk: str) -> bytes:
+        return np.array(self.library.encode(chunk, add_special_tokens=False).ids, "<u4").tobytes()
 
     def encode(self, texts: list[str]) -> list[bytes]:
         cut = [t.replace("\n", " ").split(" ") for t in texts]
         if len(self.known) > REMEMBERED:
-            self.known = {"": b""}
-        known = self.known
-        new = list({c for x in cut for c in x if c not in known})
-        odd = [c for c in new if "<|" in c]
-        plain = [c for c in new if "<|" not in c] if odd else new
-        step = 2000
-        groups = [plain[i:i + step] for i in range(0, len(plain), step)]
-        for group, e in zip(groups, self.library.encode_batch([self.mark.join(g) for g in groups], add_special_tokens=False)):
+            self.known, self.old = {}, self.known
+        known, old = self.known, self.old
+        new = set().union(*cut).difference(known)
+        for c in new.intersection(old):
+            known[c] = old[c]
+        bodies: dict[str, bytes] = {}
+        derived = []
+        for c in new.difference(old):
+            if "<|" in c:
+                known[c] = self.alone(c)
+                continue
+            mark = c[-1:]
+            if mark not in self.marks or not (c[-2:-1].isascii() and c[-2:-1].isalpha()):
+                mark = ""
+            body = c[:-1] if mark else c
+            body = body.lower() if body.isascii() else body.translate(_FOLD)
+            derived.append((c, body, mark))
+            bodies[body] = known.get(body) or old.get(body)
+        self.add([b for b, ids in bodies.items() if ids is None], bodies)
+        for c, body, mark in derived:
+            known[c] = bodies[body] + self.marks[mark] if mark else bodies[body]
+        return [b"".join(map(known.__getitem__, x)) for x in cut]
+
+    def add(self, chunks: list[str], to: dict[str, bytes], step: int = 2000) -> None:
+        groups = [chunks[i:i + step] for i in range(0, len(chunks), step)]
+        for group, e in zip(groups, self.library.encode_batch_fast([self.mark.join(g) for g in groups], add_special_tokens=False)):
             ids = np.array(e.ids, "<u4")
-            at = np.flatnonzero(ids == self.mark_id)
+            at = 4 * np.flatnonzero(ids == self.mark_id)
             if len(at) != len(group) - 1:
                 raise ValueError("chunks and ids don't match")
             data = ids.tobytes()
-            for c, a, b in zip(group, [0, *(4 * (at + 1)).tolist()], [*(4 * at).tolist(), len(data)]):
-                known[c] = data[a:b]
-        for c in odd:
-            known[c] = np.array(self.library.encode(c, add_special_tokens=False).ids, "<u4").tobytes()
-        return [b"".join(map(known.__getitem__, x)) for x in cut]
+            for c, a, b in zip(group, [0, *(at + 4).tolist()], [*at.tolist(), len(data)]):
+                to[c] = data[a:b]
 
 
+_FOLD = {c: c + 32 for c in range(65, 91)}
 _LOADED: dict[str, Encoder] = {}
 
 
@@ -142,8 +165,8 @@ def _open(base: str):
     return fs.FileSystem.from_uri(base if "://" in base or base.startswith(("file:", "hdfs:")) else "file://" + os.path.abspath(base))
 
 
-def write_records(payloads: DataFrame, path: str, key: str = "doc_id", partitions: int | None = None) -> DataFrame:
-    """Write shards and index under ``path``; returns the index as read back.
+def write_records(payloads: DataFrame, keys: DataFrame, path: str, key: str = "doc_id", partitions: int | None = None) -> DataFrame:
+    """Write shards and index under ``path``; returns the index as read back.  ``keys``: a table with the same keys.
 
     ``path`` is a folder that driver and executors share.  Keys are dealt by
     range, so one shard is one task's memory at a time: a record, not a shard."""
@@ -183,7 +206,12 @@ def write_records(payloads: DataFrame, path: str, key: str = "doc_id", partition
         if out is not None:
             out.close()
 
-    dealt = payloads.repartitionByRange(n, F.col(key).asc_nulls_first()).sortWithinPartitions(F.col(key).asc_nulls_first(), "payload")
+    # Bounds from the keys alone: dealing by range would run the encoding once more to sample it.
+    bounds = keys.select(F.percentile_approx(key, [i / n for i in range(1, n)], 100 * n)).first()[0] if n > 1 else None
+    shard = F.lit(0)
+    if bounds:
+        shard = F.coalesce(F.size(F.filter(F.lit(sorted(set(bounds))), lambda b: b < F.col(key))), F.lit(0))
+    dealt = payloads.repartitionById(n, shard.cast("int")).sortWithinPartitions(F.col(key).asc_nulls_first(), "payload")
     rows = dealt.mapInArrow(run, schema)
     rows.write.mode("overwrite").parquet(f"{path}/written")
     written = spark.read.schema(schema).parquet(f"{path}/written")
@@ -233,7 +261,7 @@ QUERY = "op7_token_records"
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     path = scratch_path(spark, f"records-{uuid.uuid4().hex}")
-    index = write_records(encode_payloads(docs, tokenizer_path(), end_id=1), path)
+    index = write_records(encode_payloads(docs, tokenizer_path(), end_id=1), docs, path)
     back = read_records(index, path, ["doc_id", "start"])
     return back.select("doc_id", "start", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.crc32("ids").alias("ids_crc32"))
 
