@@ -29,8 +29,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from affinity.llm.rows import map_texts
 
 BLANK = "▁"
-#: Segments that a worker remembers between batches.
-REMEMBERED = 600_000
+#: Segments that a worker remembers between batches, in each of two generations.
+REMEMBERED = 400_000
+NO_PIECE = float("-inf")
 
 
 class Vocabulary:
@@ -54,11 +55,44 @@ class Vocabulary:
         alone = "".join(map(re.escape, self.alone))
         not_alone = f"[^{BLANK}{alone}]"
         self.segments = re.compile(f"{BLANK}+{not_alone}*|{not_alone}+" + (f"|[{alone}]" if alone else ""))
+        pairs = {p[i:i + 2] for p in self.ids for i in range(len(p) - 1)}
+        # Last marks that no piece joins to a letter before them: a segment's ids are those of its body and of the mark.
+        self.marks = {m: None for m in ".,;:!?" if not any(p[1] == m and p[0].isalpha() for p in pairs)}
+        self.marks = {m: np.array(self.agenda(m), "<u4").tobytes() for m in self.marks}
         self.known: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
 
     def agenda(self, segment: str) -> list[int]:
         """Ids of one segment by merging the best pair first."""
-        symbols = list(segment)
+        symbols = self.merged(list(segment)) if len(segment) > 40 else self.merged_short(list(segment))
+        out = []
+        for s in symbols:
+            found = self.ids.get(s)
+            if found is not None:
+                out.append(found)
+            else:
+                out += [self.bytes[b] for b in s.encode("utf-8")]
+        return out
+
+    def merged_short(self, symbols: list[str]) -> list[str]:
+        """The agenda as a list by place: its best entry, the leftmost of equals, is merged."""
+        score = self.scores.get
+        agenda = [score(a + b, NO_PIECE) for a, b in zip(symbols, symbols[1:])]
+        while agenda:
+            best = max(agenda)
+            if best == NO_PIECE:
+                break
+            i = agenda.index(best)
+            symbols[i] += symbols.pop(i + 1)
+            del agenda[i]
+            if i < len(agenda):
+                agenda[i] = score(symbols[i] + symbols[i + 1], NO_PIECE)
+            if i:
+                agenda[i - 1] = score(symbols[i - 1] + symbols[i], NO_PIECE)
+        return symbols
+
+    def merged(self, symbols: list[str]) -> list[str]:
+        """The agenda as a heap over linked symbols."""
         n = len(symbols)
         scores = self.scores
         left, right = list(range(-1, n - 1)), list(range(1, n + 1))
@@ -84,12 +118,7 @@ class Vocabulary:
                 s = scores.get(symbols[k] + piece)
                 if s is not None:
                     heapq.heappush(heap, (-s, k, i, symbols[k] + piece))
-        out = []
-        for s in symbols:
-            if s is not None:
-                found = self.ids.get(s)
-                out += [found] if found is not None else [self.bytes[b] for b in s.encode("utf-8")]
-        return out
+        return [s for s in symbols if s is not None]
 
     def agrees(self, segments: list[str]) -> bool:
         """Whether the library gives the same ids for the segments, one on each line of one text."""
@@ -105,14 +134,23 @@ class Vocabulary:
         """Little-endian 32-bit ids of each text (no begin or end), and whether the library agreed."""
         cut = [self.segments.findall(BLANK + t.replace(" ", BLANK)) if t else [] for t in texts]
         if len(self.known) > REMEMBERED:
-            self.known = {}
-        known = self.known
-        new = list({s for c in cut for s in c if s not in known})
+            self.known, self.old = {}, self.known
+        known, old = self.known, self.old
+        new = set().union(*cut).difference(known)
+        for x in [x for x in new if x in old]:
+            known[x] = old[x]
+        new = [x for x in new if x not in known]
+        bodies = {}
         for x in new:
-            known[x] = np.array(self.agenda(x), "<u4").tobytes()
+            mark = x[-1] if x[-1] in self.marks and x[-2:-1].isalpha() else ""
+            body = x[:-1] if mark else x
+            ids = known.get(body) or old.get(body) or bodies.get(body)
+            if ids is None:
+                ids = bodies[body] = np.array(self.agenda(body), "<u4").tobytes()
+            known[x] = ids + self.marks[mark] if mark else ids
         agreed = not new or self.agrees(new)
         if not agreed:
-            self.known = {}
+            self.known, self.old = {}, {}
             return [np.array(self.library.encode(t), "<u4").tobytes() for t in texts], False
         return [b"".join(map(known.__getitem__, c)) for c in cut], True
 
