@@ -18,13 +18,14 @@ then share one.  The order puts parts of many shingles first (empty ones
 last): their values are the rarest, so a passage that thousands of documents
 share makes no bucket by itself.
 
-*Join and verify.*  Equal sets collapse to a class first.  Within the bucket
-of a part value each class is paired with the bucket's least class only; the
-pair with most common buckets is verified on the whole texts.  What is then
-still in different components is paired within the buckets, in blocks, where
-the bit sketches' Hamming distance allows it, and verified from the nearest to
-the farthest, dropping pairs that meanwhile are connected.  No link between
-components is left unverified, and no group is expanded into all pairs.
+*Join and verify.*  Equal sets collapse to a class first.  In each of a few
+rounds every class is paired with one class of each of its buckets, another
+one every time; of those in another component whose bit sketches' Hamming
+distance allows it, the nearest is verified on the whole texts.  What is then
+still in different components is paired within the buckets, in blocks, under
+the same bound, and verified from the nearest to the farthest, leaving out
+pairs that meanwhile are connected.  No link between components is left
+unverified, and no group is expanded into all pairs.
 
 Set equality and intersections are by 64-bit hashes of shingles.
 
@@ -52,6 +53,8 @@ _SPACE = np.zeros(256, bool)
 _SPACE[[32, 9, 10, 11, 12, 13]] = True
 #: Rows of a bucket that one task compares with as many others.
 BLOCK = 2048
+#: Rounds that pair each class with one other of each bucket before the rest is paired in blocks.
+ROUNDS = 3
 
 
 def shingle_sets(texts: list[str], width: int) -> list[np.ndarray]:
@@ -132,8 +135,8 @@ def part_values(s: np.ndarray, band: int, m: int, prefix: int) -> np.ndarray:
 
 
 def bit_sketch(s: np.ndarray, band: int) -> np.ndarray:
-    """One-bit shingles XORed into as many bits as the band has sizes, 64 at least."""
-    bits = max(64, 2 << band)
+    """One-bit shingles XORed into four bits for each size of the band, 64 at least: few of them meet, so the bound is close."""
+    bits = max(64, 8 << band)
     at = (words.mix(s + U64(77)) >> U64(64 - (bits.bit_length() - 1))).astype(np.int64)
     odd = (np.bincount(at, minlength=bits) & 1).astype(np.uint8)
     return np.packbits(odd).view(">i8").astype(np.int64)
@@ -199,63 +202,93 @@ def _verify(pairs: DataFrame, docs: DataFrame, where: DataFrame, text: str, key:
 
 def jaccard_components(docs: DataFrame, text: str = "text", key: str = "doc_id", width: int = 5, num: int = 80,
                        den: int = 100) -> DataFrame:
-    """(key, n_shingles, component_id, n_links) of every row; n_links counts the verified links of its class."""
+    """(key, n_shingles, component_id, n_links) of every row; n_links counts the links of its
+    class that were verified (enough to connect, not all there are)."""
     spark = docs.sparkSession
     store, scheme = Store(spark, "jaccard"), Scheme(num, den)
     sketched = store.keep(_sketches(docs, text, key, width, scheme).withColumnRenamed(key, "key"), "sketched")
     names = sketched.where("class IS NOT NULL")
     where = names.groupBy("class").agg(F.min("key").alias("key"), F.min("n").alias("n"))
     rows = names.select("class", F.explode("values").alias("value"))
-    # Buckets with at least two classes, each row beside the least class.
+    # Buckets with at least two classes.
     buckets = rows.selectExpr("value", "class", "min(class) OVER (PARTITION BY value) AS least",
-                              "max(class) OVER (PARTITION BY value) AS most").where("least <> most").drop("most")
+                              "max(class) OVER (PARTITION BY value) AS most").where("least <> most").select("value", "class").distinct()
     buckets = store.keep(buckets, "buckets")
-    stars = buckets.where("class <> least").groupBy("class", "least").count()
-    best = stars.groupBy(F.col("class").alias("a")).agg(F.max(F.struct("count", "least"))["least"].alias("b"))
-    best = store.keep(best, "best")
-    links = store.keep(_verify(best, docs, where, text, key, width, scheme), "links")
-    labels = connected_components(links, store)
+    known = store.keep(names.where("sketches IS NOT NULL").groupBy("class").agg(F.first("sketches").alias("s")).join(
+        buckets.select("class").distinct(), "class", "left_semi").join(where.select("class", "n"), "class").select(
+        "class", "n", F.expr("""transform(s, x -> struct(x.band, x.bits, transform(sequence(0, 15),
+            k -> aggregate(filter(x.bits, (b, i) -> i % 16 = k), 0L, (p, q) -> p ^ q)) AS fold))""").alias("sketches")), "bits")
+    limit = F.expr(f"(x.n + y.n) * {den - num} div {den + num}")
+    apart = F.aggregate(F.zip_with("x.bits", "y.bits", lambda p, q: F.bit_count(p.bitwiseXOR(q))), F.lit(0), lambda s, c: s + c)
+    # The same bound from the sketch folded to 16 numbers, which are compared without a loop.
+    coarse = sum((F.bit_count(F.col(f"x.f{i}").bitwiseXOR(F.col(f"y.f{i}"))) for i in range(1, 16)),
+                 F.bit_count(F.col("x.f0").bitwiseXOR(F.col("y.f0"))))
+    mine = "filter(sketches, x -> x.band = cast(value & 63 as int))[0]"
+    links = labels = None
+    tried = []
 
-    # Pairs within buckets across components whose bit sketches are near enough.
     def with_label(d, node, name):
+        if labels is None:
+            return d.withColumn(name, F.col(node))
         own = labels.select(F.col("node").alias(node), F.col("label").alias(name))
         return d.join(own, node, "left").withColumn(name, F.coalesce(name, node))
 
-    open_rows = with_label(buckets.select("value", "class").distinct(), "class", "label")
-    wide = open_rows.groupBy("value").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count("*").alias("size")).where(
+    def verified(pairs):
+        nonlocal links, labels
+        tried.append(pairs)
+        if pairs.isEmpty():
+            return
+        more = store.keep(_verify(pairs, docs, where, text, key, width, scheme), "links")
+        if links is None or not more.isEmpty():
+            links = more if links is None else store.keep(links.union(more), "links")
+            labels = connected_components(links, store)
+
+    for turn in range(ROUNDS):
+        # Each class beside one of its bucket, another one every round; the nearest of another component is verified.
+        own = with_label(buckets, "class", "label")
+        lead = own.groupBy("value").agg(F.min_by("class", F.xxhash64("class", F.lit(turn))).alias("lead"),
+                                        F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("value", "lead")
+        stars = own.join(lead, "value").where("class <> lead").groupBy("class", "lead", "label").agg(F.min("value").alias("value"))
+        stars = with_label(stars, "lead", "other").where("label <> other").select("class", "lead", "value")
+        x = stars.join(known, "class").selectExpr("lead", f"struct(class, n, {mine}.bits AS bits) AS x", "value")
+        d = x.join(known.select(F.col("class").alias("lead"), F.col("n").alias("ln"), "sketches"), "lead").selectExpr(
+            "x", f"struct(lead AS class, ln AS n, {mine}.bits AS bits) AS y").where(apart <= limit)
+        best = d.select(F.col("x.class").alias("a"), F.col("y.class").alias("b"), (apart / (limit + 1)).alias("far")).groupBy("a").agg(
+            F.min(F.struct("far", "b"))["b"].alias("b"))
+        verified(store.keep(best.where("a <> b"), "best"))
+
+    # What is left within buckets across components, where the bit sketches are near enough.
+    own = with_label(buckets, "class", "label")
+    wide = own.groupBy("value").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count("*").alias("size")).where(
         "lo <> hi").select("value", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks"))
-    sketch = names.where("sketches IS NOT NULL").groupBy("class").agg(F.first("sketches").alias("sketches"), F.min("n").alias("n"))
-    member = open_rows.join(wide, "value").join(sketch, "class").selectExpr(
-        "value", "class", "label", "n", "blocks", "cast(pmod(xxhash64(class), blocks) as int) AS own",
-        "filter(sketches, x -> x.band = cast(value & 63 as int))[0].bits AS bits")
+    member = own.join(wide, "value").join(known, "class").selectExpr(
+        "value", "class", "label", "n", "blocks", "cast(pmod(xxhash64(class), blocks) as int) AS own", f"{mine} AS s").selectExpr(
+        "value", "class", "label", "n", "blocks", "own", "s.bits AS bits", *(f"s.fold[{i}] AS f{i}" for i in range(16)))
     spread = member.select("*", F.explode(F.expr("sequence(0, blocks - 1)")).alias("other")).selectExpr(
         "*", "least(own, other) AS lo", "greatest(own, other) AS hi")
     x, y = spread.where("own = lo").alias("x"), spread.where("own = hi").alias("y")
-    total = F.expr(f"(x.n + y.n) * {den - num} div {den + num}")
-    apart = F.aggregate(F.zip_with("x.bits", "y.bits", lambda p, q: F.bit_count(p.bitwiseXOR(q))), F.lit(0), lambda s, c: s + c)
     near = x.join(y, (F.col("x.value") == F.col("y.value")) & (F.col("x.lo") == F.col("y.lo")) & (F.col("x.hi") == F.col("y.hi"))
                   & (F.col("x.label") != F.col("y.label")) & ((F.col("x.own") != F.col("y.own")) | (F.col("x.class") < F.col("y.class")))
-                  & (apart <= total))
+                  & (F.least("x.n", "y.n") * den >= F.greatest("x.n", "y.n") * num) & (coarse <= limit) & (apart <= limit))
     near = near.select(F.least("x.class", "y.class").alias("b"), F.greatest("x.class", "y.class").alias("a"),
-                       (apart / (total + 1)).alias("far")).groupBy("a", "b").agg(F.max("far").alias("far"))
-    near = store.keep(near.join(best, ["a", "b"], "left_anti"), "near")
+                       (apart / (limit + 1)).alias("far")).groupBy("a", "b").agg(F.max("far").alias("far"))
+    for t in tried:
+        near = near.join(t.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")), ["a", "b"], "left_anti")
+    near = store.keep(near, "near")
     done = 0.0
-    for upto in (0.5, 0.75, 1.0):
+    for upto in (0.7, 0.9, 1.0):
         live = with_label(with_label(near.where((F.col("far") >= done) & (F.col("far") < upto)), "a", "la"), "b", "lb").where("la <> lb")
-        live = store.keep(live.select("a", "b"), "live")
         done = upto
-        if live.isEmpty():
-            continue
-        more = store.keep(_verify(live, docs, where, text, key, width, scheme), "links")
-        if not more.isEmpty():
-            links = store.keep(links.union(more), "links")
-            labels = connected_components(links, store)
+        verified(store.keep(live.select("a", "b"), "live"))
+    if links is None:
+        links = tried[0]
+        labels = connected_components(links, store)
     degree = links.select(F.col("a").alias("class")).union(links.select("b")).groupBy("class").agg(F.count("*").alias("n_links"))
     classes = where.select("class", "key").join(labels.withColumnRenamed("node", "class"), "class", "left").withColumn(
         "label", F.coalesce("label", "class"))
     first = classes.groupBy("label").agg(F.min("key").alias("component_id"))
     member = store.keep(classes.join(first, "label").join(degree, "class", "left").select("class", "component_id", "n_links"), "member")
-    store.drop(buckets, best, near)
+    store.drop(buckets, known, near)
     out = sketched.select("key", "n", "class").join(member, "class", "left")
     return out.select(F.col("key").alias(key), F.col("n").alias("n_shingles"),
                       F.when(F.col("class").isNull(), F.col("key")).otherwise(F.col("component_id")).alias("component_id"),
