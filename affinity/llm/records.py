@@ -39,7 +39,7 @@ from affinity.session import scratch_path
 
 MASK = 0xA282EAD8
 #: Chunks of text that a worker remembers between batches, in each of two generations.
-REMEMBERED = 500_000
+REMEMBERED = 600_000
 
 
 def masked(data: bytes) -> bytes:
@@ -80,12 +80,13 @@ def read_record(file) -> bytes:
 class Encoder:
     """The tokenizers library over distinct chunks of text.
 
-    The vocabulary drops white space between words, folds case, and none of its
-    rules spans a blank, a line end, or the point between a letter and a last
-    run of one full stop or comma.  So a text's ids are those of its chunks in
-    order, and a chunk's those of its ASCII-folded body and its last mark.  New
-    bodies are encoded in one text with a special token between them.  Chunks
-    that could hold a special token are encoded as they are."""
+    The vocabulary drops white space between words, folds case, and takes runs of
+    letters, single digits and runs of other symbols by themselves, so a text's
+    ids are those of its chunks between blanks and line ends, in any case of
+    ASCII letters.  Where full stops and commas are a text's only symbols and
+    never stand together, they are chunks too.  New chunks are encoded in one
+    text with a special token between them; a text that could hold a special
+    token is encoded whole."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -93,52 +94,49 @@ class Encoder:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.library = Tokenizer.from_file(path)
         self.mark_id, self.mark = max((i, t.content) for i, t in self.library.get_added_tokens_decoder().items())
-        self.known: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
-        self.marks = {m: self.alone(m) for m in ".,"}
+        self.known: dict[bytes, bytes] = {}
+        self.old: dict[bytes, bytes] = {}
 
-    def alone(self, chunk: str) -> bytes:
-        return np.array(self.library.encode(chunk, add_special_tokens=False).ids, "<u4").tobytes()
+    def alone(self, text: str) -> bytes:
+        return np.array(self.library.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
+    def chunks(self, text: str) -> list[bytes] | None:
+        if "<|" in text:
+            return None
+        t = text.encode("utf-8", "surrogatepass").lower()
+        if not t.translate(None, _LATIN) and not any(x in t for x in _TOGETHER):
+            t = t.replace(b".", b" . ").replace(b",", b" , ")
+        return t.split()
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        cut = [t.replace("\n", " ").split(" ") for t in texts]
+        cut = [self.chunks(t) for t in texts]
         if len(self.known) > REMEMBERED:
             self.known, self.old = {}, self.known
         known, old = self.known, self.old
-        new = set().union(*cut).difference(known)
-        for c in new.intersection(old):
+        new = set().union(*(x for x in cut if x is not None)).difference(known)
+        for c in [c for c in new if c in old]:
             known[c] = old[c]
-        bodies: dict[str, bytes] = {}
-        derived = []
-        for c in new.difference(old):
-            if "<|" in c:
-                known[c] = self.alone(c)
-                continue
-            mark = c[-1:]
-            if mark not in self.marks or not (c[-2:-1].isascii() and c[-2:-1].isalpha()):
-                mark = ""
-            body = c[:-1] if mark else c
-            body = body.lower() if body.isascii() else body.translate(_FOLD)
-            derived.append((c, body, mark))
-            bodies[body] = known.get(body) or old.get(body)
-        self.add([b for b, ids in bodies.items() if ids is None], bodies)
-        for c, body, mark in derived:
-            known[c] = bodies[body] + self.marks[mark] if mark else bodies[body]
-        return [b"".join(map(known.__getitem__, x)) for x in cut]
-
-    def add(self, chunks: list[str], to: dict[str, bytes], step: int = 2000) -> None:
+        self.add([c for c in new if c not in known])
+        return [self.alone(t) if x is None else b"".join(map(known.__getitem__, x)) for t, x in zip(texts, cut)]
+
+    def add(self, chunks: list[bytes], step: int = 2000) -> None:
         groups = [chunks[i:i + step] for i in range(0, len(chunks), step)]
-        for group, e in zip(groups, self.library.encode_batch_fast([self.mark.join(g) for g in groups], add_special_tokens=False)):
+        mark = self.mark.encode()
+        texts = [mark.join(g).decode("utf-8", "surrogatepass") for g in groups]
+        for group, e in zip(groups, self.library.encode_batch_fast(texts, add_special_tokens=False)):
             ids = np.array(e.ids, "<u4")
             at = 4 * np.flatnonzero(ids == self.mark_id)
             if len(at) != len(group) - 1:
                 raise ValueError("chunks and ids don't match")
             data = ids.tobytes()
             for c, a, b in zip(group, [0, *(at + 4).tolist()], [*at.tolist(), len(data)]):
-                to[c] = data[a:b]
+                self.known[c] = data[a:b]
+
 
+# Bytes of folded Latin-1 letters, digits, blanks, full stops and commas; symbols that must not be cut apart.
+_LATIN = bytes([32, 44, 46, 195, *range(48, 58), *range(97, 123), *range(128, 192)])
+_TOGETHER = (b"..", b",,", b".,", b",.", b"\xc3\x97", b"\xc3\xb7")
 
-_FOLD = {c: c + 32 for c in range(65, 91)}
 _LOADED: dict[str, Encoder] = {}
 
 
