@@ -16,7 +16,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     for name in MODULES:
         module = importlib.import_module(f"affinity.llm.{name}")
         found[module.QUERY] = module.query
-    return found
+    import corpus_pipeline
+
+    return found | {"pipeline": corpus_pipeline.run}
 
 
 def oracle_sql() -> dict[str, str]:
