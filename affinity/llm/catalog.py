@@ -8,7 +8,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-MODULES = ["quality", "decontaminate", "secrets", "sentencepiece_bpe", "records", "language", "html_text", "jaccard_join"]
+MODULES = ["quality", "decontaminate", "secrets", "sentencepiece_bpe", "records", "language", "html_text", "jaccard_join", "suffix_dedup"]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

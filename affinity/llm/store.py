@@ -7,7 +7,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from affinity.session import scratch_path
 
@@ -34,3 +34,15 @@ class Store:
         for t in tables:
             path = jvm.org.apache.hadoop.fs.Path(t.stored_at)
             path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def possibly_in(df: DataFrame, column: str, other: DataFrame, name: str = "maybe") -> DataFrame:
+    """``df`` with a flag that is true wherever ``column`` is in the one column
+    of ``other`` and seldom elsewhere.  The 2**22 bits behind it are 65,536
+    rows whatever the input, so they are broadcast; nothing else moves."""
+    slot = lambda c: F.xxhash64(c).bitwiseAND(F.lit((1 << 22) - 1))
+    bits = other.select(slot(F.col(other.columns[0])).alias("__s")).groupBy(F.shiftright("__s", 6).alias("__word")).agg(
+        F.bit_or(F.expr("shiftleft(1L, cast(__s & 63 as int))")).alias("__bits"))
+    d = df.withColumn("__s", slot(F.col(column)))
+    d = d.join(F.broadcast(bits), F.shiftright("__s", 6) == F.col("__word"), "left")
+    return d.withColumn(name, F.expr("coalesce((shiftright(__bits, cast(__s & 63 as int)) & 1) = 1, false)")).drop("__s", "__word", "__bits")

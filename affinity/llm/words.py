@@ -32,7 +32,7 @@ def powers(n: int) -> np.ndarray:
         have = 1
         while have < n:
             take = min(have, n - have)
-            out[have:have + take] = out[:take] * (out[have - 1] * _R)
+            out[have:have + take] = out[:take] * (out[have - 1:have] * _R)
             have += take
     return out
 
