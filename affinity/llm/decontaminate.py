@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from affinity.llm import words
-from affinity.llm.rows import map_texts, pieces
+from affinity.llm.rows import map_texts, text_pieces
 
 _WORD = np.zeros(256, bool)
 _WORD[48:58] = _WORD[97:123] = _WORD[128:] = True  # digits, a-z, every byte of a non-ASCII character
@@ -112,9 +112,9 @@ def _scan(df, keep, sent, last):
     def run(batches):
         known = _Windows(sent.value)
         for batch in batches:
-            texts, before, had = (batch.column(n + k).to_pylist() for k in range(3))
-            for i, j in pieces([len(t) for t in texts]):
-                cols = one(known, texts[i:j], before[i:j], had[i:j])
+            before, had = (batch.column(n + k).to_pylist() for k in (1, 2))
+            for i, j, texts in text_pieces(batch.column(n)):
+                cols = one(known, texts, before[i:j], had[i:j])
                 yield pa.RecordBatch.from_arrays([batch.column(k).slice(i, j - i) for k in range(n)]
                                                  + [pa.array(c, t) for c, t in zip(cols, types[n:])], names=schema.names)
 

@@ -41,12 +41,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from affinity.llm import words
 from affinity.llm.graph import connected_components
 from affinity.llm.rows import map_texts, pieces
-from affinity.llm.store import Store
+from affinity.llm.store import Store, possibly_in
 
 U64 = np.uint64
 _SPACE = np.zeros(256, bool)
@@ -169,13 +170,8 @@ def _verify(pairs: DataFrame, docs: DataFrame, where: DataFrame, text: str, key:
     at = pairs.join(where.select(F.col("class").alias("a"), F.col("key").alias("ka")), "a").join(
         where.select(F.col("class").alias("b"), F.col("key").alias("kb")), "b")
     needed = at.select(F.col("ka").alias("k")).union(at.select("kb"))
-    # A map of needed keys in 2**22 bits, 65,536 rows whatever the input: texts of other documents aren't shuffled.
-    slot = lambda c: F.xxhash64(c).bitwiseAND(F.lit((1 << 22) - 1))
-    bitmap = needed.select(slot(F.col("k")).alias("s")).groupBy(F.shiftright("s", 6).alias("word")).agg(
-        F.bit_or(F.expr("shiftleft(1L, cast(s & 63 as int))")).alias("bits"))
-    own = docs.select(F.col(key).alias("k"), F.coalesce(F.col(text), F.lit("")).alias("t")).withColumn("s", slot(F.col("k")))
-    own = own.join(F.broadcast(bitmap), F.shiftright(own.s, 6) == bitmap.word).where(
-        F.expr("(shiftright(bits, cast(s & 63 as int)) & 1) = 1")).select("k", "t")
+    own = docs.select(F.col(key).alias("k"), F.coalesce(F.col(text), F.lit("")).alias("t"))
+    own = possibly_in(own, "k", needed).where("maybe").select("k", "t")
     left = own.select(F.col("k").alias("ka"), F.col("t").alias("ta"))
     right = own.select(F.col("k").alias("kb"), F.col("t").alias("tb"))
     d = at.join(left, at.ka.eqNullSafe(left.ka)).select("a", "b", "kb", "ta")
@@ -183,18 +179,19 @@ def _verify(pairs: DataFrame, docs: DataFrame, where: DataFrame, text: str, key:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            a, b, ta, tb = (batch.column(k).to_pylist() for k in range(4))
-            for i, j in pieces([len(x) + len(y) for x, y in zip(ta, tb)]):
-                texts = list(dict.fromkeys(ta[i:j] + tb[i:j]))
+            size = pc.add(pc.binary_length(batch.column(2)), pc.binary_length(batch.column(3))).to_pylist()
+            for i, j in pieces(size):
+                a, b, ta, tb = (batch.column(k).slice(i, j - i).to_pylist() for k in range(4))
+                texts = list(dict.fromkeys(ta + tb))
                 sets = dict(zip(texts, shingle_sets(texts, width)))
                 names = {t: class_id(s) for t, s in sets.items()}
                 found = []
-                for k in range(i, j):
-                    x, y = sets[ta[k]], sets[tb[k]]
-                    if names[ta[k]] == a[k] and names[tb[k]] == b[k]:  # another row of the same key may be another text
+                for na, nb, x, y in zip(a, b, ta, tb):
+                    if names[x] == na and names[y] == nb:  # another row of the same key may be another text
+                        x, y = sets[x], sets[y]
                         both = len(np.intersect1d(x, y, assume_unique=True))
                         if scheme.den * both >= scheme.num * (len(x) + len(y) - both):
-                            found.append((a[k], b[k]))
+                            found.append((na, nb))
                 yield pa.RecordBatch.from_arrays([pa.array([f[0] for f in found], pa.int64()), pa.array([f[1] for f in found], pa.int64())], names=["a", "b"])
 
     return d.mapInArrow(run, "a bigint, b bigint").distinct()
@@ -224,8 +221,13 @@ def jaccard_components(docs: DataFrame, text: str = "text", key: str = "doc_id",
     coarse = sum((F.bit_count(F.col(f"x.f{i}").bitwiseXOR(F.col(f"y.f{i}"))) for i in range(1, 16)),
                  F.bit_count(F.col("x.f0").bitwiseXOR(F.col("y.f0"))))
     mine = "filter(sketches, x -> x.band = cast(value & 63 as int))[0]"
-    links = labels = None
-    tried = []
+    links, tried, labels = [], [], None
+
+    def linked():
+        out = links[0]
+        for more in links[1:]:
+            out = out.union(more)
+        return out
 
     def with_label(d, node, name):
         if labels is None:
@@ -233,15 +235,12 @@ def jaccard_components(docs: DataFrame, text: str = "text", key: str = "doc_id",
         own = labels.select(F.col("node").alias(node), F.col("label").alias(name))
         return d.join(own, node, "left").withColumn(name, F.coalesce(name, node))
 
-    def verified(pairs):
-        nonlocal links, labels
+    def verified(pairs, rounds=None):
+        """Verify pairs; labels then join what is linked, or some of it."""
+        nonlocal labels
         tried.append(pairs)
-        if pairs.isEmpty():
-            return
-        more = store.keep(_verify(pairs, docs, where, text, key, width, scheme), "links")
-        if links is None or not more.isEmpty():
-            links = more if links is None else store.keep(links.union(more), "links")
-            labels = connected_components(links, store)
+        links.append(store.keep(_verify(pairs, docs, where, text, key, width, scheme), "links"))
+        labels = connected_components(linked(), store, rounds=rounds)
 
     for turn in range(ROUNDS):
         # Each class beside one of its bucket, another one every round; the nearest of another component is verified.
@@ -255,7 +254,7 @@ def jaccard_components(docs: DataFrame, text: str = "text", key: str = "doc_id",
             "x", f"struct(lead AS class, ln AS n, {mine}.bits AS bits) AS y").where(apart <= limit)
         best = d.select(F.col("x.class").alias("a"), F.col("y.class").alias("b"), (apart / (limit + 1)).alias("far")).groupBy("a").agg(
             F.min(F.struct("far", "b"))["b"].alias("b"))
-        verified(store.keep(best.where("a <> b"), "best"))
+        verified(store.keep(best.where("a <> b"), "best"), 2 if turn < ROUNDS - 1 else None)
 
     # What is left within buckets across components, where the bit sketches are near enough.
     own = with_label(buckets, "class", "label")
@@ -276,14 +275,14 @@ def jaccard_components(docs: DataFrame, text: str = "text", key: str = "doc_id",
         near = near.join(t.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")), ["a", "b"], "left_anti")
     near = store.keep(near, "near")
     done = 0.0
-    for upto in (0.7, 0.9, 1.0):
+    for upto in (0.85, 1.0):
         live = with_label(with_label(near.where((F.col("far") >= done) & (F.col("far") < upto)), "a", "la"), "b", "lb").where("la <> lb")
         done = upto
-        verified(store.keep(live.select("a", "b"), "live"))
-    if links is None:
-        links = tried[0]
-        labels = connected_components(links, store)
-    degree = links.select(F.col("a").alias("class")).union(links.select("b")).groupBy("class").agg(F.count("*").alias("n_links"))
+        live = store.keep(live.select("a", "b"), "live")
+        if not live.isEmpty():
+            verified(live)
+    pairs = linked().select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+    degree = pairs.select(F.col("a").alias("class")).union(pairs.select("b")).groupBy("class").agg(F.count("*").alias("n_links"))
     classes = where.select("class", "key").join(labels.withColumnRenamed("node", "class"), "class", "left").withColumn(
         "label", F.coalesce("label", "class"))
     first = classes.groupBy("label").agg(F.min("key").alias("component_id"))

@@ -5,10 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F, types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-#: Code points of text that a Python step takes at once; one longer text is a piece of its own.
+#: Bytes of text that a Python step takes at once; one longer text is a piece of its own.
 PIECE = 4 << 20
 
 
@@ -24,6 +25,12 @@ def pieces(sizes: list[int], limit: int = PIECE) -> Iterator[tuple[int, int]]:
         yield at, len(sizes)
 
 
+def text_pieces(column: pa.Array, limit: int = PIECE) -> Iterator[tuple[int, int, list[str]]]:
+    """Index ranges of a text column and their texts; only one range at a time becomes Python strings."""
+    for i, j in pieces(pc.binary_length(column).to_pylist(), limit):
+        yield i, j, column.slice(i, j - i).to_pylist()
+
+
 def map_texts(df: DataFrame, text: str, keep: list[str], added: str | T.StructType,
               step: Callable[[list[str]], list[list]]) -> DataFrame:
     """``keep`` columns of every row beside the columns of ``added``.
@@ -39,9 +46,8 @@ def map_texts(df: DataFrame, text: str, keep: list[str], added: str | T.StructTy
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            texts = b.column(n).to_pylist()
-            for i, j in pieces([len(t) for t in texts]):
-                cols = step(texts[i:j])
+            for i, j, texts in text_pieces(b.column(n)):
+                cols = step(texts)
                 yield pa.RecordBatch.from_arrays(
                     [b.column(k).slice(i, j - i) for k in range(n)]
                     + [pa.array(c, f.type) for c, f in zip(cols, arrow)],
@@ -62,9 +68,8 @@ def gather_texts(df: DataFrame, text: str, out: str, start: Callable[[], object]
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         acc = start()
         for b in batches:
-            texts = b.column(0).to_pylist()
-            for i, j in pieces([len(t) for t in texts]):
-                step(acc, texts[i:j])
+            for _, _, texts in text_pieces(b.column(0)):
+                step(acc, texts)
         yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(finish(acc), arrow)], names=arrow.names)
 
     return d.mapInArrow(run, schema)

@@ -12,7 +12,7 @@ symbols against that alphabet are made:
 
 A token that any of them rejects (at ``alpha`` over the three) is not random.
 For the rest, the likelihood of its symbol pairs under the corpus's own pair
-frequencies against that of uniform draws gives a p-value of "ordinary text"
+frequencies against that of uniform draws of the encoding gives a p-value of "ordinary text"
 (a likelihood ratio exceeds 1/p with probability p at most).  It falls with
 length by itself; false discoveries are controlled at rate ``q`` by
 Benjamini-Hochberg within each length band, over all candidates of the corpus.
@@ -61,6 +61,11 @@ for _i, _c in enumerate(ALPHABETS["base62"]):
     _CLASS[ord(_c)] = _i
 for _c in "+/_-=":
     _CLASS[ord(_c)] = 62
+#: Upper case, lower case, digits, the rest of base64, everything else.
+GROUPS = ((0, 26), (26, 52), (52, 62), (62, 63), (63, 64))
+#: For each encoding and symbol class log10 of how many symbols of its group the encoding has.
+_SIZES = {name: np.array([math.log10(max(1, sum(a <= _CLASS[ord(c)] < b for c in symbols)) if b < 63 else 1)
+                          for a, b in GROUPS for _ in range(a, b)]) for name, symbols in ALPHABETS.items()}
 
 
 def base_spans(text: str) -> list[tuple[int, int, str]]:
@@ -117,9 +122,12 @@ def is_random(token: str, alpha: float) -> bool:
 
 
 def score(token: str, pairs: np.ndarray, alpha: float) -> float:
-    """-log10 of the token's p-value of ordinary text; 0 if the battery says it isn't random."""
+    """-log10 of the token's p-value of ordinary text; 0 if the battery says it isn't random.
+
+    Both likelihoods are given the token's pattern of upper and lower case,
+    digits and other symbols, so that a rare pattern alone is no evidence."""
     c = _CLASS[np.frombuffer(token.rstrip("=").encode(), np.uint8)]
-    gain = float(pairs[c[:-1], c[1:]].sum()) + (len(c) - 1) * math.log10(len(ALPHABETS[encoding(token)]))
+    gain = float((pairs[c[:-1], c[1:]] + _SIZES[encoding(token)][c[1:]]).sum())
     return -gain if gain < 0 and is_random(token, alpha) else 0.0
 
 
@@ -135,7 +143,7 @@ def band(length: int) -> int:
 
 
 def pair_model(docs: DataFrame, text: str = "text") -> np.ndarray:
-    """log10 P(next class | class) over all texts, add-one smoothed; 64 x 64 whatever the corpus."""
+    """log10 P(next symbol | symbol, group of the next) over all texts, add-one smoothed; 64 x 64 whatever the corpus."""
 
     def step(acc, texts):
         c = _CLASS[np.frombuffer("\n".join(texts).encode("utf-8", "surrogatepass"), np.uint8)]
@@ -151,7 +159,9 @@ def pair_model(docs: DataFrame, text: str = "text") -> np.ndarray:
     for r in rows.groupBy("pair").agg(F.sum("n").alias("n")).collect():
         count[r["pair"]] += r["n"]
     count = count.reshape(64, 64)
-    return np.log10(count / count.sum(1, keepdims=True))
+    for a, b in GROUPS:  # given that the next symbol is of this group
+        count[:, a:b] /= count[:, a:b].sum(1, keepdims=True)
+    return np.log10(count)
 
 
 def thresholds(docs: DataFrame, pairs: np.ndarray, text: str = "text", q: float = 0.01, alpha: float = 0.001) -> list[float]:

@@ -40,7 +40,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from affinity.llm import words
 from affinity.llm.anchors import WINDOW, Ranges
-from affinity.llm.rows import pieces
+from affinity.llm.rows import text_pieces
 from affinity.llm.store import Store, possibly_in
 
 SYMBOL = 20
@@ -64,10 +64,9 @@ def _scan(d: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            texts = b.column(2).to_pylist()
             doc, h = b.column(0).to_numpy(), b.column(1).to_numpy()
-            for i, j in pieces([len(t) for t in texts]):
-                buf, starts = words.joined(texts[i:j])
+            for i, j, texts in text_pieces(b.column(2)):
+                buf, starts = words.joined(texts)
                 r = Ranges(buf, starts)
                 own, oh = doc[i:j][r.doc], h[i:j][r.doc]
                 order = np.lexsort((r.first, oh, own, r.context, r.key))
