@@ -10,7 +10,6 @@ Sub-packages:
     functions  column-expression helpers (hash keys, confidence, metrics)
     operators  DataFrame operators grouped by concern
     plans      query catalogue (Spark queries + DuckDB oracle SQL)
-    streaming  intentionally empty: the workload is batch only
     jobs       the study's batch jobs end to end, with a command line
 """
 

@@ -32,11 +32,14 @@ class Config:
     beta: float = 20.0
     rating_weight: float = 5.0
     als_rank: int = 20
+    als_explicit_rank: int = 10
     als_reg: float = 0.1
     als_iter: int = 10
     als_tune_iter: int = 5
     als_seed: int = 42
     checkpoint_interval: int = 2
+    als_blocks: int = 10  # user / item blocks: also fixes the seeded start of the factors
+    reader_chunk: int = 1000  # readers per token-list row
     explicit_grid: dict = field(default_factory=lambda: {"rank": [10, 20], "regParam": [0.01, 0.1, 1.0]})
     implicit_stage1_grid: dict = field(default_factory=lambda: {"rank": [10, 20], "regParam": [0.01, 0.1, 1.0]})
     implicit_stage2_grid: dict = field(default_factory=lambda: {"alpha": [1.0, 10.0], "beta": [20.0, 40.0]})
@@ -54,17 +57,15 @@ class Config:
 
 PUBLISHED = Config()
 
-# Parameters for the driver's small tables (FIXTURES.md "Parameters at fixture scale").
+# Parameters for the driver's small tables (FIXTURES.md "Parameters at fixture scale"):
+# thresholds that fit the tables; every user, every published grid point and model size.
 FIXTURE = Config(
     min_interactions=40,
-    sample_fraction=0.5,
+    sample_fraction=1.0,
     min_readers=30,
     jaccard_distance=0.8,
-    als_rank=8,
-    als_iter=5,
-    als_tune_iter=5,
-    explicit_grid={"rank": [8], "regParam": [0.1, 1.0]},
-    implicit_stage1_grid={"rank": [8], "regParam": [0.1, 1.0]},
-    implicit_stage2_grid={"alpha": [1.0, 10.0], "beta": [20.0]},
-    combined_grid={"rating_weight": [1.0, 5.0]},
+    reader_chunk=16,
 )
+
+# The sampling operator itself (P1) and the reports about it.
+SAMPLED = FIXTURE.with_(sample_fraction=0.5)

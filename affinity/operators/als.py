@@ -54,15 +54,6 @@ def holdout_rule(kind: str):
     return {"explicit": F.col("rating") > 0, "implicit": F.col("is_read") == 1, "combined": F.lit(True)}[kind]
 
 
-MAX_BLOCKS = 1024
-
-
-def num_blocks(spark) -> int:
-    """ALS user / item blocks: one per task slot of the cluster (MLlib's fixed
-    default of 10 would cap a large cluster at 10 concurrent solves)."""
-    return max(2, min(MAX_BLOCKS, spark.sparkContext.defaultParallelism))
-
-
 def estimator(kind: str, rank: int, reg: float, max_iter: int, seed: int, checkpoint_interval: int = 2,
               blocks: int = 10) -> ALS:
     return ALS(rank=rank, maxIter=max_iter, regParam=reg, userCol="user_id", itemCol="book_id",
@@ -72,9 +63,9 @@ def estimator(kind: str, rank: int, reg: float, max_iter: int, seed: int, checkp
 
 
 def fit(spark, train_matrix: DataFrame, kind: str, rank: int, reg: float, max_iter: int, seed: int,
-        checkpoint_interval: int = 2) -> ALSModel:
+        checkpoint_interval: int = 2, blocks: int = 10) -> ALSModel:
     checkpoint_dir(spark)  # lineage cuts go to the shared folder
-    return estimator(kind, rank, reg, max_iter, seed, checkpoint_interval, num_blocks(spark)).fit(train_matrix)
+    return estimator(kind, rank, reg, max_iter, seed, checkpoint_interval, blocks).fit(train_matrix)
 
 
 def recommend(model: ALSModel, users: DataFrame, k: int) -> DataFrame:
@@ -97,6 +88,8 @@ def recommend_unseen(model: ALSModel, users: DataFrame, seen: DataFrame, k: int)
         F.pow(F.lit(2), F.ceil(F.log2(F.col("_s").cast("double")))).cast("bigint"))
     sized = users.join(n_seen, "user_id", "left").fillna(0, ["_s"]).withColumn("_b", bucket)
     sizes = sorted(r["_b"] for r in sized.select("_b").distinct().collect())  # a few group sizes
+    if not sizes:  # no users
+        return recommend(model, users, k)
     parts = [recommend(model, sized.where(F.col("_b") == b).select("user_id"), k + int(b)) for b in sizes]
     out = parts[0]
     for part in parts[1:]:
@@ -134,7 +127,7 @@ def run_split(spark, prepared: DataFrame, kind: str, split: str, cfg: Config, ra
               exclude_seen: bool = False, fit_df: DataFrame | None = None, confidence_offset: float = 0.0):
     """Fit on train + ``split`` history and evaluate on ``split`` holdout.
     Returns ``(model, summary DataFrame)``; the summary is one row."""
-    rank = rank or cfg.als_rank
+    rank = rank or (cfg.als_explicit_rank if kind == "explicit" else cfg.als_rank)
     reg = cfg.als_reg if reg is None else reg
     max_iter = max_iter or cfg.als_iter
     alpha = cfg.alpha if alpha is None else alpha
@@ -144,7 +137,7 @@ def run_split(spark, prepared: DataFrame, kind: str, split: str, cfg: Config, ra
         with persisted(fit_matrix(prepared, kind, split, alpha, beta, w, confidence_offset)) as cached:
             return run_split(spark, prepared, kind, split, cfg, rank, reg, max_iter, alpha, beta, w,
                              with_rmse, exclude_seen, cached, confidence_offset)
-    model = fit(spark, fit_df, kind, rank, reg, max_iter, cfg.als_seed, cfg.checkpoint_interval)
+    model = fit(spark, fit_df, kind, rank, reg, max_iter, cfg.als_seed, cfg.checkpoint_interval, cfg.als_blocks)
     holdout = prep.holdout_of(prepared, split).where(holdout_rule(kind))
     seen = prep.fit_rows(prepared, split) if exclude_seen else None
     summary = evaluate_model(model, holdout, cfg.top_k, seen).select(F.lit(split).alias("split"), "*")

@@ -2,8 +2,8 @@
 
 Input recommendations are either per user ``(user_id, rank, book_id)`` or one
 global list ``(rank, book_id)`` given to every user (the popularity
-baseline).  A global list is joined to the holdout by item only — it is k
-rows, so it is broadcast and no users × list product is ever built.
+baseline).  A global list is joined to the holdout by item only, so no
+users × list product is ever built.
 
 Per user: best (lowest) rank among holdout items, number of holdout items and
 of hits.  "MAP" = 1/best_rank, "NDCG" = 1/log2(best_rank + 1), 0 without a
@@ -34,8 +34,8 @@ def best_ranks(recs: DataFrame, holdout: DataFrame, keys: tuple[str, ...] = ())
     ``keys`` are extra grouping columns present in both inputs (e.g. ``split``)."""
     hold = holdout.select(*keys, "user_id", F.col("book_id").cast("int").alias("book_id"))
     if "user_id" not in recs.columns:
-        # Global list: k rows by construction (top_k), safe to broadcast.
-        top = F.broadcast(recs.select(F.col("book_id").cast("int").alias("book_id"), "rank"))
+        # Global list: usually k rows, which Spark broadcasts by their measured size.
+        top = recs.select(F.col("book_id").cast("int").alias("book_id"), "rank")
         joined = hold.join(top, "book_id", "left")
         return (joined.groupBy(*keys, "user_id")
                 .agg(F.count(F.lit(1)).alias("n_holdout"), F.count("rank").alias("n_hits"),
@@ -51,7 +51,11 @@ def best_ranks(recs: DataFrame, holdout: DataFrame, keys: tuple[str, ...] = ())
 
 def evaluate_users(recs: DataFrame, holdout: DataFrame, keys: tuple[str, ...] = ()) -> DataFrame:
     """Per-user metrics: ``best_rank, n_holdout, n_hits, ap, ndcg``."""
-    per = best_ranks(recs, holdout, keys)
+    return with_metrics(best_ranks(recs, holdout, keys))
+
+
+def with_metrics(per: DataFrame) -> DataFrame:
+    """Add ``ap`` and ``ndcg`` of ``best_rank``."""
     return (per.withColumn("ap", reciprocal_rank(F.col("best_rank")))
                .withColumn("ndcg", best_hit_ndcg(F.col("best_rank"))))
 
@@ -83,13 +87,14 @@ def metrics_long(summary: DataFrame, key: str = "split") -> DataFrame:
     return summary.selectExpr(f"stack({len(names)}, {pairs}) as (metric, value)")
 
 
-def best_config(table: DataFrame, config_col: str, metric: str = "map", split: str | None = "tuning",
+def best_config(table: DataFrame, config_col: str | list[str], metric: str = "map", split: str | None = "tuning",
                 maximize: bool = True) -> DataFrame:
     """Row of the best configuration (argmax / argmin of ``metric``), ties by
-    configuration name."""
+    the configuration's columns."""
     t = table if split is None else table.where(F.col("split") == split)
     order = F.col(metric).desc() if maximize else F.col(metric).asc()
-    return t.orderBy(order, F.col(config_col).asc()).limit(1)
+    names = [config_col] if isinstance(config_col, str) else config_col
+    return t.orderBy(order, *[F.col(c).asc() for c in names]).limit(1)
 
 
 def model_comparison(table: DataFrame, config_col: str, baseline: str, split: str = "test") -> DataFrame:
@@ -113,3 +118,12 @@ def stability_gap(table: DataFrame, config_col: str) -> DataFrame:
                  on("tuning", "ndcg").alias("ndcg_tuning"), on("test", "ndcg").alias("ndcg_test"))
             .withColumn("map_gap", r6(F.col("map_test") - F.col("map_tuning")))
             .withColumn("ndcg_gap", r6(F.col("ndcg_test") - F.col("ndcg_tuning"))))
+
+
+def own_item_lists(scores: DataFrame, rows: DataFrame, keys: tuple[str, ...] = (), score_col: str = "popularity_score") -> DataFrame:
+    """Per-user lists ``(keys…, user_id, rank, book_id)``: each user's own items
+    by score, highest first, ties by item.  Equi-join on the item only; items
+    without a score are not listed."""
+    order = Window.partitionBy(*keys, "user_id").orderBy(F.round(F.col(score_col), 9).desc(), F.col("book_id"))
+    listed = rows.select(*keys, "user_id", "book_id").join(scores.select("book_id", score_col), "book_id")
+    return listed.select(*keys, "user_id", F.row_number().over(order).alias("rank"), "book_id")

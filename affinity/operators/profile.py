@@ -6,7 +6,7 @@ counter; results are small DataFrames, never driver-side loops.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from affinity.functions.metrics import r6
@@ -166,31 +166,32 @@ def readiness(prepared: DataFrame, rule, extra: dict | None = None) -> DataFrame
     return out.where(keep).withColumn("ready", F.col("n_rows") > 0)
 
 
-def activity_summary(interactions: DataFrame, active: DataFrame, sampled: DataFrame) -> DataFrame:
-    """Rows, users and integer mean rows per user at each preparation stage."""
-    out = None
-    for stage, df in (("raw", interactions), ("active", active), ("sampled", sampled)):
-        part = (df.agg(F.count(F.lit(1)).alias("n_rows"), F.countDistinct("user_id").alias("n_users"))
-                .select(F.lit(stage).alias("stage"), "n_rows", "n_users",
-                        F.floor(F.col("n_rows") / F.nullif(F.col("n_users"), F.lit(0))).cast("bigint")
-                        .alias("avg_per_user")))
-        out = part if out is None else out.unionByName(part)
-    return out
-
-
-def sample_drift(active: DataFrame, sampled: DataFrame) -> DataFrame:
-    """Signal coverage before and after the user sample, and the difference
-    (two one-row profiles unpivoted and pivoted back by signal)."""
-    def long(df, name):
-        c = coverage(df)
-        return c.select(F.explode(F.array(*[F.struct(F.lit(name).alias("ds"), F.lit(sg).alias("signal"),
-                                                     F.col(f"pct_{sg}").alias("pct")) for sg in SIGNALS])).alias("x")
-                        ).select("x.*")
-    both = long(active, "active").unionByName(long(sampled, "sample"))
-    return (both.groupBy("signal")
-            .agg(F.max(F.when(F.col("ds") == "active", F.col("pct"))).alias("pct_active"),
-                 F.max(F.when(F.col("ds") == "sample", F.col("pct"))).alias("pct_sample"))
-            .withColumn("diff", r6(F.col("pct_sample") - F.col("pct_active"))))
+def activity_summary(interactions: DataFrame, min_interactions: int, sampled: Column) -> DataFrame:
+    """Rows, users and integer mean rows per user at each preparation stage:
+    raw, active users, and active users that ``sampled`` (a predicate on
+    ``user_id``) keeps.  One per-user count gives all three."""
+    users = interactions.groupBy("user_id").agg(F.count(F.lit(1)).alias("_n"))
+    active = F.col("_n") >= min_interactions
+    stages = {"raw": F.lit(True), "active": active, "sampled": active & sampled}
+    agg = users.agg(*[f.alias(f"{name}_{kind}") for name, rule in stages.items() for kind, f in (
+        ("rows", F.coalesce(F.sum(F.when(rule, F.col("_n"))), F.lit(0)).cast("bigint")), ("users", F.count_if(rule)))])
+    rows = F.array(*[F.struct(F.lit(name).alias("stage"), F.col(f"{name}_rows").alias("n_rows"),
+                              F.col(f"{name}_users").alias("n_users")) for name in stages])
+    return agg.select(F.inline(rows)).withColumn(
+        "avg_per_user", F.floor(F.col("n_rows") / F.nullif(F.col("n_users"), F.lit(0))).cast("bigint"))
+
+
+def sample_drift(active: DataFrame, sampled: Column) -> DataFrame:
+    """Signal coverage before and after the user sample (a predicate on
+    ``user_id``), and the difference: conditional counts of one pass."""
+    rules = {"rated": has_rating(), "read": F.col("is_read") == 1, "reviewed": F.col("is_reviewed") == 1,
+             "rated_and_read": has_rating() & (F.col("is_read") == 1)}
+    agg = active.agg(F.count(F.lit(1)).alias("n"), F.count_if(sampled).alias("s"),
+                     *[F.count_if(r).alias(f"n_{k}") for k, r in rules.items()],
+                     *[F.count_if(r & sampled).alias(f"s_{k}") for k, r in rules.items()])
+    rows = F.array(*[F.struct(F.lit(k).alias("signal"), pct(F.col(f"n_{k}"), F.col("n")).alias("pct_active"),
+                              pct(F.col(f"s_{k}"), F.col("s")).alias("pct_sample")) for k in rules])
+    return agg.select(F.inline(rows)).withColumn("diff", r6(F.col("pct_sample") - F.col("pct_active")))
 
 
 def user_split_shares(prepared: DataFrame) -> DataFrame:

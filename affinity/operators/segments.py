@@ -1,13 +1,9 @@
 """Market segments: items with the same audience, by MinHash LSH.
 
-Native route (the scale path)
-    reader pairs -> qualified items -> K MinHash signatures per item (one
-    partial aggregate of K ``min`` over hashed readers; no per-item reader
-    arrays) -> candidate pairs by equi-join on (table, signature) -> exact
-    verification by co-reader counts -> strict distance filter.
-MLlib route (parity with ``MinHashLSH.approxSimilarityJoin``)
-    per-item binary vectors + ``MinHashLSH``.  It needs each item's reader set
-    in one row, so it is kept for small inputs and tests only.
+Reader pairs -> qualified items -> K MinHash signatures per item (one partial
+aggregate of K ``min`` over hashed readers; no per-item reader arrays) ->
+candidate pairs by equi-join on (table, signature), hot buckets cut into
+sub-buckets -> exact verification by co-reader counts -> strict distance filter.
 
 Similarity is always exact (computed from reader counts); only recall is
 approximate, as with MLlib, which verifies on the vectors.
@@ -17,7 +13,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from affinity.functions.hashing import hash60, prefix_value
@@ -41,34 +37,28 @@ def qualified_pairs(pairs: DataFrame, min_readers: int) -> DataFrame:
     return pairs.join(qualified_items(pairs, min_readers).select("book_id"), "book_id", "left_semi")
 
 
-# Readers per token-list row: an item's reader set is split into
-# ceil(n_readers / READER_CHUNK) hash chunks so no row (or task) holds the
-# whole audience of a hot item.
-READER_CHUNK = 1000
 CHUNK_TAG = "chunk"
 
 
-def reader_sets(pairs: DataFrame, counts: DataFrame, chunk_size: int = READER_CHUNK) -> DataFrame:
-    """Item -> reader tokens in bounded chunks:
+def reader_chunk(n_chunks: Column) -> Column:
+    """Hash chunk of a reader among ``n_chunks``."""
+    return F.pmod(prefix_value(F.md5(F.concat_ws("|", F.lit(CHUNK_TAG), F.col("user_id").cast("string")))), n_chunks)
+
+
+def reader_sets(pairs: DataFrame, counts: DataFrame, chunk_size: int) -> DataFrame:
+    """Item -> reader tokens in hash chunks of about ``chunk_size``:
     ``(book_id, chunk, n_tokens, user_tokens array<string>)``, tokens sorted by
-    user id.  ``counts`` is ``(book_id, n_readers)`` (``qualified_items``)."""
+    user id, so no row (or task) holds the whole audience of a hot item.
+    ``counts`` is ``(book_id, n_readers)`` (``qualified_items``)."""
     n_chunks = F.ceil(F.col("n_readers") / F.lit(chunk_size)).cast("bigint")
-    chunk = F.pmod(prefix_value(F.md5(F.concat_ws("|", F.lit(CHUNK_TAG), F.col("user_id").cast("string")))), n_chunks)
     return (pairs.join(counts.select("book_id", "n_readers"), "book_id")
-            .withColumn("chunk", chunk.cast("int"))
+            .withColumn("chunk", reader_chunk(n_chunks).cast("int"))
             .groupBy("book_id", "chunk")
             .agg(F.count(F.lit(1)).alias("n_tokens"), F.array_sort(F.collect_list("user_id")).alias("_u"))
             .select("book_id", "chunk", "n_tokens",
                     F.transform("_u", lambda u: u.cast("string")).alias("user_tokens")))
 
 
-def _whole_reader_sets(pairs: DataFrame) -> DataFrame:
-    """One row per item with its whole reader set (MLlib route only)."""
-    return (pairs.groupBy("book_id")
-            .agg(F.array_sort(F.collect_list(F.col("user_id"))).alias("_u"))
-            .select("book_id", F.transform("_u", lambda u: u.cast("string")).alias("user_tokens")))
-
-
 def minhash_signatures(pairs: DataFrame, num_tables: int, seed: int) -> DataFrame:
     """``(book_id, hash_table, signature)``: per table k the smallest 60-bit
     ``md5(minhash|seed|k|user)`` prefix over the item's readers.  All K minima come
@@ -81,15 +71,28 @@ def minhash_signatures(pairs: DataFrame, num_tables: int, seed: int) -> DataFram
     return per_item.selectExpr("book_id", stack)
 
 
-def lsh_candidates(signatures: DataFrame) -> DataFrame:
-    """Distinct item pairs (a < b) sharing a signature in at least one table.
-    Equi-join on (table, signature); AQE splits an oversized bucket on both
-    sides so one bucket never lands in one task."""
+# Items of one bucket that a task pairs with the bucket's others.
+BUCKET_CHUNK = 500
+
+
+def _bucket_join(left: DataFrame, right: DataFrame, keys: list[str], chunk: int) -> DataFrame:
+    """Equi-join of two item lists on a bucket's keys.  A bucket of more than
+    ``chunk`` left items is cut into that many sub-buckets by item hash and its
+    right items are copied to each: skew handling by bytes cannot see a bucket
+    that is small but has a huge number of pairs."""
+    sizes = left.groupBy(*keys).agg(F.count(F.lit(1)).alias("_c")).where(F.col("_c") > chunk).select(
+        *keys, F.ceil(F.col("_c") / chunk).cast("int").alias("_n"))
+    subs = F.coalesce("_n", F.lit(1))
+    a = left.join(sizes, keys, "left").withColumn("_sub", F.pmod(F.xxhash64("book_id_1"), subs).cast("int")).drop("_n")
+    b = right.join(sizes, keys, "left").withColumn("_sub", F.explode(F.sequence(F.lit(0), subs - 1))).drop("_n")
+    return a.join(b, [*keys, "_sub"]).where(F.col("book_id_1") < F.col("book_id_2"))
+
+
+def lsh_candidates(signatures: DataFrame, chunk: int = BUCKET_CHUNK) -> DataFrame:
+    """Distinct item pairs (a < b) sharing a signature in at least one table."""
     a = signatures.select("hash_table", "signature", F.col("book_id").alias("book_id_1"))
     b = signatures.select("hash_table", "signature", F.col("book_id").alias("book_id_2"))
-    return (a.join(b, ["hash_table", "signature"])
-            .where(F.col("book_id_1") < F.col("book_id_2"))
-            .select("book_id_1", "book_id_2").distinct())
+    return _bucket_join(a, b, ["hash_table", "signature"], chunk).select("book_id_1", "book_id_2").distinct()
 
 
 def size_band(n_col, min_similarity: float):
@@ -112,12 +115,12 @@ def band_width(min_similarity: float) -> float | None:
     return math.log(1.0 / min_similarity) * (1.0 + 1e-9)
 
 
-def banded_candidates(signatures: DataFrame, counts: DataFrame, max_distance: float) -> DataFrame:
+def banded_candidates(signatures: DataFrame, counts: DataFrame, max_distance: float, chunk: int = BUCKET_CHUNK) -> DataFrame:
     """Candidate pairs (a < b) sharing a signature *and* a reader-count band
     (or adjacent bands).  Exact for the verified result: the pairs dropped
     here fail the size bound.  A bucket of items with very different audience
-    sizes (e.g. everything one heavy reader touched) no longer enumerates its
-    hopeless pairs; AQE still splits a hot (table, signature, band) key."""
+    sizes (e.g. everything one heavy reader touched) does not enumerate its
+    hopeless pairs; the rest of a hot bucket is cut into sub-buckets."""
     banded = signatures.join(counts.select("book_id", "n_readers"), "book_id").withColumn(
         "band", size_band(F.col("n_readers"), 1.0 - max_distance))
     a = banded.select("hash_table", "signature", "band", F.col("book_id").alias("book_id_1"),
@@ -126,9 +129,12 @@ def banded_candidates(signatures: DataFrame, counts: DataFrame, max_distance: fl
                       F.explode(F.array(F.col("band") - 1, F.col("band"), F.col("band") + 1)).alias("band"),
                       F.col("book_id").alias("book_id_2"), F.col("n_readers").alias("n2"))
     # reader counts ride along (functionally dependent on the ids) for the verifier
-    return (a.join(b, ["hash_table", "signature", "band"])
-            .where(F.col("book_id_1") < F.col("book_id_2"))
-            .select("book_id_1", "book_id_2", "n1", "n2").distinct())
+    return _bucket_join(a, b, ["hash_table", "signature", "band"], chunk).select(
+        "book_id_1", "book_id_2", "n1", "n2").distinct()
+
+
+# Readers of a probe item that meet all its candidates in one key.
+PROBE_CHUNK = 256
 
 
 def verify_pairs(candidates: DataFrame, pairs: DataFrame, counts: DataFrame, max_distance: float) -> DataFrame:
@@ -148,9 +154,15 @@ def verify_pairs(candidates: DataFrame, pairs: DataFrame, counts: DataFrame, max
         "book_id_1", "book_id_2", "n1", "n2",
         F.when(small_first, F.col("book_id_1")).otherwise(F.col("book_id_2")).alias("_probe"),
         F.when(small_first, F.col("book_id_2")).otherwise(F.col("book_id_1")).alias("_other"))
-    readers_of_probe = pairs.select(F.col("book_id").alias("_probe"), "user_id")
+    # A probe item's readers go to hash chunks, its candidates to each of them, so
+    # that a hot item's candidates times its readers are many keys, not one.
+    n_chunks = F.ceil(F.least("n1", "n2") / F.lit(PROBE_CHUNK)).cast("bigint")
+    sizes = oriented.select("_probe", n_chunks.alias("_n")).distinct()
+    probes = oriented.withColumn("_chunk", F.explode(F.sequence(F.lit(0).cast("bigint"), n_chunks - 1)))
+    readers = (pairs.select(F.col("book_id").alias("_probe"), "user_id").join(sizes, "_probe")
+               .select("_probe", "user_id", reader_chunk(F.col("_n")).cast("bigint").alias("_chunk")))
     other_reads = pairs.select(F.col("book_id").alias("_other"), "user_id")
-    co = (oriented.join(readers_of_probe, "_probe")
+    co = (probes.join(readers, ["_probe", "_chunk"])
           .join(other_reads, ["_other", "user_id"], "left_semi")
           .groupBy("book_id_1", "book_id_2", "n1", "n2").agg(F.count(F.lit(1)).alias("co")))
     dist = F.lit(1.0) - F.col("co").cast("double") / (F.col("n1") + F.col("n2") - F.col("co")).cast("double")
@@ -212,24 +224,3 @@ def similarity_bands(top: DataFrame) -> DataFrame:
         band = F.when(cond, F.lit(label)) if band is None else band.when(cond, F.lit(label))
     band = band.otherwise(F.lit("below-0.80"))
     return top.groupBy(band.alias("band")).agg(F.count(F.lit(1)).alias("n_pairs"))
-
-
-def mllib_lsh_pairs(readers: DataFrame, min_readers: int, num_tables: int, seed: int, max_distance: float,
-                    num_features: int = 1 << 30) -> DataFrame:
-    """MLlib route: binary hashed vectors + ``MinHashLSH.approxSimilarityJoin``.
-
-    ``HashingTF`` (no vocabulary on the driver) replaces the study's
-    ``CountVectorizer``; with 2**30 buckets token collisions are negligible.
-    Needs each item's reader set in one row: small inputs only."""
-    from pyspark.ml.feature import HashingTF, MinHashLSH
-
-    pairs = reader_pairs(readers)
-    counts = qualified_items(pairs, min_readers)
-    qp = pairs.join(counts.select("book_id"), "book_id", "left_semi")
-    tokens = _whole_reader_sets(qp)
-    vec = HashingTF(inputCol="user_tokens", outputCol="features", numFeatures=num_features, binary=True).transform(tokens)
-    model = MinHashLSH(inputCol="features", outputCol="hashes", numHashTables=num_tables, seed=seed).fit(vec)
-    j = model.approxSimilarityJoin(vec, vec, max_distance, distCol="jaccard_dist")
-    return (j.where(F.col("datasetA.book_id") < F.col("datasetB.book_id"))
-            .select(F.col("datasetA.book_id").alias("book_id_1"), F.col("datasetB.book_id").alias("book_id_2"),
-                    F.round(F.lit(1.0) - F.col("jaccard_dist"), 6).alias("jaccard_similarity")))

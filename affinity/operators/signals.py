@@ -9,23 +9,30 @@ from affinity.functions import signals as S
 from affinity.functions.metrics import r6
 
 
+IMPLICIT_RULE = {"is_read": 1.0}
+COMBINED_RULE = S.combined_weights(1.0, 1.0, 1.0)
+
+
 def explicit_matrix(df: DataFrame) -> DataFrame:
     """Rated rows only (rating 0 = not rated): ``(user_id, book_id, rating)``."""
-    return df.where(S.explicit_rule()).select("user_id", "book_id", "rating")
+    return df.where(S.has_rating()).select("user_id", "book_id", "rating")
 
 
 def add_confidence(df: DataFrame, alpha: float, beta: float) -> DataFrame:
-    """Implicit matrix: read rows, ``confidence = 1 + a*is_read + b*is_reviewed``."""
-    return (df.where(S.implicit_rule())
-            .select("user_id", "book_id", S.implicit_confidence(alpha, beta).alias("confidence")))
+    """Implicit matrix: read rows, ``confidence = 1 + a*is_read + b*is_reviewed``
+    (an integer when the weights are)."""
+    kind = "int" if float(alpha).is_integer() and float(beta).is_integer() else "float"
+    return (df.where(S.any_signal(IMPLICIT_RULE))
+            .select("user_id", "book_id", S.weighted_confidence(S.implicit_weights(alpha, beta), kind).alias("confidence")))
 
 
 def build_combined_confidence(df: DataFrame, alpha: float, beta: float, w: float) -> DataFrame:
     """Combined matrix: any-signal rows, ``1 + a*read + b*reviewed + w*rating`` (float)."""
-    return (df.where(S.combined_rule())
+    weights = S.combined_weights(alpha, beta, w)
+    return (df.where(S.any_signal(COMBINED_RULE))
             .select(F.col("user_id").cast("int").alias("user_id"),
                     F.col("book_id").cast("int").alias("book_id"),
-                    S.combined_confidence(alpha, beta, w).alias("confidence")))
+                    S.weighted_confidence(weights).cast("float").alias("confidence")))
 
 
 def confidence_levels(train: DataFrame, alpha: float, beta: float, w: float) -> DataFrame:
@@ -41,9 +48,9 @@ def confidence_levels(train: DataFrame, alpha: float, beta: float, w: float) ->
 def model_coverage(train: DataFrame) -> DataFrame:
     """Rows kept by each model's inclusion rule (one pass) and share of all rows."""
     agg = train.agg(F.count(F.lit(1)).alias("_tot"),
-                    F.count_if(S.explicit_rule()).alias("explicit"),
-                    F.count_if(S.implicit_rule()).alias("implicit"),
-                    F.count_if(S.combined_rule()).alias("combined"))
+                    F.count_if(S.has_rating()).alias("explicit"),
+                    F.count_if(S.any_signal(IMPLICIT_RULE)).alias("implicit"),
+                    F.count_if(S.any_signal(COMBINED_RULE)).alias("combined"))
     rows = F.explode(F.array(*[F.struct(F.lit(m).alias("model"), F.col(m).alias("n_rows")) for m in
                                ("explicit", "implicit", "combined")]))
     return (agg.select("_tot", rows.alias("r"))

@@ -13,7 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from affinity.config import FIXTURE
+from affinity.config import FIXTURE, SAMPLED
 from affinity.functions.metrics import r6
 from affinity.operators import als, evaluation as E, popularity as P, prep, profile as PR
 from affinity.operators import segments as SEG, signals as SG, tuning as T
@@ -30,9 +30,9 @@ def _inter(spark, sf):
 
 
 def _prepared(spark, sf):
-    """The prepared split table, materialised once per query (partitioned by
-    split and role) like the study's split files."""
-    return prep.prepare_table(_inter(spark, sf), CFG)
+    """The prepared split table as a plan: nothing is written while a query is
+    built (``jobs.preprocess`` writes it once for a study)."""
+    return prep.prepare(_inter(spark, sf), CFG)
 
 
 def _train(spark, sf):
@@ -44,7 +44,7 @@ def _active(spark, sf):
 
 
 def _sampled(spark, sf):
-    return prep.sample_users(_active(spark, sf), CFG.sample_fraction, CFG.sample_seed)
+    return prep.sample_users(_active(spark, sf), SAMPLED.sample_fraction, SAMPLED.sample_seed)
 
 
 def _holdout_both(prepared):
@@ -69,10 +69,8 @@ def q_active_user_filter(spark, sf):
 
 
 def q_activity_summary(spark, sf):
-    inter = _inter(spark, sf)
-    active = prep.filter_active(inter, CFG.min_interactions)
-    sampled = prep.sample_users(active, CFG.sample_fraction, CFG.sample_seed)
-    return PR.activity_summary(inter, active, sampled)
+    return PR.activity_summary(_inter(spark, sf), SAMPLED.min_interactions,
+                               prep.sample_predicate(SAMPLED.sample_fraction, SAMPLED.sample_seed))
 
 
 def q_user_sample(spark, sf):
@@ -96,8 +94,7 @@ def q_split_accounting(spark, sf):
 
 
 def q_sample_drift(spark, sf):
-    active = _active(spark, sf)
-    return PR.sample_drift(active, prep.sample_users(active, CFG.sample_fraction, CFG.sample_seed))
+    return PR.sample_drift(_active(spark, sf), prep.sample_predicate(SAMPLED.sample_fraction, SAMPLED.sample_seed))
 
 
 def q_user_split_shares(spark, sf):
@@ -229,12 +226,21 @@ def q_popularity_eval(spark, sf):
     return E.summarize(_popularity_users(spark, sf), keys=("split",))
 
 
+def _own_list_users(spark, sf):
+    """Per-user lists: each evaluated user's own history and holdout items by
+    popularity, judged on the read holdout items."""
+    p = _prepared(spark, sf)
+    own = p.where(F.col("role").isin("history", "holdout"))
+    lists = E.own_item_lists(P.popularity_scores(prep.train_of(p)), own, keys=("split",))
+    return E.evaluate_users(lists, _holdout_both(p).where(F.col("is_read") == 1), keys=("split",))
+
+
 def q_ranking_eval_users(spark, sf):
-    return _per_user_out(_popularity_users(spark, sf, F.col("is_read") == 1))
+    return _per_user_out(_own_list_users(spark, sf))
 
 
 def q_ranking_eval(spark, sf):
-    return E.summarize(_popularity_users(spark, sf, F.col("is_read") == 1), keys=("split",))
+    return E.summarize(_own_list_users(spark, sf), keys=("split",))
 
 
 def q_holdout_labels(spark, sf):
@@ -247,15 +253,13 @@ def q_metrics_long(spark, sf):
 
 
 def _variant_table(spark, sf):
+    """Metrics of the three score variants from one aggregate of train."""
     p = _prepared(spark, sf)
-    train = prep.train_of(p)
-    hold = _holdout_both(p)
-    out = None
-    for v in P.VARIANTS:
-        top = P.popularity_topk(train, CFG.top_k, v).select("rank", "book_id")
-        part = E.evaluate(top, hold, keys=("split",)).select(F.lit(v).alias("variant"), "*")
-        out = part if out is None else out.unionByName(part)
-    return out
+    lists = P.variant_topk(prep.train_of(p), CFG.top_k)
+    hold = _holdout_both(p).withColumn("variant", F.explode(F.array(*[F.lit(v) for v in P.VARIANTS])))
+    joined = hold.join(lists, ["variant", "book_id"], "left").groupBy("variant", "split", "user_id").agg(
+        F.count(F.lit(1)).alias("n_holdout"), F.count("rank").alias("n_hits"), F.min("rank").alias("best_rank"))
+    return E.summarize(E.with_metrics(joined), keys=("variant", "split"))
 
 
 def q_best_config(spark, sf):
@@ -296,7 +300,7 @@ def q_qualified_items(spark, sf):
 
 def q_reader_sets(spark, sf):
     qp, counts = _qualified(spark, sf)
-    return (SEG.reader_sets(qp, counts)
+    return (SEG.reader_sets(qp, counts, CFG.reader_chunk)
             .select("book_id", "chunk", "n_tokens", F.array_join("user_tokens", " ").alias("user_tokens")))
 
 
@@ -306,11 +310,10 @@ def q_minhash_signatures(spark, sf):
 
 
 def q_lsh_candidates(spark, sf):
-    """Candidate pairs the verifier sees: a shared signature and reader counts
-    close enough to reach the threshold (same or adjacent size band)."""
-    qp, counts = _qualified(spark, sf)
-    sig = SEG.minhash_signatures(qp, CFG.num_hash_tables, CFG.minhash_seed)
-    return SEG.banded_candidates(sig, counts, CFG.jaccard_distance).select("book_id_1", "book_id_2")
+    """Every pair that shares a signature (the verifier of ``lsh_pairs`` sees
+    those of them whose reader counts can reach the threshold)."""
+    qp, _ = _qualified(spark, sf)
+    return SEG.lsh_candidates(SEG.minhash_signatures(qp, CFG.num_hash_tables, CFG.minhash_seed))
 
 
 def q_lsh_pairs(spark, sf):
@@ -331,11 +334,15 @@ def q_similarity_bands(spark, sf):
 
 
 # ---------------------------------------------------------------- ALS (rows-only checks)
+def _rank(kind):
+    return CFG.als_explicit_rank if kind == "explicit" else CFG.als_rank
+
+
 def _recs(spark, sf, kind):
     p = _prepared(spark, sf)
     fit_df = als.matrix(prep.fit_rows(p, "tuning"), kind, CFG.alpha, CFG.beta, CFG.rating_weight)
-    model = als.fit(spark, fit_df, kind, CFG.als_rank, CFG.als_reg, CFG.als_iter, CFG.als_seed,
-                    CFG.checkpoint_interval)
+    model = als.fit(spark, fit_df, kind, _rank(kind), CFG.als_reg, CFG.als_iter, CFG.als_seed,
+                    CFG.checkpoint_interval, CFG.als_blocks)
     users = prep.holdout_of(p, "tuning").where(als.holdout_rule(kind))
     return als.recommend(model, users, CFG.top_k)
 
@@ -355,8 +362,8 @@ def q_als_combined_recs(spark, sf):
 def q_als_explicit_rmse(spark, sf):
     p = _prepared(spark, sf)
     fit_df = als.matrix(prep.fit_rows(p, "tuning"), "explicit", CFG.alpha, CFG.beta, CFG.rating_weight)
-    model = als.fit(spark, fit_df, "explicit", CFG.als_rank, CFG.als_reg, CFG.als_iter, CFG.als_seed,
-                    CFG.checkpoint_interval)
+    model = als.fit(spark, fit_df, "explicit", _rank("explicit"), CFG.als_reg, CFG.als_iter, CFG.als_seed,
+                    CFG.checkpoint_interval, CFG.als_blocks)
     return als.rmse(model, prep.holdout_of(p, "tuning"))
 
 
@@ -400,7 +407,7 @@ def q_als_model_roundtrip(spark, sf):
     p = _prepared(spark, sf)
     fit_df = als.matrix(prep.fit_rows(p, "tuning"), "combined", CFG.alpha, CFG.beta, CFG.rating_weight)
     model = als.fit(spark, fit_df, "combined", CFG.als_rank, CFG.als_reg, CFG.als_iter, CFG.als_seed,
-                    CFG.checkpoint_interval)
+                    CFG.checkpoint_interval, CFG.als_blocks)
     path = scratch_path(spark, f"als-model-{uuid.uuid4().hex}")
     als.save_model(model, path)
     loaded = als.load_model(path)

@@ -8,7 +8,7 @@ same Config as the Spark side.
 
 from __future__ import annotations
 
-from affinity.config import FIXTURE, Config
+from affinity.config import FIXTURE, SAMPLED, Config
 from affinity.functions.hashing import hex_threshold
 from affinity.sources.fixtures import (
     ITEM_MAP_OFFSET, RATED_DISCOUNT_BELOW, READ_FLAGS, READER_EVENTS, REVIEWED_TAX_FROM,
@@ -139,6 +139,19 @@ def _per_user_cte(name: str, top: str, holdout_filter: str = "TRUE") -> str:
   GROUP BY h.split, h.user_id)"""
 
 
+def _own_list_cte(name: str) -> str:
+    """Each user's own history and holdout items ranked by popularity, judged on the read holdout items."""
+    return f"""lists AS (
+  SELECT p.split, p.user_id, p.book_id,
+         row_number() OVER (PARTITION BY p.split, p.user_id ORDER BY round(s.popularity_score, 9) DESC, p.book_id) AS rank
+  FROM prepared p JOIN scores s ON s.book_id = p.book_id WHERE p.role IN ('history', 'holdout')),
+{name} AS (
+  SELECT h.split, h.user_id, count(*) AS n_holdout, count(l.rank) AS n_hits, min(l.rank) AS best_rank,
+         coalesce(1.0::DOUBLE / min(l.rank), 0.0) AS ap, coalesce(1.0::DOUBLE / log2(min(l.rank) + 1), 0.0) AS ndcg
+  FROM prepared h LEFT JOIN lists l ON l.split = h.split AND l.user_id = h.user_id AND l.book_id = h.book_id
+  WHERE h.role = 'holdout' AND h.is_read = 1 GROUP BY h.split, h.user_id)"""
+
+
 def _summary_select(per: str, extra_key: str = "") -> str:
     k = f"{extra_key}, " if extra_key else ""
     return f"""SELECT {k}split, round(coalesce(avg(ap), 0.0), 6) AS map, round(coalesce(avg(ndcg), 0.0), 6) AS ndcg,
@@ -190,7 +203,7 @@ def _segment_ctes(cfg: Config) -> list[str]:
 def oracle_sql(cfg: Config = FIXTURE) -> dict[str, str]:
     P = prepared_ctes(cfg)
     A = _active_cte(cfg)
-    S = _sampled_cte(cfg)
+    S = _sampled_cte(cfg if cfg is not FIXTURE else SAMPLED)
     q: dict[str, str] = {}
 
     q["interactions"] = _with(fx_cte()) + "SELECT * FROM fx"
@@ -332,8 +345,9 @@ FROM prepared WHERE {rule} AND role = 'train' AND {cond}""")
                "round(ap, 6) AS ap, round(ndcg, 6) AS ndcg FROM pu")
     q["popularity_eval_users"] = _with(P, TRAIN, SC, TOP, _per_user_cte("pu", "top")) + per_out
     q["popularity_eval"] = _with(P, TRAIN, SC, TOP, _per_user_cte("pu", "top")) + _summary_select("pu")
-    q["ranking_eval_users"] = _with(P, TRAIN, SC, TOP, _per_user_cte("pu", "top", "is_read = 1")) + per_out
-    q["ranking_eval"] = _with(P, TRAIN, SC, TOP, _per_user_cte("pu", "top", "is_read = 1")) + _summary_select("pu")
+    own = _own_list_cte("pu")
+    q["ranking_eval_users"] = _with(P, TRAIN, SC, own) + per_out
+    q["ranking_eval"] = _with(P, TRAIN, SC, own) + _summary_select("pu")
     q["holdout_labels"] = _with(P) + ("SELECT split, user_id, count(*) AS n_holdout FROM prepared "
                                       "WHERE role = 'holdout' GROUP BY split, user_id")
     names = ["map", "ndcg", "n_users", "n_user_hits", "n_item_hits", "user_hit_rate", "item_hit_rate"]
@@ -358,21 +372,15 @@ FROM vt GROUP BY variant"""
     G = _segment_ctes(cfg)
     q["reader_pairs"] = _with(*G[:2]) + "SELECT user_id, book_id FROM rp"
     q["qualified_items"] = _with(*G[:3]) + "SELECT book_id, n_readers FROM qi"
-    q["reader_sets"] = _with(*G[:4]) + """SELECT book_id, chunk, count(*) AS n_tokens,
+    q["reader_sets"] = _with(*G[:4]) + f"""SELECT book_id, chunk, count(*) AS n_tokens,
        string_agg(CAST(user_id AS VARCHAR), ' ' ORDER BY user_id) AS user_tokens
 FROM (SELECT qp.book_id, qp.user_id,
              CAST(CAST('0x' || substr(md5('chunk|' || CAST(qp.user_id AS VARCHAR)), 1, 8) AS BIGINT)
-                  % CAST(ceil(qi.n_readers / 1000.0) AS BIGINT) AS INTEGER) AS chunk
+                  % CAST(ceil(qi.n_readers / {cfg.reader_chunk}.0) AS BIGINT) AS INTEGER) AS chunk
       FROM qp JOIN qi ON qp.book_id = qi.book_id)
 GROUP BY book_id, chunk"""
     q["minhash_signatures"] = _with(*G[:5]) + "SELECT book_id, hash_table, signature FROM sig"
-    from affinity.operators.segments import band_width
-    width = band_width(1.0 - cfg.jaccard_distance)
-    band = f"CAST(floor(ln(qi.n_readers) / {width!r}::DOUBLE) AS BIGINT)" if width else "CAST(0 AS BIGINT)"
-    q["lsh_candidates"] = _with(*G[:5], f"""bsig AS (SELECT sig.book_id, sig.hash_table, sig.signature, {band} AS band
-          FROM sig JOIN qi ON qi.book_id = sig.book_id)""") + """SELECT DISTINCT a.book_id AS book_id_1, b.book_id AS book_id_2
-FROM bsig a JOIN bsig b ON a.hash_table = b.hash_table AND a.signature = b.signature
- AND abs(a.band - b.band) <= 1 AND a.book_id < b.book_id"""
+    q["lsh_candidates"] = _with(*G[:6]) + "SELECT book_id_1, book_id_2 FROM cand"
     q["lsh_pairs"] = _with(*G[:8]) + "SELECT book_id_1, book_id_2, jaccard_similarity FROM lsh"
     q["lsh_reduction"] = _with(*G[:8]) + """SELECT n_items, n_pairs, CAST(n_items * (n_items - 1) // 2 AS BIGINT) AS all_pairs,
        round(n_pairs::DOUBLE / NULLIF(n_items * (n_items - 1) // 2, 0), 9) AS pair_ratio,

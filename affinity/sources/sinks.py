@@ -6,9 +6,6 @@ from pyspark.sql import DataFrame, SparkSession
 
 from affinity.session import checkpoint_dir
 
-# A single-file CSV is only for report-sized frames (top-100 lists, metric rows).
-SMALL_CSV_MAX_ROWS = 10_000
-
 
 def write_parquet(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
     w = df.write.mode("overwrite")
@@ -23,12 +20,9 @@ def write_splits(prepared: DataFrame, path: str) -> None:
     write_parquet(prepared, path, ["split", "role"])
 
 
-def write_small_csv(df: DataFrame, path: str, max_rows: int = SMALL_CSV_MAX_ROWS) -> None:
-    """Single CSV file with a header.  Refuses frames above ``max_rows`` so a
-    large result never funnels through one task."""
-    n = df.limit(max_rows + 1).count()
-    if n > max_rows:
-        raise ValueError(f"write_small_csv: {n}+ rows exceeds {max_rows}; write Parquet instead")
+def write_small_csv(df: DataFrame, path: str) -> None:
+    """Single CSV file with a header, for results that are small by
+    construction (top-k lists, metric rows).  The input runs once."""
     df.coalesce(1).write.mode("overwrite").option("header", True).csv(path)
 
 

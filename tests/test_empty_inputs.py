@@ -17,7 +17,7 @@ def test_operators_on_empty_inputs(spark):
         p, prep.train_union(p), prep.split_users(p), prep.filter_active(e, 5),
         PR.coverage(e), PR.signal_breakdown({"x": e}), PR.rating_histogram(e), PR.user_activity_stats(e),
         PR.size_check(p, "holdout", 20), PR.split_user_overlap(p), PR.split_table_stats(p),
-        PR.readiness(p, F.col("rating") > 0), PR.activity_summary(e, e, e), PR.sample_drift(e, e),
+        PR.readiness(p, F.col("rating") > 0), PR.activity_summary(e, 5, F.lit(True)), PR.sample_drift(e, F.lit(True)),
         PR.user_split_shares(p), PR.split_accounting(p), PR.dataset_summary(p),
         SG.explicit_matrix(train), SG.confidence_levels(train, 10, 20, 5), SG.model_coverage(train),
         SG.initial_rating_weight(train, 10), P.popularity_topk(train, 10), P.popularity_coverage(train),
@@ -29,7 +29,7 @@ def test_operators_on_empty_inputs(spark):
     pairs = SEG.reader_pairs(readers)
     counts = SEG.qualified_items(pairs, 1)
     found = SEG.lsh_pairs(readers, 1, 5, 42, 0.5)
-    frames += [SEG.reader_sets(pairs, counts), SEG.minhash_signatures(pairs, 5, 42), found,
+    frames += [SEG.reader_sets(pairs, counts, 16), SEG.minhash_signatures(pairs, 5, 42), found,
                SEG.lsh_reduction(counts, found), SEG.top_pairs(found, 10), SEG.similarity_bands(SEG.top_pairs(found, 10))]
     for df in frames:
         df.collect()

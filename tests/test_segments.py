@@ -1,6 +1,8 @@
 import random
 from itertools import combinations
 
+from pyspark.sql import functions as F
+
 from affinity.operators import segments as SEG
 
 
@@ -88,12 +90,29 @@ def test_reduction_topk_bands(spark):
     assert sum(bands.values()) == found.count()
 
 
+def mllib_lsh_pairs(readers, min_readers, num_tables, seed, max_distance,
+                    num_features=1 << 30):
+    """The same pairs by MLlib, for comparison: it needs each item's whole reader set in one row."""
+    from pyspark.ml.feature import HashingTF, MinHashLSH
+
+    pairs = SEG.reader_pairs(readers)
+    counts = SEG.qualified_items(pairs, min_readers)
+    qp = pairs.join(counts.select("book_id"), "book_id", "left_semi")
+    tokens = qp.groupBy("book_id").agg(F.collect_list(F.col("user_id").cast("string")).alias("user_tokens"))
+    vec = HashingTF(inputCol="user_tokens", outputCol="features", numFeatures=num_features, binary=True).transform(tokens)
+    model = MinHashLSH(inputCol="features", outputCol="hashes", numHashTables=num_tables, seed=seed).fit(vec)
+    j = model.approxSimilarityJoin(vec, vec, max_distance, distCol="jaccard_dist")
+    return (j.where(F.col("datasetA.book_id") < F.col("datasetB.book_id"))
+            .select(F.col("datasetA.book_id").alias("book_id_1"), F.col("datasetB.book_id").alias("book_id_2"),
+                    F.round(F.lit(1.0) - F.col("jaccard_dist"), 6).alias("jaccard_similarity")))
+
+
 def test_mllib_route_agrees_on_similarity(spark):
     sets = planted_series()
     df = readers_df(spark, sets)
     native = {(r.book_id_1, r.book_id_2): r.jaccard_similarity for r in SEG.lsh_pairs(df, 30, 5, 42, 0.5).collect()}
     ml = {(r.book_id_1, r.book_id_2): r.jaccard_similarity
-          for r in SEG.mllib_lsh_pairs(df, 30, 5, 42, 0.5).collect()}
+          for r in mllib_lsh_pairs(df, 30, 5, 42, 0.5).collect()}
     exact = exact_pairs(sets, 0.5)
     assert set(ml) <= set(exact) and all(ml[p] == exact[p] for p in ml)
     common = set(ml) & set(native)
@@ -129,3 +148,30 @@ def test_banded_candidates_keep_every_feasible_pair(spark):
                     if min(len(sets[a]), len(sets[b])) / max(len(sets[a]), len(sets[b])) >= 1 - dist}
         assert feasible <= band <= allc
         assert len(band) < len(allc)
+
+
+def test_hot_bucket_and_hot_probe_are_split(spark):
+    """One signature shared by every item: its pairs come out of many tasks, and none is lost."""
+    n = 1200
+    sig = spark.range(n).selectExpr("cast(id as int) AS book_id", "0 AS hash_table", "cast(7 as bigint) AS signature")
+    sig = sig.union(spark.range(n, 3 * n).selectExpr("cast(id as int)", "0", "cast(id as bigint)"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        a = sig.withColumnRenamed("book_id", "book_id_1")
+        b = sig.withColumnRenamed("book_id", "book_id_2")
+        per_task = [r["count"] for r in SEG._bucket_join(a, b, ["hash_table", "signature"], 100)
+                    .groupBy(F.spark_partition_id()).count().collect()]
+        assert sum(per_task) == n * (n - 1) // 2
+        assert len(per_task) > 4 and max(per_task) < 0.5 * sum(per_task)
+        assert SEG.lsh_candidates(sig, 100).count() == n * (n - 1) // 2
+        # one hot item: 3,000 readers, 60 candidates
+        sets = {0: set(range(3000))} | {i: set(range(i, 3000 + i)) for i in range(1, 61)}
+        pairs = SEG.reader_pairs(readers_df(spark, sets))
+        cand = spark.createDataFrame([(0, i) for i in range(1, 61)], "book_id_1 int, book_id_2 int")
+        got = {(r.book_id_1, r.book_id_2): r.jaccard_similarity for r in SEG.verify_pairs(
+            cand, pairs, SEG.qualified_items(pairs, 1), 0.5).collect()}
+        assert got == {(0, i): round((3000 - i) / (3000 + i), 6) for i in range(1, 61)}
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")

@@ -1,4 +1,3 @@
-import pytest
 
 from affinity.sources import (materialize, read_interactions_csv, read_item_map_csv, write_parquet,
                               write_small_csv, write_splits)
@@ -22,12 +21,10 @@ def test_item_map_csv(spark, tmp_path):
     assert [tuple(r) for r in read_item_map_csv(spark, str(p)).orderBy("book_id_csv").collect()] == [(0, 1000000), (1, 1000001)]
 
 
-def test_small_csv_guard(spark, tmp_path):
-    df = spark.range(20)
-    write_small_csv(df, str(tmp_path / "ok"), max_rows=20)
+def test_small_csv_is_one_file(spark, tmp_path):
+    write_small_csv(spark.range(20), str(tmp_path / "ok"))
     assert spark.read.option("header", True).csv(str(tmp_path / "ok")).count() == 20
-    with pytest.raises(ValueError):
-        write_small_csv(df, str(tmp_path / "no"), max_rows=10)
+    assert len(list((tmp_path / "ok").glob("part-*.csv"))) == 1
 
 
 def test_write_splits_partitioned(spark, tmp_path):
