@@ -271,9 +271,12 @@ def jaccard_components(docs: DataFrame, text: str = "text", key: str = "doc_id",
                   & (F.least("x.n", "y.n") * den >= F.greatest("x.n", "y.n") * num) & (coarse <= limit) & (apart <= limit))
     near = near.select(F.least("x.class", "y.class").alias("b"), F.greatest("x.class", "y.class").alias("a"),
                        (apart / (limit + 1)).alias("far")).groupBy("a", "b").agg(F.max("far").alias("far"))
-    for t in tried:
-        near = near.join(t.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")), ["a", "b"], "left_anti")
-    near = store.keep(near, "near")
+    near = store.keep(near, "near")  # else the pairs tried before would be left out below the aggregate, bucket by bucket
+    known_pairs = tried[0]
+    for t in tried[1:]:
+        known_pairs = known_pairs.union(t)
+    near = store.keep(near.join(known_pairs.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(),
+                                ["a", "b"], "left_anti"), "near")
     done = 0.0
     for upto in (0.85, 1.0):
         live = with_label(with_label(near.where((F.col("far") >= done) & (F.col("far") < upto)), "a", "la"), "b", "lb").where("la <> lb")
