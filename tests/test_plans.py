@@ -33,11 +33,19 @@ def test_minhash_is_hash_aggregate(spark):
 
 
 def test_topk_and_partition_pruning(spark):
-    df = E.queries()["popularity_eval"](spark, SF001)
-    df.write.format("noop").mode("overwrite").save()
-    plan = df._jdf.queryExecution().executedPlan().toString()
+    from affinity.plans import catalog
+    plan = executed_plan(E.queries()["popularity_topk"](spark, SF001))
     assert "TakeOrderedAndProject" in plan
-    assert "role#" in plan and "PartitionFilters: [isnotnull(role" in plan
+    table = prep.prepare_table(catalog._inter(spark, SF001), catalog.CFG)
+    plan = executed_plan(prep.train_of(table))
+    assert "PartitionFilters: [isnotnull(role" in plan
+
+
+@pytest.mark.parametrize("name, scans", [("activity_summary", 1), ("sample_drift", 2), ("stability_gap", 6)])
+def test_raw_table_is_scanned_once_per_pass(spark, name, scans):
+    """Scans in the plan as built; equal exchanges (activity counts, roles) are reused when it runs."""
+    plan = E.queries()[name](spark, SF001)._jdf.queryExecution().optimizedPlan().toString()
+    assert 0 < plan.count("Relation [l_orderkey") <= scans
 
 
 def test_column_pruning_on_fixture_scan(spark):
