@@ -94,6 +94,9 @@ class Encoder:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.library = Tokenizer.from_file(path)
         self.mark_id, self.mark = max((i, t.content) for i, t in self.library.get_added_tokens_decoder().items())
+        words = self.library.get_vocab(with_added_tokens=False)
+        self.ends_word = np.zeros(max(words.values()) + 3, bool)
+        self.ends_word[[i for w, i in words.items() if w.endswith("</w>")]] = True
         self.known: dict[bytes, bytes] = {}
         self.old: dict[bytes, bytes] = {}
 
@@ -120,19 +123,29 @@ class Encoder:
         return [self.alone(t) if x is None else b"".join(map(known.__getitem__, x)) for t, x in zip(texts, cut)]
 
     def add(self, chunks: list[bytes], step: int = 2000) -> None:
-        groups = [chunks[i:i + step] for i in range(0, len(chunks), step)]
-        mark = self.mark.encode()
-        texts = [mark.join(g).decode("utf-8", "surrogatepass") for g in groups]
-        for group, e in zip(groups, self.library.encode_batch_fast(texts, add_special_tokens=False)):
-            ids = np.array(e.ids, "<u4")
-            at = 4 * np.flatnonzero(ids == self.mark_id)
-            if len(at) != len(group) - 1:
-                raise ValueError("chunks and ids don't match")
-            data = ids.tobytes()
-            for c, a, b in zip(group, [0, *(at + 4).tolist()], [*at.tolist(), len(data)]):
-                self.known[c] = data[a:b]
-
-
+        """Encode chunks: a word of letters alone ends with the one id that ends
+        a word, so blanks part them; others are parted by the special token."""
+        letters = [c for c in chunks if not c.translate(None, _LETTERS) and b"\xc3\x97" not in c and b"\xc3\xb7" not in c]
+        rest = list(set(chunks).difference(letters))
+        for some, between in ((letters, " "), (rest, self.mark)):
+            groups = [some[i:i + step] for i in range(0, len(some), step)]
+            texts = [between.encode().join(g).decode("utf-8", "surrogatepass") for g in groups]
+            for group, e in zip(groups, self.library.encode_batch_fast(texts, add_special_tokens=False)):
+                ids = np.array(e.ids, "<u4")
+                if between == " ":
+                    ends = np.flatnonzero(self.ends_word[ids]) + 1
+                    begins, skip = ends[:-1], 0
+                else:
+                    ends = np.append(np.flatnonzero(ids == self.mark_id), len(ids))
+                    begins, skip = ends[:-1], 1
+                if len(ends) != len(group):
+                    raise ValueError("chunks and ids don't match")
+                data = ids.tobytes()
+                for c, a, b in zip(group, [0, *(4 * (begins + skip)).tolist()], (4 * ends).tolist()):
+                    self.known[c] = data[a:b]
+
+
+_LETTERS = bytes([195, *range(97, 123), *range(128, 192)])
 # Bytes of folded Latin-1 letters, digits, blanks, full stops and commas; symbols that must not be cut apart.
 _LATIN = bytes([32, 44, 46, 195, *range(48, 58), *range(97, 123), *range(128, 192)])
 _TOGETHER = (b"..", b",,", b".,", b",.", b"\xc3\x97", b"\xc3\xb7")
