@@ -42,6 +42,8 @@ MARKED = re.compile(r"""(?:^|[-_\s])(?:ad|ads|advert\w*|adbox|adslot|banner|spon
     |comments?|comment-?list|replies|reply|respond|disqus|form|search\w*|widget\w*|copyright|legal|disclaimer|skip-?link|hidden)(?:$|[-_\s])""",
                     re.I | re.X)
 HOLDERS = frozenset(["article", "main"])
+#: Elements that hold a line or a list of lines, but never a whole text.
+PARTS = frozenset("p h1 h2 h3 h4 h5 h6 li ul ol dl dt dd pre blockquote figure figcaption table tbody thead tr td th caption".split())
 
 
 class _Lines(HTMLParser):
@@ -164,7 +166,7 @@ def main_text(html: str, sigma: float = 1.0, share: float = 0.9) -> str:
     for e in range(len(held) - 1, 0, -1):  # a parent's number is smaller
         held[parser.parent[e]] += held[e]
     holders = [e for e in range(1, len(held)) if parser.name[e] in HOLDERS and held[e] >= 0.5 * held[0]]
-    fitting = holders or [e for e in range(len(held)) if held[e] >= share * held[0]]
+    fitting = holders or [e for e in range(len(held)) if held[e] >= share * held[0] and parser.name[e] not in PARTS]
     best = fitting[-1] if not holders else max(holders)
     keep = np.zeros(len(held), bool)
     keep[best] = True
