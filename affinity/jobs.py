@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from affinity.config import PUBLISHED, Config
 from affinity.operators import als, evaluation as E, popularity as P, prep, profile as PR
 from affinity.operators import segments as SEG, tuning as T
+from affinity.session import persisted
 from affinity.sources import read_interactions_csv, read_item_map_csv, write_parquet, write_small_csv
 
 SPLITS_DIR = "splits"
@@ -74,14 +75,14 @@ def analyze(spark: SparkSession, base: str, cfg: Config = PUBLISHED) -> dict[str
 def popularity(spark: SparkSession, base: str, cfg: Config = PUBLISHED) -> DataFrame:
     """Top-k list from train, evaluated on both holdouts; metrics in long form."""
     p = splits(spark, base)
-    top = P.popularity_topk(prep.train_of(p), cfg.top_k)
-    write_small_csv(top.select("rank", "book_id", "read_count", "avg_rating", "popularity_score"),
-                    _p(base, RESULTS_DIR, "popularity_top"))
     hold = p.where(F.col("role") == "holdout").select("split", *prep.INTERACTION_COLS)
-    summary = E.evaluate(top.select("rank", "book_id"), hold, keys=("split",))
-    metrics = E.metrics_long(summary)
-    write_small_csv(metrics, _p(base, RESULTS_DIR, "popularity_baseline"))
-    return metrics
+    path = _p(base, RESULTS_DIR, "popularity_baseline")
+    with persisted(P.popularity_topk(prep.train_of(p), cfg.top_k)) as top:  # k rows, for the list and its evaluation
+        write_small_csv(top.select("rank", "book_id", "read_count", "avg_rating", "popularity_score"),
+                        _p(base, RESULTS_DIR, "popularity_top"))
+        metrics = E.metrics_long(E.evaluate(top.select("rank", "book_id"), hold, keys=("split",)))
+        write_small_csv(metrics, path)
+    return spark.read.option("header", True).schema(metrics.schema).csv(path)
 
 
 def segments(spark: SparkSession, base: str, item_map_csv: str | None = None, cfg: Config = PUBLISHED) -> DataFrame:
@@ -110,11 +111,13 @@ def als_tune(spark: SparkSession, base: str, kind: str, cfg: Config = PUBLISHED)
 def als_final(spark: SparkSession, base: str, kind: str, cfg: Config = PUBLISHED) -> DataFrame:
     """Two-model protocol; both models saved under ``base/models``."""
     p = splits(spark, base)
-    rows = []
-    for split in ("tuning", "test"):
+
+    def one(split):
         model, r = als.run_split(spark, p, kind, split, cfg)
         als.save_model(model, _p(base, "models", f"als_{kind}_model_{split}"))
-        rows.extend(r)
+        return r
+
+    rows = [r for part in als.run_parallel([lambda s=s: one(s) for s in ("tuning", "test")], 2) for r in part]
     cols = [c.split()[0] for c in als.EVAL_SCHEMA.split(", ")]
     table = spark.createDataFrame([tuple(r.asDict().get(c) for c in cols) for r in rows], als.EVAL_SCHEMA)
     write_small_csv(table, _p(base, RESULTS_DIR, f"als_{kind}_final"))

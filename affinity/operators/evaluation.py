@@ -97,16 +97,21 @@ def best_config(table: DataFrame, config_col: str | list[str], metric: str = "ma
     return t.orderBy(order, *[F.col(c).asc() for c in names]).limit(1)
 
 
-def model_comparison(table: DataFrame, config_col: str, baseline: str, split: str = "test") -> DataFrame:
-    """Per configuration: map / ndcg and % lift over the baseline row (the
-    baseline value comes from a window over the small metric table)."""
+def model_comparison(table: DataFrame, config_col: str, baseline: str | list[str], split: str = "test") -> DataFrame:
+    """Per configuration: map / ndcg and % lift over the baseline's row (from a
+    window over the small metric table); several baselines get columns each."""
     t = table.where(F.col("split") == split).select(config_col, "map", "ndcg")
     everything = Window.partitionBy()
-    bm = F.max(F.when(F.col(config_col) == baseline, F.col("map"))).over(everything)
-    bn = F.max(F.when(F.col(config_col) == baseline, F.col("ndcg"))).over(everything)
-    return t.select(config_col, "map", "ndcg",
-                    r6(F.lit(100.0) * (F.col("map") / F.nullif(bm, F.lit(0.0)) - 1)).alias("map_lift_pct"),
-                    r6(F.lit(100.0) * (F.col("ndcg") / F.nullif(bn, F.lit(0.0)) - 1)).alias("ndcg_lift_pct"))
+
+    def lift(metric, name):
+        base = F.max(F.when(F.col(config_col) == name, F.col(metric))).over(everything)
+        return r6(F.lit(100.0) * (F.col(metric) / F.nullif(base, F.lit(0.0)) - 1))
+
+    if isinstance(baseline, str):
+        lifts = [lift(m, baseline).alias(f"{m}_lift_pct") for m in ("map", "ndcg")]
+    else:
+        lifts = [lift(m, b).alias(f"{m}_lift_vs_{b}_pct") for b in baseline for m in ("map", "ndcg")]
+    return t.select(config_col, "map", "ndcg", *lifts)
 
 
 def stability_gap(table: DataFrame, config_col: str) -> DataFrame:

@@ -8,6 +8,7 @@ SQL is in ``affinity.plans.oracle``.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -403,7 +404,6 @@ def q_als_combined_tune(spark, sf):
 
 def q_als_model_roundtrip(spark, sf):
     """Fit, save to the shared folder, load back and recommend from the loaded model."""
-    import uuid
     p = _prepared(spark, sf)
     fit_df = als.matrix(prep.fit_rows(p, "tuning"), "combined", CFG.alpha, CFG.beta, CFG.rating_weight)
     model = als.fit(spark, fit_df, "combined", CFG.als_rank, CFG.als_reg, CFG.als_iter, CFG.als_seed,
@@ -414,5 +414,76 @@ def q_als_model_roundtrip(spark, sf):
     return als.recommend(loaded, prep.holdout_of(p, "tuning"), CFG.top_k)
 
 
+def _als_facts(spark, sf, kind):
+    """What holds of a fitted model whatever its factors are, as (metric, value)."""
+    p = _prepared(spark, sf)
+    fit_df = als.matrix(prep.fit_rows(p, "tuning"), kind, CFG.alpha, CFG.beta, CFG.rating_weight)
+    model = als.fit(spark, fit_df, kind, _rank(kind), CFG.als_reg, CFG.als_iter, CFG.als_seed,
+                    CFG.checkpoint_interval, CFG.als_blocks)
+    path = scratch_path(spark, f"als-model-{uuid.uuid4().hex}")
+    als.save_model(model, path)
+    holdout = prep.holdout_of(p, "tuning").where(als.holdout_rule(kind))
+    recs = als.recommend(model, holdout, CFG.top_k)
+    loaded = als.recommend(als.load_model(path), holdout, CFG.top_k)
+    lists = recs.groupBy("user_id").agg(F.count(F.lit(1)).alias("n"), F.min("rank").alias("lo"), F.max("rank").alias("hi"),
+                                        F.countDistinct("book_id").alias("items"))
+    per = lists.agg(F.count(F.lit(1)).alias("eval_users"), F.min("n").alias("shortest_list"), F.max("n").alias("longest_list"),
+                    F.count_if((F.col("lo") != 1) | (F.col("hi") != F.col("n")) | (F.col("items") != F.col("n"))).alias("broken_lists"))
+    names = per.columns
+    out = per.selectExpr(f"stack({len(names)}, " + ", ".join(f"'{n}', CAST({n} AS BIGINT)" for n in names) + ") AS (metric, value)")
+
+    def count(name, df):
+        return df.agg(F.count(F.lit(1)).cast("bigint").alias("value")).select(F.lit(name).alias("metric"), "value")
+
+    same = ["user_id", "rank", "book_id", "score"]
+    out = out.unionByName(count("items_outside_fit", recs.join(fit_df.select("book_id").distinct(), "book_id", "left_anti")))
+    out = out.unionByName(count("rows_changed_by_save", recs.select(*same).exceptAll(loaded.select(*same))))
+    if kind == "explicit":
+        out = out.unionByName(als.rmse(model, holdout).select(F.lit("scored_rows").alias("metric"), F.col("n_scored").alias("value")))
+    return out
+
+
+def q_als_explicit_facts(spark, sf):
+    return _als_facts(spark, sf, "explicit")
+
+
+def q_als_implicit_facts(spark, sf):
+    return _als_facts(spark, sf, "implicit")
+
+
+def q_als_combined_facts(spark, sf):
+    return _als_facts(spark, sf, "combined")
+
+
+def _model_table(spark, sf):
+    """Metric rows of popularity and the three ALS models on both splits."""
+    p = _prepared(spark, sf)
+    out = q_popularity_eval(spark, sf).select(F.lit("popularity").alias("model"), "split", "map", "ndcg")
+    for kind in als.KINDS:
+        out = out.unionByName(als.two_model_protocol(spark, p, kind, CFG).select(F.lit(kind).alias("model"), "split", "map", "ndcg"))
+    return out
+
+
+def q_als_model_comparison(spark, sf):
+    """Every model against popularity, explicit and implicit ALS on the test split."""
+    return E.model_comparison(_model_table(spark, sf), "model", ["popularity", "explicit", "implicit"])
+
+
+def q_als_stability_gap(spark, sf):
+    return E.stability_gap(_model_table(spark, sf), "model")
+
+
+def q_als_best_configs(spark, sf):
+    """Best row of each tuning table: least RMSE (explicit), greatest MAP (others)."""
+    p = _prepared(spark, sf)
+    out = None
+    for kind, grid, metric, most in (("explicit", T.explicit_grid, "rmse", False), ("implicit", T.implicit_grid, "map", True),
+                                     ("combined", T.combined_grid, "map", True)):
+        best = E.best_config(grid(spark, p, CFG), ["rank", "reg", "alpha", "beta", "rating_weight"], metric, None, most)
+        best = best.select(F.lit(kind).alias("kind"), "*")
+        out = best if out is None else out.unionByName(best)
+    return out
+
+
 def queries() -> dict[str, Query]:
     return {name[2:]: fn for name, fn in globals().items() if name.startswith("q_") and callable(fn)}

@@ -368,6 +368,23 @@ FROM (SELECT * FROM vt WHERE split = 'test') t,
        round(max(ndcg) FILTER (WHERE split = 'test') - max(ndcg) FILTER (WHERE split = 'tuning'), 6) AS ndcg_gap
 FROM vt GROUP BY variant"""
 
+    # facts of a fitted model that don't depend on its factors
+    rules = {"explicit": "rating > 0", "implicit": "is_read = 1", "combined": any_sig}
+    judged = {"explicit": "rating > 0", "implicit": "is_read = 1", "combined": "TRUE"}
+    for kind, rule in rules.items():
+        facts = {"eval_users": "(SELECT count(DISTINCT user_id) FROM hold WHERE user_id IN (SELECT user_id FROM fit))",
+                 "shortest_list": f"(SELECT least(count(DISTINCT book_id), {cfg.top_k}) FROM fit)",
+                 "longest_list": f"(SELECT least(count(DISTINCT book_id), {cfg.top_k}) FROM fit)",
+                 "broken_lists": "0", "items_outside_fit": "0", "rows_changed_by_save": "0"}
+        if kind == "explicit":
+            facts["scored_rows"] = ("(SELECT count(*) FROM hold WHERE user_id IN (SELECT user_id FROM fit) "
+                                    "AND book_id IN (SELECT book_id FROM fit))")
+        q[f"als_{kind}_facts"] = _with(P, f"""fit AS (SELECT * FROM prepared WHERE
+  (role = 'train' OR (split = 'tuning' AND role = 'history')) AND {rule})""",
+                                       f"hold AS (SELECT * FROM prepared WHERE split = 'tuning' AND role = 'holdout' AND {judged[kind]})"
+                                       ) + " UNION ALL ".join(
+            f"SELECT '{n}' AS metric, CAST({v} AS BIGINT) AS value" for n, v in facts.items())
+
     # segments
     G = _segment_ctes(cfg)
     q["reader_pairs"] = _with(*G[:2]) + "SELECT user_id, book_id FROM rp"
