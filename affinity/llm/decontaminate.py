@@ -12,7 +12,8 @@ same stage, so no broadcast grows with it.
 
 Defined results: null or wordless texts have no words and are never
 contaminated; null or wordless items have no windows; repeated documents are
-judged one by one; repeated item rows count as one item id; empty tables give
+judged one by one; repeated item rows count as one item id; the
+words of an item with a null id are hit, but it is not listed; empty tables give
 an empty result or no hits.  Work is per row: hot sources and groups of copies
 add no shuffle.
 """
@@ -126,7 +127,7 @@ def _scan(df, keep, sent, last):
         for i, w, found in known.hits(buf, s, e, doc, h):
             hit[i] += 1
             hit[i + w] -= 1
-            items.setdefault(int(doc[i]), set()).update(map(str, found))
+            items.setdefault(int(doc[i]), set()).update(str(x) for x in found if x is not None)
         mark = np.cumsum(hit[:-1]) > 0
         edge = np.searchsorted(doc, np.arange(len(texts) + 1))
         out = [[], [], [], []] if last else [[], [], []]
