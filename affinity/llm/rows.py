@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, functions as F, types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 #: Bytes of text that a Python step takes at once; one longer text is a piece of its own.
-PIECE = 4 << 20
+PIECE = 2 << 20
 
 
 def pieces(sizes: list[int], limit: int = PIECE) -> Iterator[tuple[int, int]]:

@@ -30,7 +30,7 @@ from affinity.llm.rows import map_texts
 
 BLANK = "▁"
 #: Segments that a worker remembers between batches, in each of two generations.
-REMEMBERED = 400_000
+REMEMBERED = 200_000
 NO_PIECE = float("-inf")
 
 
