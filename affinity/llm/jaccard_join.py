@@ -211,6 +211,7 @@ def jaccard_components(docs: DataFrame, text: str = "text", key: str = "doc_id",
     buckets = rows.selectExpr("value", "class", "min(class) OVER (PARTITION BY value) AS least",
                               "max(class) OVER (PARTITION BY value) AS most").where("least <> most").select("value", "class").distinct()
     buckets = store.keep(buckets, "buckets")
+    store.release()
     known = store.keep(names.where("sketches IS NOT NULL").groupBy("class").agg(F.first("sketches").alias("s")).join(
         buckets.select("class").distinct(), "class", "left_semi").join(where.select("class", "n"), "class").select(
         "class", "n", F.expr("""transform(s, x -> struct(x.band, x.bits, transform(sequence(0, 15),
@@ -241,6 +242,7 @@ def jaccard_components(docs: DataFrame, text: str = "text", key: str = "doc_id",
         tried.append(pairs)
         links.append(store.keep(_verify(pairs, docs, where, text, key, width, scheme), "links"))
         labels = connected_components(linked(), store, rounds=rounds)
+        store.release()
 
     for turn in range(ROUNDS):
         # Each class beside one of its bucket, another one every round; the nearest of another component is verified.
@@ -254,7 +256,7 @@ def jaccard_components(docs: DataFrame, text: str = "text", key: str = "doc_id",
             "x", f"struct(lead AS class, ln AS n, {mine}.bits AS bits) AS y").where(apart <= limit)
         best = d.select(F.col("x.class").alias("a"), F.col("y.class").alias("b"), (apart / (limit + 1)).alias("far")).groupBy("a").agg(
             F.min(F.struct("far", "b"))["b"].alias("b"))
-        verified(store.keep(best.where("a <> b"), "best"), 2 if turn < ROUNDS - 1 else None)
+        verified(store.keep(best.where("a <> b"), "best"), 2 if turn < ROUNDS - 1 else 4)
 
     # What is left within buckets across components, where the bit sketches are near enough.
     own = with_label(buckets, "class", "label")
@@ -282,8 +284,8 @@ def jaccard_components(docs: DataFrame, text: str = "text", key: str = "doc_id",
         live = with_label(with_label(near.where((F.col("far") >= done) & (F.col("far") < upto)), "a", "la"), "b", "lb").where("la <> lb")
         done = upto
         live = store.keep(live.select("a", "b"), "live")
-        if not live.isEmpty():
-            verified(live)
+        if upto == 1.0 or not live.isEmpty():
+            verified(live, 2 if upto < 1.0 else None)
     pairs = linked().select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
     degree = pairs.select(F.col("a").alias("class")).union(pairs.select("b")).groupBy("class").agg(F.count("*").alias("n_links"))
     classes = where.select("class", "key").join(labels.withColumnRenamed("node", "class"), "class", "left").withColumn(

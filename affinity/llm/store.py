@@ -5,6 +5,7 @@ re-run.  Tables that no later step reads are dropped at once."""
 
 from __future__ import annotations
 
+import gc
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -29,6 +30,13 @@ class Store:
         out.stored_at = path
         return out
 
+    def release(self) -> None:
+        """Let Spark's cleaner remove shuffles and broadcasts of finished steps now:
+        it acts on what the driver has collected as garbage, by default every
+        half hour, and one run here has many short steps."""
+        gc.collect()
+        self.spark._jvm.System.gc()
+
     def drop(self, *tables: DataFrame) -> None:
         jvm = self.spark._jvm
         for t in tables:

@@ -249,6 +249,7 @@ def remove_repeats(docs: DataFrame, text: str = "text", key: str = "doc_id") ->
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     ranges = _scan(d).repartition(n, "key").sortWithinPartitions("key", "context", *_ORDER)
     found = store.keep(_compare(ranges), "found")
+    store.release()
     # Bytes of the contexts that must be compared.
     edges = found.where("kind = 1").groupBy("doc", "h").agg(F.collect_list(F.struct("key", "first", "last")).alias("edges"))
     edges = store.keep(edges, "edges")
