@@ -140,13 +140,12 @@ class Vocabulary:
         for x in [x for x in new if x in old]:
             known[x] = old[x]
         new = [x for x in new if x not in known]
-        bodies = {}
         for x in new:
             mark = x[-1] if x[-1] in self.marks and x[-2:-1].isalpha() else ""
             body = x[:-1] if mark else x
-            ids = known.get(body) or old.get(body) or bodies.get(body)
+            ids = known.get(body) or old.get(body)
             if ids is None:
-                ids = bodies[body] = np.array(self.agenda(body), "<u4").tobytes()
+                ids = known[body] = np.array(self.agenda(body), "<u4").tobytes()
             known[x] = ids + self.marks[mark] if mark else ids
         agreed = not new or self.agrees(new)
         if not agreed:
