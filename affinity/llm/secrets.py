@@ -63,9 +63,9 @@ for _c in "+/_-=":
     _CLASS[ord(_c)] = 62
 #: Upper case, lower case, digits, the rest of base64, everything else.
 GROUPS = ((0, 26), (26, 52), (52, 62), (62, 63), (63, 64))
-#: For each encoding and symbol class log10 of how many symbols of its group the encoding has.
-_SIZES = {name: np.array([math.log10(max(1, sum(a <= _CLASS[ord(c)] < b for c in symbols)) if b < 63 else 1)
-                          for a, b in GROUPS for _ in range(a, b)]) for name, symbols in ALPHABETS.items()}
+_GROUP = np.array([g for g, (a, b) in enumerate(GROUPS) for _ in range(a, b)])
+#: Ordinary names mix groups more often than prose: its rate of changes is taken as this at least.
+LEAST_CHANGE = 0.05
 
 
 def base_spans(text: str) -> list[tuple[int, int, str]]:
@@ -121,13 +121,19 @@ def is_random(token: str, alpha: float) -> bool:
     return min(battery(token)) >= alpha / 3
 
 
-def score(token: str, pairs: np.ndarray, alpha: float) -> float:
+def score(token: str, model: tuple[np.ndarray, float], alpha: float) -> float:
     """-log10 of the token's p-value of ordinary text; 0 if the battery says it isn't random.
 
-    Both likelihoods are given the token's pattern of upper and lower case,
-    digits and other symbols, so that a rare pattern alone is no evidence."""
+    Ordinary text stays in its group of symbols or changes it, and then takes a
+    symbol of the group by the one before; uniform draws take any symbol."""
+    pairs, change = model
+    symbols = ALPHABETS[encoding(token)]
     c = _CLASS[np.frombuffer(token.rstrip("=").encode(), np.uint8)]
-    gain = float((pairs[c[:-1], c[1:]] + _SIZES[encoding(token)][c[1:]]).sum())
+    groups = len({_GROUP[_CLASS[ord(x)]] for x in symbols})
+    gain = float(pairs[c[:-1], c[1:]].sum()) + (len(c) - 1) * math.log10(len(symbols))
+    if groups > 1:
+        changes = int((_GROUP[c[1:]] != _GROUP[c[:-1]]).sum())
+        gain += changes * math.log10(change / (groups - 1)) + (len(c) - 1 - changes) * math.log10(1 - change)
     return -gain if gain < 0 and is_random(token, alpha) else 0.0
 
 
@@ -142,8 +148,10 @@ def band(length: int) -> int:
     return sum(length >= b for b in BANDS) - 1
 
 
-def pair_model(docs: DataFrame, text: str = "text") -> np.ndarray:
-    """log10 P(next symbol | symbol, group of the next) over all texts, add-one smoothed; 64 x 64 whatever the corpus."""
+def pair_model(docs: DataFrame, text: str = "text") -> tuple[np.ndarray, float]:
+    """log10 P(next symbol | symbol, group of the next) over all texts, smoothed
+    by five uniform counts a symbol, and how often letters and digits change
+    their group; 64 x 64 whatever the corpus."""
 
     def step(acc, texts):
         c = _CLASS[np.frombuffer("\n".join(texts).encode("utf-8", "surrogatepass"), np.uint8)]
@@ -155,18 +163,20 @@ def pair_model(docs: DataFrame, text: str = "text") -> np.ndarray:
         return [at.tolist(), acc[at].tolist()]
 
     rows = gather_texts(docs, text, "pair int, n long", lambda: np.zeros(4096, np.int64), step, finish)
-    count = np.ones(4096)
+    count = np.full(4096, 5.0)
     for r in rows.groupBy("pair").agg(F.sum("n").alias("n")).collect():
         count[r["pair"]] += r["n"]
     count = count.reshape(64, 64)
+    named = count[:62, :62]
+    change = float(named[_GROUP[:62, None] != _GROUP[None, :62]].sum() / named.sum())
     for a, b in GROUPS:  # given that the next symbol is of this group
         count[:, a:b] /= count[:, a:b].sum(1, keepdims=True)
-    return np.log10(count)
+    return np.log10(count), min(max(change, LEAST_CHANGE), 0.5)
 
 
-def thresholds(docs: DataFrame, pairs: np.ndarray, text: str = "text", q: float = 0.01, alpha: float = 0.001) -> list[float]:
+def thresholds(docs: DataFrame, model: tuple[np.ndarray, float], text: str = "text", q: float = 0.01, alpha: float = 0.001) -> list[float]:
     """For each length band the least -log10 p that Benjamini-Hochberg admits (infinite: none)."""
-    sent = docs.sparkSession.sparkContext.broadcast(pairs)
+    sent = docs.sparkSession.sparkContext.broadcast(model)
 
     def step(acc, texts):
         for t in texts:
@@ -197,9 +207,9 @@ def scan_secrets(docs: DataFrame, text: str = "text", keep: tuple[str, ...] = ("
     """``keep`` columns of every document beside base and all spans
     (array of struct(start, end, kind), code points, end exclusive) and
     masked_text."""
-    pairs = pair_model(docs, text)
-    least = thresholds(docs, pairs, text, q, alpha)
-    sent = docs.sparkSession.sparkContext.broadcast((pairs, least))
+    model = pair_model(docs, text)
+    least = thresholds(docs, model, text, q, alpha)
+    sent = docs.sparkSession.sparkContext.broadcast((model, least))
 
     def step(texts):
         known, limit = sent.value
