@@ -59,6 +59,15 @@ def _batch(cols, names, types) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)], names=names)
 
 
+def _equal_to_last(*columns: np.ndarray) -> np.ndarray:
+    """Whether a row's values are those of the row before; a repeated row's ranges are one range."""
+    out = np.ones(len(columns[0]), bool)
+    out[:1] = False
+    for c in columns:
+        out[1:] &= c[1:] == c[:-1]
+    return out
+
+
 def _scan(d: DataFrame) -> DataFrame:
     """Anchor ranges; kind 0 where an equal range of the same piece is earlier."""
 
@@ -71,10 +80,11 @@ def _scan(d: DataFrame) -> DataFrame:
                 own, oh = doc[i:j][r.doc], h[i:j][r.doc]
                 order = np.lexsort((r.first, oh, own, r.context, r.key))
                 key, context = r.key[order], r.context[order]
+                own, oh, first, last = own[order], oh[order], r.first[order], r.last[order]
                 again = np.zeros(len(order), bool)
                 again[1:] = (key[1:] == key[:-1]) & (context[1:] == context[:-1])
-                yield _batch([np.where(again, 0, 1), key.view(np.int64), context.view(np.int64), own[order], oh[order],
-                              r.first[order], r.last[order]],
+                at = np.flatnonzero(~(again & _equal_to_last(own, oh, first)))
+                yield _batch([np.where(again, 0, 1)[at], key.view(np.int64)[at], context.view(np.int64)[at], own[at], oh[at], first[at], last[at]],
                              ["kind", "key", "context", "doc", "h", "first", "last"],
                              [pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32()])
 
@@ -108,7 +118,7 @@ def _compare(ranges: DataFrame) -> DataFrame:
             out = other.copy()
             out[first[np.flatnonzero(other) - 1]] = True
             # Locally found repeats (kind 0) are repeats in any case.
-            repeat = same | (kind == 0)
+            repeat = (same | (kind == 0)) & ~(same & _equal_to_last(*rest[:3]))
             if before is not None:
                 repeat[0] = False
                 out[0] &= not before[3]

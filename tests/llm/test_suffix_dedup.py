@@ -76,3 +76,16 @@ def test_nulls_repeated_rows_and_empty_table(spark):
     rows = S.remove_repeats(docs(spark, [t, t, t, None, ""], [None, 3, 3, 4, 5])).collect()
     assert sorted((r.doc_id is not None, r.n_removed == r.n_bytes) for r in rows if r.n_bytes) == [(False, False), (True, True), (True, True)]
     assert S.remove_repeats(docs(spark, [t]).limit(0)).count() == 0
+
+
+def test_equal_rows_without_another_copy_keep_their_text(spark):
+    t, u = sentences(6, 60), sentences(7, 60)
+    some = [t, t, u, t + u, u]
+    ids = [1, 1, 2, 3, 2]
+    want = brute(sorted({(i, x.encode()) for i, x in zip(ids, some)}))
+    for parts in (1, 5):
+        rows = S.remove_repeats(docs(spark, some, ids).repartition(parts)).collect()
+        assert len(rows) == 5
+        for r in rows:
+            assert (r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept)) == want[r.doc_id]
+    assert want[1][1] == want[2][1] == 0 and want[3][1] > 0
