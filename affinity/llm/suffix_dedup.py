@@ -18,6 +18,11 @@ anchors (``anchors``), so they meet under their anchor's key:
    part is their common prefix, so after WINDOW / SYMBOL rounds the blocks left
    are the repeated intervals of WINDOW bytes; no merged suffix is sorted again.
    In each interval all but the earliest window are repeats.
+4. A key with more than UNIT bytes of contexts (a passage with other bytes
+   around it in very many documents) is not merged in one task: its contexts are
+   dealt on by the hashes of their windows, so equal windows still meet, as rows
+   without bytes.  Those that repeat within a batch are repeats already; the
+   least stays.  The rest are compared in order, one row at a time.
 
 A symbol is SYMBOL bytes (its 64-bit hash, numbered within a task), a string's
 suffixes at distance SYMBOL form a chain.  Equality of contexts and symbols is
@@ -44,7 +49,7 @@ from affinity.llm.rows import text_pieces
 from affinity.llm.store import Store, possibly_in
 
 SYMBOL = 20
-#: Suffixes that a task merges at once (a key's contexts are never parted); shards of a merge.
+#: Suffixes that a task merges at once, up to twice as many (a key of more than UNIT goes by its windows); shards of a merge.
 UNIT, SHARDS = 60_000, 4
 _ORDER = ["doc", "h", "first"]
 _FOUND = "kind int, key bigint, doc bigint, h bigint, first int, last int"
@@ -213,13 +218,42 @@ def _sorted_suffixes(symbol: np.ndarray, goes_on: np.ndarray, longest: int) -> n
     return np.argsort(rank, kind="stable")
 
 
+def window_keys(context: bytes, key: int) -> np.ndarray:
+    """64-bit hash of each window of a context, under its key."""
+    view = np.lib.stride_tricks.sliding_window_view(np.frombuffer(context, np.uint8), WINDOW)
+    return words.mix(words.mix((view.astype(np.uint64) + np.uint64(1)) @ words.powers(WINDOW)) ^ np.uint64(key & (1 << 64) - 1)).view(np.int64)
+
+
+def _windows(key: list[int], doc: list[int], h: list[int], first: list[int], context: list[bytes]) -> list[tuple]:
+    """Rows (key, doc, h, first, last, bytes) of the contexts' windows: null bytes
+    for the least of each in these contexts; empty bytes, and a key that
+    spreads them, for the others, which are repeats."""
+    each = [window_keys(c, k) for c, k in zip(context, key)]
+    owner = np.repeat(np.arange(len(each)), [len(e) for e in each])
+    w = np.concatenate(each)
+    start = np.concatenate([f + np.arange(len(e)) for f, e in zip(first, each)])
+    d, t = np.array(doc, np.int64)[owner], np.array(h, np.int64)[owner]
+    order = np.lexsort((start, t, d, w))
+    w, d, t, start = w[order], d[order], t[order], start[order]
+    later = np.zeros(len(w), bool)
+    later[1:] = w[1:] == w[:-1]
+    out = [(*x, None) for x in zip(*(c[~later].tolist() for c in (w, d, t, start, start)))]
+    d, t, start = d[later], t[later], start[later]
+    order = np.lexsort((start, t, d))
+    d, t, start = d[order], t[order], start[order]
+    at = np.flatnonzero(~(_equal_to_last(d, t) & _equal_to_last(start - np.arange(len(start)))))
+    end = start[np.append(at[1:], len(start))[:len(at)] - 1]
+    return out + [(*x, b"") for x in zip(*(c.tolist() for c in (t[at], d[at], t[at], start[at], end)))]
+
+
 def _merge(contexts: DataFrame) -> DataFrame:
     """Window ranges (doc, h, first, last) that an earlier equal window makes repeats."""
     names, types = ["kind", "key", "doc", "h", "first", "last"], [pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32()]
+    unit = UNIT
 
     def solve(rows: list[tuple]) -> pa.RecordBatch:
-        """Rows are (key, doc, h, first, bytes) in the order of key, doc, h, first."""
-        context, offset, block = repeated_windows([r[4] for r in rows])
+        """Rows are (key, doc, h, first, last, bytes) in the order of key, doc, h, first."""
+        context, offset, block = repeated_windows([r[5] for r in rows])
         first = np.array([r[3] for r in rows], np.int64)
         # Equal windows have one key; rows are in document order within a key, so the least (context, offset) is the earliest.
         order = np.lexsort((offset, context, block))
@@ -237,14 +271,23 @@ def _merge(contexts: DataFrame) -> DataFrame:
                        s[at], s[end]], names, types)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows, held = [], 0
+        rows, held, window = [], 0, None
         for b in batches:
-            for r in zip(*(b.column(k).to_pylist() for k in range(5))):
-                if held >= UNIT and r[0] != rows[-1][0]:
+            known = []  # repeats by windows
+            for r in zip(*(b.column(k).to_pylist() for k in range(6))):
+                if not r[5]:
+                    if r[5] is not None or r[0] == window:
+                        known.append((0, *r[:5]))
+                    if r[5] is None:
+                        window = r[0]
+                    continue
+                if held >= unit and r[0] != rows[-1][0]:
                     yield solve(rows)
                     rows, held = [], 0
                 rows.append(r)
-                held += len(r[4])
+                held += len(r[5])
+            if known:
+                yield _batch(list(zip(*known)), names, types)
         if rows:
             yield solve(rows)
 
@@ -261,21 +304,32 @@ def remove_repeats(docs: DataFrame, text: str = "text", key: str = "doc_id") ->
     found = store.keep(_compare(ranges), "found")
     store.release()
     # Bytes of the contexts that must be compared.
-    edges = found.where("kind = 1").groupBy("doc", "h").agg(F.collect_list(F.struct("key", "first", "last")).alias("edges"))
+    edges = found.where("kind = 1")
+    wide = edges.groupBy("key").agg(F.sum(F.col("last") - F.col("first") + WINDOW).alias("n")).where(F.col("n") > UNIT)
+    edges = possibly_in(edges, "key", wide.select("key"), "wide")
+    edges = edges.groupBy("doc", "h").agg(F.collect_list(F.struct("key", "first", "last", "wide")).alias("edges"))
     edges = store.keep(edges, "edges")
     own = possibly_in(d, "h", edges.select("h")).where("maybe").dropDuplicates(["doc", "h"])
     texts = own.join(edges, ["doc", "h"]).select("doc", "h", "t", "edges")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for doc, h, t, some in zip(*(b.column(k).to_pylist() for k in range(4))):
-                raw = t.encode("utf-8", "surrogatepass")
-                m = len(some)
-                yield _batch([[e["key"] for e in some], [doc] * m, [h] * m, [e["first"] for e in some],
-                              [raw[e["first"]:e["last"] + WINDOW] for e in some]], ["key", "doc", "h", "first", "bytes"],
-                             [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary()])
-
-    contexts = texts.mapInArrow(cut, "key bigint, doc bigint, h bigint, first int, bytes binary")
+            for i, j, texts in text_pieces(b.column(2)):
+                rows, spread = [], []
+                for doc, h, t, some in zip(*(b.column(k).slice(i, j - i).to_pylist() for k in (0, 1)), texts, b.column(3).slice(i, j - i).to_pylist()):
+                    raw = t.encode("utf-8", "surrogatepass")
+                    for x in some:
+                        own = raw[x["first"]:x["last"] + WINDOW]
+                        if x["wide"]:
+                            spread.append((x["key"], doc, h, x["first"], own))
+                        else:
+                            rows.append((x["key"], doc, h, x["first"], x["last"], own))
+                rows += _windows(*map(list, zip(*spread))) if spread else []
+                if rows:
+                    yield _batch(list(zip(*rows)), ["key", "doc", "h", "first", "last", "bytes"],
+                                 [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary()])
+
+    contexts = texts.mapInArrow(cut, "key bigint, doc bigint, h bigint, first int, last int, bytes binary")
     more = _merge(contexts.repartition(n, "key").sortWithinPartitions("key", *_ORDER))
     marks = found.where("kind = 0").select("doc", "h", "first", "last").union(more.select("doc", "h", "first", "last"))
     marks = store.keep(marks.groupBy("doc", "h").agg(F.collect_list(F.struct("first", "last")).alias("marks")), "marks")

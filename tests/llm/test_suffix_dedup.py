@@ -89,3 +89,23 @@ def test_equal_rows_without_another_copy_keep_their_text(spark):
         for r in rows:
             assert (r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept)) == want[r.doc_id]
     assert want[1][1] == want[2][1] == 0 and want[3][1] > 0
+
+
+def test_a_key_with_many_contexts_is_not_merged_in_one_task(spark, monkeypatch):
+    """A passage of fewer than 100 bytes, and one of more, with other bytes around them in every document."""
+    short, long = words(8, 40)[:60], words(9, 60)[:130]
+    some = [f"{words(400 + i // 2, 30)} {p} {words(500 + i % 7, 30)}" for i in range(60) for p in (short, long)]
+    want = brute((i, t.encode()) for i, t in enumerate(some))
+    monkeypatch.setattr(S, "UNIT", 1000)
+    merged = docs(spark, some).sparkSession.sparkContext.accumulator(0)
+    plain = S.repeated_windows
+
+    def counted(contexts):
+        if sum(map(len, contexts)) > 2 * 1000 + 200:
+            merged.add(1)
+        return plain(contexts)
+
+    monkeypatch.setattr(S, "repeated_windows", counted)
+    got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept)) for r in S.remove_repeats(docs(spark, some).repartition(4)).collect()}
+    assert got == want and sum(v[1] for v in want.values()) > 1000
+    assert not merged.value
