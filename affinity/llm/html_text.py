@@ -7,9 +7,15 @@ clustering of the smoothed ratios gives the threshold that parts content lines
 from the rest.  Lines inside menus, headers, footers, sidebars, notices,
 adverts, forms, comments, scripts and styles never count, whatever their ratio.
 
-The content region is then the smallest element that holds nearly all text of
-the content lines (an ``article`` or ``main`` around it wins), and all its lines are
-taken, short ones too, so that one-word paragraphs stay.
+The content region starts from the smallest element that holds nearly all text
+of the content lines (the innermost ``article`` or ``main`` with half of it wins).
+If lines with the ratio of content of their own (the threshold, or a quarter of
+the content's mean) are outside of it, it grows to the least element that holds
+them all, or to an ``article`` or ``main`` around
+that one.  All lines of the region are taken, short ones too, so that one-word
+paragraphs stay; only a region that grew beyond ``article`` and ``main`` loses
+the children before its first and behind its last with such a line, other than
+headings and paragraphs that touch these.
 
 Defined results: null or empty html, and html without content, give an empty
 text; broken markup (unclosed or crossing tags, cut pages) is taken as the
@@ -44,6 +50,8 @@ MARKED = re.compile(r"""(?:^|[-_\s])(?:ad|ads|advert\w*|adbox|adslot|banner|spon
 HOLDERS = frozenset(["article", "main"])
 #: Elements that hold a line or a list of lines, but never a whole text.
 PARTS = frozenset("p h1 h2 h3 h4 h5 h6 li ul ol dl dt dd pre blockquote figure figcaption table tbody thead tr td th caption".split())
+#: Children that a region keeps at its edges whatever their ratio.
+EDGES = frozenset("p h1 h2 h3 h4 h5 h6".split())
 
 
 class _Lines(HTMLParser):
@@ -155,8 +163,10 @@ def main_text(html: str, sigma: float = 1.0, share: float = 0.9) -> str:
     if not lines:
         return ""
     size = np.array([len(t) for t, _, _ in lines], float)
-    value = smoothed(size / np.array([max(1, n) for _, n, _ in lines]), sigma)
-    weight = np.where(value >= threshold(value), size, 0.0)
+    ratio = size / np.array([max(1, n) for _, n, _ in lines])
+    value = smoothed(ratio, sigma)
+    cut = threshold(value) * (1 - 1e-9)  # equal values stay at it, however it is rounded
+    weight = np.where(value >= cut, size, 0.0)
     # Text of content lines in each element and all below it.
     held = np.zeros(len(parser.parent))
     inside = [0] * len(lines)
@@ -168,11 +178,60 @@ def main_text(html: str, sigma: float = 1.0, share: float = 0.9) -> str:
     holders = [e for e in range(1, len(held)) if parser.name[e] in HOLDERS and held[e] >= 0.5 * held[0]]
     fitting = holders or [e for e in range(len(held)) if held[e] >= share * held[0] and parser.name[e] not in PARTS]
     best = fitting[-1] if not holders else max(holders)
-    keep = np.zeros(len(held), bool)
+    keep = below(parser.parent, best)
+    # Content by themselves, not by their neighbours, wherever they are: two-means parts paragraphs too where no line is low.
+    mean = float((weight * ratio).sum() / weight.sum())
+    own = np.flatnonzero(ratio >= min(cut, threshold(ratio), mean / 4))
+    if all(keep[inside[k]] for k in own):
+        return " ".join(t for t, _, e in lines if keep[e])
+    region = common(parser.parent, [inside[k] for k in own] + [best])
+    around = region
+    while around > 0 and parser.name[around] not in HOLDERS:
+        around = parser.parent[around]
+    if around > 0:
+        keep = below(parser.parent, around)
+        return " ".join(t for t, _, e in lines if keep[e])
+    keep = below(parser.parent, region)
+    child = [top_child(parser.parent, region, e) for e in inside]
+    held_by = {child[k] for k in own} - {region}
+    alone = set(own.tolist())
+    full = [k for k in range(len(lines)) if keep[inside[k]] and (child[k] in held_by or k in alone)]
+    first, last = full[0], full[-1]
+    edge = lambda k: keep[inside[k]] and (child[k] == region or parser.name[child[k]] in EDGES)
+    while first > 0 and edge(first - 1):
+        first -= 1
+    while last + 1 < len(lines) and edge(last + 1):
+        last += 1
+    return " ".join(t for k, (t, _, e) in enumerate(lines) if first <= k <= last and keep[e])
+
+
+def below(parent: list[int], best: int) -> np.ndarray:
+    """Which elements are the given one or inside it."""
+    keep = np.zeros(len(parent), bool)
     keep[best] = True
-    for e in range(best + 1, len(held)):
-        keep[e] = keep[parser.parent[e]]
-    return " ".join(t for t, _, e in lines if keep[e])
+    for e in range(best + 1, len(parent)):
+        keep[e] = keep[parent[e]]
+    return keep
+
+
+def common(parent: list[int], elements: list[int]) -> int:
+    """The least element that holds all of them."""
+    out = elements[0]
+    for e in elements[1:]:
+        while e != out:  # a parent's number is smaller
+            if e > out:
+                e = parent[e]
+            else:
+                out = parent[out]
+    return out
+
+
+def top_child(parent: list[int], region: int, e: int) -> int:
+    """The child of the region that e is in; the region for itself and what is outside."""
+    at = e
+    while at > region and parent[at] != region:
+        at = parent[at]
+    return at if at > region else region
 
 
 def extract(pages: DataFrame, html: str = "html", keep: tuple[str, ...] = ("page_id", "url"), sigma: float = 1.0,

@@ -49,3 +49,20 @@ def test_query_against_the_template(spark):
     pages = {r.page_id: r.html for r in spark.read.parquet(f"{SF}/pages.parquet").collect()}
     for r in E.queries()["op4_html_text"](spark, SF).collect():
         assert r.text == truth(pages[r.page_id]) and r.n_chars == len(r.text)
+
+
+WHOLE = [
+    (f"<main><article><p>{P}</p><p>{P}</p></article><section><p>{P}</p></section></main>", f"{P} {P} {P}"),
+    (f"<main><article><p>{P}</p><p>{P}</p><p>{P}</p></article><section><p>{P}</p><p>x</p><p>{P}</p></section></main>", f"{P} {P} {P} {P} x {P}"),
+    (f"<nav>n</nav><div><article><p>{P}</p><p>1</p></article><article><p>{P}</p><p>2</p></article></div>", f"{P} 1 {P} 2"),
+    (f"<article><p>{P}</p></article><article><p>{P}</p></article><article><p>{P}</p></article>", f"{P} {P} {P}"),
+    (f"<body><div><ul><li><a>Home</a><li><a>News</a></ul></div><h1>T</h1><div><p>{P}</p></div><div>" + f"<p>{P}</p>" * 30
+     + f"<p>y</p></div><div><p>{P}</p><p>end</p></div><div><a>Legal</a></div>", " ".join(["T", *[P] * 31, "y", P, "end"])),
+    (f"<main><div><p>{P}</p></div><div class=\"sidebar\"><p>{P}</p></div><article>" + f"<p>{P}</p>" * 12 + "</article><p>z</p></main>", " ".join([*[P] * 13, "z"])),
+    (f"{P}<div>" + f"<p>{P}</p>" * 12 + "</div>", " ".join([P] * 13)),
+]
+
+
+@pytest.mark.parametrize("page, text", WHOLE)
+def test_content_in_several_elements_is_whole(page, text):
+    assert main_text(page) == text
