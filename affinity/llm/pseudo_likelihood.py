@@ -10,8 +10,10 @@ words (ties in word order); other words are 32 tokens by length.  It is
 bounded, so it is broadcast.
 
 Training: in each round every task starts from the same weights and takes one
-pass of mini-batch gradient steps over its documents, masking a fixed share of
-the positions of every document (chosen by a hash of place and round).  The
+pass of mini-batch gradient steps over its documents, masking a share of the
+places (by a hash of text and place together).  The rounds take the hash's
+range in turn, so by default two rounds of a half predict every token of every
+document once, and the second starts from the average of all tasks.  The
 tasks' weights are averaged by the number of tokens masked, chunk by chunk, as
 Spark rows; the driver holds one set of weights.  What is gathered grows with
 the number of tasks, that is with the corpus.  The weights depend on how the
@@ -24,6 +26,7 @@ often as they occur; an empty table gives an empty result.
 
 from __future__ import annotations
 
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 
@@ -31,6 +34,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from affinity.llm import words as hashes
 from affinity.llm.rows import gather_texts, map_texts
 
 SIZE, CLASSES, WIDTH, HIDDEN = 1024, 32, 2, 24
@@ -153,14 +157,23 @@ def _residual(x: np.ndarray, at: np.ndarray) -> np.ndarray:
     return x
 
 
-def train(docs: DataFrame, known: dict[str, int], text: str = "text", rounds: int = 1, masked: float = 0.15, rate: float = 1.0,
+def chosen(texts: list[str], sizes: np.ndarray, turn: int, masked: float) -> np.ndarray:
+    """Which tokens of the texts a round masks: its share of the range of a hash
+    of text and place, so 1 / masked rounds together take every token."""
+    own = np.fromiter((zlib.crc32(t.encode("utf-8", "surrogatepass")) for t in texts), np.uint64, len(texts))
+    inside = np.arange(int(sizes.sum())) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    at = hashes.mix((np.repeat(own, sizes) << np.uint64(32)) + inside.astype(np.uint64)) >> np.uint64(32)
+    share = int(np.ceil(masked * 2**32))
+    return (at - np.uint64(turn * share % 2**32)) % np.uint64(2**32) < np.uint64(share)
+
+
+def train(docs: DataFrame, known: dict[str, int], text: str = "text", rounds: int = 2, masked: float = 0.5, rate: float = 1.0,
           batch: int = 512, chunks: int = 64) -> Network:
-    """Average of the tasks' networks after each round; each document has a
-    ``masked`` share of its places predicted in each round."""
+    """Average of the tasks' networks after each round; a ``masked`` share of
+    all places is predicted in each, another one each time (``chosen``)."""
     spark = docs.sparkSession
     net = Network()
     width = -(-len(net.flat) // chunks)
-    limit = np.uint32(int(masked * 2**32))
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     for turn in range(rounds):
         sent = spark.sparkContext.broadcast((known, net.flat))
@@ -170,10 +183,7 @@ def train(docs: DataFrame, known: dict[str, int], text: str = "text", rounds: in
 
         def step(acc, texts, turn=turn):
             ids, sizes = token_ids(texts, sent.value[0])
-            at = places(sizes)
-            # The place within the document decides, so no document is without its share.
-            inside = np.arange(len(at)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-            pick = at[((inside + 1 + turn * 7919).astype(np.uint32) * np.uint32(2654435761) + ids[at].astype(np.uint32) * np.uint32(40503)) < limit]
+            pick = places(sizes)[chosen(texts, sizes, turn, masked)]
             for i in range(0, len(pick), batch):
                 acc["net"].step(ids, pick[i:i + batch], rate)
             acc["n"] += len(pick)

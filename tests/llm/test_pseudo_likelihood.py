@@ -78,3 +78,33 @@ def test_odd_rows_and_empty_tables(spark):
         assert (rows[i].perplexity is None) == (rows[i].n_tokens == 0)
         assert np.isfinite(rows[i].log_likelihood)
     assert P.score(d.limit(0), P.vocabulary(d.limit(0)), P.train(d.limit(0), {})).count() == 0
+
+
+def test_the_rounds_of_the_query_predict_every_token_once():
+    import inspect
+    some = [t or "" for t in texts()] + ["a b c", "a b d", "x"]
+    sizes = np.array([len(P.tokens(t)) for t in some])
+    default = {k: v.default for k, v in inspect.signature(P.train).parameters.items()}
+    assert default["rounds"] > 1
+    taken = [P.chosen(some, sizes, turn, default["masked"]) for turn in range(default["rounds"])]
+    assert (np.sum(taken, 0) == 1).all()
+    every = [P.chosen(some, sizes, turn, 0.3) for turn in range(4)]
+    assert np.any(every, 0).all()
+    a, b = (P.chosen([t], np.array([400]), 0, 0.5) for t in ("one " * 400, "two " * 400))
+    assert 120 < (a != b).sum() < 280  # another text has other places
+
+
+def test_the_defaults_learn_from_every_place(spark):
+    """One round of 15 % reaches -0.78 a token here, two rounds that take every place -0.21."""
+    words = [f"w{i}" for i in range(30)]
+
+    def chain(seed, n):
+        rng = np.random.default_rng(seed)
+        at = np.cumsum(np.where(rng.random(n) < 0.9, 1, rng.integers(0, 30, n))) % 30
+        return " ".join(words[i] for i in at)
+
+    train = docs(spark, [chain(i, 400) for i in range(800)]).repartition(2)
+    held = docs(spark, [chain(9000 + i, 200) for i in range(5)])
+    known = P.vocabulary(train)
+    per = lambda net: (lambda r: sum(x.log_likelihood for x in r) / sum(x.n_tokens for x in r))(P.score(held, known, net).collect())
+    assert per(P.train(train, known)) > -0.5
