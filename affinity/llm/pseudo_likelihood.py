@@ -5,9 +5,14 @@ itself: h = tanh(sum of one embedding per side and distance), then a two-level
 softmax (class of tokens, token in its class).  A document's score is the sum
 of log p(token | both sides) over all its tokens.
 
-Vocabulary: word counts over the whole corpus, the most frequent ``SIZE - 33``
-words (ties in word order); other words are 32 tokens by length.  It is
-bounded, so it is broadcast.
+Vocabulary: word counts over the whole corpus, a Spark table of every word.  The
+most frequent ``SIZE - 33`` words (ties in word order) have a token each and are
+broadcast.  The others are 32 token classes by length, and a further softmax
+level gives the word in its class by its share of the class's count: log p(class
+| both sides) + log p(word | class).  That level is the table itself, which
+grows with the corpus and is joined to the documents' words.  A word that the
+table lacks has the share of one occurrence.  The network itself sees such a
+word, beside another one, by its class only.
 
 Training: in each round every task starts from the same weights and takes one
 pass of mini-batch gradient steps over its documents, masking a share of the
@@ -36,6 +41,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from affinity.llm import words as hashes
 from affinity.llm.rows import gather_texts, map_texts
+from affinity.llm.store import Store
 
 SIZE, CLASSES, WIDTH, HIDDEN = 1024, 32, 2, 24
 BY_LENGTH = 32
@@ -47,23 +53,44 @@ def tokens(text: str) -> list[str]:
     return text.lower().replace(".", " . ").replace(",", " , ").split()
 
 
-def vocabulary(docs: DataFrame, text: str = "text") -> dict[str, int]:
-    """The most frequent words of the corpus and their token ids."""
+def word_counts(docs: DataFrame, text: str = "text") -> DataFrame:
+    """(word, n) of every word of the corpus."""
 
     def step(acc: Counter, texts: list[str]) -> None:
         for t in texts:
             acc.update(tokens(t))
 
     rows = gather_texts(docs, text, "word string, n long", Counter, step, lambda acc: [list(acc.keys()), list(acc.values())])
-    top = rows.groupBy("word").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "word").limit(SIZE - BY_LENGTH - 1)
+    return rows.groupBy("word").agg(F.sum("n").alias("n"))
+
+
+def vocabulary(docs: DataFrame, text: str = "text", counts: DataFrame | None = None) -> dict[str, int]:
+    """The most frequent words of the corpus and their token ids."""
+    counts = word_counts(docs, text) if counts is None else counts
+    top = counts.orderBy(F.desc("n"), "word").limit(SIZE - BY_LENGTH - 1)
     return {r["word"]: i + BY_LENGTH + 1 for i, r in enumerate(top.collect())}
 
 
+def shares(counts: DataFrame, known: dict[str, int]) -> tuple[DataFrame, list[float]]:
+    """(word, share) of every word without a token of its own: log p(word | its
+    class); and that of a word that isn't there, by class."""
+    rare = counts.where(~F.col("word").isin(list(known))).withColumn("class", F.least(F.length("word"), F.lit(BY_LENGTH)))
+    total = [1] * (BY_LENGTH + 1)
+    for r in rare.groupBy("class").agg(F.sum("n").alias("n")).collect():
+        total[r["class"]] += r["n"]
+    of = F.element_at(F.array(*[F.lit(n) for n in total]), F.col("class") + 1)
+    return rare.select("word", F.log(F.col("n") / of).alias("share")), [-float(np.log(n)) for n in total]
+
+
 def token_ids(texts: list[str], known: dict[str, int]) -> tuple[np.ndarray, np.ndarray]:
     """Ids of all texts in one array, WIDTH zeros around each, and the number of tokens of each."""
+    return list_ids([tokens(t) for t in texts], known)
+
+
+def list_ids(lists: list[list[str]], known: dict[str, int]) -> tuple[np.ndarray, np.ndarray]:
     get, out, sizes = known.get, [0] * WIDTH, []
-    for t in texts:
-        ids = [get(w) or (n if (n := len(w)) < BY_LENGTH else BY_LENGTH) for w in tokens(t)]
+    for each in lists:
+        ids = [get(w) or (n if (n := len(w)) < BY_LENGTH else BY_LENGTH) for w in each]
         sizes.append(len(ids))
         out += ids
         out += [0] * WIDTH
@@ -214,22 +241,47 @@ def train(docs: DataFrame, known: dict[str, int], text: str = "text", rounds: in
 
 
 def score(docs: DataFrame, known: dict[str, int], net: Network, text: str = "text", keep: tuple[str, ...] = ("doc_id",),
-          block: int = 1 << 16) -> DataFrame:
-    """``keep`` columns beside n_tokens, log_likelihood (natural log) and perplexity."""
-    sent = docs.sparkSession.sparkContext.broadcast((known, net.flat))
+          block: int = 1 << 16, counts: DataFrame | None = None) -> DataFrame:
+    """``keep`` columns beside n_tokens, log_likelihood (natural log) and perplexity.
+
+    With ``counts`` words without a token of their own are predicted in their
+    class too; without, only their class is."""
+    spark = docs.sparkSession
+    sent = spark.sparkContext.broadcast((known, net.flat))
+    rare = counts is not None
 
     def step(texts):
-        ids, sizes = token_ids(texts, sent.value[0])
-        network, at = Network(sent.value[1]), places(sizes)
+        own, flat = sent.value
+        lists = [tokens(t) for t in texts]
+        ids, sizes = list_ids(lists, own)
+        network, at = Network(flat), places(sizes)
         p = np.empty(len(at))
         for i in range(0, len(at), block):
             p[i:i + block] = network.log_p(ids, at[i:i + block])
         edge = np.concatenate([[0], np.cumsum(sizes)])
         total = np.concatenate([[0.0], np.cumsum(p)])
         total = total[edge[1:]] - total[edge[:-1]]
-        return [sizes.tolist(), total.tolist(), [float(np.exp(-x / k)) if k else None for x, k in zip(total, sizes)]]
+        out = [sizes.tolist(), total.tolist()]
+        if rare:
+            out.append([[{"word": w, "k": k} for w, k in Counter(w for w in each if w not in own).items()] for each in lists])
+        return out
 
-    return map_texts(docs, text, list(keep), "n_tokens bigint, log_likelihood double, perplexity double", step)
+    added = "n_tokens bigint, log_likelihood double"
+    if not rare:
+        rows = map_texts(docs, text, list(keep), added, step)
+    else:
+        # Clashing names: the columns to keep go through as one.
+        store = Store(spark, "pseudo")
+        row = docs.select(F.struct(*keep).alias("__row"), F.col(text).alias("__of"))
+        found = map_texts(row, "__of", ["__row"], f"{added}, rare array<struct<word:string,k:bigint>>", step)
+        found = store.keep(found.withColumn("__id", F.monotonically_increasing_id()), "found")
+        table, missing = shares(counts, known)
+        lone = F.element_at(F.array(*[F.lit(x) for x in missing]), F.least(F.length("word"), F.lit(BY_LENGTH)) + 1)
+        words = found.select("__id", F.explode("rare").alias("r")).select("__id", "r.word", "r.k")
+        more = words.join(table, "word", "left").groupBy("__id").agg(F.sum(F.col("k") * F.coalesce("share", lone)).alias("__more"))
+        rows = found.select("__id", "__row", *[c.split()[0] for c in added.split(", ")]).join(more, "__id", "left")
+        rows = rows.select("__row.*", "n_tokens", (F.col("log_likelihood") + F.coalesce("__more", F.lit(0.0))).alias("log_likelihood"))
+    return rows.withColumn("perplexity", F.when(F.col("n_tokens") > 0, F.exp(-F.col("log_likelihood") / F.col("n_tokens"))))
 
 
 QUERY = "op6_pseudo_likelihood"
@@ -237,8 +289,9 @@ QUERY = "op6_pseudo_likelihood"
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    known = vocabulary(docs)
-    return score(docs, known, train(docs, known))
+    counts = Store(spark, "words").keep(word_counts(docs), "counts")
+    known = vocabulary(docs, counts=counts)
+    return score(docs, known, train(docs, known), counts=counts)
 
 
 ORACLE_SQL = None

@@ -108,3 +108,29 @@ def test_the_defaults_learn_from_every_place(spark):
     known = P.vocabulary(train)
     per = lambda net: (lambda r: sum(x.log_likelihood for x in r) / sum(x.n_tokens for x in r))(P.score(held, known, net).collect())
     assert per(P.train(train, known)) > -0.5
+
+
+def test_rare_words_are_scored_by_themselves(spark):
+    top = [f"t{i:04}" for i in range(P.SIZE)]  # more than have a token
+    some = [" ".join(top) + " " + " ".join(top), "rareone t0001 often often", "raretwo t0001 often", "raretwo\ufffd", None, ""]
+    d = docs(spark, some)
+    counts = P.word_counts(d)
+    known = P.vocabulary(d, counts=counts)
+    assert known == P.vocabulary(d) and len(known) == P.SIZE - P.BY_LENGTH - 1
+    n = {r.word: r.n for r in counts.collect()}
+    total = [1] * (P.BY_LENGTH + 1)
+    for w, k in n.items():
+        if w not in known:
+            total[min(len(w), P.BY_LENGTH)] += k
+    net = P.Network()
+    held = docs(spark, [*some, "t0001 raretwo", "t0001 rareone", "t0001 unknown"])
+    plain = {r.doc_id: r.log_likelihood for r in P.score(held, known, net).collect()}
+    got = {r.doc_id: r for r in P.score(held, known, net, counts=counts).collect()}
+    assert len(got) == len(some) + 3
+    texts_ = [r.text for r in held.collect()]
+    for i, t in enumerate(texts_):
+        want = plain[i] + sum(np.log(n.get(w, 1) / total[min(len(w), P.BY_LENGTH)]) for w in P.tokens(t or "") if w not in known)
+        assert abs(got[i].log_likelihood - want) < 1e-6 * max(1, abs(want))
+        assert (got[i].perplexity is None) == (got[i].n_tokens == 0)
+    a, b = (P.score(docs(spark, [x]), {}, net, counts=P.word_counts(docs(spark, ["big big big low"]))).first().log_likelihood for x in ("big", "low"))
+    assert abs(a - b - np.log(3)) < 1e-6
