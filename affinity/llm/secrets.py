@@ -1,8 +1,9 @@
 """Secret scan: fixed patterns plus a battery of randomness tests.
 
 Base kinds (``assign``, ``access``, ``hex``) are patterns.  The method adds the
-kind ``random``: tokens of letters and digits that no pattern names, but that
-look drawn at random.  For each candidate token the encoding is inferred
+kind ``random``: tokens with letters and digits that no pattern names, but that
+look drawn at random (tokens of letters only or digits only never count).  Of a
+token that a pattern names in part, what is left beside it is tested.  For each candidate token the encoding is inferred
 (hex, base32, lower or upper base36, base62, base64) and three tests of its
 symbols against that alphabet are made:
 
@@ -41,7 +42,9 @@ KINDS = ("assign", "access", "hex", "random")
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
 ACCESS = re.compile(r"AKIA[A-Z0-9]{16,}")
 HEX = re.compile(r"[0-9a-f]{24,}")
-CANDIDATE = re.compile(r"(?<![A-Za-z0-9+/_=-])(?=[A-Za-z+/_=-]{0,63}[0-9])[A-Za-z0-9+/_=-]{16,}")
+CANDIDATE = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{16,}")
+_DIGIT = re.compile(r"[0-9]")
+_LETTER = re.compile(r"[A-Za-z]")
 _NEEDS = ("passw", "secret", "token", "api")
 
 #: Alphabets in order of size; the first that holds all symbols of a token is its encoding.
@@ -141,7 +144,28 @@ def candidates(text: str) -> list[tuple[int, int]]:
     """Tokens of 16 or more symbols with a letter and a digit."""
     if not any(d in text for d in "0123456789"):
         return []
-    return [(m.start(), m.end()) for m in CANDIDATE.finditer(text) if any(c.isalpha() for c in m[0])]
+    return [(m.start(), m.end()) for m in CANDIDATE.finditer(text) if _DIGIT.search(m[0]) and _LETTER.search(m[0])]
+
+
+def unnamed(text: str, base: list[tuple[int, int, str]]) -> list[tuple[int, int]]:
+    """Candidates outside the base spans: of one that they overlap, the pieces
+    beside them that are candidates, without signs at the cut."""
+    out = []
+    for a, b in candidates(text):
+        over = [(x, y) for x, y, _ in base if a < y and x < b]
+        if not over:
+            out.append((a, b))
+            continue
+        at = a
+        for x, y in [*over, (b, b)]:
+            i, j = at, x
+            while a < i < j and text[i] in "+/_=-":
+                i += 1
+            while i < j < b and text[j - 1] in "+/_=-":
+                j -= 1
+            out += [(i + c, i + d) for c, d in candidates(text[i:j])] if i < j else []
+            at = max(at, y)
+    return out
 
 
 def band(length: int) -> int:
@@ -180,7 +204,7 @@ def thresholds(docs: DataFrame, model: tuple[np.ndarray, float], text: str = "te
 
     def step(acc, texts):
         for t in texts:
-            for a, b in candidates(t):
+            for a, b in unnamed(t, base_spans(t)):
                 token = t[a:b]
                 p = score(token, sent.value, alpha)
                 acc[band(b - a), min(BINS - 1, int(p / BIN))] += 1
@@ -216,9 +240,7 @@ def scan_secrets(docs: DataFrame, text: str = "text", keep: tuple[str, ...] = ("
         base, spans, masked = [], [], []
         for t in texts:
             own = base_spans(t)
-            more = [(a, b, "random") for a, b in candidates(t)
-                    if not any(a < y and x < b for x, y, _ in own) and (p := score(t[a:b], known, alpha)) > 0
-                    and p >= limit[band(b - a)]]
+            more = [(a, b, "random") for a, b in unnamed(t, own) if (p := score(t[a:b], known, alpha)) > 0 and p >= limit[band(b - a)]]
             both = sorted(own + more, key=lambda x: (x[0], KINDS.index(x[2])))
             base.append(own)
             spans.append(both)
