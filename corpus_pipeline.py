@@ -4,14 +4,16 @@ Each stage takes (spark, docs, sf_dir) and returns a DataFrame that the next
 stage gets as its docs, written and reread in between.
 
 1. quality       -- lines that fail the rules are cut; rejected documents go.
-2. near_copies   -- of each group of similar documents the least doc_id stays.
+2. near_copies   -- of each group of similar documents the least doc_id stays, in one row.
 3. benchmark     -- passages of benchmark items are cut out of the text.
 4. secrets       -- secrets are masked.
 5. pieces        -- SentencePiece ids, decoded text and digests.
 
 All but the last return the columns of documents, n_chars brought up to date.
-Rows without change pass as they are.  Documents that share a doc_id stay or go
-together; a null doc_id is a document of its own in stage 2.
+Rows without change pass as they are.  In stage 2 a document is a doc_id (or
+null) and a text: rows equal in both are one document, of which one row stays;
+rows that share a doc_id, or have none, stay or go each by its own text.  Null
+ids come after all others.
 """
 
 from __future__ import annotations
@@ -25,6 +27,7 @@ from affinity.llm.jaccard_join import jaccard_components
 from affinity.llm.quality import quality_rules
 from affinity.llm.secrets import scan_secrets
 from affinity.llm.sentencepiece_bpe import digests, model_path
+from affinity.llm.store import Store, possibly_in
 from affinity.session import scratch_path
 
 
@@ -51,9 +54,17 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    found = jaccard_components(docs.select("doc_id", "text"))
-    gone = found.where("doc_id <> component_id").select(F.col("doc_id").alias("gone")).distinct()
-    return docs.join(gone, F.col("doc_id") == F.col("gone"), "left_anti")
+    null = F.col("doc_id").isNull()
+    other = F.lit(0).cast(docs.schema["doc_id"].dataType)
+    d = docs.withColumn("__row", F.struct(null.alias("none"), F.coalesce("doc_id", other).alias("id"), F.xxhash64("text").alias("text"),
+                                          F.col("text").isNull().alias("empty")))
+    found = Store(spark, "copies").keep(jaccard_components(d.select("__row", "text"), key="__row"), "found")
+    gone = found.where("__row <> component_id").select(F.col("__row").alias("__gone")).distinct()
+    left = d.join(gone, F.col("__row") == F.col("__gone"), "left_anti").withColumn("__h", F.xxhash64("__row"))
+    # Only rows that may have an equal one are dealt by it.
+    again = found.groupBy("__row").count().where("count > 1").select(F.xxhash64("__row").alias("h"))
+    left = possibly_in(left, "__h", again, "__maybe")
+    return left.where("NOT __maybe").unionByName(left.where("__maybe").dropDuplicates(["__row"])).select(*docs.columns)
 
 
 def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -59,3 +59,15 @@ def test_every_query_is_registered():
     names = set(E.queries())
     assert {f"op{n}" for n in range(1, 11)} <= {x.split("_")[0] for x in names} and "pipeline" in names
     assert {x for x in E.oracle_sql() if x.startswith("op")} == {"op2_jaccard_join", "op5_benchmark_decontamination", "op10_quality_rules"}
+
+
+def test_one_row_of_each_group_stays_whatever_the_ids(spark):
+    a, b, c, d = (sentences(20 + i, 200) for i in range(4))
+    rows = [(1, a), (1, a), (2, edited(a, 113)), (2, c), (None, b), (None, b), (None, edited(b, 113)), (None, d), (3, d), (4, "x"), (4, None), (4, "")]
+    docs = spark.createDataFrame([(i, t, "en") for i, t in rows], "doc_id bigint, text string, lang string").repartition(3)
+    got = C.near_copies(spark, docs, SF)
+    assert got.columns == docs.columns
+    got = [(r.doc_id, r.text) for r in got.collect()]
+    (of_b,) = [x for x in got if x[0] is None]
+    assert of_b[1] in (b, edited(b, 113))
+    assert sorted(map(str, got)) == sorted(map(str, [(1, a), (2, c), of_b, (3, d), (4, "x"), (4, None), (4, "")]))
