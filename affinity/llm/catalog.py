@@ -8,7 +8,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-MODULES = ["quality", "decontaminate", "secrets", "sentencepiece_bpe", "records", "language", "html_text", "jaccard_join", "suffix_dedup", "pseudo_likelihood"]
+MODULES = ["quality", "decontaminate", "secrets", "sentencepiece_bpe", "records", "language", "html_text", "jaccard_join", "suffix_dedup", "pseudo_likelihood",
+           "simhash_join"]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
