@@ -10,6 +10,13 @@ pattern and a mask.  Masks only gain bits on the way down, so the differences
 between two nodes' patterns under both masks add up on the way, and a pair of
 nodes is left, with everything below, as soon as they exceed the radius.
 
+*Two orders.*  Of at most r differing bits, either the high half holds at most
+r // 2, or the low half at most (r - 1) // 2.  So one index has the high half
+first and the other the low half, and each leaves a pair of nodes as soon as
+its first half has more: with radius 2, one difference in the first order and
+none in the second.  A fingerprint then reaches as many groups as their nodes
+have bits, not the square of it.
+
 *Join.*  The groups' nodes (at most ``MAX_GROUPS``, 16 bytes each) are the
 upper part of the index and go to every task.  A fingerprint goes to the
 groups behind its own whose node it is near enough; a group that many
@@ -33,7 +40,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from affinity.llm.graph import connected_components
 from affinity.llm.rows import map_texts
@@ -41,6 +48,7 @@ from affinity.llm.store import Store
 
 U64 = np.uint64
 ALL = U64(0xFFFFFFFFFFFFFFFF)
+HIGH = U64(0xFFFFFFFF00000000)
 #: Distinct fingerprints of a group, until there are MAX_GROUPS groups; then groups grow.
 GROUP = 2048
 MAX_GROUPS = 65536
@@ -113,9 +121,10 @@ class GrayIndex:
         return which, first[which] + np.arange(len(which)) - np.repeat(np.cumsum(count) - count, count)
 
 
-def near(x: GrayIndex, y: GrayIndex, radius: int, itself: bool = False) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Pairs of item numbers whose shared bits differ in at most ``radius``, in
-    pieces; with ``itself`` (x is y) each pair of different items once."""
+def near(x: GrayIndex, y: GrayIndex, radius: int, high: int = 64, itself: bool = False) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs of item numbers whose shared bits differ in at most ``radius``, of
+    them ``high`` in the high half, in pieces; with ``itself`` (x is y) each
+    pair of different items once."""
     if not len(x.order) or not len(y.order):
         return
     todo = [(len(x.levels) - 1, len(y.levels) - 1, np.zeros(1, np.int64), np.zeros(1, np.int64))]
@@ -126,7 +135,8 @@ def near(x: GrayIndex, y: GrayIndex, radius: int, itself: bool = False) -> Itera
             todo += [(a, b, i[:half], j[:half]), (a, b, i[half:], j[half:])]
             continue
         (px, mx), (py, my) = x.levels[a], y.levels[b]
-        live = np.bitwise_count((px[i] ^ py[j]) & mx[i] & my[j]) <= radius
+        apart = (px[i] ^ py[j]) & mx[i] & my[j]
+        live = (np.bitwise_count(apart) <= radius) & (np.bitwise_count(apart & HIGH) <= high)
         if itself:
             live &= (i < j) | (i == j) & (a > 0)
         i, j = i[live], j[live]
@@ -179,19 +189,23 @@ class Forest:
         return self.a[0], self.b[0]
 
 
-def _groups(classes: DataFrame, store: Store, group: int, most: int) -> DataFrame:
-    """(fp, key, grp): runs of the Gray order of about equal size."""
+def turned(fp: Column) -> Column:
+    """The halves of a fingerprint exchanged."""
+    return F.shiftleft(fp, 32).bitwiseOR(F.shiftrightunsigned(fp, 32))
+
+
+def gray_groups(fps: DataFrame, store: Store, parts: int) -> DataFrame:
+    """(fp, grp): ``parts`` runs of the Gray order of about equal size."""
     rank = F.col("fp")
     for k in (1, 2, 4, 8, 16, 32):
         rank = rank.bitwiseXOR(F.shiftrightunsigned(rank, k))
-    n = classes.count()
-    parts = max(1, min(most, -(-n // group)))
-    dealt = classes.withColumn("rank", rank.bitwiseXOR(F.lit(-1 << 63))) if n else classes.withColumn("rank", F.col("fp"))
-    return store.keep(dealt.repartitionByRange(parts, "rank").select("fp", "key", F.spark_partition_id().alias("grp")), "groups")
+    dealt = fps.select("fp", rank.bitwiseXOR(F.lit(-1 << 63)).alias("rank")).repartitionByRange(parts, "rank")
+    return store.keep(dealt.select("fp", F.spark_partition_id().alias("grp")), "groups")
 
 
-def links(groups: DataFrame, store: Store, radius: int, block: int = BLOCK) -> DataFrame:
-    """(a, b) links between different fingerprints, a spanning forest from each task."""
+def links(groups: DataFrame, store: Store, radius: int, high: int = 64, block: int = BLOCK) -> DataFrame:
+    """(a, b) links between different fingerprints with at most ``high``
+    differences in the high half, a spanning forest from each task."""
     top = groups.groupBy("grp").agg(F.bit_and("fp").alias("ones"), F.bit_or("fp").alias("some")).orderBy("grp").toPandas()
     ids = top.grp.to_numpy(np.int64)  # at most MAX_GROUPS rows
     ones, some = (top[c].to_numpy(np.int64).view(U64) for c in ("ones", "some"))
@@ -200,7 +214,7 @@ def links(groups: DataFrame, store: Store, radius: int, block: int = BLOCK) -> D
         upper = GrayIndex(ones, ~(ones ^ some))
         for batch in batches:
             fp, own = batch.column(0).to_numpy(), batch.column(1).to_numpy().astype(np.int64)
-            for i, j in near(GrayIndex(fp.view(U64)), upper, radius):
+            for i, j in near(GrayIndex(fp.view(U64)), upper, radius, high):
                 far = ids[j] > own[i]  # pairs of groups are met once, from the lower one
                 yield pa.RecordBatch.from_arrays([pa.array(ids[j][far], pa.int32()), pa.array(fp[i][far])], names=["grp", "fp"])
 
@@ -216,9 +230,9 @@ def links(groups: DataFrame, store: Store, radius: int, block: int = BLOCK) -> D
         mine, others = held.fp.to_numpy(np.int64), asked.fp.to_numpy(np.int64)
         index, found = GrayIndex(mine.view(U64)), Forest()
         if key[1] == 0:
-            for i, j in near(index, index, radius, itself=True):
+            for i, j in near(index, index, radius, high, itself=True):
                 found.add(mine[i], mine[j])
-        for i, j in near(GrayIndex(others.view(U64)), index, radius):
+        for i, j in near(GrayIndex(others.view(U64)), index, radius, high):
             found.add(others[i], mine[j])
         a, b = found.reduce()
         return pd.DataFrame({"a": a, "b": b})
@@ -231,15 +245,21 @@ def simhash_components(docs: DataFrame, text: str = "text", key: str = "doc_id",
     """(key, fingerprint, component_id) of every row."""
     store = Store(docs.sparkSession, "simhash")
     rows = store.keep(fingerprints(docs, text, key).select(F.col(key).alias("key"), "fp"), "rows")
-    classes = rows.groupBy("fp").agg(F.min("key").alias("key"))
-    groups = _groups(classes, store, group, most)
-    edges = store.keep(links(groups, store, radius, block), "edges")
+    classes = store.keep(rows.groupBy("fp").agg(F.min("key").alias("key")), "classes")
+    parts = max(1, min(most, -(-classes.count() // group)))
+    first = gray_groups(classes.select("fp"), store, parts)
+    second = gray_groups(classes.select(turned(F.col("fp")).alias("fp")), store, parts)
+    edges = links(first, store, radius, radius // 2, block)
+    if radius > 0:
+        swapped = links(second, store, radius, (radius - 1) // 2, block)
+        edges = edges.union(swapped.select(turned(F.col("a")), turned(F.col("b"))))
+    edges = store.keep(edges, "edges")
     labels = connected_components(edges, store)
-    own = groups.join(labels.withColumnRenamed("node", "fp"), "fp", "left").select(
+    own = classes.join(labels.withColumnRenamed("node", "fp"), "fp", "left").select(
         "fp", "key", F.coalesce("label", "fp").alias("label"))
     least = own.groupBy("label").agg(F.min("key").alias("component_id"))
     member = store.keep(own.join(least, "label").select("fp", "component_id"), "member")
-    store.drop(groups, edges, labels)
+    store.drop(first, second, classes, edges, labels)
     return rows.join(member, "fp").select(
         F.col("key").alias(key), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
