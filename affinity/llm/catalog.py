@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 MODULES = ["quality", "decontaminate", "secrets", "sentencepiece_bpe", "records", "language", "html_text", "jaccard_join", "suffix_dedup", "pseudo_likelihood",
-           "simhash_join", "vector_codes"]
+           "simhash_join", "hard_negatives", "vector_codes"]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
