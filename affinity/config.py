@@ -40,6 +40,8 @@ class Config:
     checkpoint_interval: int = 2
     als_blocks: int = 10  # user / item blocks: also fixes the seeded start of the factors
     reader_chunk: int = 1000  # readers per token-list row
+    recall_fraction: float = 0.05  # items that the recall of the hashed pairs is measured on
+    vector_span: int = 4096  # vocabulary indices per sparse-vector row
     explicit_grid: dict = field(default_factory=lambda: {"rank": [10, 20], "regParam": [0.01, 0.1, 1.0]})
     implicit_stage1_grid: dict = field(default_factory=lambda: {"rank": [10, 20], "regParam": [0.01, 0.1, 1.0]})
     implicit_stage2_grid: dict = field(default_factory=lambda: {"alpha": [1.0, 10.0], "beta": [20.0, 40.0]})
@@ -64,7 +66,10 @@ FIXTURE = Config(
     sample_fraction=1.0,
     min_readers=30,
     jaccard_distance=0.8,
+    num_hash_tables=14,  # similar.choose_bands(1 - 0.8, 0.95): five tables find 0.67 of the pairs at this distance
     reader_chunk=16,
+    recall_fraction=0.25,
+    vector_span=64,
 )
 
 # The sampling operator itself (P1) and the reports about it.

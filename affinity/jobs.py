@@ -22,9 +22,11 @@ from pyspark.sql import functions as F
 
 from affinity.config import PUBLISHED, Config
 from affinity.operators import als, evaluation as E, popularity as P, prep, profile as PR
-from affinity.operators import segments as SEG, tuning as T
+from affinity.operators import segments as SEG, similar as SIM, tuning as T
 from affinity.session import persisted
-from affinity.sources import read_interactions_csv, read_item_map_csv, write_parquet, write_small_csv
+from affinity.sources import read_item_map_csv, write_parquet, write_small_csv
+from affinity.sources.scratch import Run
+from affinity.sources.tables import ingest_interactions_csv, ingest_report
 
 SPLITS_DIR = "splits"
 RESULTS_DIR = "results"
@@ -39,10 +41,14 @@ def splits(spark: SparkSession, base: str) -> DataFrame:
 
 
 def preprocess(spark: SparkSession, interactions_csv: str, base: str, cfg: Config = PUBLISHED) -> DataFrame:
-    """CSV -> Parquet (one typed scan), then the split table.  Returns the
-    dataset summary of what was written."""
-    raw_path = _p(base, "interactions_raw.parquet")
-    write_parquet(read_interactions_csv(spark, interactions_csv), raw_path)
+    """CSV -> Parquet, lines that can't be taken to a reject table beside it,
+    then the split table.  Returns the dataset summary of what was written."""
+    raw_path, reject_path = _p(base, "interactions_raw.parquet"), _p(base, "interactions_rejects.parquet")
+    rows, rejects = ingest_interactions_csv(spark, interactions_csv)
+    write_parquet(rows, raw_path)
+    write_parquet(rejects, reject_path)
+    write_small_csv(ingest_report(spark.read.parquet(raw_path), spark.read.parquet(reject_path)),
+                    _p(base, RESULTS_DIR, "ingest_report"))
     prepared = prep.prepare_table(spark.read.parquet(raw_path), cfg, _p(base, SPLITS_DIR))
     summary = PR.dataset_summary(prepared)
     write_small_csv(summary, _p(base, RESULTS_DIR, "preprocess_summary"))
@@ -86,17 +92,24 @@ def popularity(spark: SparkSession, base: str, cfg: Config = PUBLISHED) -> DataF
 
 
 def segments(spark: SparkSession, base: str, item_map_csv: str | None = None, cfg: Config = PUBLISHED) -> DataFrame:
-    """Similar item pairs of the train readers; all pairs to Parquet, the top-k
-    (with external ids when a map is given) to CSV."""
+    """Similar item pairs of the train readers: the hashed pairs with their size
+    and recall, and the exact top-k (with external ids when a map is given)."""
     train = prep.train_of(splits(spark, base))
     found_path = _p(base, "segments", "similar_pairs.parquet")
     write_parquet(SEG.lsh_pairs(train, cfg.min_readers, cfg.num_hash_tables, cfg.minhash_seed,
                                 cfg.jaccard_distance), found_path)
     found = spark.read.parquet(found_path)
+    pairs = SEG.reader_pairs(train)
+    counts = SEG.qualified_items(pairs, cfg.min_readers)
+    with Run(spark) as run:
+        qp = pairs.join(counts.select("book_id"), "book_id", "left_semi")
+        recall = SIM.recall_estimate(found, qp, counts, cfg.jaccard_distance, cfg.recall_fraction, cfg.minhash_seed, run)
+        write_small_csv(SEG.with_recall(SEG.lsh_reduction(counts, found), recall), _p(base, RESULTS_DIR, "segments_reduction"))
+        best, _ = SIM.topk_pairs(train, cfg.min_readers, cfg.jaccard_distance, cfg.top_k, run)
     if item_map_csv:
-        top = SEG.segment_topk(found, read_item_map_csv(spark, item_map_csv), cfg.top_k)
+        top = SEG.segment_topk(best, read_item_map_csv(spark, item_map_csv), cfg.top_k)
     else:
-        top = SEG.top_pairs(found, cfg.top_k)
+        top = SEG.top_pairs(best, cfg.top_k)
     write_small_csv(top, _p(base, RESULTS_DIR, "segments_top"))
     return top
 

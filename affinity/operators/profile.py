@@ -68,15 +68,46 @@ def rating_histogram(df: DataFrame) -> DataFrame:
             .orderBy("rating"))
 
 
+#: Low bits of a value that the first level of the quantile histogram leaves out.
+LEVEL_BITS = 16
+
+
+def exact_quantiles(counts: DataFrame, col: str, qs: list[float], bits: int = LEVEL_BITS) -> DataFrame:
+    """One row ``(n, min, max, mean, q0, q1, ...)`` of an integer column, the
+    quantiles exact (the least value that has a share of q at or below it).
+
+    From a histogram of values in two levels: the values above their low
+    ``bits`` make a few buckets with running sums, each quantile falls into one
+    of them, and only those buckets' values get running sums of their own.  No
+    sort of the rows, none of all values; a running sum has at most as many rows as
+    there are buckets, or values of a bucket."""
+    hist = (counts.where(F.col(col).isNotNull()).groupBy(F.col(col).cast("bigint").alias("v"))
+            .agg(F.count(F.lit(1)).alias("c")).withColumn("b", F.shiftright("v", bits)))
+    up_to = Window.orderBy("b").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    everything = Window.partitionBy()
+    level = (hist.groupBy("b").agg(F.sum("c").alias("c"))
+             .select("b", "c", (F.sum("c").over(up_to) - F.col("c")).alias("before"), F.sum("c").over(everything).alias("n")))
+    wanted = F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.greatest(F.lit(1), F.ceil(F.col("n") * F.lit(float(q)))).alias("k"))
+                                 for i, q in enumerate(qs)]))
+    hit = (level.withColumn("w", wanted).where((F.col("before") < F.col("w.k")) & (F.col("w.k") <= F.col("before") + F.col("c")))
+           .select("b", "before", F.col("w.i").alias("i"), F.col("w.k").alias("k")))  # a row for each quantile
+    within = Window.partitionBy("i").orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    at = hist.join(F.broadcast(hit), "b").withColumn("cum", F.col("before") + F.sum("c").over(within))
+    found = at.where((F.col("cum") >= F.col("k")) & (F.col("cum") - F.col("c") < F.col("k"))).select("i", "v")
+    whole = hist.agg(F.sum("c").alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi"), F.sum(F.col("v") * F.col("c")).alias("s"))
+    none = F.lit(None).cast("bigint")
+    rows = (whole.select("n", "lo", "hi", "s", F.lit(None).cast("int").alias("i"), none.alias("v"))
+            .unionByName(found.select(none.alias("n"), none.alias("lo"), none.alias("hi"), none.alias("s"), "i", "v")))
+    return rows.agg(F.coalesce(F.max("n"), F.lit(0)).alias("n"), F.max("lo").alias("min"), F.max("hi").alias("max"),
+                    (F.max("s") / F.max("n")).alias("mean"),
+                    *[F.max(F.when(F.col("i") == i, F.col("v"))).alias(f"q{i}") for i in range(len(qs))])
+
+
 def distribution_stats(counts: DataFrame, col: str) -> DataFrame:
-    """min / p25 / median / mean / p75 / max of a per-group count column
-    (``percentile_approx``: a bounded sketch, no global sort)."""
-    q = F.percentile_approx(col, [0.25, 0.5, 0.75], 10000)
-    return (counts.agg(F.min(col).cast("bigint").alias("min"), F.max(col).cast("bigint").alias("max"),
-                       r6(F.avg(col)).alias("mean"), q.alias("_q"))
-            .select("min", F.col("_q")[0].cast("bigint").alias("p25"),
-                    F.col("_q")[1].cast("bigint").alias("median"), "mean",
-                    F.col("_q")[2].cast("bigint").alias("p75"), "max"))
+    """min / p25 / median / mean / p75 / max of a per-group count column, all exact."""
+    return exact_quantiles(counts, col, [0.25, 0.5, 0.75]).select(
+        "min", F.col("q0").alias("p25"), F.col("q1").alias("median"), r6(F.col("mean")).alias("mean"),
+        F.col("q2").alias("p75"), "max")
 
 
 def user_activity_stats(train: DataFrame) -> DataFrame:

@@ -59,12 +59,15 @@ def reader_sets(pairs: DataFrame, counts: DataFrame, chunk_size: int) -> DataFra
                     F.transform("_u", lambda u: u.cast("string")).alias("user_tokens")))
 
 
-def minhash_signatures(pairs: DataFrame, num_tables: int, seed: int) -> DataFrame:
+def minhash_signatures(pairs: DataFrame, num_tables: int, seed: int, rows: int = 1) -> DataFrame:
     """``(book_id, hash_table, signature)``: per table k the smallest 60-bit
     ``md5(minhash|seed|k|user)`` prefix over the item's readers.  All K minima come
     from one ``groupBy(book_id)`` with map-side partial aggregation, then the
-    small per-item row is unpivoted."""
-    mins = [F.min(hash60(MINHASH_TAG, seed, F.lit(k), "user_id")).alias(f"s{k}") for k in range(num_tables)]
+    small per-item row is unpivoted.  With ``rows`` > 1 a table's signature is the
+    hash of that many minima: two items share it only if all are equal."""
+    least = [F.min(hash60(MINHASH_TAG, seed, F.lit(k), "user_id")) for k in range(num_tables * rows)]
+    mins = [(least[k] if rows == 1 else hash60(MINHASH_TAG, seed, *least[k * rows:(k + 1) * rows])).alias(f"s{k}")
+            for k in range(num_tables)]
     per_item = pairs.groupBy("book_id").agg(*mins)
     stack = "stack({}, {}) as (hash_table, signature)".format(
         num_tables, ", ".join(f"{k}, s{k}" for k in range(num_tables)))
@@ -171,12 +174,22 @@ def verify_pairs(candidates: DataFrame, pairs: DataFrame, counts: DataFrame, max
             .select("book_id_1", "book_id_2", F.round(F.lit(1.0) - F.col("jaccard_dist"), 6).alias("jaccard_similarity")))
 
 
-def lsh_pairs(readers: DataFrame, min_readers: int, num_tables: int, seed: int, max_distance: float) -> DataFrame:
+def lsh_buckets(signatures: DataFrame) -> DataFrame:
+    """Bucket membership: ``(hash_table, signature, book_id, bucket_size)`` for
+    buckets of two items at least.  The pairs of a bucket follow from it, so a
+    hot bucket of m items is m rows here, not m squared."""
+    sizes = signatures.groupBy("hash_table", "signature").agg(F.count(F.lit(1)).alias("bucket_size")).where(
+        F.col("bucket_size") > 1)
+    return signatures.join(sizes, ["hash_table", "signature"]).select("hash_table", "signature", "book_id", "bucket_size")
+
+
+def lsh_pairs(readers: DataFrame, min_readers: int, num_tables: int, seed: int, max_distance: float,
+              rows: int = 1) -> DataFrame:
     """End-to-end native similar-item pairs."""
     pairs = reader_pairs(readers)
     counts = qualified_items(pairs, min_readers)
     qp = pairs.join(counts.select("book_id"), "book_id", "left_semi")
-    cand = banded_candidates(minhash_signatures(qp, num_tables, seed), counts, max_distance)
+    cand = banded_candidates(minhash_signatures(qp, num_tables, seed, rows), counts, max_distance)
     return verify_pairs(cand, qp, counts, max_distance)
 
 
@@ -200,6 +213,11 @@ def top_pairs(found: DataFrame, k: int) -> DataFrame:
     return top.withColumn("rank", F.row_number().over(w))
 
 
+def with_recall(reduction: DataFrame, recall: DataFrame) -> DataFrame:
+    """The reduction row beside the recall row (one row each)."""
+    return reduction.withColumn("_one", F.lit(1)).join(F.broadcast(recall.withColumn("_one", F.lit(1))), "_one").drop("_one")
+
+
 def segment_topk(found: DataFrame, item_map: DataFrame, k: int) -> DataFrame:
     """Top-k pairs with both external ids.  The map is only semi-joined to the
     k-row list (broadcast), never broadcast itself."""

@@ -17,8 +17,12 @@ from pyspark.sql import functions as F
 from affinity.config import FIXTURE, SAMPLED
 from affinity.functions.metrics import r6
 from affinity.operators import als, evaluation as E, popularity as P, prep, profile as PR
-from affinity.operators import segments as SEG, signals as SG, tuning as T
+from affinity.operators import segments as SEG, signals as SG, similar as SIM, tuning as T
 from affinity.session import scratch_path
+from affinity.sources.fixtures import fx_interaction_lines
+from affinity.sources.scratch import Run
+from affinity.sources.sinks import write_csv_lines
+from affinity.sources.tables import INTERACTION_SCHEMA, ingest_interactions_csv, ingest_report
 from affinity.sources import fx_interactions, fx_item_map, fx_readers
 
 CFG = FIXTURE
@@ -57,6 +61,15 @@ def q_interactions(spark, sf):
     return _inter(spark, sf)
 
 
+def q_ingest_report(spark, sf):
+    """A CSV of the interactions with damaged lines, written and taken in again."""
+    with Run(spark) as run:
+        path = f"{run.path}/interactions.csv"
+        write_csv_lines(fx_interaction_lines(spark, sf), [f.name for f in INTERACTION_SCHEMA], path)
+        out = ingest_report(*ingest_interactions_csv(spark, path))
+        return spark.createDataFrame(out.collect(), out.schema)  # a row for each outcome
+
+
 def q_item_id_map(spark, sf):
     return fx_item_map(spark, sf)
 
@@ -305,6 +318,13 @@ def q_reader_sets(spark, sf):
             .select("book_id", "chunk", "n_tokens", F.array_join("user_tokens", " ").alias("user_tokens")))
 
 
+def q_reader_vectors(spark, sf):
+    """Sparse reader vectors over a vocabulary that is numbered where it lies."""
+    qp, _ = _qualified(spark, sf)
+    return (SIM.reader_vectors(qp, Run(spark), CFG.vector_span)
+            .select("book_id", "chunk", "n_tokens", F.array_join(F.col("indices").cast("array<string>"), " ").alias("indices")))
+
+
 def q_minhash_signatures(spark, sf):
     qp, _ = _qualified(spark, sf)
     return SEG.minhash_signatures(qp, CFG.num_hash_tables, CFG.minhash_seed)
@@ -317,21 +337,48 @@ def q_lsh_candidates(spark, sf):
     return SEG.lsh_candidates(SEG.minhash_signatures(qp, CFG.num_hash_tables, CFG.minhash_seed))
 
 
+def q_lsh_buckets(spark, sf):
+    qp, _ = _qualified(spark, sf)
+    return SEG.lsh_buckets(SEG.minhash_signatures(qp, CFG.num_hash_tables, CFG.minhash_seed))
+
+
 def q_lsh_pairs(spark, sf):
     return _lsh(spark, sf)
 
 
+def q_jaccard_pairs(spark, sf):
+    """Every pair under the distance, by the prefix index."""
+    return SIM.jaccard_pairs(fx_readers(spark, sf), CFG.min_readers, CFG.jaccard_distance, Run(spark))
+
+
 def q_lsh_reduction(spark, sf):
-    _, counts = _qualified(spark, sf)
-    return SEG.lsh_reduction(counts, _lsh(spark, sf))
+    """Size of the hashed result, and its recall on a hash-chosen set of items."""
+    qp, counts = _qualified(spark, sf)
+    with Run(spark) as run:
+        found = run.keep(_lsh(spark, sf), "found")
+        out = SEG.with_recall(SEG.lsh_reduction(counts, found),
+                              SIM.recall_estimate(found, qp, counts, CFG.jaccard_distance, CFG.recall_fraction, CFG.minhash_seed, run))
+        return spark.createDataFrame(out.collect(), out.schema)  # one row
+
+
+def _top_similar(spark, sf):
+    """The exact top pairs (k rows); nothing of the search stays on disk."""
+    with Run(spark) as run:
+        return SIM.topk_pairs(fx_readers(spark, sf), CFG.min_readers, CFG.jaccard_distance, CFG.top_k, run)[0]
 
 
 def q_segment_topk(spark, sf):
-    return SEG.segment_topk(_lsh(spark, sf), fx_item_map(spark, sf), CFG.top_k)
+    return SEG.segment_topk(_top_similar(spark, sf), fx_item_map(spark, sf), CFG.top_k)
+
+
+def q_segment_topk_work(spark, sf):
+    with Run(spark) as run:
+        out = SIM.topk_work(fx_readers(spark, sf), CFG.min_readers, CFG.jaccard_distance, CFG.top_k, run)
+        return spark.createDataFrame(out.collect(), out.schema)  # one row
 
 
 def q_similarity_bands(spark, sf):
-    return SEG.similarity_bands(SEG.top_pairs(_lsh(spark, sf), CFG.top_k))
+    return SEG.similarity_bands(SEG.top_pairs(_top_similar(spark, sf), CFG.top_k))
 
 
 # ---------------------------------------------------------------- ALS (rows-only checks)

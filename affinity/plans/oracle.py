@@ -194,9 +194,22 @@ def _segment_ctes(cfg: Config) -> list[str]:
                    1.0::DOUBLE - co.co::DOUBLE / (q1.n_readers + q2.n_readers - co.co)::DOUBLE AS dist
             FROM co JOIN qi q1 ON q1.book_id = co.book_id_1 JOIN qi q2 ON q2.book_id = co.book_id_2)
           WHERE dist < {float(cfg.jaccard_distance)}::DOUBLE)""",
+    ]
+
+
+def _exact_ctes(cfg: Config) -> list[str]:
+    """Every co-read pair of qualified items (the definition), and the top of them."""
+    return _segment_ctes(cfg)[:4] + [
+        """xco AS (SELECT x.book_id AS book_id_1, y.book_id AS book_id_2, count(*) AS co
+          FROM qp x JOIN qp y ON y.user_id = x.user_id AND x.book_id < y.book_id GROUP BY 1, 2)""",
+        f"""exact AS (SELECT book_id_1, book_id_2, round(1.0::DOUBLE - dist, 6) AS jaccard_similarity FROM (
+            SELECT book_id_1, book_id_2,
+                   1.0::DOUBLE - co::DOUBLE / (q1.n_readers + q2.n_readers - co)::DOUBLE AS dist
+            FROM xco JOIN qi q1 ON q1.book_id = book_id_1 JOIN qi q2 ON q2.book_id = book_id_2)
+          WHERE dist < {float(cfg.jaccard_distance)}::DOUBLE)""",
         f"""toppairs AS (SELECT * FROM (
             SELECT *, CAST(row_number() OVER (ORDER BY jaccard_similarity DESC, book_id_1, book_id_2) AS INTEGER) AS rank
-            FROM lsh) WHERE rank <= {cfg.top_k})""",
+            FROM exact) WHERE rank <= {cfg.top_k})""",
     ]
 
 
@@ -207,6 +220,9 @@ def oracle_sql(cfg: Config = FIXTURE) -> dict[str, str]:
     q: dict[str, str] = {}
 
     q["interactions"] = _with(fx_cte()) + "SELECT * FROM fx"
+    q["ingest_report"] = _with(fx_cte()) + """SELECT CASE WHEN (user_id + book_id) % 97 = 0 OR (user_id + book_id) % 89 = 0 THEN 'malformed'
+            WHEN (user_id + book_id) % 83 = 0 THEN 'missing' WHEN (user_id + book_id) % 79 = 0 THEN 'out_of_range'
+            ELSE 'accepted' END AS outcome, count(*) AS n_lines FROM fx GROUP BY 1"""
     q["item_id_map"] = _with(item_map_cte()) + "SELECT * FROM im"
     q["user_activity"] = _with(fx_cte()) + "SELECT user_id, count(*) AS n_interactions FROM fx GROUP BY user_id"
     q["active_user_filter"] = _with(fx_cte(), A) + "SELECT * FROM active"
@@ -386,7 +402,7 @@ FROM vt GROUP BY variant"""
             f"SELECT '{n}' AS metric, CAST({v} AS BIGINT) AS value" for n, v in facts.items())
 
     # segments
-    G = _segment_ctes(cfg)
+    G, X = _segment_ctes(cfg), _exact_ctes(cfg)
     q["reader_pairs"] = _with(*G[:2]) + "SELECT user_id, book_id FROM rp"
     q["qualified_items"] = _with(*G[:3]) + "SELECT book_id, n_readers FROM qi"
     q["reader_sets"] = _with(*G[:4]) + f"""SELECT book_id, chunk, count(*) AS n_tokens,
@@ -399,15 +415,35 @@ GROUP BY book_id, chunk"""
     q["minhash_signatures"] = _with(*G[:5]) + "SELECT book_id, hash_table, signature FROM sig"
     q["lsh_candidates"] = _with(*G[:6]) + "SELECT book_id_1, book_id_2 FROM cand"
     q["lsh_pairs"] = _with(*G[:8]) + "SELECT book_id_1, book_id_2, jaccard_similarity FROM lsh"
-    q["lsh_reduction"] = _with(*G[:8]) + """SELECT n_items, n_pairs, CAST(n_items * (n_items - 1) // 2 AS BIGINT) AS all_pairs,
+    z = "1.959963984540054::DOUBLE"  # two-sided 95 % normal quantile
+    q["lsh_reduction"] = _with(*G[:8], *X[4:6], f"""smp AS (SELECT book_id FROM qi
+       WHERE substr(md5('recall|{cfg.minhash_seed}|' || CAST(book_id AS VARCHAR)), 1, 8) < '{hex_threshold(cfg.recall_fraction)}')""",
+        """tru AS (SELECT e.book_id_1, e.book_id_2, l.book_id_1 IS NOT NULL AS hit FROM exact e
+       LEFT JOIN lsh l ON l.book_id_1 = e.book_id_1 AND l.book_id_2 = e.book_id_2
+       WHERE e.book_id_1 IN (SELECT book_id FROM smp) OR e.book_id_2 IN (SELECT book_id FROM smp))""",
+        """rec AS (SELECT count(*) AS n, count(*) FILTER (hit) AS f, (count(*) FILTER (hit))::DOUBLE / NULLIF(count(*), 0) AS p FROM tru)""") + f"""SELECT
+       n_items, n_pairs, CAST(n_items * (n_items - 1) // 2 AS BIGINT) AS all_pairs,
        round(n_pairs::DOUBLE / NULLIF(n_items * (n_items - 1) // 2, 0), 9) AS pair_ratio,
        round(100.0::DOUBLE * (1.0::DOUBLE - n_pairs::DOUBLE / NULLIF(n_items * (n_items - 1) // 2, 0)), 6) AS reduction_pct,
-       n_pairs < 100 AS low_yield
-FROM (SELECT (SELECT count(*) FROM qi) AS n_items, (SELECT count(*) FROM lsh) AS n_pairs)"""
-    q["segment_topk"] = _with(*G, item_map_cte()) + """SELECT t.rank, t.book_id_1, t.book_id_2, t.jaccard_similarity,
+       n_pairs < 100 AS low_yield, (SELECT count(*) FROM smp) AS sampled_items, n AS true_pairs, f AS found_pairs,
+       round(p, 6) AS recall,
+       round((p + {z} * {z} / (2 * n)) / (1 + {z} * {z} / n)
+             - {z} / (1 + {z} * {z} / n) * sqrt(p * (1 - p) / n + {z} * {z} / (4.0::DOUBLE * n * n)), 6) AS recall_low,
+       round((p + {z} * {z} / (2 * n)) / (1 + {z} * {z} / n)
+             + {z} / (1 + {z} * {z} / n) * sqrt(p * (1 - p) / n + {z} * {z} / (4.0::DOUBLE * n * n)), 6) AS recall_high
+FROM (SELECT (SELECT count(*) FROM qi) AS n_items, (SELECT count(*) FROM lsh) AS n_pairs), rec"""
+    q["lsh_buckets"] = _with(*G[:5]) + """SELECT hash_table, signature, book_id, n AS bucket_size FROM (
+       SELECT *, count(*) OVER (PARTITION BY hash_table, signature) AS n FROM sig) WHERE n > 1"""
+    q["jaccard_pairs"] = _with(*X[:6]) + "SELECT book_id_1, book_id_2, jaccard_similarity FROM exact"
+    q["reader_vectors"] = _with(*G[:4], """vocab AS (SELECT user_id, row_number() OVER (ORDER BY n DESC, user_id) - 1 AS index
+       FROM (SELECT user_id, count(*) AS n FROM qp GROUP BY user_id))""") + f"""SELECT book_id,
+       CAST(index // {cfg.vector_span} AS INTEGER) AS chunk, count(*) AS n_tokens,
+       string_agg(CAST(index AS VARCHAR), ' ' ORDER BY index) AS indices
+FROM qp JOIN vocab USING (user_id) GROUP BY 1, 2"""
+    q["segment_topk"] = _with(*X, item_map_cte()) + """SELECT t.rank, t.book_id_1, t.book_id_2, t.jaccard_similarity,
        m1.book_id AS external_id_1, m2.book_id AS external_id_2
 FROM toppairs t LEFT JOIN im m1 ON m1.book_id_csv = t.book_id_1 LEFT JOIN im m2 ON m2.book_id_csv = t.book_id_2"""
-    q["similarity_bands"] = _with(*G) + """SELECT CASE WHEN jaccard_similarity >= 0.90 THEN '0.90-1.00'
+    q["similarity_bands"] = _with(*X) + """SELECT CASE WHEN jaccard_similarity >= 0.90 THEN '0.90-1.00'
             WHEN jaccard_similarity >= 0.85 THEN '0.85-0.90'
             WHEN jaccard_similarity >= 0.80 THEN '0.80-0.85' ELSE 'below-0.80' END AS band, count(*) AS n_pairs
 FROM toppairs GROUP BY 1"""

@@ -58,3 +58,17 @@ def fx_item_map(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, sf_dir, "part").select(
         F.col("p_partkey").cast("int").alias("book_id_csv"),
         (F.col("p_partkey") + ITEM_MAP_OFFSET).cast("int").alias("book_id"))
+
+
+def fx_interaction_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(line): the interactions as CSV lines, some of them damaged by their ids:
+    a field too few, a word for a number, an empty flag, a rating out of range."""
+    u, b = F.col("user_id"), F.col("book_id")
+    text = lambda *cols: F.concat_ws(",", *[c.cast("string") for c in cols])
+    rest = (F.col("is_read"), F.col("rating"), F.col("is_reviewed"))
+    line = (F.when((u + b) % 97 == 0, text(u, b, rest[0]))
+            .when((u + b) % 89 == 0, text(u, F.lit("book"), *rest))
+            .when((u + b) % 83 == 0, text(u, b, F.lit(""), rest[1], rest[2]))
+            .when((u + b) % 79 == 0, text(u, b, rest[0], F.lit(6), rest[2]))
+            .otherwise(text(u, b, *rest)))
+    return fx_interactions(spark, sf_dir).select(line.alias("line"))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from affinity.session import checkpoint_dir
 
@@ -20,6 +21,12 @@ def write_splits(prepared: DataFrame, path: str) -> None:
     write_parquet(prepared, path, ["split", "role"])
 
 
+def write_csv_lines(lines: DataFrame, header: list[str], path: str) -> None:
+    """One text column as CSV files, each with the header line first."""
+    lines.select(F.col(lines.columns[0]).alias(",".join(header))).write.mode("overwrite").option(
+        "header", True).option("quote", "").option("sep", "\u0001").csv(path)
+
+
 def write_small_csv(df: DataFrame, path: str) -> None:
     """Single CSV file with a header, for results that are small by
     construction (top-k lists, metric rows).  The input runs once."""
