@@ -6,9 +6,8 @@ top-k lists for the evaluated users only, and runs the study's two-model
 protocol: fit(train + tuning history) -> tuning holdout, fit(train + test
 history) -> test holdout.
 
-Top-k scoring (``recommendForUserSubset``) is MLlib's blocked user × item
-scoring restricted to the evaluated users; it is the one all-pairs step of
-the workload and is bounded by (evaluated users × items).
+Top-k scoring is ``topk_product``: items in blocks by falling norm, each user
+scored only against the blocks that can still reach their list.
 """
 
 from __future__ import annotations
@@ -16,7 +15,7 @@ from __future__ import annotations
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.ml.recommendation import ALS, ALSModel
-from pyspark.sql import DataFrame, Row, Window
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
 from affinity.config import Config
@@ -24,7 +23,9 @@ from affinity.functions.metrics import r6
 from affinity.operators import evaluation as E
 from affinity.operators import prep
 from affinity.operators import signals as SG
+from affinity.operators.topk_product import top_products
 from affinity.session import checkpoint_dir, persisted
+from affinity.sources.scratch import Run
 
 KINDS = ("explicit", "implicit", "combined")
 
@@ -68,36 +69,24 @@ def fit(spark, train_matrix: DataFrame, kind: str, rank: int, reg: float, max_it
     return estimator(kind, rank, reg, max_iter, seed, checkpoint_interval, blocks).fit(train_matrix)
 
 
-def recommend(model: ALSModel, users: DataFrame, k: int) -> DataFrame:
-    """Top-k per user of ``users`` as ``(user_id, rank, book_id, score)``."""
-    return E.ranked_from_arrays(model.recommendForUserSubset(users.select("user_id").distinct(), k))
+def _factors(model: ALSModel, users: DataFrame) -> tuple[DataFrame, DataFrame]:
+    wanted = users.select("user_id").distinct()
+    return (model.userFactors.select(F.col("id").alias("user_id"), "features").join(wanted, "user_id", "left_semi"),
+            model.itemFactors.select(F.col("id").alias("book_id"), "features"))
 
 
-def recommend_unseen(model: ALSModel, users: DataFrame, seen: DataFrame, k: int) -> DataFrame:
+def recommend(model: ALSModel, users: DataFrame, k: int, run: Run | None = None) -> DataFrame:
+    """Top-k per user of ``users`` as ``(user_id, rank, book_id, score)``, ties by
+    item; users the model does not know have none.  Intermediates belong to
+    ``run`` (its own, to the end of the application, if none is given)."""
+    return top_products(*_factors(model, users), k, run or Run(users.sparkSession))[0]
+
+
+def recommend_unseen(model: ALSModel, users: DataFrame, seen: DataFrame, k: int, run: Run | None = None) -> DataFrame:
     """Top-k per user among items the user has not seen (the study keeps seen
-    items; this is the optional fix).  Exact without a candidate cap: a user's
-    top-k unseen items lie in their top-(k + n_seen) overall, so users are
-    grouped by the power of two at or above their seen count and each group
-    asks MLlib for that many, then seen items are anti-joined and ranks
-    recomputed.  The driver loops over at most ~log2(max seen) group sizes,
-    never over data."""
-    users = users.select("user_id").distinct()
-    n_seen = (seen.select("user_id", "book_id").join(users, "user_id", "left_semi")
-              .groupBy("user_id").agg(F.count(F.lit(1)).alias("_s")))
-    bucket = F.when(F.col("_s") <= 0, F.lit(0)).otherwise(
-        F.pow(F.lit(2), F.ceil(F.log2(F.col("_s").cast("double")))).cast("bigint"))
-    sized = users.join(n_seen, "user_id", "left").fillna(0, ["_s"]).withColumn("_b", bucket)
-    sizes = sorted(r["_b"] for r in sized.select("_b").distinct().collect())  # a few group sizes
-    if not sizes:  # no users
-        return recommend(model, users, k)
-    parts = [recommend(model, sized.where(F.col("_b") == b).select("user_id"), k + int(b)) for b in sizes]
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    kept = out.join(seen.select("user_id", "book_id"), ["user_id", "book_id"], "left_anti")
-    w = Window.partitionBy("user_id").orderBy(F.col("score").desc(), F.col("book_id").asc())
-    return (kept.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
-            .select("user_id", "rank", "book_id", "score"))
+    items; this is the optional fix).  Seen items are left out while scoring, so
+    lists hold k items at most however much a user has seen."""
+    return top_products(*_factors(model, users), k, run or Run(users.sparkSession), seen)[0]
 
 
 def rmse(model: ALSModel, holdout: DataFrame) -> DataFrame:
@@ -111,8 +100,11 @@ def rmse(model: ALSModel, holdout: DataFrame) -> DataFrame:
 def evaluate_model(model: ALSModel, holdout: DataFrame, k: int, seen: DataFrame | None = None) -> DataFrame:
     """Summary row of the ranking metrics for one fitted model (``seen``:
     optionally drop already-seen items from the lists, exactly)."""
-    recs = recommend(model, holdout, k) if seen is None else recommend_unseen(model, holdout, seen, k)
-    return E.evaluate(recs, holdout)
+    spark = holdout.sparkSession
+    with Run(spark) as run:
+        recs = recommend(model, holdout, k, run) if seen is None else recommend_unseen(model, holdout, seen, k, run)
+        out = E.evaluate(recs, holdout)
+        return spark.createDataFrame(out.collect(), out.schema)  # one metric row
 
 
 def fit_matrix(prepared: DataFrame, kind: str, split: str, alpha: float, beta: float, w: float,

@@ -8,7 +8,6 @@ SQL is in ``affinity.plans.oracle``.
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,7 +17,6 @@ from affinity.config import FIXTURE, SAMPLED
 from affinity.functions.metrics import r6
 from affinity.operators import als, evaluation as E, popularity as P, prep, profile as PR
 from affinity.operators import segments as SEG, signals as SG, similar as SIM, tuning as T
-from affinity.session import scratch_path
 from affinity.sources.fixtures import fx_interaction_lines
 from affinity.sources.scratch import Run
 from affinity.sources.sinks import write_csv_lines
@@ -40,6 +38,21 @@ def _prepared(spark, sf):
     return prep.prepare(_inter(spark, sf), CFG)
 
 
+def _written(spark, sf, run):
+    """The prepared table written once, for queries whose fits and evaluations read it many times."""
+    return run.keep(_prepared(spark, sf), "prepared")
+
+
+def _protocol(spark, sf, kind, **options):
+    with Run(spark) as run:
+        return als.two_model_protocol(spark, _written(spark, sf, run), kind, CFG, **options)
+
+
+def _grid(spark, sf, grid):
+    with Run(spark) as run:
+        return grid(spark, _written(spark, sf, run), CFG)
+
+
 def _train(spark, sf):
     return prep.train_of(_prepared(spark, sf))
 
@@ -387,12 +400,13 @@ def _rank(kind):
 
 
 def _recs(spark, sf, kind):
-    p = _prepared(spark, sf)
+    run = Run(spark)  # the result reads from it: it goes with the application
+    p = _written(spark, sf, run)
     fit_df = als.matrix(prep.fit_rows(p, "tuning"), kind, CFG.alpha, CFG.beta, CFG.rating_weight)
     model = als.fit(spark, fit_df, kind, _rank(kind), CFG.als_reg, CFG.als_iter, CFG.als_seed,
                     CFG.checkpoint_interval, CFG.als_blocks)
     users = prep.holdout_of(p, "tuning").where(als.holdout_rule(kind))
-    return als.recommend(model, users, CFG.top_k)
+    return als.recommend(model, users, CFG.top_k, run)
 
 
 def q_als_explicit_recs(spark, sf):
@@ -408,7 +422,8 @@ def q_als_combined_recs(spark, sf):
 
 
 def q_als_explicit_rmse(spark, sf):
-    p = _prepared(spark, sf)
+    run = Run(spark)  # the result reads from it: it goes with the application
+    p = _written(spark, sf, run)
     fit_df = als.matrix(prep.fit_rows(p, "tuning"), "explicit", CFG.alpha, CFG.beta, CFG.rating_weight)
     model = als.fit(spark, fit_df, "explicit", _rank("explicit"), CFG.als_reg, CFG.als_iter, CFG.als_seed,
                     CFG.checkpoint_interval, CFG.als_blocks)
@@ -416,62 +431,64 @@ def q_als_explicit_rmse(spark, sf):
 
 
 def q_als_explicit_eval(spark, sf):
-    return als.two_model_protocol(spark, _prepared(spark, sf), "explicit", CFG, with_rmse=True)
+    return _protocol(spark, sf, "explicit", with_rmse=True)
 
 
 def q_als_implicit_eval(spark, sf):
-    return als.two_model_protocol(spark, _prepared(spark, sf), "implicit", CFG)
+    return _protocol(spark, sf, "implicit")
 
 
 def q_als_combined_eval(spark, sf):
-    return als.two_model_protocol(spark, _prepared(spark, sf), "combined", CFG)
+    return _protocol(spark, sf, "combined")
 
 
 def q_als_implicit_eval_unseen(spark, sf):
     """Quirk option Q10: lists without already-seen items (exact)."""
-    return als.two_model_protocol(spark, _prepared(spark, sf), "implicit", CFG, exclude_seen=True)
+    return _protocol(spark, sf, "implicit", exclude_seen=True)
 
 
 def q_als_combined_eval_offset(spark, sf):
     """Quirk option Q9: MLlib receives c - 1 so the fitted weight is exactly c."""
-    return als.two_model_protocol(spark, _prepared(spark, sf), "combined", CFG, confidence_offset=-1.0)
+    return _protocol(spark, sf, "combined", confidence_offset=-1.0)
 
 
 def q_als_explicit_tune(spark, sf):
-    return T.explicit_grid(spark, _prepared(spark, sf), CFG)
+    return _grid(spark, sf, T.explicit_grid)
 
 
 def q_als_implicit_tune(spark, sf):
-    return T.implicit_grid(spark, _prepared(spark, sf), CFG)
+    return _grid(spark, sf, T.implicit_grid)
 
 
 def q_als_combined_tune(spark, sf):
-    return T.combined_grid(spark, _prepared(spark, sf), CFG)
+    return _grid(spark, sf, T.combined_grid)
 
 
 def q_als_model_roundtrip(spark, sf):
     """Fit, save to the shared folder, load back and recommend from the loaded model."""
-    p = _prepared(spark, sf)
+    run = Run(spark)  # the result reads from it: it goes with the application
+    p = _written(spark, sf, run)
     fit_df = als.matrix(prep.fit_rows(p, "tuning"), "combined", CFG.alpha, CFG.beta, CFG.rating_weight)
     model = als.fit(spark, fit_df, "combined", CFG.als_rank, CFG.als_reg, CFG.als_iter, CFG.als_seed,
                     CFG.checkpoint_interval, CFG.als_blocks)
-    path = scratch_path(spark, f"als-model-{uuid.uuid4().hex}")
+    path = f"{run.path}/als-model"
     als.save_model(model, path)
     loaded = als.load_model(path)
-    return als.recommend(loaded, prep.holdout_of(p, "tuning"), CFG.top_k)
+    return als.recommend(loaded, prep.holdout_of(p, "tuning"), CFG.top_k, run)
 
 
 def _als_facts(spark, sf, kind):
     """What holds of a fitted model whatever its factors are, as (metric, value)."""
-    p = _prepared(spark, sf)
+    run = Run(spark)  # the result reads from it: it goes with the application
+    p = _written(spark, sf, run)
     fit_df = als.matrix(prep.fit_rows(p, "tuning"), kind, CFG.alpha, CFG.beta, CFG.rating_weight)
     model = als.fit(spark, fit_df, kind, _rank(kind), CFG.als_reg, CFG.als_iter, CFG.als_seed,
                     CFG.checkpoint_interval, CFG.als_blocks)
-    path = scratch_path(spark, f"als-model-{uuid.uuid4().hex}")
+    path = f"{run.path}/als-model"
     als.save_model(model, path)
     holdout = prep.holdout_of(p, "tuning").where(als.holdout_rule(kind))
-    recs = als.recommend(model, holdout, CFG.top_k)
-    loaded = als.recommend(als.load_model(path), holdout, CFG.top_k)
+    recs = als.recommend(model, holdout, CFG.top_k, run)
+    loaded = als.recommend(als.load_model(path), holdout, CFG.top_k, run)
     lists = recs.groupBy("user_id").agg(F.count(F.lit(1)).alias("n"), F.min("rank").alias("lo"), F.max("rank").alias("hi"),
                                         F.countDistinct("book_id").alias("items"))
     per = lists.agg(F.count(F.lit(1)).alias("eval_users"), F.min("n").alias("shortest_list"), F.max("n").alias("longest_list"),
@@ -504,10 +521,11 @@ def q_als_combined_facts(spark, sf):
 
 def _model_table(spark, sf):
     """Metric rows of popularity and the three ALS models on both splits."""
-    p = _prepared(spark, sf)
     out = q_popularity_eval(spark, sf).select(F.lit("popularity").alias("model"), "split", "map", "ndcg")
-    for kind in als.KINDS:
-        out = out.unionByName(als.two_model_protocol(spark, p, kind, CFG).select(F.lit(kind).alias("model"), "split", "map", "ndcg"))
+    with Run(spark) as run:
+        p = _written(spark, sf, run)
+        for kind in als.KINDS:
+            out = out.unionByName(als.two_model_protocol(spark, p, kind, CFG).select(F.lit(kind).alias("model"), "split", "map", "ndcg"))
     return out
 
 
@@ -522,13 +540,14 @@ def q_als_stability_gap(spark, sf):
 
 def q_als_best_configs(spark, sf):
     """Best row of each tuning table: least RMSE (explicit), greatest MAP (others)."""
-    p = _prepared(spark, sf)
     out = None
-    for kind, grid, metric, most in (("explicit", T.explicit_grid, "rmse", False), ("implicit", T.implicit_grid, "map", True),
-                                     ("combined", T.combined_grid, "map", True)):
-        best = E.best_config(grid(spark, p, CFG), ["rank", "reg", "alpha", "beta", "rating_weight"], metric, None, most)
-        best = best.select(F.lit(kind).alias("kind"), "*")
-        out = best if out is None else out.unionByName(best)
+    with Run(spark) as run:
+        p = _written(spark, sf, run)
+        for kind, grid, metric, most in (("explicit", T.explicit_grid, "rmse", False), ("implicit", T.implicit_grid, "map", True),
+                                         ("combined", T.combined_grid, "map", True)):
+            best = E.best_config(grid(spark, p, CFG), ["rank", "reg", "alpha", "beta", "rating_weight"], metric, None, most)
+            best = best.select(F.lit(kind).alias("kind"), "*")
+            out = best if out is None else out.unionByName(best)
     return out
 
 
