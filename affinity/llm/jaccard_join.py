@@ -18,14 +18,17 @@ then share one.  The order puts parts of many shingles first (empty ones
 last): their values are the rarest, so a passage that thousands of documents
 share makes no bucket by itself.
 
-*Join and verify.*  Equal sets collapse to a class first.  In each of a few
-rounds every class is paired with one class of each of its buckets, another
-one every time; of those in another component whose bit sketches' Hamming
-distance allows it, the nearest is verified on the whole texts.  What is then
-still in different components is paired within the buckets, in blocks, under
-the same bound, and verified from the nearest to the farthest, leaving out
-pairs that meanwhile are connected.  No link between components is left
-unverified, and no group is expanded into all pairs.
+*Join and verify.*  Equal sets collapse to a class first.  In star rounds every
+class is paired with one class of each of its buckets, another one every time;
+of those in another component whose bit sketches' Hamming distance allows it,
+the nearest is verified on the whole texts, and components are carried to the
+end.  Rounds go on while a tenth of their pairs are links and the pairs within
+buckets that are still in different components are more than a few for each
+bucket row.
+Those are then paired, in blocks, under the same bound, and verified from the
+nearest to the farthest, leaving out pairs that meanwhile are connected.  No
+link between components is left unverified, and no group is expanded into all
+pairs.
 
 Set equality and intersections are by 64-bit hashes of shingles.
 
@@ -54,8 +57,8 @@ _SPACE = np.zeros(256, bool)
 _SPACE[[32, 9, 10, 11, 12, 13]] = True
 #: Rows of a bucket that one task compares with as many others.
 BLOCK = 2048
-#: Rounds that pair each class with one other of each bucket before the rest is paired in blocks.
-ROUNDS = 3
+#: Pairs in different components for each bucket row, up to which they are compared without further star rounds.
+FEW = 2
 
 
 def shingle_sets(texts: list[str], width: int) -> list[np.ndarray]:
@@ -165,15 +168,15 @@ def _sketches(docs: DataFrame, text: str, key: str, width: int, scheme: Scheme)
     return map_texts(docs, text, [key], fields, step)
 
 
-def _verify(pairs: DataFrame, docs: DataFrame, where: DataFrame, text: str, key: str, width: int, scheme: Scheme) -> DataFrame:
+def _verify(pairs: DataFrame, docs: DataFrame, where: DataFrame, text: str, key: str, width: int, scheme: Scheme,
+            store: Store) -> DataFrame:
     """Pairs (a, b) of classes that are similar; ``where`` has a document's key for each class."""
-    at = pairs.join(where.select(F.col("class").alias("a"), F.col("key").alias("ka")), "a").join(
-        where.select(F.col("class").alias("b"), F.col("key").alias("kb")), "b")
-    needed = at.select(F.col("ka").alias("k")).union(at.select("kb"))
+    at = store.keep(pairs.join(where.select(F.col("class").alias("a"), F.col("key").alias("ka")), "a").join(
+        where.select(F.col("class").alias("b"), F.col("key").alias("kb")), "b"), "at")
     own = docs.select(F.col(key).alias("k"), F.coalesce(F.col(text), F.lit("")).alias("t"))
-    own = possibly_in(own, "k", needed).where("maybe").select("k", "t")
-    left = own.select(F.col("k").alias("ka"), F.col("t").alias("ta"))
-    right = own.select(F.col("k").alias("kb"), F.col("t").alias("tb"))
+    # Each side's texts alone: in a star the second side is a few leads.
+    left, right = (possibly_in(own, "k", at.select(F.col(k).alias("k"))).where("maybe").select(
+        F.col("k").alias(k), F.col("t").alias(t)) for k, t in (("ka", "ta"), ("kb", "tb")))
     d = at.join(left, at.ka.eqNullSafe(left.ka)).select("a", "b", "kb", "ta")
     d = d.join(right, d.kb.eqNullSafe(right.kb)).select("a", "b", "ta", "tb")
 
@@ -236,17 +239,20 @@ def jaccard_components(docs: DataFrame, text: str = "text", key: str = "doc_id",
         own = labels.select(F.col("node").alias(node), F.col("label").alias(name))
         return d.join(own, node, "left").withColumn(name, F.coalesce(name, node))
 
-    def verified(pairs, rounds=None):
-        """Verify pairs; labels then join what is linked, or some of it."""
+    def verified(pairs):
+        """Verify pairs; labels then join what is linked.  Returns how many links there are."""
         nonlocal labels
         tried.append(pairs)
-        links.append(store.keep(_verify(pairs, docs, where, text, key, width, scheme), "links"))
-        labels = connected_components(linked(), store, rounds=rounds)
+        links.append(store.keep(_verify(pairs, docs, where, text, key, width, scheme, store), "links"))
+        new = links[-1].count()
+        if new or labels is None:
+            labels = connected_components(linked(), store)
         store.release()
+        return new
 
-    for turn in range(ROUNDS):
+    rows_in_buckets, turn, own = buckets.count(), 0, buckets.withColumn("label", F.col("class"))
+    while True:
         # Each class beside one of its bucket, another one every round; the nearest of another component is verified.
-        own = with_label(buckets, "class", "label")
         lead = own.groupBy("value").agg(F.min_by("class", F.xxhash64("class", F.lit(turn))).alias("lead"),
                                         F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("value", "lead")
         stars = own.join(lead, "value").where("class <> lead").groupBy("class", "lead", "label").agg(F.min("value").alias("value"))
@@ -256,10 +262,16 @@ def jaccard_components(docs: DataFrame, text: str = "text", key: str = "doc_id",
             "x", f"struct(lead AS class, ln AS n, {mine}.bits AS bits) AS y").where(apart <= limit)
         best = d.select(F.col("x.class").alias("a"), F.col("y.class").alias("b"), (apart / (limit + 1)).alias("far")).groupBy("a").agg(
             F.min(F.struct("far", "b"))["b"].alias("b"))
-        verified(store.keep(best.where("a <> b"), "best"), 2 if turn < ROUNDS - 1 else 4)
+        best = store.keep(best.where("a <> b"), "best")
+        new = verified(best)
+        own = with_label(buckets, "class", "label")
+        each = own.groupBy("value", "label").agg(F.count("*").alias("n")).groupBy("value").agg(
+            (F.sum("n") * F.sum("n") - F.sum(F.col("n") * F.col("n"))).alias("apart"))
+        if 10 * new <= best.count() or (each.agg(F.sum("apart") / 2).first()[0] or 0) <= FEW * rows_in_buckets:
+            break
+        turn += 1
 
     # What is left within buckets across components, where the bit sketches are near enough.
-    own = with_label(buckets, "class", "label")
     wide = own.groupBy("value").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count("*").alias("size")).where(
         "lo <> hi").select("value", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks"))
     member = own.join(wide, "value").join(known, "class").selectExpr(
@@ -284,8 +296,8 @@ def jaccard_components(docs: DataFrame, text: str = "text", key: str = "doc_id",
         live = with_label(with_label(near.where((F.col("far") >= done) & (F.col("far") < upto)), "a", "la"), "b", "lb").where("la <> lb")
         done = upto
         live = store.keep(live.select("a", "b"), "live")
-        if upto == 1.0 or not live.isEmpty():
-            verified(live, 2 if upto < 1.0 else None)
+        if not live.isEmpty():
+            verified(live)
     pairs = linked().select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
     degree = pairs.select(F.col("a").alias("class")).union(pairs.select("b")).groupBy("class").agg(F.count("*").alias("n_links"))
     classes = where.select("class", "key").join(labels.withColumnRenamed("node", "class"), "class", "left").withColumn(

@@ -44,12 +44,23 @@ class Store:
             path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+#: Bits of the filter for each key, and most bits of it: 2**26 are 2**20 rows to broadcast.
+BITS_EACH, LEAST_BITS, MOST_BITS = 16, 1 << 22, 1 << 26
+
+
 def possibly_in(df: DataFrame, column: str, other: DataFrame, name: str = "maybe") -> DataFrame:
     """``df`` with a flag that is true wherever ``column`` is in the one column
-    of ``other`` and seldom elsewhere.  The 2**22 bits behind it are 65,536
-    rows whatever the input, so they are broadcast; nothing else moves."""
-    slot = lambda c: F.xxhash64(c).bitwiseAND(F.lit((1 << 22) - 1))
-    bits = other.select(slot(F.col(other.columns[0])).alias("__s")).groupBy(F.shiftright("__s", 6).alias("__word")).agg(
+    of ``other`` (a stored table) and seldom elsewhere.  The bits behind it grow
+    with the number of keys and are broadcast; for more keys than MOST_BITS
+    serve, the flag comes from a join by key, so the filter never stops filtering."""
+    keys = other.select(F.col(other.columns[0]).alias("__k"))
+    n = keys.count()
+    if n * BITS_EACH > MOST_BITS:
+        keys = keys.distinct()
+        return df.join(keys, F.col(column).eqNullSafe(keys["__k"]), "left").withColumn(name, F.col("__k").isNotNull()).drop("__k")
+    bits_in_all = max(LEAST_BITS, 1 << (max(1, n * BITS_EACH) - 1).bit_length())
+    slot = lambda c: F.xxhash64(c).bitwiseAND(F.lit(bits_in_all - 1))
+    bits = keys.select(slot(F.col("__k")).alias("__s")).groupBy(F.shiftright("__s", 6).alias("__word")).agg(
         F.bit_or(F.expr("shiftleft(1L, cast(__s & 63 as int))")).alias("__bits"))
     d = df.withColumn("__s", slot(F.col(column)))
     d = d.join(F.broadcast(bits), F.shiftright("__s", 6) == F.col("__word"), "left")
