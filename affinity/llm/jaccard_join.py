@@ -19,13 +19,12 @@ last): their values are the rarest, so a passage that thousands of documents
 share makes no bucket by itself.
 
 *Join and verify.*  Equal sets collapse to a class first.  In star rounds every
-class is paired with one class of each of its buckets, another one every time;
-of those in another component whose bit sketches' Hamming distance allows it,
-the nearest is verified on the whole texts, and components are carried to the
-end.  Rounds go on while a tenth of their pairs are links and the pairs within
-buckets that are still in different components are more than a few for each
-bucket row.
-Those are then paired, in blocks, under the same bound, and verified from the
+class is paired with one class of the commonest other component of each of
+its buckets, another one every time; of those whose bit sketches' Hamming
+distance allows it, the nearest are verified on the whole texts, and components
+are carried to the end.  Buckets that hold one component only go.  Rounds go
+on while many of their pairs are links.  What is then left in a bucket across
+components is paired, in blocks, under the same bound, and verified from the
 nearest to the farthest, leaving out pairs that meanwhile are connected.  No
 link between components is left unverified, and no group is expanded into all
 pairs.
@@ -57,8 +56,10 @@ _SPACE = np.zeros(256, bool)
 _SPACE[[32, 9, 10, 11, 12, 13]] = True
 #: Rows of a bucket that one task compares with as many others.
 BLOCK = 2048
-#: Pairs in different components for each bucket row, up to which they are compared without further star rounds.
-FEW = 2
+#: Leads that a class is verified with in a star round after the first, nearest first.
+NEAREST = 4
+#: Star rounds go on while more than one in so many of their pairs is a link.
+YIELD = 4
 
 
 def shingle_sets(texts: list[str], width: int) -> list[np.ndarray]:
@@ -250,41 +251,44 @@ def jaccard_components(docs: DataFrame, text: str = "text", key: str = "doc_id",
         store.release()
         return new
 
-    rows_in_buckets, turn, own = buckets.count(), 0, buckets.withColumn("label", F.col("class"))
+    mixed = F.expr("min(label) OVER (PARTITION BY value) <> max(label) OVER (PARTITION BY value)")
+    own, turn = buckets.withColumn("label", F.col("class")), 0
     while True:
-        # Each class beside one of its bucket, another one every round; the nearest of another component is verified.
-        lead = own.groupBy("value").agg(F.min_by("class", F.xxhash64("class", F.lit(turn))).alias("lead"),
-                                        F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("value", "lead")
-        stars = own.join(lead, "value").where("class <> lead").groupBy("class", "lead", "label").agg(F.min("value").alias("value"))
-        stars = with_label(stars, "lead", "other").where("label <> other").select("class", "lead", "value")
+        # Each class beside one of its bucket's commonest component, another one every round; the nearest are verified.
+        each = own.groupBy("value", "label").agg(F.count("*").alias("n"), F.min_by("class", F.xxhash64("class", F.lit(turn))).alias("lead"))
+        lead = each.groupBy("value").agg(F.max_by(F.struct("lead", F.col("label").alias("other")), F.struct("n", "lead")).alias("l")).select("value", "l.*")
+        stars = own.join(lead, "value").where("label <> other").groupBy("class", "lead").agg(F.min("value").alias("value"))
         x = stars.join(known, "class").selectExpr("lead", f"struct(class, n, {mine}.bits AS bits) AS x", "value")
         d = x.join(known.select(F.col("class").alias("lead"), F.col("n").alias("ln"), "sketches"), "lead").selectExpr(
             "x", f"struct(lead AS class, ln AS n, {mine}.bits AS bits) AS y").where(apart <= limit)
-        best = d.select(F.col("x.class").alias("a"), F.col("y.class").alias("b"), (apart / (limit + 1)).alias("far")).groupBy("a").agg(
-            F.min(F.struct("far", "b"))["b"].alias("b"))
-        best = store.keep(best.where("a <> b"), "best")
+        best = d.select(F.col("x.class").alias("a"), F.col("y.class").alias("b"), (apart / (limit + 1)).alias("far")).withColumn(
+            "place", F.expr("row_number() OVER (PARTITION BY a ORDER BY far, b)")).where(F.col("place") <= (NEAREST if turn else 1)).select("a", "b")
+        best = store.keep(best, "best")
         new = verified(best)
-        own = with_label(buckets, "class", "label")
-        each = own.groupBy("value", "label").agg(F.count("*").alias("n")).groupBy("value").agg(
-            (F.sum("n") * F.sum("n") - F.sum(F.col("n") * F.col("n"))).alias("apart"))
-        if 10 * new <= best.count() or (each.agg(F.sum("apart") / 2).first()[0] or 0) <= FEW * rows_in_buckets:
+        last, own = own, store.keep(with_label(own.select("value", "class"), "class", "label").withColumn("mixed", mixed).where("mixed").drop("mixed"), "own")
+        if turn:
+            store.drop(last)
+        if YIELD * new <= best.count():
             break
         turn += 1
 
-    # What is left within buckets across components, where the bit sketches are near enough.
-    wide = own.groupBy("value").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count("*").alias("size")).where(
-        "lo <> hi").select("value", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks"))
+    # What is left within buckets across components, where the folded sketches are near enough, and then the sketches.
+    wide = own.groupBy("value").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
     member = own.join(wide, "value").join(known, "class").selectExpr(
-        "value", "class", "label", "n", "blocks", "cast(pmod(xxhash64(class), blocks) as int) AS own", f"{mine} AS s").selectExpr(
-        "value", "class", "label", "n", "blocks", "own", "s.bits AS bits", *(f"s.fold[{i}] AS f{i}" for i in range(16)))
+        "value", "class", "label", "n", "blocks", "cast(pmod(xxhash64(class), blocks) as int) AS own", f"{mine}.fold AS fold").selectExpr(
+        "value", "class", "label", "n", "blocks", "own", *(f"fold[{i}] AS f{i}" for i in range(16)))
     spread = member.select("*", F.explode(F.expr("sequence(0, blocks - 1)")).alias("other")).selectExpr(
         "*", "least(own, other) AS lo", "greatest(own, other) AS hi")
     x, y = spread.where("own = lo").alias("x"), spread.where("own = hi").alias("y")
     near = x.join(y, (F.col("x.value") == F.col("y.value")) & (F.col("x.lo") == F.col("y.lo")) & (F.col("x.hi") == F.col("y.hi"))
                   & (F.col("x.label") != F.col("y.label")) & ((F.col("x.own") != F.col("y.own")) | (F.col("x.class") < F.col("y.class")))
-                  & (F.least("x.n", "y.n") * den >= F.greatest("x.n", "y.n") * num) & (coarse <= limit) & (apart <= limit))
-    near = near.select(F.least("x.class", "y.class").alias("b"), F.greatest("x.class", "y.class").alias("a"),
-                       (apart / (limit + 1)).alias("far")).groupBy("a", "b").agg(F.max("far").alias("far"))
+                  & (F.least("x.n", "y.n") * den >= F.greatest("x.n", "y.n") * num) & (coarse <= limit))
+    near = near.select(F.least("x.class", "y.class").alias("b"), F.greatest("x.class", "y.class").alias("a"), "x.value").groupBy("a", "b").agg(
+        F.min("value").alias("value"))
+    x = store.keep(near, "coarse").join(known, F.col("a") == F.col("class")).selectExpr("b", f"struct(class, n, {mine}.bits AS bits) AS x", "value")
+    near = x.join(known.select(F.col("class").alias("b"), F.col("n").alias("bn"), "sketches"), "b").selectExpr(
+        "x", f"struct(b AS class, bn AS n, {mine}.bits AS bits) AS y").where(apart <= limit).select(
+        F.col("x.class").alias("a"), F.col("y.class").alias("b"), (apart / (limit + 1)).alias("far"))
     near = store.keep(near, "near")  # else the pairs tried before would be left out below the aggregate, bucket by bucket
     known_pairs = tried[0]
     for t in tried[1:]:
@@ -304,7 +308,7 @@ def jaccard_components(docs: DataFrame, text: str = "text", key: str = "doc_id",
         "label", F.coalesce("label", "class"))
     first = classes.groupBy("label").agg(F.min("key").alias("component_id"))
     member = store.keep(classes.join(first, "label").join(degree, "class", "left").select("class", "component_id", "n_links"), "member")
-    store.drop(buckets, known, near)
+    store.drop(buckets, known, near, own)
     out = sketched.select("key", "n", "class").join(member, "class", "left")
     return out.select(F.col("key").alias(key), F.col("n").alias("n_shingles"),
                       F.when(F.col("class").isNull(), F.col("key")).otherwise(F.col("component_id")).alias("component_id"),

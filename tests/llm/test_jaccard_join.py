@@ -59,7 +59,7 @@ def test_components_match_brute_force(spark):
 def test_blocks_give_the_same(spark, monkeypatch):
     some = corpus()[:120] + [words(7, 80) + f" tail{i} tail{i + 1}" for i in range(40)]
     monkeypatch.setattr(J, "BLOCK", 4)
-    monkeypatch.setattr(J, "ROUNDS", 1)
+    monkeypatch.setattr(J, "YIELD", 0)
     got = {r.doc_id: r.component_id for r in J.jaccard_components(docs(spark, some)).collect()}
     assert [got[i] for i in range(len(some))] == brute(some)[1]
 
