@@ -21,8 +21,7 @@ share makes no bucket by itself.
 *Join and verify.*  Equal sets collapse to a class first.  In star rounds every
 class is paired with one class of the commonest other component of each of
 its buckets, another one every time; of those whose bit sketches' Hamming
-distance allows it, the nearest are verified on the whole texts, and components
-are carried to the end.  Buckets that hold one component only go.  Rounds go
+distance allows it, the nearest are verified on the whole texts.  Buckets that hold one component only go.  Rounds go
 on while many of their pairs are links.  What is then left in a bucket across
 components is paired, in blocks, under the same bound, and verified from the
 nearest to the farthest, leaving out pairs that meanwhile are connected.  No
@@ -59,7 +58,7 @@ BLOCK = 2048
 #: Leads that a class is verified with in a star round after the first, nearest first.
 NEAREST = 4
 #: Star rounds go on while more than one in so many of their pairs is a link.
-YIELD = 4
+YIELD = 2
 
 
 def shingle_sets(texts: list[str], width: int) -> list[np.ndarray]:
@@ -170,13 +169,13 @@ def _sketches(docs: DataFrame, text: str, key: str, width: int, scheme: Scheme)
 
 
 def _verify(pairs: DataFrame, docs: DataFrame, where: DataFrame, text: str, key: str, width: int, scheme: Scheme,
-            store: Store) -> DataFrame:
-    """Pairs (a, b) of classes that are similar; ``where`` has a document's key for each class."""
+            store: Store, size: int) -> DataFrame:
+    """Those of ``size`` pairs (a, b) of classes that are similar; ``where`` has a document's key for each class."""
     at = store.keep(pairs.join(where.select(F.col("class").alias("a"), F.col("key").alias("ka")), "a").join(
         where.select(F.col("class").alias("b"), F.col("key").alias("kb")), "b"), "at")
     own = docs.select(F.col(key).alias("k"), F.coalesce(F.col(text), F.lit("")).alias("t"))
     # Each side's texts alone: in a star the second side is a few leads.
-    left, right = (possibly_in(own, "k", at.select(F.col(k).alias("k"))).where("maybe").select(
+    left, right = (possibly_in(own, "k", at.select(F.col(k).alias("k")), n=size).where("maybe").select(
         F.col("k").alias(k), F.col("t").alias(t)) for k, t in (("ka", "ta"), ("kb", "tb")))
     d = at.join(left, at.ka.eqNullSafe(left.ka)).select("a", "b", "kb", "ta")
     d = d.join(right, d.kb.eqNullSafe(right.kb)).select("a", "b", "ta", "tb")
@@ -240,14 +239,17 @@ def jaccard_components(docs: DataFrame, text: str = "text", key: str = "doc_id",
         own = labels.select(F.col("node").alias(node), F.col("label").alias(name))
         return d.join(own, node, "left").withColumn(name, F.coalesce(name, node))
 
-    def verified(pairs):
-        """Verify pairs; labels then join what is linked.  Returns how many links there are."""
+    def verified(pairs, rounds=None):
+        """Verify pairs; labels then join what is linked, or most of it.  Returns how many links there are."""
         nonlocal labels
+        size = pairs.count()
+        if size == 0 and labels is not None:
+            return 0
         tried.append(pairs)
-        links.append(store.keep(_verify(pairs, docs, where, text, key, width, scheme, store), "links"))
+        links.append(store.keep(_verify(pairs, docs, where, text, key, width, scheme, store, size), "links"))
         new = links[-1].count()
         if new or labels is None:
-            labels = connected_components(linked(), store)
+            labels = connected_components(linked(), store, rounds=rounds)
         store.release()
         return new
 
@@ -264,11 +266,14 @@ def jaccard_components(docs: DataFrame, text: str = "text", key: str = "doc_id",
         best = d.select(F.col("x.class").alias("a"), F.col("y.class").alias("b"), (apart / (limit + 1)).alias("far")).withColumn(
             "place", F.expr("row_number() OVER (PARTITION BY a ORDER BY far, b)")).where(F.col("place") <= (NEAREST if turn else 1)).select("a", "b")
         best = store.keep(best, "best")
-        new = verified(best)
+        new = verified(best, 2)
+        more = YIELD * new > best.count()
+        if not more:
+            labels = connected_components(linked(), store)  # to the end, before anything is paired in blocks
         last, own = own, store.keep(with_label(own.select("value", "class"), "class", "label").withColumn("mixed", mixed).where("mixed").drop("mixed"), "own")
         if turn:
             store.drop(last)
-        if YIELD * new <= best.count():
+        if not more:
             break
         turn += 1
 
@@ -300,8 +305,7 @@ def jaccard_components(docs: DataFrame, text: str = "text", key: str = "doc_id",
         live = with_label(with_label(near.where((F.col("far") >= done) & (F.col("far") < upto)), "a", "la"), "b", "lb").where("la <> lb")
         done = upto
         live = store.keep(live.select("a", "b"), "live")
-        if not live.isEmpty():
-            verified(live)
+        verified(live, 2 if upto < 1.0 else None)
     pairs = linked().select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
     degree = pairs.select(F.col("a").alias("class")).union(pairs.select("b")).groupBy("class").agg(F.count("*").alias("n_links"))
     classes = where.select("class", "key").join(labels.withColumnRenamed("node", "class"), "class", "left").withColumn(
