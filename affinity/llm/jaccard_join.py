@@ -253,13 +253,12 @@ def jaccard_components(docs: DataFrame, text: str = "text", key: str = "doc_id",
         store.release()
         return new
 
-    mixed = F.expr("min(label) OVER (PARTITION BY value) <> max(label) OVER (PARTITION BY value)")
-    own, turn = buckets.withColumn("label", F.col("class")), 0
+    turn = 0
     while True:
         # Each class beside one of its bucket's commonest component, another one every round; the nearest are verified.
-        each = own.groupBy("value", "label").agg(F.count("*").alias("n"), F.min_by("class", F.xxhash64("class", F.lit(turn))).alias("lead"))
-        lead = each.groupBy("value").agg(F.max_by(F.struct("lead", F.col("label").alias("other")), F.struct("n", "lead")).alias("l")).select("value", "l.*")
-        stars = own.join(lead, "value").where("label <> other").groupBy("class", "lead").agg(F.min("value").alias("value"))
+        own = with_label(buckets, "class", "label").withColumn("size", F.expr("count(*) OVER (PARTITION BY value, label)"))
+        own = own.withColumn("lead", F.expr(f"max(struct(size, xxhash64(class, {turn}), class, label)) OVER (PARTITION BY value)"))
+        stars = own.where("label <> lead.label").groupBy("class", F.col("lead.class").alias("lead")).agg(F.min("value").alias("value"))
         x = stars.join(known, "class").selectExpr("lead", f"struct(class, n, {mine}.bits AS bits) AS x", "value")
         d = x.join(known.select(F.col("class").alias("lead"), F.col("n").alias("ln"), "sketches"), "lead").selectExpr(
             "x", f"struct(lead AS class, ln AS n, {mine}.bits AS bits) AS y").where(apart <= limit)
@@ -270,14 +269,12 @@ def jaccard_components(docs: DataFrame, text: str = "text", key: str = "doc_id",
         more = YIELD * new > best.count()
         if not more:
             labels = connected_components(linked(), store)  # to the end, before anything is paired in blocks
-        last, own = own, store.keep(with_label(own.select("value", "class"), "class", "label").withColumn("mixed", mixed).where("mixed").drop("mixed"), "own")
-        if turn:
-            store.drop(last)
-        if not more:
             break
         turn += 1
 
     # What is left within buckets across components, where the folded sketches are near enough, and then the sketches.
+    mixed = F.expr("min(label) OVER (PARTITION BY value) <> max(label) OVER (PARTITION BY value)")
+    own = store.keep(with_label(buckets, "class", "label").withColumn("mixed", mixed).where("mixed").drop("mixed"), "own")
     wide = own.groupBy("value").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
     member = own.join(wide, "value").join(known, "class").selectExpr(
         "value", "class", "label", "n", "blocks", "cast(pmod(xxhash64(class), blocks) as int) AS own", f"{mine}.fold AS fold").selectExpr(
