@@ -23,6 +23,7 @@ from affinity.functions.metrics import r6
 from affinity.operators import evaluation as E
 from affinity.operators import prep
 from affinity.operators import signals as SG
+from affinity.operators.registry import FitRegistry
 from affinity.operators.topk_product import top_products
 from affinity.session import checkpoint_dir, persisted
 from affinity.sources.scratch import Run
@@ -116,9 +117,11 @@ def fit_matrix(prepared: DataFrame, kind: str, split: str, alpha: float, beta: f
 def run_split(spark, prepared: DataFrame, kind: str, split: str, cfg: Config, rank: int | None = None,
               reg: float | None = None, max_iter: int | None = None, alpha: float | None = None,
               beta: float | None = None, w: float | None = None, with_rmse: bool | None = None,
-              exclude_seen: bool = False, fit_df: DataFrame | None = None, confidence_offset: float = 0.0):
+              exclude_seen: bool = False, fit_df: DataFrame | None = None, confidence_offset: float = 0.0,
+              registry: FitRegistry | None = None):
     """Fit on train + ``split`` history and evaluate on ``split`` holdout.
-    Returns ``(model, summary DataFrame)``; the summary is one row."""
+    Returns ``(model, summary DataFrame)``; the summary is one row.  With a
+    ``registry`` the same configuration and matrix is fitted once."""
     rank = rank or (cfg.als_explicit_rank if kind == "explicit" else cfg.als_rank)
     reg = cfg.als_reg if reg is None else reg
     max_iter = max_iter or cfg.als_iter
@@ -128,8 +131,14 @@ def run_split(spark, prepared: DataFrame, kind: str, split: str, cfg: Config, ra
     if fit_df is None:  # build and cache this point's matrix for the fit's many passes
         with persisted(fit_matrix(prepared, kind, split, alpha, beta, w, confidence_offset)) as cached:
             return run_split(spark, prepared, kind, split, cfg, rank, reg, max_iter, alpha, beta, w,
-                             with_rmse, exclude_seen, cached, confidence_offset)
-    model = fit(spark, fit_df, kind, rank, reg, max_iter, cfg.als_seed, cfg.checkpoint_interval, cfg.als_blocks)
+                             with_rmse, exclude_seen, cached, confidence_offset, registry)
+
+    def fitted():
+        return fit(spark, fit_df, kind, rank, reg, max_iter, cfg.als_seed, cfg.checkpoint_interval, cfg.als_blocks)
+
+    model = fitted() if registry is None else registry.model(
+        {"kind": kind, "rank": rank, "reg": float(reg), "iterations": max_iter, "seed": cfg.als_seed, "blocks": cfg.als_blocks},
+        fit_df, fitted)
     holdout = prep.holdout_of(prepared, split).where(holdout_rule(kind))
     seen = prep.fit_rows(prepared, split) if exclude_seen else None
     summary = evaluate_model(model, holdout, cfg.top_k, seen).select(F.lit(split).alias("split"), "*")

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from affinity.config import FIXTURE, SAMPLED
 from affinity.functions.metrics import r6
 from affinity.operators import als, evaluation as E, popularity as P, prep, profile as PR
+from affinity.operators.registry import FitRegistry
 from affinity.operators import segments as SEG, signals as SG, similar as SIM, tuning as T
 from affinity.sources.fixtures import fx_interaction_lines
 from affinity.sources.scratch import Run
@@ -50,7 +51,7 @@ def _protocol(spark, sf, kind, **options):
 
 def _grid(spark, sf, grid):
     with Run(spark) as run:
-        return grid(spark, _written(spark, sf, run), CFG)
+        return grid(spark, _written(spark, sf, run), CFG, registry=FitRegistry(spark, f"{run.path}/models"))
 
 
 def _train(spark, sf):
@@ -542,10 +543,10 @@ def q_als_best_configs(spark, sf):
     """Best row of each tuning table: least RMSE (explicit), greatest MAP (others)."""
     out = None
     with Run(spark) as run:
-        p = _written(spark, sf, run)
+        p, models = _written(spark, sf, run), FitRegistry(spark, f"{run.path}/models")
         for kind, grid, metric, most in (("explicit", T.explicit_grid, "rmse", False), ("implicit", T.implicit_grid, "map", True),
                                          ("combined", T.combined_grid, "map", True)):
-            best = E.best_config(grid(spark, p, CFG), ["rank", "reg", "alpha", "beta", "rating_weight"], metric, None, most)
+            best = E.best_config(grid(spark, p, CFG, registry=models), ["rank", "reg", "alpha", "beta", "rating_weight"], metric, None, most)
             best = best.select(F.lit(kind).alias("kind"), "*")
             out = best if out is None else out.unionByName(best)
     return out
