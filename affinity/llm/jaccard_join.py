@@ -239,8 +239,8 @@ def jaccard_components(docs: DataFrame, text: str = "text", key: str = "doc_id",
         own = labels.select(F.col("node").alias(node), F.col("label").alias(name))
         return d.join(own, node, "left").withColumn(name, F.coalesce(name, node))
 
-    def verified(pairs, rounds=None):
-        """Verify pairs; labels then join what is linked, or most of it.  Returns how many links there are."""
+    def verified(pairs):
+        """Verify pairs; labels then join all that is linked.  Returns how many links there are."""
         nonlocal labels
         size = pairs.count()
         if size == 0 and labels is not None:
@@ -249,7 +249,7 @@ def jaccard_components(docs: DataFrame, text: str = "text", key: str = "doc_id",
         links.append(store.keep(_verify(pairs, docs, where, text, key, width, scheme, store, size), "links"))
         new = links[-1].count()
         if new or labels is None:
-            labels = connected_components(linked(), store, rounds=rounds)
+            labels = connected_components(linked(), store)
         store.release()
         return new
 
@@ -265,10 +265,8 @@ def jaccard_components(docs: DataFrame, text: str = "text", key: str = "doc_id",
         best = d.select(F.col("x.class").alias("a"), F.col("y.class").alias("b"), (apart / (limit + 1)).alias("far")).withColumn(
             "place", F.expr("row_number() OVER (PARTITION BY a ORDER BY far, b)")).where(F.col("place") <= (NEAREST if turn else 1)).select("a", "b")
         best = store.keep(best, "best")
-        new = verified(best, 2)
-        more = YIELD * new > best.count()
-        if not more:
-            labels = connected_components(linked(), store)  # to the end, before anything is paired in blocks
+        new = verified(best)
+        if YIELD * new <= best.count():
             break
         turn += 1
 
@@ -302,7 +300,7 @@ def jaccard_components(docs: DataFrame, text: str = "text", key: str = "doc_id",
         live = with_label(with_label(near.where((F.col("far") >= done) & (F.col("far") < upto)), "a", "la"), "b", "lb").where("la <> lb")
         done = upto
         live = store.keep(live.select("a", "b"), "live")
-        verified(live, 2 if upto < 1.0 else None)
+        verified(live)
     pairs = linked().select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
     degree = pairs.select(F.col("a").alias("class")).union(pairs.select("b")).groupBy("class").agg(F.count("*").alias("n_links"))
     classes = where.select("class", "key").join(labels.withColumnRenamed("node", "class"), "class", "left").withColumn(
