@@ -50,11 +50,12 @@ BITS_EACH, LEAST_BITS, MOST_BITS = 16, 1 << 22, 1 << 26
 
 def possibly_in(df: DataFrame, column: str, other: DataFrame, name: str = "maybe", n: int | None = None) -> DataFrame:
     """``df`` with a flag that is true wherever ``column`` is in the one column
-    of ``other`` (a stored table of ``n`` rows, else counted) and seldom
-    elsewhere.  The bits behind it grow with the number of keys and are broadcast; for more keys than MOST_BITS
-    serve, the flag comes from a join by key, so the filter never stops filtering."""
+    of ``other`` and seldom elsewhere.  The bits behind it are broadcast.  Given
+    ``n``, the most rows of ``other``, they grow with it, and for more keys than
+    MOST_BITS serve the flag comes from a join by key, so that the filter never
+    stops filtering; else there are LEAST_BITS whatever the input."""
     keys = other.select(F.col(other.columns[0]).alias("__k"))
-    n = keys.count() if n is None else n
+    n = 0 if n is None else n
     if n * BITS_EACH > MOST_BITS:
         keys = keys.distinct()
         return df.join(keys, F.col(column).eqNullSafe(keys["__k"]), "left").withColumn(name, F.col("__k").isNotNull()).drop("__k")
