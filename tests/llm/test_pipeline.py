@@ -57,8 +57,9 @@ def test_run_is_the_stages_in_order(spark):
 
 def test_every_query_is_registered():
     names = set(E.queries())
-    assert {f"op{n}" for n in range(1, 11)} <= {x.split("_")[0] for x in names} and "pipeline" in names
-    assert {x for x in E.oracle_sql() if x.startswith("op")} == {"op2_jaccard_join", "op5_benchmark_decontamination", "op10_quality_rules"}
+    assert {f"op{n}" for n in range(1, 14)} <= {x.split("_")[0] for x in names} and "pipeline" in names
+    assert {x for x in E.oracle_sql() if x.startswith("op")} == {
+        "op2_jaccard_join", "op5_benchmark_decontamination", "op10_quality_rules", "op12_hard_negatives", "op13_vector_codes"}
 
 
 def test_one_row_of_each_group_stays_whatever_the_ids(spark):
