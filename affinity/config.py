@@ -42,6 +42,8 @@ class Config:
     reader_chunk: int = 1000  # readers per token-list row
     recall_fraction: float = 0.05  # items that the recall of the hashed pairs is measured on
     vector_span: int = 4096  # vocabulary indices per sparse-vector row
+    split_buckets: int = 64  # user buckets of the written split tables: about a task's worth of evaluation rows each
+    deal_rows: int = 1_000_000  # rows of one user that one task writes
     explicit_grid: dict = field(default_factory=lambda: {"rank": [10, 20], "regParam": [0.01, 0.1, 1.0]})
     implicit_stage1_grid: dict = field(default_factory=lambda: {"rank": [10, 20], "regParam": [0.01, 0.1, 1.0]})
     implicit_stage2_grid: dict = field(default_factory=lambda: {"alpha": [1.0, 10.0], "beta": [20.0, 40.0]})
@@ -70,6 +72,7 @@ FIXTURE = Config(
     reader_chunk=16,
     recall_fraction=0.25,
     vector_span=64,
+    split_buckets=8,
 )
 
 # The sampling operator itself (P1) and the reports about it.

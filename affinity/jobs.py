@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from affinity.config import PUBLISHED, Config
 from affinity.operators import als, evaluation as E, popularity as P, prep, profile as PR
-from affinity.operators import segments as SEG, similar as SIM, tuning as T
+from affinity.operators import segments as SEG, similar as SIM, study as ST, tuning as T
 from affinity.session import persisted
 from affinity.sources import read_item_map_csv, write_parquet, write_small_csv
 from affinity.sources.scratch import Run
@@ -30,6 +30,7 @@ from affinity.sources.tables import ingest_interactions_csv, ingest_report
 
 SPLITS_DIR = "splits"
 RESULTS_DIR = "results"
+PROFILE = "write_profile"
 
 
 def _p(base: str, *parts: str) -> str:
@@ -42,29 +43,37 @@ def splits(spark: SparkSession, base: str) -> DataFrame:
 
 def preprocess(spark: SparkSession, interactions_csv: str, base: str, cfg: Config = PUBLISHED) -> DataFrame:
     """CSV -> Parquet, lines that can't be taken to a reject table beside it,
-    then the split table.  Returns the dataset summary of what was written."""
+    then the split table, bucketed by user.  The reports by table come from the
+    counters of that write.  Returns the dataset summary of what was written."""
     raw_path, reject_path = _p(base, "interactions_raw.parquet"), _p(base, "interactions_rejects.parquet")
     rows, rejects = ingest_interactions_csv(spark, interactions_csv)
     write_parquet(rows, raw_path)
     write_parquet(rejects, reject_path)
     write_small_csv(ingest_report(spark.read.parquet(raw_path), spark.read.parquet(reject_path)),
                     _p(base, RESULTS_DIR, "ingest_report"))
-    prepared = prep.prepare_table(spark.read.parquet(raw_path), cfg, _p(base, SPLITS_DIR))
-    summary = PR.dataset_summary(prepared)
+    with Run(spark) as run:
+        _, profile = ST.write_study(spark.read.parquet(raw_path), cfg, _p(base, SPLITS_DIR), run)
+    write_small_csv(profile, _p(base, RESULTS_DIR, PROFILE))
+    summary = PR.dataset_summary(splits(spark, base))
     write_small_csv(summary, _p(base, RESULTS_DIR, "preprocess_summary"))
     return summary
 
 
 def analyze(spark: SparkSession, base: str, cfg: Config = PUBLISHED) -> dict[str, DataFrame]:
-    """Profiles and checks of the split table, one small CSV each."""
+    """Profiles and checks of the split table, one small CSV each; those of
+    rows by table come from the counters of its write and scan nothing."""
     p = splits(spark, base)
+    profile = spark.read.option("header", True).schema(ST.PROFILE_SCHEMA).csv(_p(base, RESULTS_DIR, PROFILE))
     train = prep.train_of(p)
     out = {
         "split_table_stats": PR.split_table_stats(p),
         "user_split_shares": PR.user_split_shares(p),
         "split_user_overlap": PR.split_user_overlap(p),
         "user_activity_stats": PR.user_activity_stats(train),
-        "signal_coverage": PR.tagged_coverage({"train": train}),
+        "signal_coverage": ST.coverage(profile, "sampled").unionByName(ST.coverage(profile, "train", F.col("role") == "train")),
+        "split_accounting": ST.accounting(profile),
+        "model_coverage": ST.model_coverage(profile),
+        "initial_rating_weight": ST.initial_rating_weight(profile, cfg.alpha),
         "rating_histogram": PR.rating_histogram(train),
         "signal_breakdown": PR.signal_breakdown({"train": train}),
         "history_size_check": PR.size_check(p, "history", cfg.history_size),

@@ -17,7 +17,7 @@ from affinity.config import FIXTURE, SAMPLED
 from affinity.functions.metrics import r6
 from affinity.operators import als, evaluation as E, popularity as P, prep, profile as PR
 from affinity.operators.registry import FitRegistry
-from affinity.operators import segments as SEG, signals as SG, similar as SIM, tuning as T
+from affinity.operators import segments as SEG, signals as SG, similar as SIM, study as ST, tuning as T
 from affinity.sources.fixtures import fx_interaction_lines
 from affinity.sources.scratch import Run
 from affinity.sources.sinks import write_csv_lines
@@ -54,6 +54,13 @@ def _grid(spark, sf, grid):
         return grid(spark, _written(spark, sf, run), CFG, registry=FitRegistry(spark, f"{run.path}/models"))
 
 
+def _study(spark, sf):
+    """The study written once, bucketed by user, with the profile of its write;
+    the files go with the application."""
+    run = Run(spark)
+    return ST.write_study(_inter(spark, sf), CFG, f"{run.path}/splits", run)
+
+
 def _train(spark, sf):
     return prep.train_of(_prepared(spark, sf))
 
@@ -129,6 +136,26 @@ def q_user_split_shares(spark, sf):
     return PR.user_split_shares(_prepared(spark, sf))
 
 
+# ---------------------------------------------------------------- the written study
+def q_write_profile(spark, sf):
+    """Rows and signals of each split table, counted by the tasks that write them."""
+    with Run(spark) as run:
+        return ST.write_study(_inter(spark, sf), CFG, f"{run.path}/splits", run)[1]  # nine rows at most, none of the files is read
+
+
+def q_study_fit_data(spark, sf):
+    """``fit_data`` from the written study."""
+    return _fit_data(_study(spark, sf)[0].rows)
+
+
+def q_study_ranking_eval(spark, sf):
+    """``ranking_eval`` from the written study and written lists, both bucketed by user: they meet without a shuffle."""
+    run = Run(spark)
+    study, _ = ST.write_study(_inter(spark, sf), CFG, f"{run.path}/splits", run)
+    lists = ST.write_lists(_own_lists(study.rows, study.by_user), CFG, f"{run.path}/lists", run)
+    return E.summarize(ST.evaluate_lists(lists, _read_holdout(study.by_user)), keys=("split",))
+
+
 # ---------------------------------------------------------------- profiles
 def q_split_table_stats(spark, sf):
     return PR.split_table_stats(_prepared(spark, sf))
@@ -199,8 +226,7 @@ def q_model_coverage(spark, sf):
     return SG.model_coverage(_train(spark, sf))
 
 
-def q_fit_data(spark, sf):
-    p = _prepared(spark, sf)
+def _fit_data(p):
     out = None
     for split in ("tuning", "test"):
         part = (SG.build_combined_confidence(prep.fit_rows(p, split), CFG.alpha, CFG.beta, CFG.rating_weight)
@@ -209,6 +235,10 @@ def q_fit_data(spark, sf):
     return out
 
 
+def q_fit_data(spark, sf):
+    return _fit_data(_prepared(spark, sf))
+
+
 def q_initial_rating_weight(spark, sf):
     return SG.initial_rating_weight(_train(spark, sf), CFG.alpha)
 
@@ -258,9 +288,16 @@ def _own_list_users(spark, sf):
     """Per-user lists: each evaluated user's own history and holdout items by
     popularity, judged on the read holdout items."""
     p = _prepared(spark, sf)
-    own = p.where(F.col("role").isin("history", "holdout"))
-    lists = E.own_item_lists(P.popularity_scores(prep.train_of(p)), own, keys=("split",))
-    return E.evaluate_users(lists, _holdout_both(p).where(F.col("is_read") == 1), keys=("split",))
+    return E.evaluate_users(_own_lists(p, p), _read_holdout(p), keys=("split",))
+
+
+def _own_lists(p, by_user):
+    own = by_user.where(F.col("role").isin("history", "holdout"))
+    return E.own_item_lists(P.popularity_scores(prep.train_of(p)), own, keys=("split",))
+
+
+def _read_holdout(p):
+    return _holdout_both(p).where(F.col("is_read") == 1)
 
 
 def q_ranking_eval_users(spark, sf):

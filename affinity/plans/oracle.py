@@ -238,6 +238,12 @@ def oracle_sql(cfg: Config = FIXTURE) -> dict[str, str]:
     q["split_accounting"] = _with(P) + f"""SELECT p.split, p.role, p.n_rows, {_pct('p.n_rows', 't.tot')} AS pct_of_role
 FROM (SELECT split, role, count(*) AS n_rows FROM prepared GROUP BY split, role) p
 JOIN (SELECT role, count(*) AS tot FROM prepared GROUP BY role) t ON p.role = t.role"""
+    q["write_profile"] = _with(P) + """SELECT split, role, count(*) AS n_rows, count(*) FILTER (WHERE rating > 0) AS n_rated,
+       count(*) FILTER (WHERE is_read = 1) AS n_read, count(*) FILTER (WHERE is_reviewed = 1) AS n_reviewed,
+       count(*) FILTER (WHERE rating > 0 AND is_read = 1) AS n_rated_and_read,
+       count(*) FILTER (WHERE is_read > 0 OR is_reviewed > 0 OR rating > 0) AS n_any,
+       CAST(coalesce(sum(rating) FILTER (WHERE rating > 0), 0) AS BIGINT) AS sum_rating
+FROM prepared GROUP BY split, role"""
     q["sample_drift"] = _with(fx_cte(), A, S) + f"""SELECT s.signal, a.pct AS pct_active, s.pct AS pct_sample,
        round(s.pct - a.pct, 6) AS diff FROM
  (UNPIVOT ({_coverage_select('a', 'active')}) ON pct_rated AS rated, pct_read AS read, pct_reviewed AS reviewed,
@@ -345,6 +351,7 @@ FROM prepared WHERE {rule} AND role = 'train' AND {cond}""")
     q["fit_data"] = _with(P) + " UNION ALL ".join(
         f"SELECT '{s}' AS fit, user_id, book_id, {comb} AS confidence FROM prepared "
         f"WHERE (role = 'train' OR (split = '{s}' AND role = 'history')) AND {any_sig}" for s in ("tuning", "test"))
+    q["study_fit_data"] = q["fit_data"]
     q["initial_rating_weight"] = _with(P, TRAIN) + f"""SELECT round(m, 6) AS mean_rating, {float(a)}::DOUBLE AS alpha,
        round({float(a)}::DOUBLE / m, 6) AS w0 FROM (SELECT avg(rating) AS m FROM train WHERE rating > 0)"""
 
@@ -364,6 +371,7 @@ FROM prepared WHERE {rule} AND role = 'train' AND {cond}""")
     own = _own_list_cte("pu")
     q["ranking_eval_users"] = _with(P, TRAIN, SC, own) + per_out
     q["ranking_eval"] = _with(P, TRAIN, SC, own) + _summary_select("pu")
+    q["study_ranking_eval"] = q["ranking_eval"]
     q["holdout_labels"] = _with(P) + ("SELECT split, user_id, count(*) AS n_holdout FROM prepared "
                                       "WHERE role = 'holdout' GROUP BY split, user_id")
     names = ["map", "ndcg", "n_users", "n_user_hits", "n_item_hits", "user_hit_rate", "item_hit_rate"]

@@ -33,6 +33,7 @@ class Run:
 
     def __init__(self, spark: SparkSession, expiry: float = EXPIRY):
         self.spark, self.expiry, self.count, self.closed = spark, expiry, 0, False
+        self.endings = []
         self.base = checkpoint_dir(spark).rstrip("/")
         sweep(spark)
         self.path = f"{self.base}/{PREFIX}{uuid.uuid4().hex}"
@@ -54,11 +55,17 @@ class Run:
         self.renew()
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def at_close(self, ending) -> None:
+        """Something to do before the folder goes, such as taking a table out of the catalog."""
+        self.endings.append(ending)
+
     def close(self) -> None:
         if not self.closed:
             self.closed = True
             atexit.unregister(self.close)
             if self.spark.sparkContext._jsc is not None:  # None: the application has ended, the next run sweeps
+                for ending in self.endings:
+                    ending()
                 path, fs = _fs(self.spark, self.path)
                 fs.delete(path, True)
 

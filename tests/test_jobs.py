@@ -27,6 +27,7 @@ def test_jobs_end_to_end(spark, tmp_path):
     jobs.main(["analyze", "--base", base])  # CLI path (published sizes; checks just run)
     out = jobs.analyze(spark, base, cfg)
     assert all(r.all_expected for r in out["holdout_size_check"].collect())
+    assert {r.dataset: r.n_rows for r in out["signal_coverage"].collect()} == {"sampled": summary["total_rows"], "train": summary["train_rows"]}
     m = {r.metric: r.value for r in jobs.popularity(spark, base, cfg).collect()}
     assert 0 <= m["test_map"] <= m["test_ndcg"] <= 1
     top = jobs.segments(spark, base, str(item_map), cfg).collect()
