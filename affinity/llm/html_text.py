@@ -6,6 +6,8 @@ tag on it), smoothed by a Gaussian over neighbouring lines; two-means
 clustering of the smoothed ratios gives the threshold that parts content lines
 from the rest.  Lines inside menus, headers, footers, sidebars, notices,
 adverts, forms, comments, scripts and styles never count, whatever their ratio.
+A ``head`` ends with the first element that can't be in it, an open menu or
+header where an ``article`` or ``main`` begins.
 
 The content region starts from the smallest element that holds nearly all text
 of the content lines (the innermost ``article`` or ``main`` with half of it wins).
@@ -15,7 +17,11 @@ them all, or to an ``article`` or ``main`` around
 that one.  All lines of the region are taken, short ones too, so that one-word
 paragraphs stay; only a region that grew beyond ``article`` and ``main`` loses
 the children before its first and behind its last with such a line, other than
-headings and paragraphs that touch these.
+headings and paragraphs that touch these.  Headings right before a region that is no ``article`` or
+``main`` belong to it.
+
+Class and id names mark what is not the text: outside of ``article`` and ``main`` any of the listed
+words, inside of them those of classes and a few ids only (others are made from headings); on headings never.
 
 Defined results: null or empty html, and html without content, give an empty
 text; broken markup (unclosed or crossing tags, cut pages) is taken as the
@@ -47,7 +53,17 @@ MARKED = re.compile(r"""(?:^|[-_\s])(?:ad|ads|advert\w*|adbox|adslot|banner|spon
     |modal|newsletter|subscribe|subscription|signup|login|share\w*|sharing|social\w*|related\w*|recommend\w*|teasers?|pagination|pager
     |comments?|comment-?list|replies|reply|respond|disqus|form|search\w*|widget\w*|copyright|legal|disclaimer|skip-?link|hidden)(?:$|[-_\s])""",
                     re.I | re.X)
+#: Ids that mark the same inside an article, where other ids are made from headings.
+MARKED_IDS = frozenset("comments comment-list respond disqus_thread sidebar breadcrumbs cookie-notice newsletter".split())
+MARK = "#mark"
 HOLDERS = frozenset(["article", "main"])
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+HEAD = frozenset("head base link meta title style script noscript template".split())
+#: Elements that end where an article or main begins, if they are still open.
+ENDED = frozenset("nav header menu button select".split())
+#: Elements whose end tag the next one of the same kind implies, and those beyond which it does not.
+IMPLIED = frozenset("p li dt dd td th tr option".split())
+SCOPES = frozenset("ul ol dl table div section article main body blockquote".split())
 #: Elements that hold a line or a list of lines, but never a whole text.
 PARTS = frozenset("p h1 h2 h3 h4 h5 h6 li ul ol dl dt dd pre blockquote figure figcaption table tbody thead tr td th caption".split())
 #: Children that a region keeps at its edges whatever their ratio.
@@ -55,11 +71,12 @@ EDGES = frozenset("p h1 h2 h3 h4 h5 h6".split())
 
 
 class _Lines(HTMLParser):
-    """Lines with their path of open block elements."""
+    """Lines with their path of open block elements.  Work a tag is constant, whatever is open."""
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.stack: list[tuple[str, int, bool]] = []  # tag, element number, skipped
+        self.stack: list[tuple[str, int, str]] = []  # tag, innermost block element, what skips it ("": nothing does)
+        self.places: dict[str, list[int]] = {}  # of open elements by tag, and of those that end a search
         self.parent = [-1]
         self.name = [""]
         self.lines: list[tuple[str, int, int]] = []  # text, tags, element
@@ -68,7 +85,19 @@ class _Lines(HTMLParser):
 
     @property
     def element(self) -> int:
-        return next((e for _, e, _ in reversed(self.stack) if e), 0)
+        return self.stack[-1][1] if self.stack else 0
+
+    @property
+    def skipped_by(self) -> str:
+        return self.stack[-1][2] if self.stack else ""
+
+    def last(self, kind: str) -> int:
+        """Place in the stack of the innermost open element of that tag or kind; -1 for none."""
+        places = self.places.get(kind)
+        return places[-1] if places else -1
+
+    def kinds(self, tag: str) -> tuple[str, ...]:
+        return (tag, *[k for k, tags in (("#block", BLOCKS), ("#scope", SCOPES), ("#holder", HOLDERS)) if tag in tags])
 
     def flush(self) -> None:
         text = " ".join("".join(self.parts).split())
@@ -76,57 +105,82 @@ class _Lines(HTMLParser):
             self.lines.append((text, self.tags, self.element))
         self.parts, self.tags = [], 0
 
+    def cut(self, place: int) -> None:
+        """Close the element at that place of the stack and all in it."""
+        for tag, _, _ in self.stack[place:]:
+            for kind in self.kinds(tag):
+                self.places[kind].pop()
+        del self.stack[place:]
+
     def handle_starttag(self, tag, attrs):
         if tag == "br" or tag == "hr":
             self.parts.append(" ")
         if tag in BLOCKS:
             self.flush()
-            if tag in ("p", "li", "dt", "dd", "td", "th", "tr", "option"):
-                self.shut(tag, within=("ul", "ol", "dl", "table", "div", "section", "article", "main", "body", "blockquote"))
+            if tag in IMPLIED and self.last(tag) > self.last("#scope"):
+                self.cut(self.last(tag))
+        if self.last("head") >= 0 and tag not in HEAD:  # its end tag may be left out
+            self.cut(self.last("head"))
         self.tags += 1
         if tag in VOID:
             return
-        above = bool(self.stack) and self.stack[-1][2]
-        number = 0
+        above = self.skipped_by
+        if above and tag in HOLDERS:
+            above = self.opened(tag, above)
+        number = self.element
         if tag in BLOCKS:
-            number = len(self.parent)
-            self.parent.append(self.element)
+            self.parent.append(number)
             self.name.append(tag)
+            number = len(self.parent) - 1
+        for kind in self.kinds(tag):
+            self.places.setdefault(kind, []).append(len(self.stack))
         self.stack.append((tag, number, above or self.skips(tag, dict(attrs))))
 
-    def skips(self, tag: str, attrs: dict) -> bool:
+    def opened(self, tag: str, above: str) -> str:
+        """What still skips an article or main that opens in what is skipped: a
+        menu ends there (its end tag is missing), a form around the text isn't
+        one to fill in, and main is the text wherever it is but in hidden elements."""
+        if above in ENDED and self.last(above) >= 0:
+            first = next(k for k in self.places[above] if self.stack[k][2] == above)
+            self.cut(first)
+            return self.skipped_by
+        return "" if above == "form" or tag == "main" and above in (MARK, "aside", "footer") else above
+
+    def skips(self, tag: str, attrs: dict) -> str:
+        """The tag, or MARK, if the element isn't part of a text; else nothing."""
         if tag in SKIPPED:
-            return True
+            return tag
         if tag in ("html", "body") or tag in HOLDERS and "comment" not in (attrs.get("class") or "").lower():
-            return False
-        if tag == "header" and not any(t in HOLDERS for t, _, _ in self.stack):
-            return True
-        if "hidden" in attrs or attrs.get("aria-hidden") == "true" or (attrs.get("role") or "").lower() in SKIPPED_ROLES:
-            return True
-        marks = f"{attrs.get('class') or ''} {attrs.get('id') or ''}"
-        return bool(marks.strip()) and tag in BLOCKS | {"span"} and bool(MARKED.search(marks))
-
-    def shut(self, tag: str, within: tuple[str, ...] = ()) -> None:
-        for k in range(len(self.stack) - 1, -1, -1):
-            if self.stack[k][0] == tag:
-                del self.stack[k:]
-                return
-            if self.stack[k][0] in within:
-                return
+            return ""
+        held = self.last("#holder") >= 0
+        if tag == "header" and not held:
+            return tag
+        if "hidden" in attrs or attrs.get("aria-hidden") == "true":
+            return "hidden"
+        if (attrs.get("role") or "").lower() in SKIPPED_ROLES:
+            return MARK
+        if tag not in BLOCKS and tag != "span" or tag in HEADINGS:
+            return ""
+        classes, name = attrs.get("class") or "", attrs.get("id") or ""
+        if held:  # ids are made from headings there, and a header in an article is its own
+            classes = " ".join(c for c in classes.split() if not c.lower().endswith("header"))
+            return MARK if classes and MARKED.search(classes) or name.lower() in MARKED_IDS else ""
+        return MARK if classes + name and MARKED.search(f"{classes} {name}") else ""
 
     def handle_endtag(self, tag):
         if tag in VOID:
             return
         if tag in BLOCKS:
             self.flush()
-            self.tags += 1
-            self.shut(tag)
-        else:
-            self.tags += 1
-            self.shut(tag, within=tuple(BLOCKS))
+        self.tags += 1
+        if tag in BLOCKS:
+            if self.last(tag) >= 0:
+                self.cut(self.last(tag))
+        elif self.last(tag) > self.last("#block"):
+            self.cut(self.last(tag))
 
     def handle_data(self, data):
-        if not (self.stack and self.stack[-1][2]):
+        if not self.skipped_by:
             self.parts.append(data)
 
 
@@ -183,7 +237,9 @@ def main_text(html: str, sigma: float = 1.0, share: float = 0.9) -> str:
     mean = float((weight * ratio).sum() / weight.sum())
     own = np.flatnonzero(ratio >= min(cut, threshold(ratio), mean / 4))
     if all(keep[inside[k]] for k in own):
-        return " ".join(t for t, _, e in lines if keep[e])
+        first = next(k for k in range(len(lines)) if keep[inside[k]])
+        above = titles(parser, inside, best, first)
+        return " ".join(t for k, (t, _, e) in enumerate(lines) if keep[e] or above <= k < first)
     region = common(parser.parent, [inside[k] for k in own] + [best])
     around = region
     while around > 0 and parser.name[around] not in HOLDERS:
@@ -192,7 +248,8 @@ def main_text(html: str, sigma: float = 1.0, share: float = 0.9) -> str:
         keep = below(parser.parent, around)
         return " ".join(t for t, _, e in lines if keep[e])
     keep = below(parser.parent, region)
-    child = [top_child(parser.parent, region, e) for e in inside]
+    top = top_children(parser.parent, region)
+    child = [top[e] for e in inside]
     held_by = {child[k] for k in own} - {region}
     alone = set(own.tolist())
     full = [k for k in range(len(lines)) if keep[inside[k]] and (child[k] in held_by or k in alone)]
@@ -202,7 +259,21 @@ def main_text(html: str, sigma: float = 1.0, share: float = 0.9) -> str:
         first -= 1
     while last + 1 < len(lines) and edge(last + 1):
         last += 1
-    return " ".join(t for k, (t, _, e) in enumerate(lines) if first <= k <= last and keep[e])
+    above = titles(parser, inside, region, first)
+    return " ".join(t for k, (t, _, e) in enumerate(lines) if first <= k <= last and keep[e] or above <= k < first)
+
+
+def titles(parser: _Lines, inside: list[int], region: int, first: int) -> int:
+    """The first line of the headings right before a region that is no article
+    or main: the earliest heading of the headings and paragraphs that touch it."""
+    at = first
+    if region > 0 and parser.name[region] not in HOLDERS:
+        k = first - 1
+        while k >= 0 and parser.name[inside[k]] in EDGES:
+            if parser.name[inside[k]] in HEADINGS:
+                at = k
+            k -= 1
+    return at
 
 
 def below(parent: list[int], best: int) -> np.ndarray:
@@ -215,23 +286,22 @@ def below(parent: list[int], best: int) -> np.ndarray:
 
 
 def common(parent: list[int], elements: list[int]) -> int:
-    """The least element that holds all of them."""
-    out = elements[0]
-    for e in elements[1:]:
-        while e != out:  # a parent's number is smaller
-            if e > out:
-                e = parent[e]
-            else:
-                out = parent[out]
+    """The least element that holds all of them: the first one above the least number whose numbers reach the greatest."""
+    end = list(range(len(parent)))
+    for e in range(len(parent) - 1, 0, -1):  # a parent's number is smaller
+        end[parent[e]] = max(end[parent[e]], end[e])
+    out, most = min(elements), max(elements)
+    while end[out] < most:
+        out = parent[out]
     return out
 
 
-def top_child(parent: list[int], region: int, e: int) -> int:
-    """The child of the region that e is in; the region for itself and what is outside."""
-    at = e
-    while at > region and parent[at] != region:
-        at = parent[at]
-    return at if at > region else region
+def top_children(parent: list[int], region: int) -> list[int]:
+    """For each element the child of the region that it is in; the region for itself and what is outside."""
+    top = [region] * len(parent)
+    for e in range(region + 1, len(parent)):
+        top[e] = e if parent[e] == region else top[parent[e]]
+    return top
 
 
 def extract(pages: DataFrame, html: str = "html", keep: tuple[str, ...] = ("page_id", "url"), sigma: float = 1.0,
