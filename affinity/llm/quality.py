@@ -6,7 +6,8 @@ Every line is judged on its own by three families of rules:
   punctuation and does not end in a terminal mark; a line is noise if symbol
   and exclamation characters weigh too much against its words;
 * navigation -- separators (``|``, ``>``, bullets) between most of its words;
-* boilerplate -- a short line with a licence, cookie, copyright or script notice.
+* boilerplate -- a short line with a licence, cookie, copyright or script notice; a
+  sentence that only names one of these things stays.
 
 Lines that fail are removed.  Only then is the document judged: it is rejected
 if it lost more than ``max_lost`` of its word characters, or if it fails the
@@ -30,11 +31,17 @@ RESULT = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
 SPACE = r"[\x20\x09-\x0D]+"
 SYMBOLS = "#*$%&|<>"
 
-# Phrases that mark a boilerplate line (lower case).
+# Notices that make a line boilerplate (lower case).  A word that a sentence may be
+# about (cookie, copyright, JavaScript, to subscribe, to sign up) needs the rest of its notice.
 BOILERPLATE = (
-    r"(?:all rights reserved|terms of (?:use|service)|privacy policy|cookie|javascript|lorem ipsum"
-    r"|licen[sc]ed under|under the [a-z0-9 .-]* licen[sc]e|copyright|©|subscribe to|sign up for|click here)"
+    r"(?:all rights reserved|terms of (?:use|service)|privacy policy|lorem ipsum|click here|\(c\) ?[12][0-9][0-9][0-9]|©"
+    r"|licen[sc]ed under|under the [a-z0-9 .-]* licen[sc]e|copyright (?:notice|\(c\)|[12][0-9][0-9][0-9])"
+    r"|cookie (?:policy|notice|settings|preferences|consent)|(?:uses?|using|accept|enable|allow|manage) (?:all |our )?cookies"
+    r"|(?:enable|requires?|without|turn on) javascript|javascript (?:is|must be|to be) (?:disabled|enabled|required|turned)"
+    r"|(?:subscribe to|sign up for) (?:our|my|this|the newsletter|the mailing|free|email|updates|newsletter))"
 )
+# Marks that end or divide a sentence, also full-width, Devanagari and Arabic ones.
+MARKS = ".!?\u2026:;\u3002\uff01\uff1f\uff1a\uff1b\uff0e\uff61\u0964\u0965\u061f\u06d4"
 
 
 def _settled(d: DataFrame, name: str, value: Column) -> DataFrame:
@@ -56,7 +63,7 @@ def _bad(body: Column, short_line: int, fragment: int) -> Column:
     separators = _removed(body, r"[|>\u2022\u00bb\u00b7]")
     odd = body.rlike(r"[#*$%&<>{}!|\u2022\u00bb\u00b7]")
     return (size > 0) & (
-        ((size < fragment) & ~body.rlike(r"[.!?\u2026:;\u3002]"))
+        ((size < fragment) & ~body.rlike(f"[{MARKS}]"))
         | F.when(odd, (noise * 10 >= size + 10) | ((separators >= 2) & (separators * 24 >= size))).otherwise(False)
         | F.when(size <= short_line, body.rlike("(?i)" + BOILERPLATE)).otherwise(False))
 
@@ -124,7 +131,7 @@ f AS (SELECT doc_id, b, length(b) AS size,
              length(b) - length(regexp_replace(b, '[#*$%&<>{{}}!]', '', 'g')) AS noise,
              length(b) - length(regexp_replace(b, '[|>•»·]', '', 'g')) AS seps FROM lines),
 lost AS (SELECT doc_id, sum(length(regexp_replace(b, '[\x20\x09-\x0D]+', '', 'g'))) AS bad_chars FROM f
-         WHERE (size < 20 AND NOT regexp_matches(b, '[.!?…:;。]'))
+         WHERE (size < 20 AND NOT regexp_matches(b, '[{MARKS}]'))
             OR (noise > 0 AND noise * 10 >= size + 10)
             OR (seps >= 2 AND seps * 24 >= size)
             OR (size <= 200 AND regexp_matches(b, '(?i){BOILERPLATE}'))

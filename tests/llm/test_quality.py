@@ -44,3 +44,18 @@ def test_nulls_repeats_and_empty_table(spark):
     rows = quality_rules(d).collect()
     assert len(rows) == 4 and sum(r.kept for r in rows) == 2
     assert quality_rules(d.limit(0)).count() == 0
+
+
+SENTENCES = ["She baked a cookie for her son.", "The court ruled on copyright in 1998.", "JavaScript was designed in ten days.",
+             "He had to sign up for the army.", "Many subscribe to the theory of plates.", "\u4ed6\u8d70\u4e86\uff01", "\u0935\u0939 \u0917\u092f\u093e\u0964",
+             "\u0644\u0645\u0627\u0630\u0627\u061f"]
+NOTICES = ["This site uses cookies to work better.", "Copyright 1998 by the publisher, London.", "Please enable JavaScript to see this page.",
+           "Sign up for our newsletter and be the first to know.", "Subscribe to our channel for more of this.", "(c) 2004 The authors of this page.",
+           "Read our cookie policy to learn what is stored.", "JavaScript must be enabled in your browser."]
+
+
+def test_sentences_stay_and_notices_go(spark):
+    body = sentences(7, 120)
+    got = {r.doc_id: r for r in quality_rules(docs(spark, [f"{body}\n{x}" for x in SENTENCES + NOTICES])).collect()}
+    assert [got[i].n_bad_lines for i in range(len(SENTENCES))] == [0] * len(SENTENCES)
+    assert [got[len(SENTENCES) + i].clean_text for i in range(len(NOTICES))] == [body] * len(NOTICES)
