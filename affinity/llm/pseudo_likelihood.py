@@ -1,32 +1,39 @@
 """Masked pseudo-likelihood scores from a bidirectional window network.
 
 Every token is predicted from the two tokens on either side of it, never from
-itself: h = tanh(sum of one embedding per side and distance), then a two-level
-softmax (class of tokens, token in its class).  A document's score is the sum
+itself: h = tanh(sum of one embedding per side and distance), then a softmax
+over the most frequent tokens and classes of the others, and one in the class.  A document's score is the sum
 of log p(token | both sides) over all its tokens.
 
 Vocabulary: word counts over the whole corpus, a Spark table of every word.  The
 most frequent ``SIZE - 33`` words (ties in word order) have a token each and are
-broadcast.  The others are 32 token classes by length, and a further softmax
-level gives the word in its class by its share of the class's count: log p(class
-| both sides) + log p(word | class).  That level is the table itself, which
-grows with the corpus and is joined to the documents' words.  A word that the
-table lacks has the share of one occurrence.  The network itself sees such a
-word, beside another one, by its class only.
+broadcast.  Every other word is spelled: the network predicts its length (32
+tokens, the last for that length or more), and a table of byte pairs, counted
+over all such words of the corpus, its bytes in turn.  So no word is outside
+the vocabulary and words of equal length differ.  Beside another word the
+network sees a spelled one by its length only.
+
+Memory: a block is ``LEAST`` to ``MOST`` tokens up to a full stop.  Where the
+whole block stands in another document too, that document predicts each of its
+tokens from the rest of the block, with weight ``RECALL`` beside the network's
+1 - RECALL.  Block hashes of all documents are counted and joined as tables; a
+document never remembers itself.  Thus a text that occurs twice scores apart
+from one that occurs once.  ``network_log_likelihood`` is the sum without it.
 
 Training: in each round every task starts from the same weights and takes one
 pass of mini-batch gradient steps over its documents, masking a share of the
-places (by a hash of text and place together).  The rounds take the hash's
+places (by a hash of text and place together).  The texts are encoded once, as ids.  The rounds take the hash's
 range in turn, so by default two rounds of a half predict every token of every
 document once, and the second starts from the average of all tasks.  The
 tasks' weights are averaged by the number of tokens masked, chunk by chunk, as
-Spark rows; the driver holds one set of weights.  What is gathered grows with
-the number of tasks, that is with the corpus.  The weights depend on how the
-table is split into tasks; the scores' meaning doesn't.
+Spark rows; the driver holds one set of weights.  The network's size is fixed;
+the word table and the memory grow with the corpus.  The weights depend on how
+the table is split into tasks; the scores' meaning doesn't.
 
 Defined results: null, empty or wordless text has no tokens, log_likelihood 0
 and a null perplexity; texts are scored whole; repeated rows train and score as
-often as they occur; an empty table gives an empty result.
+often as they occur, and each is another document to the other; an empty table
+gives an empty result.
 """
 
 from __future__ import annotations
@@ -37,16 +44,23 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, functions as F
+import pyarrow.compute as pc
+import xxhash
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from affinity.llm import words as hashes
-from affinity.llm.rows import gather_texts, map_texts
+from affinity.llm.rows import gather_texts, map_texts, pieces
 from affinity.llm.store import Store
 
-SIZE, CLASSES, WIDTH, HIDDEN = 1024, 32, 2, 24
-BY_LENGTH = 32
+WIDTH, HIDDEN, BY_LENGTH = 2, 24, 32
+#: Token ids below HEAD are predicted at once, the others as a class and in it.
+HEAD, CLASSES, EACH = 64, 16, 128
+SIZE = HEAD + CLASSES * EACH
 SIDES = [k for k in range(-WIDTH, WIDTH + 1) if k]
-_EACH = SIZE // CLASSES
+LEAST, MOST, RECALL = 8, 32, 0.5
+#: A block in more than 1 / COMMON of all places is known from a broadcast list of fewer than COMMON hashes.
+COMMON = 1 << 16
 
 
 def tokens(text: str) -> list[str]:
@@ -71,34 +85,116 @@ def vocabulary(docs: DataFrame, text: str = "text", counts: DataFrame | None = N
     return {r["word"]: i + BY_LENGTH + 1 for i, r in enumerate(top.collect())}
 
 
-def shares(counts: DataFrame, known: dict[str, int]) -> tuple[DataFrame, list[float]]:
-    """(word, share) of every word without a token of its own: log p(word | its
-    class); and that of a word that isn't there, by class."""
-    rare = counts.where(~F.col("word").isin(list(known))).withColumn("class", F.least(F.length("word"), F.lit(BY_LENGTH)))
-    total = [1] * (BY_LENGTH + 1)
-    for r in rare.groupBy("class").agg(F.sum("n").alias("n")).collect():
-        total[r["class"]] += r["n"]
-    of = F.element_at(F.array(*[F.lit(n) for n in total]), F.col("class") + 1)
-    return rare.select("word", F.log(F.col("n") / of).alias("share")), [-float(np.log(n)) for n in total]
+def spelling(counts: DataFrame, known: dict[str, int]) -> np.ndarray:
+    """log p(byte | byte before it) in words without a token of their own, by
+    their counts; a word's first byte follows byte 0.  256 x 256 whatever the corpus."""
+    sent = counts.sparkSession.sparkContext.broadcast(known)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(65536, np.int64)
+        for b in batches:
+            rare = [(w, n) for w, n in zip(*(b.column(k).to_pylist() for k in range(2))) if w not in sent.value]
+            if rare:
+                pair, sizes = _pairs([w for w, _ in rare])
+                np.add.at(total, pair, np.repeat([n for _, n in rare], sizes))
+        at = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(total[at], pa.int64())], names=["pair", "n"])
+
+    found = np.full(65536, 0.5)
+    for r in counts.select("word", "n").mapInArrow(run, "pair int, n long").groupBy("pair").agg(F.sum("n").alias("n")).collect():
+        found[r["pair"]] += r["n"]
+    found = found.reshape(256, 256)
+    return np.log(found / found.sum(1, keepdims=True)).ravel().astype(np.float32)
+
+
+def _pairs(some: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """(byte before) * 256 + byte for all bytes of the words, and the bytes of each."""
+    raw = [w.encode("utf-8", "surrogatepass") for w in some]
+    sizes = np.fromiter(map(len, raw), np.int64, len(raw))
+    buf = np.frombuffer(b"\0" + b"\0".join(raw), np.uint8).astype(np.int32)
+    at = np.arange(int(sizes.sum())) + np.repeat(np.arange(1, len(raw) + 1), sizes)
+    return buf[at - 1] * 256 + buf[at], sizes
+
+
+def spelled(some: list[str], pairs: np.ndarray) -> np.ndarray:
+    """log p(word | its length); beyond BY_LENGTH each further character is another one with a half."""
+    if not some:
+        return np.empty(0)
+    pair, sizes = _pairs(some)
+    p = np.add.reduceat(pairs[pair].astype(np.float64), np.cumsum(sizes) - sizes)
+    over = np.fromiter(map(len, some), np.int64, len(some)) - BY_LENGTH + 1
+    return p - np.maximum(over, 0) * np.log(2)
+
+
+def blocks(words_: list[str]) -> list[tuple[int, int]]:
+    """Places where the blocks of a text begin and end: LEAST tokens or more up
+    to a full stop, at most MOST; what is left at the end joins the last one."""
+    out, at, n = [], 0, len(words_)
+    while at < n:
+        end = min(at + MOST, n)
+        try:
+            end = words_.index(".", at + LEAST - 1, end) + 1
+        except ValueError:
+            pass
+        if n - end < LEAST:
+            end = n
+        out.append((at, end))
+        at = end
+    return out
+
+
+def block_hash(words_: list[str]) -> int:
+    return xxhash.xxh3_64_intdigest(" ".join(words_).encode("utf-8", "surrogatepass")) - (1 << 63)
+
+
+def token_ids(lists: list[list[str]], known: dict[str, int]) -> list[np.ndarray]:
+    """Ids of the tokens of each text; a spelled word's is its length, BY_LENGTH at most."""
+    get = known.get
+    return [np.array([get(w) or (n if (n := len(w)) < BY_LENGTH else BY_LENGTH) for w in each], np.uint16) for each in lists]
+
+
+def padded(ids: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """All ids in one array, WIDTH zeros around each text, and the number of tokens of each."""
+    gap = np.zeros(WIDTH, np.uint16)
+    parts = [gap]
+    for x in ids:
+        parts += (x, gap)
+    return np.concatenate(parts), np.fromiter(map(len, ids), np.int64, len(ids))
+
+
+def encode(docs: DataFrame, known: dict[str, int], pairs: np.ndarray, text: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """Every text as the network reads it, written once: the columns to keep as
+    one (names may clash), ids (16 bits each), the log p of its spelled words
+    (32 bits each), its blocks' hashes and ends, a hash of the text."""
+    sent = docs.sparkSession.sparkContext.broadcast((known, pairs))
+
+    def step(texts):
+        own, table = sent.value
+        lists = [tokens(t) for t in texts]
+        rare = [[w for w in each if w not in own] for each in lists]
+        p = spelled([w for each in rare for w in each], table).astype(np.float32)
+        edge = np.concatenate([[0], np.cumsum([len(x) for x in rare])]).astype(int).tolist()
+        parts = [blocks(each) for each in lists]
+        return [[x.tobytes() for x in token_ids(lists, own)], [p[i:j].tobytes() for i, j in zip(edge, edge[1:])],
+                [[block_hash(each[i:j]) for i, j in part] for each, part in zip(lists, parts)], [[j for _, j in part] for part in parts],
+                [zlib.crc32(t.encode("utf-8", "surrogatepass")) for t in texts]]
+
+    row = docs.select(F.struct(*keep).alias("__row"), F.col(text).alias("__of"))
+    return map_texts(row, "__of", ["__row"], "ids binary, spelled binary, hashes array<bigint>, ends array<int>, own bigint", step)
 
 
-def token_ids(texts: list[str], known: dict[str, int]) -> tuple[np.ndarray, np.ndarray]:
-    """Ids of all texts in one array, WIDTH zeros around each, and the number of tokens of each."""
-    return list_ids([tokens(t) for t in texts], known)
+def _runs(batch: pa.RecordBatch, column: int, limit: int = 1 << 20) -> Iterator[pa.RecordBatch]:
+    """The batch in parts of bounded size, by the bytes of a column."""
+    for i, j in pieces(pc.binary_length(batch.column(column)).to_pylist(), limit):
+        yield batch.slice(i, j - i)
 
 
-def list_ids(lists: list[list[str]], known: dict[str, int]) -> tuple[np.ndarray, np.ndarray]:
-    get, out, sizes = known.get, [0] * WIDTH, []
-    for each in lists:
-        ids = [get(w) or (n if (n := len(w)) < BY_LENGTH else BY_LENGTH) for w in each]
-        sizes.append(len(ids))
-        out += ids
-        out += [0] * WIDTH
-    return np.array(out, np.int32), np.array(sizes, np.int64)
+def _arrays(column: pa.Array, kind: type) -> list[np.ndarray]:
+    return [np.frombuffer(x, kind) for x in column.to_pylist()]
 
 
 def places(sizes: np.ndarray) -> np.ndarray:
-    """Where the tokens are in the array of ``token_ids``."""
+    """Where the tokens are in the array of ``padded``."""
     begin = np.cumsum(sizes + WIDTH) - sizes
     return np.repeat(begin, sizes) + np.arange(int(sizes.sum())) - np.repeat(np.cumsum(sizes) - sizes, sizes)
 
@@ -107,7 +203,7 @@ class Network:
     """Weights in one float32 vector; the parts are views of it."""
 
     def __init__(self, flat: np.ndarray | None = None, seed: int = 5):
-        shapes = [(len(SIDES), SIZE, HIDDEN), (HIDDEN,), (CLASSES, HIDDEN), (CLASSES,), (CLASSES, _EACH, HIDDEN), (CLASSES, _EACH)]
+        shapes = [(len(SIDES), SIZE, HIDDEN), (HIDDEN,), (HEAD + CLASSES, HIDDEN), (HEAD + CLASSES,), (CLASSES, EACH, HIDDEN), (CLASSES, EACH)]
         total = sum(int(np.prod(s)) for s in shapes)
         if flat is None:
             rng = np.random.default_rng(seed)
@@ -126,44 +222,45 @@ class Network:
         h += self.bias
         return np.tanh(h, out=h)
 
+    def by_class(self, ids: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, list]:
+        """An order of the places by what the first softmax says of their tokens, that, the tokens, and the ranges of the classes."""
+        own = ids[at]
+        group = np.where(own < HEAD, own, HEAD + (own - HEAD) // EACH).astype(np.uint8)
+        order = np.argsort(group, kind="stable")
+        group, own = group[order], own[order]
+        edge = np.searchsorted(group, np.arange(HEAD, HEAD + CLASSES + 1)).tolist()
+        return order, group, own, [(c, i, j) for c, (i, j) in enumerate(zip(edge, edge[1:])) if i < j]
+
     def log_p(self, ids: np.ndarray, at: np.ndarray) -> np.ndarray:
         """log p of the tokens at the places, each from both its sides."""
-        h = self.hidden(ids, at)
-        group, place = ids[at] // _EACH, ids[at] % _EACH
-        out = _log_softmax_at(h @ self.top.T + self.top_bias, group)
-        order = np.argsort(group.astype(np.uint8), kind="stable")
-        edge = np.searchsorted(group[order], np.arange(CLASSES + 1))
-        for c in range(CLASSES):
-            own = order[edge[c]:edge[c + 1]]
-            if len(own):
-                out[own] += _log_softmax_at(h[own] @ self.low[c].T + self.low_bias[c], place[own])
+        order, group, own, classes = self.by_class(ids, at)
+        h = self.hidden(ids, at[order])
+        p = _log_softmax_at(self.top @ h.T + self.top_bias[:, None], group)
+        for c, i, j in classes:
+            p[i:j] += _log_softmax_at(self.low[c] @ h[i:j].T + self.low_bias[c][:, None], own[i:j] - (HEAD + c * EACH))
+        out = np.empty(len(at), np.float32)
+        out[order] = p
         return out
 
     def step(self, ids: np.ndarray, at: np.ndarray, rate: float) -> None:
         """One gradient step on the mean log-likelihood of the places."""
+        order, group, own, classes = self.by_class(ids, at)
+        at, rate = at[order], rate / len(at)
         h = self.hidden(ids, at)
-        n = len(at)
-        group, place = ids[at] // _EACH, ids[at] % _EACH
-        g = _residual(h @ self.top.T + self.top_bias, group)
-        dh = g @ self.top
-        top = g.T @ h
-        self.top_bias -= rate * g.sum(0) / n
-        order = np.argsort(group.astype(np.uint8), kind="stable")
-        edge = np.searchsorted(group[order], np.arange(CLASSES + 1))
-        for c in range(CLASSES):
-            own = order[edge[c]:edge[c + 1]]
-            if len(own):
-                x = h[own]
-                r = _residual(x @ self.low[c].T + self.low_bias[c], place[own])
-                dh[own] += r @ self.low[c]
-                self.low[c] -= rate * (r.T @ x) / n
-                self.low_bias[c] -= rate * r.sum(0) / n
-        self.top -= rate * top / n
+        g = _residual(self.top @ h.T + self.top_bias[:, None], group)
+        dh = g.T @ self.top
+        self.top -= rate * (g @ h)
+        self.top_bias -= rate * g.sum(1)
+        for c, i, j in classes:
+            r = _residual(self.low[c] @ h[i:j].T + self.low_bias[c][:, None], own[i:j] - (HEAD + c * EACH))
+            dh[i:j] += r.T @ self.low[c]
+            self.low[c] -= rate * (r @ h[i:j])
+            self.low_bias[c] -= rate * r.sum(1)
         dh *= 1 - h * h
-        dh *= rate / n
+        dh *= rate
         self.bias -= dh.sum(0)
         for e, k in zip(self.embed, SIDES):
-            near = ids[at + k]
+            near = ids[at + k].astype(np.uint16)
             order = np.argsort(near, kind="stable")
             s = near[order]
             first = np.flatnonzero(np.concatenate([[True], s[1:] != s[:-1]]))
@@ -171,57 +268,56 @@ class Network:
 
 
 def _log_softmax_at(x: np.ndarray, at: np.ndarray) -> np.ndarray:
-    x -= x.max(1, keepdims=True)
-    own = x[np.arange(len(x)), at]
-    return own - np.log(np.exp(x, out=x).sum(1))
+    """Of the rows ``at``, a column each."""
+    x -= x.max(0)
+    own = x[at, np.arange(len(at))]
+    return own - np.log(np.exp(x, out=x).sum(0))
 
 
 def _residual(x: np.ndarray, at: np.ndarray) -> np.ndarray:
-    x -= x.max(1, keepdims=True)
+    x -= x.max(0)
     np.exp(x, out=x)
-    x /= x.sum(1, keepdims=True)
-    x[np.arange(len(x)), at] -= 1
+    x /= x.sum(0)
+    x[at, np.arange(len(at))] -= 1
     return x
 
 
-def chosen(texts: list[str], sizes: np.ndarray, turn: int, masked: float) -> np.ndarray:
+def chosen(own: np.ndarray, sizes: np.ndarray, turn: int, masked: float) -> np.ndarray:
     """Which tokens of the texts a round masks: its share of the range of a hash
-    of text and place, so 1 / masked rounds together take every token."""
-    own = np.fromiter((zlib.crc32(t.encode("utf-8", "surrogatepass")) for t in texts), np.uint64, len(texts))
+    of the text's hash and place, so 1 / masked rounds together take every token."""
     inside = np.arange(int(sizes.sum())) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-    at = hashes.mix((np.repeat(own, sizes) << np.uint64(32)) + inside.astype(np.uint64)) >> np.uint64(32)
+    at = hashes.mix((np.repeat(own.astype(np.uint64), sizes) << np.uint64(32)) + inside.astype(np.uint64)) >> np.uint64(32)
     share = int(np.ceil(masked * 2**32))
     return (at - np.uint64(turn * share % 2**32)) % np.uint64(2**32) < np.uint64(share)
 
 
-def train(docs: DataFrame, known: dict[str, int], text: str = "text", rounds: int = 2, masked: float = 0.5, rate: float = 1.0,
-          batch: int = 512, chunks: int = 64) -> Network:
-    """Average of the tasks' networks after each round; a ``masked`` share of
-    all places is predicted in each, another one each time (``chosen``)."""
-    spark = docs.sparkSession
+def train(encoded: DataFrame, rounds: int = 2, masked: float = 0.5, rate: float = 1.5, batch: int = 2048, chunks: int = 64) -> Network:
+    """Average of the tasks' networks over ``encode``'s rows after each round; a
+    ``masked`` share of all places is predicted in each, another one each time
+    (``chosen``).  A step has ``batch`` places, fewer at the end of a part."""
+    spark = encoded.sparkSession
     net = Network()
     width = -(-len(net.flat) // chunks)
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     for turn in range(rounds):
-        sent = spark.sparkContext.broadcast((known, net.flat))
-
-        def start():
-            return {"net": Network(sent.value[1].copy()), "n": 0}
-
-        def step(acc, texts, turn=turn):
-            ids, sizes = token_ids(texts, sent.value[0])
-            pick = places(sizes)[chosen(texts, sizes, turn, masked)]
-            for i in range(0, len(pick), batch):
-                acc["net"].step(ids, pick[i:i + batch], rate)
-            acc["n"] += len(pick)
+        sent = spark.sparkContext.broadcast(net.flat)
 
-        def finish(acc):
-            if not acc["n"]:
-                return [[], [], []]
-            flat = acc["net"].flat * np.float32(1)
-            return [list(range(chunks)), [acc["n"]] * chunks, [flat[k * width:(k + 1) * width].tobytes() for k in range(chunks)]]
-
-        rows = gather_texts(docs, text, "chunk int, n long, part binary", start, step, finish)
+        def run(batches: Iterator[pa.RecordBatch], turn=turn) -> Iterator[pa.RecordBatch]:
+            own, done = Network(sent.value.copy()), 0
+            for b in batches:
+                for part in _runs(b, 0):
+                    ids, sizes = padded(_arrays(part.column(0), np.uint16))
+                    pick = places(sizes)[chosen(np.array(part.column(1).to_pylist()), sizes, turn, masked)]
+                    for i in range(0, len(pick), batch):
+                        at = pick[i:i + batch]
+                        own.step(ids, at, rate * len(at) / batch)
+                    done += len(pick)
+            if done:
+                flat = own.flat
+                yield pa.RecordBatch.from_arrays([pa.array(range(chunks), pa.int32()), pa.array([done] * chunks, pa.int64()), pa.array(
+                    [flat[k * width:(k + 1) * width].tobytes() for k in range(chunks)], pa.binary())], names=["chunk", "n", "part"])
+
+        rows = encoded.select("ids", "own").mapInArrow(run, "chunk int, n long, part binary")
 
         def mean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             total: dict[int, list] = {}
@@ -240,58 +336,73 @@ def train(docs: DataFrame, known: dict[str, int], text: str = "text", rounds: in
     return net
 
 
-def score(docs: DataFrame, known: dict[str, int], net: Network, text: str = "text", keep: tuple[str, ...] = ("doc_id",),
-          block: int = 1 << 16, counts: DataFrame | None = None) -> DataFrame:
-    """``keep`` columns beside n_tokens, log_likelihood (natural log) and perplexity.
-
-    With ``counts`` words without a token of their own are predicted in their
-    class too; without, only their class is."""
-    spark = docs.sparkSession
-    sent = spark.sparkContext.broadcast((known, net.flat))
-    rare = counts is not None
-
-    def step(texts):
-        own, flat = sent.value
-        lists = [tokens(t) for t in texts]
-        ids, sizes = list_ids(lists, own)
-        network, at = Network(flat), places(sizes)
-        p = np.empty(len(at))
-        for i in range(0, len(at), block):
-            p[i:i + block] = network.log_p(ids, at[i:i + block])
-        edge = np.concatenate([[0], np.cumsum(sizes)])
-        total = np.concatenate([[0.0], np.cumsum(p)])
-        total = total[edge[1:]] - total[edge[:-1]]
-        out = [sizes.tolist(), total.tolist()]
-        if rare:
-            out.append([[{"word": w, "k": k} for w, k in Counter(w for w in each if w not in own).items()] for each in lists])
-        return out
-
-    added = "n_tokens bigint, log_likelihood double"
-    if not rare:
-        rows = map_texts(docs, text, list(keep), added, step)
-    else:
-        # Clashing names: the columns to keep go through as one.
-        store = Store(spark, "pseudo")
-        row = docs.select(F.struct(*keep).alias("__row"), F.col(text).alias("__of"))
-        found = map_texts(row, "__of", ["__row"], f"{added}, rare array<struct<word:string,k:bigint>>", step)
-        found = store.keep(found.withColumn("__id", F.monotonically_increasing_id()), "found")
-        table, missing = shares(counts, known)
-        lone = F.element_at(F.array(*[F.lit(x) for x in missing]), F.least(F.length("word"), F.lit(BY_LENGTH)) + 1)
-        words = found.select("__id", F.explode("rare").alias("r")).select("__id", "r.word", "r.k")
-        more = words.join(table, "word", "left").groupBy("__id").agg(F.sum(F.col("k") * F.coalesce("share", lone)).alias("__more"))
-        rows = found.select("__id", "__row", *[c.split()[0] for c in added.split(", ")]).join(more, "__id", "left")
-        rows = rows.select("__row.*", "n_tokens", (F.col("log_likelihood") + F.coalesce("__more", F.lit(0.0))).alias("log_likelihood"))
-    return rows.withColumn("perplexity", F.when(F.col("n_tokens") > 0, F.exp(-F.col("log_likelihood") / F.col("n_tokens"))))
+def score(encoded: DataFrame, net: Network, block: int = 1 << 15) -> DataFrame:
+    """The columns kept by ``encode`` beside n_tokens, n_recalled (tokens in
+    blocks that another document holds too), network_log_likelihood,
+    log_likelihood (natural log) and perplexity."""
+    spark = encoded.sparkSession
+    sent = spark.sparkContext.broadcast(net.flat)
+    schema = T.StructType([encoded.schema["__row"], *T._parse_datatype_string(
+        "n_tokens bigint, network_log_likelihood double, blocks array<struct<hash:bigint,k:bigint,gain:double>>").fields])
+    kinds = [f.type for f in to_arrow_schema(schema)]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        network = Network(sent.value)
+        for b in batches:
+            for part in _runs(b, 1):
+                ids, sizes = padded(_arrays(part.column(1), np.uint16))
+                at = places(sizes)
+                p = np.empty(len(at))
+                for i in range(0, len(at), block):
+                    p[i:i + block] = network.log_p(ids, at[i:i + block])
+                p[ids[at] <= BY_LENGTH] += np.concatenate([*_arrays(part.column(2), np.float32), np.empty(0, np.float32)])
+                gain = np.concatenate([[0.0], np.cumsum(np.logaddexp(np.log(RECALL), np.log(1 - RECALL) + p) - p)])
+                edge = np.concatenate([[0], np.cumsum(sizes)])
+                total = np.concatenate([[0.0], np.cumsum(p)])
+                total = total[edge[1:]] - total[edge[:-1]]
+                found = []
+                for first, own, ends in zip(edge.tolist(), part.column(3).to_pylist(), part.column(4).to_pylist()):
+                    got = gain[first + np.array([0, *ends])]
+                    rows: dict[int, list] = {}  # a block that a text repeats is one
+                    for h, k, g in zip(own, np.diff([0, *ends]).tolist(), np.diff(got).tolist()):
+                        row = rows.setdefault(h, [0, 0.0])
+                        row[0] += k
+                        row[1] += g
+                    found.append([{"hash": h, "k": k, "gain": g} for h, (k, g) in rows.items()])
+                yield pa.RecordBatch.from_arrays([part.column(0), *[pa.array(c, k) for c, k in zip((sizes, total, found), kinds[1:])]], names=schema.names)
+
+    store = Store(spark, "pseudo")
+    found = encoded.select("__row", "ids", "spelled", "hashes", "ends").mapInArrow(run, schema)
+    found = store.keep(found.withColumn("__id", F.monotonically_increasing_id()), "found")
+    each = found.select("__id", F.inline("blocks"))
+    # Distinct in a document, so a block of two rows or more stands in two documents.
+    shared = store.keep(each.groupBy("hash").agg(F.count("*").alias("n")).where("n > 1"), "shared")
+    least = (found.agg(F.sum(F.size("blocks"))).first()[0] or 0) // COMMON + 1
+    common = F.broadcast(shared.where(F.col("n") > least).select("hash", F.lit(True).alias("__common")))
+    each = each.join(common, "hash", "left")
+    rest = each.where("__common IS NULL").join(shared.where(F.col("n") <= least).select("hash"), "hash", "left_semi")
+    more = each.where("__common").select("__id", "k", "gain").unionByName(rest.select("__id", "k", "gain"))
+    more = more.groupBy("__id").agg(F.sum("k").alias("__k"), F.sum("gain").alias("__gain"))
+    rows = found.select("__id", "__row", "n_tokens", "network_log_likelihood").join(more, "__id", "left")
+    log_p = F.col("network_log_likelihood") + F.coalesce("__gain", F.lit(0.0))
+    return rows.select("__row.*", "n_tokens", F.coalesce("__k", F.lit(0)).alias("n_recalled"), "network_log_likelihood", log_p.alias("log_likelihood"),
+                       F.when(F.col("n_tokens") > 0, F.exp(-log_p / F.col("n_tokens"))).alias("perplexity"))
+
+
+def pseudo_likelihood(docs: DataFrame, text: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """The corpus's words, its spelling, the encoded texts, the network trained on them, their scores."""
+    store = Store(docs.sparkSession, "pseudo")
+    counts = store.keep(word_counts(docs, text), "counts")
+    known = vocabulary(docs, text, counts)
+    encoded = store.keep(encode(docs, known, spelling(counts, known), text, keep), "encoded")
+    return score(encoded, train(encoded))
 
 
 QUERY = "op6_pseudo_likelihood"
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    counts = Store(spark, "words").keep(word_counts(docs), "counts")
-    known = vocabulary(docs, counts=counts)
-    return score(docs, known, train(docs, known), counts=counts)
+    return pseudo_likelihood(spark.read.parquet(f"{sf_dir}/documents.parquet"))
 
 
 ORACLE_SQL = None
