@@ -53,7 +53,7 @@ from affinity.llm import words as hashes
 from affinity.llm.rows import gather_texts, map_texts, pieces
 from affinity.llm.store import Store
 
-WIDTH, HIDDEN, BY_LENGTH = 2, 24, 32
+WIDTH, HIDDEN, BY_LENGTH = 2, 16, 32
 #: Token ids below HEAD are predicted at once, the others as a class and in it.
 HEAD, CLASSES, EACH = 64, 16, 128
 SIZE = HEAD + CLASSES * EACH
@@ -109,11 +109,15 @@ def spelling(counts: DataFrame, known: dict[str, int]) -> np.ndarray:
 
 def _pairs(some: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """(byte before) * 256 + byte for all bytes of the words, and the bytes of each."""
-    raw = [w.encode("utf-8", "surrogatepass") for w in some]
-    sizes = np.fromiter(map(len, raw), np.int64, len(raw))
-    buf = np.frombuffer(b"\0" + b"\0".join(raw), np.uint8).astype(np.int32)
-    at = np.arange(int(sizes.sum())) + np.repeat(np.arange(1, len(raw) + 1), sizes)
-    return buf[at - 1] * 256 + buf[at], sizes
+    buf = np.frombuffer(("\0" + "\0".join(some)).encode("utf-8", "surrogatepass"), np.uint8)
+    gap = np.flatnonzero(buf == 0)
+    if len(gap) == len(some):
+        sizes = np.diff(np.append(gap, len(buf))) - 1
+    else:  # some word holds a zero
+        sizes = np.fromiter((len(w.encode("utf-8", "surrogatepass")) for w in some), np.int64, len(some))
+        gap = np.cumsum(sizes + 1) - sizes - 1
+    pair = buf[:-1].astype(np.uint16) * np.uint16(256) + buf[1:]  # of each byte and the one before it
+    return np.delete(pair, gap[1:] - 1), sizes
 
 
 def spelled(some: list[str], pairs: np.ndarray) -> np.ndarray:
@@ -122,8 +126,9 @@ def spelled(some: list[str], pairs: np.ndarray) -> np.ndarray:
         return np.empty(0)
     pair, sizes = _pairs(some)
     p = np.add.reduceat(pairs[pair].astype(np.float64), np.cumsum(sizes) - sizes)
-    over = np.fromiter(map(len, some), np.int64, len(some)) - BY_LENGTH + 1
-    return p - np.maximum(over, 0) * np.log(2)
+    for k in np.flatnonzero(sizes >= BY_LENGTH).tolist():
+        p[k] -= max(0, len(some[k]) - BY_LENGTH + 1) * np.log(2)
+    return p
 
 
 def blocks(words_: list[str]) -> list[tuple[int, int]]:
@@ -360,23 +365,20 @@ def score(encoded: DataFrame, net: Network, block: int = 1 << 15) -> DataFrame:
                 edge = np.concatenate([[0], np.cumsum(sizes)])
                 total = np.concatenate([[0.0], np.cumsum(p)])
                 total = total[edge[1:]] - total[edge[:-1]]
-                found = []
-                for first, own, ends in zip(edge.tolist(), part.column(3).to_pylist(), part.column(4).to_pylist()):
-                    got = gain[first + np.array([0, *ends])]
-                    rows: dict[int, list] = {}  # a block that a text repeats is one
-                    for h, k, g in zip(own, np.diff([0, *ends]).tolist(), np.diff(got).tolist()):
-                        row = rows.setdefault(h, [0, 0.0])
-                        row[0] += k
-                        row[1] += g
-                    found.append([{"hash": h, "k": k, "gain": g} for h, (k, g) in rows.items()])
-                yield pa.RecordBatch.from_arrays([part.column(0), *[pa.array(c, k) for c, k in zip((sizes, total, found), kinds[1:])]], names=schema.names)
+                own, ends = part.column(3), part.column(4)
+                many = pc.list_value_length(ends).to_numpy()
+                end = ends.flatten().to_numpy() + np.repeat(edge[:-1], many)
+                first = np.concatenate([[0], end[:-1]])  # a text's first block begins where the text before ends
+                rows = pa.StructArray.from_arrays([own.flatten(), pa.array(end - first), pa.array(gain[end] - gain[first])], names=["hash", "k", "gain"])
+                found = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(many)]), pa.int32()), rows)
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(sizes, kinds[1]), pa.array(total, kinds[2]), found.cast(kinds[3])], names=schema.names)
 
     store = Store(spark, "pseudo")
     found = encoded.select("__row", "ids", "spelled", "hashes", "ends").mapInArrow(run, schema)
     found = store.keep(found.withColumn("__id", F.monotonically_increasing_id()), "found")
     each = found.select("__id", F.inline("blocks"))
-    # Distinct in a document, so a block of two rows or more stands in two documents.
-    shared = store.keep(each.groupBy("hash").agg(F.count("*").alias("n")).where("n > 1"), "shared")
+    shared = each.groupBy("hash").agg(F.count("*").alias("n"), F.min("__id").alias("__a"), F.max("__id").alias("__b"))
+    shared = store.keep(shared.where("__a < __b").select("hash", "n"), "shared")  # in two documents or more
     least = (found.agg(F.sum(F.size("blocks"))).first()[0] or 0) // COMMON + 1
     common = F.broadcast(shared.where(F.col("n") > least).select("hash", F.lit(True).alias("__common")))
     each = each.join(common, "hash", "left")
