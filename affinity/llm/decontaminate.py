@@ -6,9 +6,13 @@ is scanned as arrays of word and window hashes; a hash hit is verified against
 the window's words before it counts.  Hit words are removed from the text as
 spans, or the document as a whole.
 
-The benchmark's windows are counted first.  Each broadcast holds at most
-``block`` windows; a larger benchmark is scanned block after block within the
-same stage, so no broadcast grows with it.
+The benchmark's windows are a written table, counted first.  Up to ``block`` of
+them are broadcast whole.  Of a larger benchmark only a filter of ``FILTER`` bits
+is: one scan of the documents lists the windows that pass it, these are joined
+with the table by hash and words (each window of the table under ``SALTS`` keys,
+so that a passage of many documents is dealt out), and only documents that list
+any are read again to cut their hits.  Neither what is broadcast nor the number
+of scans grows with the benchmark.
 
 Defined results: null or wordless texts have no words and are never
 contaminated; null or wordless items have no windows; repeated documents are
@@ -27,6 +31,10 @@ from pyspark.sql.pandas.types import to_arrow_schema
 
 from affinity.llm import words
 from affinity.llm.rows import map_texts, text_pieces
+from affinity.llm.store import Store
+
+#: Bits of the filter's address (2**26 bits are 8 MB), copies of a window among the keys of the join.
+FILTER, SALTS = 26, 16
 
 _WORD = np.zeros(256, bool)
 _WORD[48:58] = _WORD[97:123] = _WORD[128:] = True  # digits, a-z, every byte of a non-ASCII character
@@ -92,59 +100,108 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, text: str = "text", kee
                   block: int = 200_000) -> DataFrame:
     """``keep`` columns of every document beside n_words, n_hit, items (sorted
     distinct item ids as strings), clean_text (hit spans cut out)."""
-    spark = docs.sparkSession
-    windows = benchmark_windows(benchmark, item_text, item_key, width)
-    blocks = max(1, -(-windows.count() // block))
-    out = docs.select(*keep, F.coalesce(F.col(text), F.lit("")).alias("__text"),
-                      F.lit(None).cast("binary").alias("__hit"), F.lit(None).cast("array<string>").alias("__items"))
-    for b in range(blocks):
-        rows = windows.where(F.pmod(F.xxhash64("words"), F.lit(blocks)) == b).collect()
-        sent = spark.sparkContext.broadcast([r.asDict() for r in rows])
-        out = _scan(out, list(keep), sent, last=b == blocks - 1)
-    return out
-
-
-def _scan(df, keep, sent, last):
-    n = len(keep)
-    added = "n_words long, n_hit long, items array<string>, clean_text string" if last else "__text string, __hit binary, __items array<string>"
-    schema = T.StructType(df.schema.fields[:n] + T._parse_datatype_string(added).fields)
-    types = [f.type for f in to_arrow_schema(schema)]
+    store = Store(docs.sparkSession, "benchmark")
+    windows = store.keep(benchmark_windows(benchmark, item_text, item_key, width), "windows")
+    row = docs.select(F.struct(*keep).alias("__row"), F.col(text).alias("__of"))  # clashing names go through as one
+    if windows.count() <= block:
+        return _scan(row, windows).select("__row.*", *OUT)
+    listed = store.keep(_list(row, windows).withColumn("__id", F.monotonically_increasing_id()), "listed")
+    table = windows.groupBy("hash", "width", "words").agg(F.collect_set(F.col("item").cast("string")).alias("items"))
+    table = table.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    each = listed.select("__id", F.pmod("__id", F.lit(SALTS)).cast("int").alias("salt"), F.inline("found"))
+    hits = each.join(table, ["hash", "width", "words", "salt"]).groupBy("__id").agg(
+        F.collect_list(F.struct("first", "width")).alias("hits"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
+    some = listed.where(F.size("found") > 0).select("__id", "__row", "__text").join(hits, "__id", "left")
+    none = listed.where(F.size("found") == 0).select("__row", "n_words", F.lit(0).cast("long").alias("n_hit"),
+                                                     F.array().cast("array<string>").alias("items"), F.col("__text").alias("clean_text"))
+    return none.unionByName(_cut_hits(some)).select("__row.*", *OUT)
+
+
+OUT = ["n_words", "n_hit", "items", "clean_text"]
+ADDED = "n_words long, n_hit long, items array<string>, clean_text string"
+
+
+def _scan(row: DataFrame, windows: DataFrame) -> DataFrame:
+    """All windows of the benchmark in each task."""
+    sent = row.sparkSession.sparkContext.broadcast([r.asDict() for r in windows.collect()])
+    known: list[_Windows] = []  # made once in a worker's copy of this function
 
-    def run(batches):
-        known = _Windows(sent.value)
-        for batch in batches:
-            before, had = (batch.column(n + k).to_pylist() for k in (1, 2))
-            for i, j, texts in text_pieces(batch.column(n)):
-                cols = one(known, texts, before[i:j], had[i:j])
-                yield pa.RecordBatch.from_arrays([batch.column(k).slice(i, j - i) for k in range(n)]
-                                                 + [pa.array(c, t) for c, t in zip(cols, types[n:])], names=schema.names)
-
-    def one(known, texts, before, had):
-        raw, buf, starts, s, e, doc = _tokens(texts)
-        h = words.word_hashes(buf, s, e)
-        hit = np.zeros(len(s) + 1, np.int64)  # +1 where a window starts, -1 behind its end
+    def step(texts):
+        if not known:
+            known.append(_Windows(sent.value))
+        _, buf, _, s, e, doc = split = _tokens(texts)
+        marks: dict[int, list] = {}
         items: dict[int, set] = {}
-        for i, w, found in known.hits(buf, s, e, doc, h):
+        for i, w, found in known[0].hits(buf, s, e, doc, words.word_hashes(buf, s, e)):
+            marks.setdefault(int(doc[i]), []).append((i, w))
+            items.setdefault(int(doc[i]), set()).update(str(x) for x in found if x is not None)
+        return _results(texts, split, marks, [sorted(items.get(k, ())) for k in range(len(texts))])
+
+    return map_texts(row, "__of", ["__row"], ADDED, step)
+
+
+def _results(texts, split, marks: dict[int, list], items: list) -> list[list]:
+    """The columns of ADDED from the verified windows (first word of the batch, width) of each text."""
+    raw, _, starts, s, e, doc = split
+    hit = np.zeros(len(s) + 1, np.int64)  # +1 where a window starts, -1 behind its end
+    for own in marks.values():
+        for i, w in own:
             hit[i] += 1
             hit[i + w] -= 1
-            items.setdefault(int(doc[i]), set()).update(str(x) for x in found if x is not None)
-        mark = np.cumsum(hit[:-1]) > 0
+    mark = np.cumsum(hit[:-1]) > 0
+    edge = np.searchsorted(doc, np.arange(len(texts) + 1))
+    clean, n_hit = [], []
+    for k, t in enumerate(texts):
+        own = mark[edge[k]:edge[k + 1]]
+        n_hit.append(int(own.sum()))
+        clean.append(_cut(raw, starts[k], starts[k + 1] - 1, s[edge[k]:edge[k + 1]], e[edge[k]:edge[k + 1]], own) if n_hit[-1] else t)
+    return [np.diff(edge).tolist(), n_hit, items, clean]
+
+
+def _list(row: DataFrame, windows: DataFrame) -> DataFrame:
+    """Texts, their numbers of words and the windows that pass the filter."""
+    slot = F.shiftrightunsigned("hash", 64 - FILTER)
+    bits = windows.select(slot.alias("s")).groupBy(F.shiftright("s", 6).alias("at")).agg(
+        F.bit_or(F.expr("shiftleft(1L, cast(s & 63 as int))")).alias("bits"))
+    rows = bits.toArrow()  # 2 ** (FILTER - 6) rows at most
+    passed = np.zeros(1 << (FILTER - 6), np.int64)
+    passed[rows["at"].to_numpy()] = rows["bits"].to_numpy()
+    widths = sorted(r[0] for r in windows.select("width").distinct().collect())  # as many as a window has words
+    sent = row.sparkSession.sparkContext.broadcast(passed.view(np.uint64))
+
+    def step(texts):
+        _, buf, _, s, e, doc = _tokens(texts)
+        h, known = words.word_hashes(buf, s, e), sent.value
         edge = np.searchsorted(doc, np.arange(len(texts) + 1))
-        out = [[], [], [], []] if last else [[], [], []]
-        for k, t in enumerate(texts):
-            own = mark[edge[k]:edge[k + 1]]
-            if before[k]:
-                own = own | np.unpackbits(np.frombuffer(before[k], np.uint8), count=len(own)).astype(bool)
-            names = sorted({*(had[k] or ()), *items.get(k, ())})
-            if last:
-                values = (len(own), int(own.sum()), names, _cut(raw, starts[k], starts[k + 1] - 1, s[edge[k]:edge[k + 1]], e[edge[k]:edge[k + 1]], own) if own.any() else t)
-            else:
-                values = (t, np.packbits(own).tobytes() if own.any() else None, names or None)
-            for c, v in zip(out, values):
-                c.append(v)
-        return out
-
-    return df.mapInArrow(run, schema)
+        found = [[] for _ in texts]
+        for w in widths:
+            wh, first = words.window_hashes(h, doc, w)
+            at = wh >> np.uint64(64 - FILTER)
+            some = np.flatnonzero((known[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63))) & np.uint64(1))
+            for x, i in zip(wh[some].view(np.int64).tolist(), first[some].tolist()):
+                found[doc[i]].append({"hash": x, "width": w, "first": i - int(edge[doc[i]]),
+                                      "words": b" ".join(buf[s[k]:e[k]].tobytes() for k in range(i, i + w))})
+        return [texts, np.diff(edge).tolist(), found]
+
+    return map_texts(row, "__of", ["__row"], "__text string, n_words long, found array<struct<hash:bigint,width:int,first:int,words:binary>>", step)
+
+
+def _cut_hits(some: DataFrame) -> DataFrame:
+    """The columns of ADDED from joined windows (first word of the text, width)."""
+    schema = T.StructType([some.schema["__row"], *T._parse_datatype_string(ADDED).fields])
+    types = [f.type for f in to_arrow_schema(schema)][1:]
+
+    def run(batches):
+        for batch in batches:
+            for i, j, texts in text_pieces(batch.column(1)):
+                split = _tokens(texts)
+                edge = np.searchsorted(split[5], np.arange(len(texts) + 1))
+                marks = {k: [(int(edge[k]) + x["first"], x["width"]) for x in own or ()]
+                         for k, own in enumerate(batch.column(2).slice(i, j - i).to_pylist())}
+                cols = _results(texts, split, marks, [x or [] for x in batch.column(3).slice(i, j - i).to_pylist()])
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), *[pa.array(c, t) for c, t in zip(cols, types)]], names=schema.names)
+
+    return some.select("__row", "__text", "hits", "items").mapInArrow(run, schema)
 
 
 def _cut(raw, start, end, s, e, own) -> str:
