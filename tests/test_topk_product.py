@@ -1,3 +1,4 @@
+import os
 import random
 
 import numpy as np
@@ -72,6 +73,23 @@ def test_blocks_below_the_bound_are_not_scored(spark, run):
     assert scored.agg(F.sum("n_scored")).first()[0] < 50 * 2000 / 5 and scored.agg(F.min("n_scored")).first()[0] >= 32
 
 
+def test_what_is_written_does_not_grow_with_users_times_blocks(spark):
+    rng = np.random.default_rng(6)
+    u, v = rng.normal(size=(40, 5)), rng.normal(size=(320, 5))
+    with Run(spark) as run:
+        got, _ = top_products(*frames(spark, u, v), 3, run, block=4, chunk=25)
+        assert lists(got) == plain(u, v, 3)
+        kept = [p for p in os.listdir(run.path.removeprefix("file:")) if not p.startswith("_")]
+        assert sum(spark.read.parquet(f"{run.path}/{p}").count() for p in kept) <= 2 * 40 + 320  # not 40 users x 80 blocks
+
+
+def test_equal_scores_and_signed_zeros_over_several_blocks(spark, run):
+    u = np.array([[1.0, -1.0], [0.0, -0.0], [1e-30, 1e-30], [-3.0, 0.5]])
+    v = np.array([[1.0, 1.0], [-0.0, 0.0], [2.0, 2.0], [1e-30, 0.0]] * 5)
+    got, _ = top_products(*frames(spark, u, v), 7, run, block=3, chunk=2)
+    assert lists(got) == plain(u, v, 7)
+
+
 def test_nobody_and_nothing(spark, run):
     users, items = frames(spark, np.ones((2, 2)), np.ones((3, 2)))
     assert top_products(users.where("false"), items, 3, run)[0].isEmpty()
