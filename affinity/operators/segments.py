@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from affinity.functions.hashing import hash60, prefix_value
 from affinity.functions.metrics import r6
+from affinity.sources.scratch import Run
 
 MINHASH_TAG = "minhash"
 
@@ -138,20 +139,39 @@ def banded_candidates(signatures: DataFrame, counts: DataFrame, max_distance: fl
 
 # Readers of a probe item that meet all its candidates in one key.
 PROBE_CHUNK = 256
-
-
-def verify_pairs(candidates: DataFrame, pairs: DataFrame, counts: DataFrame, max_distance: float) -> DataFrame:
-    """Exact Jaccard of candidate pairs, kept when distance < ``max_distance``.
-
-    A size filter first drops pairs that cannot reach the threshold
-    (J <= min/max).  Co-reader counts: the smaller reader set of each pair is
-    joined to the reader pairs and probed against the other item."""
-    min_sim = 1.0 - max_distance
-    if not {"n1", "n2"} <= set(candidates.columns):
-        c1 = counts.select(F.col("book_id").alias("book_id_1"), F.col("n_readers").alias("n1"))
-        c2 = counts.select(F.col("book_id").alias("book_id_2"), F.col("n_readers").alias("n2"))
-        candidates = candidates.select("book_id_1", "book_id_2").join(c1, "book_id_1").join(c2, "book_id_2")
-    sized = candidates.where(F.least("n1", "n2") / F.greatest("n1", "n2") >= F.lit(min_sim - 1e-9))
+# A reader of more items is probed, not paired with itself.
+PAIRED_ITEMS = 1024
+
+
+def co_readers(sized: DataFrame, pairs: DataFrame, most: int = PAIRED_ITEMS) -> DataFrame:
+    """``(book_id_1, book_id_2, n1, n2, co)``: readers that both items of a candidate have, where there are any.
+
+    Probing costs a row for each candidate and reader of its smaller item, so
+    many candidates of items with large audiences repeat each audience over and over.
+    Pairing the items of each reader costs the square of what readers have read,
+    whatever the number of candidates, and is counted where it is made.  The
+    cheaper of the two is taken; readers of more than ``most`` items are probed in any case."""
+    per_reader = pairs.groupBy("user_id").agg(F.count(F.lit(1)).alias("_d"))
+    hot = per_reader.where(F.col("_d") > most).select("user_id")
+    paired = F.sum(F.when(F.col("_d") <= most, F.col("_d").cast("double") * F.col("_d") / 2))
+    cost, n_hot = per_reader.agg(F.coalesce(paired, F.lit(0.0)), F.count_if(F.col("_d") > most)).first()
+    probed = sized.agg(F.coalesce(F.sum(F.least("n1", "n2").cast("double")), F.lit(0.0))).first()[0]
+    if probed <= cost:
+        return _probed(sized, pairs).groupBy("book_id_1", "book_id_2", "n1", "n2").agg(F.count(F.lit(1)).alias("co"))
+    rows = pairs.select("user_id", "book_id")
+    cold = rows.join(hot, "user_id", "left_anti") if n_hot else rows
+    met = (cold.withColumnRenamed("book_id", "book_id_1").join(cold.withColumnRenamed("book_id", "book_id_2"), "user_id")
+           .where(F.col("book_id_1") < F.col("book_id_2")).groupBy("book_id_1", "book_id_2").agg(F.count(F.lit(1)).alias("co")))
+    out = sized.select("book_id_1", "book_id_2", "n1", "n2").join(met, ["book_id_1", "book_id_2"])
+    if not n_hot:
+        return out
+    more = _probed(sized, rows.join(hot, "user_id", "left_semi")).groupBy("book_id_1", "book_id_2", "n1", "n2").agg(F.count(F.lit(1)).alias("co"))
+    return out.unionByName(more).groupBy("book_id_1", "book_id_2", "n1", "n2").agg(F.sum("co").alias("co"))
+
+
+def _probed(sized: DataFrame, pairs: DataFrame) -> DataFrame:
+    """A row for each candidate and co-reader: the smaller reader set of each pair
+    is joined to the reader pairs and probed against the other item."""
     small_first = F.col("n1") <= F.col("n2")
     oriented = sized.select(
         "book_id_1", "book_id_2", "n1", "n2",
@@ -165,9 +185,22 @@ def verify_pairs(candidates: DataFrame, pairs: DataFrame, counts: DataFrame, max
     readers = (pairs.select(F.col("book_id").alias("_probe"), "user_id").join(sizes, "_probe")
                .select("_probe", "user_id", reader_chunk(F.col("_n")).cast("bigint").alias("_chunk")))
     other_reads = pairs.select(F.col("book_id").alias("_other"), "user_id")
-    co = (probes.join(readers, ["_probe", "_chunk"])
-          .join(other_reads, ["_other", "user_id"], "left_semi")
-          .groupBy("book_id_1", "book_id_2", "n1", "n2").agg(F.count(F.lit(1)).alias("co")))
+    return (probes.join(readers, ["_probe", "_chunk"])
+            .join(other_reads, ["_other", "user_id"], "left_semi"))
+
+
+def verify_pairs(candidates: DataFrame, pairs: DataFrame, counts: DataFrame, max_distance: float) -> DataFrame:
+    """Exact Jaccard of candidate pairs, kept when distance < ``max_distance``.
+
+    A size filter first drops pairs that cannot reach the threshold
+    (J <= min/max), co-reader counts (``co_readers``) decide on the others."""
+    min_sim = 1.0 - max_distance
+    if not {"n1", "n2"} <= set(candidates.columns):
+        c1 = counts.select(F.col("book_id").alias("book_id_1"), F.col("n_readers").alias("n1"))
+        c2 = counts.select(F.col("book_id").alias("book_id_2"), F.col("n_readers").alias("n2"))
+        candidates = candidates.select("book_id_1", "book_id_2").join(c1, "book_id_1").join(c2, "book_id_2")
+    sized = candidates.where(F.least("n1", "n2") / F.greatest("n1", "n2") >= F.lit(min_sim - 1e-9))
+    co = co_readers(sized, pairs)
     dist = F.lit(1.0) - F.col("co").cast("double") / (F.col("n1") + F.col("n2") - F.col("co")).cast("double")
     return (co.withColumn("jaccard_dist", dist)
             .where(F.col("jaccard_dist") < F.lit(float(max_distance)))
@@ -184,12 +217,15 @@ def lsh_buckets(signatures: DataFrame) -> DataFrame:
 
 
 def lsh_pairs(readers: DataFrame, min_readers: int, num_tables: int, seed: int, max_distance: float,
-              rows: int = 1) -> DataFrame:
-    """End-to-end native similar-item pairs."""
+              rows: int = 1, run: Run | None = None) -> DataFrame:
+    """End-to-end native similar-item pairs.  With a ``run`` the reader pairs and
+    the candidates, which several passes read, are written once."""
+    keep = (lambda df, name: df) if run is None else run.keep
     pairs = reader_pairs(readers)
     counts = qualified_items(pairs, min_readers)
-    qp = pairs.join(counts.select("book_id"), "book_id", "left_semi")
-    cand = banded_candidates(minhash_signatures(qp, num_tables, seed, rows), counts, max_distance)
+    qp = keep(pairs.join(counts.select("book_id"), "book_id", "left_semi"), "pairs")
+    counts = keep(qualified_items(qp, min_readers), "counts")
+    cand = keep(banded_candidates(minhash_signatures(qp, num_tables, seed, rows), counts, max_distance), "candidates")
     return verify_pairs(cand, qp, counts, max_distance)
 
 

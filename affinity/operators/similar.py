@@ -124,7 +124,7 @@ def jaccard_pairs(readers: DataFrame, min_readers: int, max_distance: float, run
     counts = run.keep(SEG.qualified_items(qp, min_readers), "counts")
     t = max(1.0 - max_distance, 0.0)
     index = run.keep(prefix_index(qp, counts, t, run), "index")
-    return SEG.verify_pairs(prefix_candidates(index, index, t, chunk), qp, counts, max_distance)
+    return SEG.verify_pairs(run.keep(prefix_candidates(index, index, t, chunk), "candidates"), qp, counts, max_distance)
 
 
 # ---------------------------------------------------------------- recall of the hashed pairs
@@ -170,6 +170,7 @@ def recall_estimate(found: DataFrame, pairs: DataFrame, counts: DataFrame, max_d
     sample = recall_sample(counts, fraction, seed).select("book_id")
     met = prefix_candidates(index.join(sample, "book_id", "left_semi"), index, t, once=False)
     met = met.select(F.least("book_id_1", "book_id_2").alias("book_id_1"), F.greatest("book_id_1", "book_id_2").alias("book_id_2")).distinct()
+    met = run.keep(met, "sampled")
     true = SEG.verify_pairs(met, pairs, counts, max_distance).select("book_id_1", "book_id_2")
     hits = true.join(found.select("book_id_1", "book_id_2", F.lit(1).alias("_hit")), ["book_id_1", "book_id_2"], "left")
     one = hits.agg(F.count(F.lit(1)).alias("true_pairs"), F.count("_hit").alias("found_pairs"))

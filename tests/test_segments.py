@@ -175,3 +175,17 @@ def test_hot_bucket_and_hot_probe_are_split(spark):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+
+
+def test_co_readers_by_pairing_and_by_probing(spark):
+    """Many candidates with large audiences are counted from the readers' side, hot readers are probed; few are probed."""
+    rnd = random.Random(4)
+    sets = {i: set(rnd.sample(range(300), 120)) | {1000, 1001} for i in range(24)}
+    pairs = SEG.reader_pairs(readers_df(spark, sets)).cache()
+    every = [(a, b, len(sets[a]), len(sets[b])) for a in sets for b in sets if a < b]
+    for chosen, most, probes in ((every, 1024, False), (every, 20, True), (every[:2], 1024, True)):
+        cand = spark.createDataFrame(chosen, "book_id_1 int, book_id_2 int, n1 long, n2 long")
+        co = SEG.co_readers(cand, pairs, most)
+        assert {tuple(r) for r in co.collect()} == {(*c, len(sets[c[0]] & sets[c[1]])) for c in chosen}
+        assert ("Generate" in co._jdf.queryExecution().optimizedPlan().toString()) == probes
+    pairs.unpersist()

@@ -79,7 +79,7 @@ def test_what_is_written_does_not_grow_with_users_times_blocks(spark):
     with Run(spark) as run:
         got, _ = top_products(*frames(spark, u, v), 3, run, block=4, chunk=25)
         assert lists(got) == plain(u, v, 3)
-        kept = [p for p in os.listdir(run.path.removeprefix("file:")) if not p.startswith("_")]
+        kept = [p for p in os.listdir(run.path.removeprefix("file:")) if not p.startswith(("_", "."))]
         assert sum(spark.read.parquet(f"{run.path}/{p}").count() for p in kept) <= 2 * 40 + 320  # not 40 users x 80 blocks
 
 
