@@ -30,6 +30,18 @@ def test_both_agendas_agree(vocabulary):
         assert vocabulary.merged(list(s)) == vocabulary.merged_short(list(s))
 
 
+def test_segments_side_by_side(vocabulary, monkeypatch):
+    rng = random.Random(8)
+    some = ["▁" + "".join(rng.choice("etaoinshrABé.0日\U0001f600ß") for _ in range(rng.randrange(0, 60))) for _ in range(3000)]
+    some += ["\n", "▁", "a", "é", "▁" * 39, "e" * 40, "e" * 41, "ا" * 7]
+    want = [np.array(vocabulary.agenda(s), "<u4").tobytes() for s in some]
+    alone = []
+    agenda = vocabulary.agenda
+    monkeypatch.setattr(vocabulary, "agenda", lambda s: alone.append(s) or agenda(s))
+    assert vocabulary.agendas(some) == want and vocabulary.agendas([]) == []
+    assert not [s for s in alone if set(s) <= set("▁etaoinshrABé") and len(s) <= 40]
+
+
 def test_round_trip(spark):
     some = texts()
     lib = B.vocabulary(B.model_path()).library
