@@ -11,7 +11,9 @@ the inner product with any anchor.
 *Search.*  An anchor's queue is ordered by the intervals' upper ends.  It takes
 the best boxes first, opens those that may still hold a result, and leaves out
 the ones outside the score windows or strictly below a full list's last score
-(an equal one may hold a smaller key).  The first search is within the anchor's
+(an equal one may hold a smaller key).  A task takes ``AT_ONCE`` anchors side by
+side: boxes of a few hundred rows in the order of the highest upper end, each
+against the anchors it can still serve, as one product of matrices.  The first search is within the anchor's
 own tile; its fifth score then keeps the anchor from tiles whose box is lower.
 Next come the positives in all tiles that are left, then the negatives in the
 tiles that meet a window.
@@ -38,6 +40,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from affinity.llm import vectors
@@ -49,6 +52,10 @@ LEAF, FAN = 32, 8
 SMALLEST, LARGEST, WANTED, MAX_TILES = 512, 65536, 64, 65536
 #: Anchors that a task searches one tile for.
 BLOCK = 65536
+#: Anchors searched side by side, the level of the boxes they share.
+AT_ONCE, SHARED = 512, 1
+#: No bound of a window.
+LEAST, MOST = np.iinfo(np.int64).min, np.iinfo(np.int64).max
 
 
 class Tree:
@@ -138,6 +145,63 @@ class Tree:
         return best
 
 
+    def search_all(self, keys: np.ndarray, labels: np.ndarray, vectors_: np.ndarray, lows: np.ndarray, tops: np.ndarray, k: int,
+                   same: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """``search`` for anchors side by side, windows a row each (low above top: none): (anchor's row, window, score, key)."""
+        out = [self._search_some(at, keys[at:at + AT_ONCE], labels[at:at + AT_ONCE], vectors_[at:at + AT_ONCE], lows[at:at + AT_ONCE],
+                                 tops[at:at + AT_ONCE], k, same) for at in range(0, len(keys) if self.levels else 0, AT_ONCE)]
+        return tuple(np.concatenate([o[c] for o in out] or [np.empty(0, np.int64)]) for c in range(4))
+
+    def _search_some(self, start, keys, labels, vector, lows, tops, k, same):
+        # Products and sums of such numbers are exact in floats, and so are the intervals' differences.
+        most = 2 * int(np.abs(vector).max(initial=0)) * int(np.abs(self.v).max(initial=0)) * max(1, vector.shape[1])
+        kind = np.float32 if most < 1 << 24 else np.float64 if most < 1 << 53 else np.int64
+        vector, rows = vector.astype(kind), self.v.astype(kind, copy=False)
+        lows, tops, windows = lows.astype(kind), tops.astype(kind), lows.shape[1]
+        need = lows.copy()
+        level = min(SHARED, len(self.levels) - 1)
+        up, down = np.maximum(vector, 0), np.maximum(-vector, 0)
+        low, high = (x.astype(kind, copy=False).T for x in self.levels[level])
+        least, most = up @ low - down @ high, up @ high - down @ low
+        per = self.fan ** level
+        found = [(np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.int64))] * windows  # (anchor, score, key), best first
+        for node in np.argsort(-most.max(0), kind="stable").tolist():
+            live = ((most[:, node, None] >= need) & (least[:, node, None] <= tops)).any(1)
+            own = np.flatnonzero(live)
+            if not len(own):
+                continue
+            some = slice(self.edges[node * per], self.edges[min((node + 1) * per, len(self.edges) - 1)])
+            score = vector[own] @ rows[some].T
+            fit = self.labels[some] == labels[own, None]
+            fit = fit & (self.keys[some] != keys[own, None]) if same else ~fit
+            for w in range(windows):
+                good = fit & (score >= need[own, w, None]) & (score <= tops[own, w, None])
+                if good.sum() > 4 * k * len(own):  # only what can be among the best of this box
+                    held = np.where(good, score, kind(-np.inf) if kind != np.int64 else LEAST)
+                    good &= held >= np.partition(held, held.shape[1] - k, axis=1)[:, held.shape[1] - k, None]
+                r, c = np.nonzero(good)
+                if len(r):
+                    a, s, i = (np.concatenate(x) for x in zip(found[w], (own[r], score[r, c].astype(np.int64), self.keys[some][c])))
+                    order = np.lexsort((i, -s, a))
+                    a = a[order]
+                    first = np.searchsorted(a, a)
+                    kept = np.arange(len(a)) - first < k
+                    found[w] = a[kept], s[order[kept]], i[order[kept]]
+                    full = np.flatnonzero((np.arange(len(a)) - first) == k - 1)  # an anchor's k-th
+                    need[a[full], w] = np.maximum(need[a[full], w], s[order[full]].astype(kind))
+        return (np.concatenate([f[0] for f in found]) + start, np.repeat(np.arange(windows), [len(f[0]) for f in found]),
+                np.concatenate([f[1] for f in found]), np.concatenate([f[2] for f in found]))
+
+
+def _bounds(lists: pd.Series, nothing: int, beyond: int) -> np.ndarray:
+    """Windows' bounds, an anchor a row: null is ``nothing``, rows that have fewer end in ``beyond``."""
+    column = pa.array(lists, pa.list_(pa.int64()))
+    size = pc.list_value_length(column).to_numpy()
+    out = np.full((len(column), size.max(initial=0)), beyond, np.int64)
+    out[np.arange(out.shape[1]) < size[:, None]] = column.flatten().fill_null(nothing).to_numpy()
+    return out
+
+
 def tiles(rows: DataFrame, n: int, store: Store, size: int) -> DataFrame:
     """``rows`` (key, label, v) with their tile, stored."""
     count = max(1, min(MAX_TILES, -(-n // size)))
@@ -171,10 +235,11 @@ def _home(tiled: DataFrame, width: int, k: int) -> DataFrame:
         low, high = tree.levels[-1]
         out = [(key[0], low[0].astype(np.int64), high[0].astype(np.int64), None, None)]
         own = held[held.anchor]
-        for name, label, v in zip(own.key, own.label, _arrow(own.v, width)):
-            (score, _), = tree.search(name, label, v, [(-np.inf, np.inf)], k, True)
-            if len(score) == k:
-                out.append((key[0], None, None, name, score[-1]))
+        names = own.key.to_numpy(np.int64)
+        lows, tops = (np.full((len(own), 1), x) for x in (LEAST, MOST))
+        at, _, score, _ = tree.search_all(names, own.label.to_numpy(np.int64), _arrow(own.v, width), lows, tops, k, True)
+        rank = np.arange(len(at)) - np.searchsorted(at, at)  # an anchor's scores stand together, the best first
+        out += [(key[0], None, None, names[a], s) for a, s in zip(at[rank == k - 1], score[rank == k - 1])]
         return pd.DataFrame(out, columns=["tile", "low", "high", "key", "bound"]).astype({"key": "Int64", "bound": "Int64"})
 
     return tiled.groupBy("tile").applyInPandas(run, "tile int, low array<bigint>, high array<bigint>, key bigint, bound bigint")
@@ -209,17 +274,14 @@ def _searched(tiled: DataFrame, anchors: DataFrame, boxes: tuple, width: int, bl
     held = tiled.select("tile", "key", "label", "v", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("blk"))
 
     def run(key, held: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:
-        out = {"anchor": [], "top": [], "score": [], "key": []}
-        if len(held) and len(asked):
-            tree = _tree(held, width)
-            for name, label, v, lows, tops in zip(asked.key, asked.label, _arrow(asked.v, width), asked.lows, asked.tops):
-                windows = [(-np.inf if pd.isna(a) else a, np.inf if pd.isna(b) else b) for a, b in zip(lows, tops)]
-                for (_, top), (score, other) in zip(windows, tree.search(name, label, v, windows, k, same)):
-                    out["anchor"] += [name] * len(score)
-                    out["top"] += [None if top == np.inf else top] * len(score)
-                    out["score"] += score.tolist()
-                    out["key"] += other.tolist()
-        return pd.DataFrame(out).astype("Int64")
+        if not len(held) or not len(asked):
+            return pd.DataFrame({c: pd.Series(dtype="Int64") for c in ("anchor", "top", "score", "key")})
+        names, lows, tops = asked.key.to_numpy(np.int64), _bounds(asked.lows, LEAST, MOST), _bounds(asked.tops, MOST, LEAST)
+        at, window, score, other = _tree(held, width).search_all(
+            names, asked.label.to_numpy(np.int64), _arrow(asked.v, width), lows, tops, k, same)
+        top = tops[at, window]
+        return pd.DataFrame({"anchor": names[at], "top": pd.array(top, "Int64"), "score": score, "key": other}).assign(
+            top=lambda d: d.top.mask(top == MOST))
 
     return held.groupBy("tile", "blk").cogroup(sent.groupBy("tile", "blk")).applyInPandas(
         run, "anchor bigint, top bigint, score bigint, key bigint")

@@ -103,6 +103,45 @@ def test_tree_prunes_boxes_that_cannot_hold_a_result(monkeypatch):
     assert [(-s, i) for s, i in zip(*got)] == want and sum(seen) * H.LEAF < 2000
 
 
+@pytest.mark.parametrize("scale", [100, 40_000, 60_000_000])  # floats, doubles, integers
+def test_anchors_side_by_side(monkeypatch, scale):
+    monkeypatch.setattr(H, "AT_ONCE", 7)
+    rng = np.random.default_rng(4)
+    centres = rng.integers(-scale, scale, (20, 9))
+    v = centres[rng.integers(0, 20, 1500)] + rng.integers(-4, 5, (1500, 9))
+    v[::3] = v[0]  # ties everywhere
+    keys, labels = rng.permutation(1500), rng.integers(0, 3, 1500)
+    tree = H.Tree(keys, labels, v)
+    own = np.arange(0, 60, 3)
+    every = [sorted((int(-(v[j] @ v[a])), int(keys[j]), int(labels[j])) for j in range(1500)) for a in own]
+    for same in (True, False):
+        lows, tops = np.full((len(own), 3), H.MOST), np.full((len(own), 3), H.LEAST)  # the last window is none
+        lows[:, 0], tops[:, 0] = H.LEAST, H.MOST
+        for r, s in enumerate(every):
+            lows[r, 1], tops[r, 1] = -s[900][0], -s[5][0]
+        got = tree.search_all(keys[own], labels[own], v[own], lows, tops, 5, same)
+        want = []
+        for w in range(2):
+            for r, (a, scored) in enumerate(zip(own, every)):
+                fit = [s for s in scored if (s[2] == labels[a] and s[1] != keys[a] if same else s[2] != labels[a]) and lows[r, w] <= -s[0] <= tops[r, w]]
+                want += [(r, w, -s, i) for s, i, _ in fit[:5]]
+        assert sorted(zip(*(c.tolist() for c in got))) == sorted(want)
+
+
+def test_side_by_side_leaves_out_boxes_that_cannot_serve(monkeypatch):
+    rng = np.random.default_rng(5)
+    v = np.repeat(rng.integers(-200, 200, (30, 16)), 400, axis=0) + rng.integers(-2, 3, (12000, 16))
+    tree = H.Tree(np.arange(12000), np.zeros(12000, int), v)
+    taken = []
+    monkeypatch.setattr(H.np, "nonzero", lambda x, f=np.nonzero: taken.append(x.size) or f(x))
+    at, _, _, key = tree.search_all(np.array([7, 9000]), np.zeros(2, int), v[[7, 9000]], np.full((2, 1), H.LEAST), np.full((2, 1), H.MOST), 5, True)
+    monkeypatch.undo()
+    for r, a in enumerate((7, 9000)):
+        score = v @ v[a]
+        assert key[at == r].tolist() == sorted((i for i in range(12000) if i != a), key=lambda i: (-score[i], i))[:5]
+    assert sum(taken) < 12000  # of 24000 pairs
+
+
 def test_query_equals_its_sql(spark):
     d = "/root/testdata/sf0.001"
     con = duckdb.connect()
