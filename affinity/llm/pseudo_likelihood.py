@@ -221,9 +221,9 @@ class Network:
         self.embed, self.bias, self.top, self.top_bias, self.low, self.low_bias = parts
 
     def hidden(self, ids: np.ndarray, at: np.ndarray) -> np.ndarray:
-        h = self.embed[0][ids[at + SIDES[0]]]
+        h = self.embed[0].take(ids[at + SIDES[0]], 0)
         for e, k in zip(self.embed[1:], SIDES[1:]):
-            h += e[ids[at + k]]
+            h += e.take(ids[at + k], 0)
         h += self.bias
         return np.tanh(h, out=h)
 
@@ -236,13 +236,28 @@ class Network:
         edge = np.searchsorted(group, np.arange(HEAD, HEAD + CLASSES + 1)).tolist()
         return order, group, own, [(c, i, j) for c, (i, j) in enumerate(zip(edge, edge[1:])) if i < j]
 
+    def in_top(self, h: np.ndarray) -> np.ndarray:
+        """What the first softmax is taken of, a column for each row of ``h``."""
+        x = self.top @ h.T
+        x += self.top_bias[:, None]
+        return x
+
+    def in_class(self, h: np.ndarray, own: np.ndarray, classes: list) -> tuple[np.ndarray, np.ndarray]:
+        """The same of the second softmax for the places that have a class, all classes in one table, and the tokens' rows in it."""
+        begin = classes[0][1]
+        x = np.empty((EACH, len(h) - begin), np.float32)
+        for c, i, j in classes:
+            np.matmul(self.low[c], h[i:j].T, out=x[:, i - begin:j - begin])
+            x[:, i - begin:j - begin] += self.low_bias[c][:, None]
+        return x, (own[begin:] - HEAD) % EACH
+
     def log_p(self, ids: np.ndarray, at: np.ndarray) -> np.ndarray:
         """log p of the tokens at the places, each from both its sides."""
         order, group, own, classes = self.by_class(ids, at)
         h = self.hidden(ids, at[order])
-        p = _log_softmax_at(self.top @ h.T + self.top_bias[:, None], group)
-        for c, i, j in classes:
-            p[i:j] += _log_softmax_at(self.low[c] @ h[i:j].T + self.low_bias[c][:, None], own[i:j] - (HEAD + c * EACH))
+        p = _log_softmax_at(self.in_top(h), group)
+        if classes:
+            p[classes[0][1]:] += _log_softmax_at(*self.in_class(h, own, classes))
         out = np.empty(len(at), np.float32)
         out[order] = p
         return out
@@ -252,12 +267,14 @@ class Network:
         order, group, own, classes = self.by_class(ids, at)
         at, rate = at[order], rate / len(at)
         h = self.hidden(ids, at)
-        g = _residual(self.top @ h.T + self.top_bias[:, None], group)
+        g = _residual(self.in_top(h), group)
         dh = g.T @ self.top
         self.top -= rate * (g @ h)
         self.top_bias -= rate * g.sum(1)
+        begin = classes[0][1] if classes else 0
+        every = _residual(*self.in_class(h, own, classes)) if classes else None
         for c, i, j in classes:
-            r = _residual(self.low[c] @ h[i:j].T + self.low_bias[c][:, None], own[i:j] - (HEAD + c * EACH))
+            r = every[:, i - begin:j - begin]
             dh[i:j] += r.T @ self.low[c]
             self.low[c] -= rate * (r @ h[i:j])
             self.low_bias[c] -= rate * r.sum(1)
@@ -269,7 +286,7 @@ class Network:
             order = np.argsort(near, kind="stable")
             s = near[order]
             first = np.flatnonzero(np.concatenate([[True], s[1:] != s[:-1]]))
-            e[s[first]] -= np.add.reduceat(dh[order], first, axis=0)
+            e[s[first]] -= np.add.reduceat(dh.take(order, 0), first, axis=0)
 
 
 def _log_softmax_at(x: np.ndarray, at: np.ndarray) -> np.ndarray:
@@ -341,7 +358,7 @@ def train(encoded: DataFrame, rounds: int = 2, masked: float = 0.5, rate: float
     return net
 
 
-def score(encoded: DataFrame, net: Network, block: int = 1 << 15) -> DataFrame:
+def score(encoded: DataFrame, net: Network, block: int = 1 << 13) -> DataFrame:
     """The columns kept by ``encode`` beside n_tokens, n_recalled (tokens in
     blocks that another document holds too), network_log_likelihood,
     log_likelihood (natural log) and perplexity."""

@@ -212,3 +212,30 @@ def test_the_defaults_learn_from_every_place(spark):
     train = docs(spark, [chain(i, 400) for i in range(800)]).repartition(2)
     held = docs(spark, [chain(9000 + i, 200) for i in range(5)])
     assert per_token(held, *trained(train)) > -0.5
+
+
+def test_all_classes_in_one_softmax(monkeypatch):
+    rng = np.random.default_rng(3)
+    ids = np.concatenate([[0, 0], rng.integers(1, P.SIZE, 300), [0, 0]]).astype(np.uint16)
+    at = np.arange(2, 302)
+    net, plain = P.Network(seed=1), P.Network(seed=1)
+    h = plain.hidden(ids, at)
+    want = []
+    for i, t in enumerate(ids[at].astype(int)):
+        c, k = divmod(t - P.HEAD, P.EACH)
+        x = plain.top @ h[i] + plain.top_bias
+        p = x[t if t < P.HEAD else P.HEAD + c] - np.log(np.exp(x).sum())
+        if t >= P.HEAD:
+            x = plain.low[c] @ h[i] + plain.low_bias[c]
+            p += x[k] - np.log(np.exp(x).sum())
+        want.append(p)
+    assert np.allclose(net.log_p(ids, at), want, atol=1e-4)
+    assert np.allclose(net.log_p(np.array([0, 0, 1, 2, 0, 0], np.uint16), np.array([2, 3])),
+                       plain.log_p(np.array([0, 0, 1, 2, 0, 0], np.uint16), np.array([2, 3])))  # no token of a class
+    calls = []
+    residual = P._residual
+    monkeypatch.setattr(P, "_residual", lambda x, own: calls.append(x.shape) or residual(x, own))
+    net.step(ids, at, 0.5)
+    assert len(calls) == 2 and net.log_p(ids, at).sum() > sum(want)
+    net.step(np.array([0, 0, 1, 2, 0, 0], np.uint16), np.array([2, 3]), 0.5)
+    assert len(calls) == 3
