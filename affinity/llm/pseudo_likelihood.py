@@ -41,6 +41,7 @@ from __future__ import annotations
 import zlib
 from collections import Counter
 from collections.abc import Iterator
+from itertools import chain, compress, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -58,6 +59,8 @@ WIDTH, HIDDEN, BY_LENGTH = 2, 16, 32
 HEAD, CLASSES, EACH = 64, 16, 128
 SIZE = HEAD + CLASSES * EACH
 SIDES = [k for k in range(-WIDTH, WIDTH + 1) if k]
+#: Numbers within it have a power of e that can be summed in float32 as they are.
+SAFE = 60
 LEAST, MOST, RECALL = 8, 32, 0.5
 #: A block in more than 1 / COMMON of all places is known from a broadcast list of fewer than COMMON hashes.
 COMMON = 1 << 16
@@ -134,13 +137,14 @@ def spelled(some: list[str], pairs: np.ndarray) -> np.ndarray:
 def blocks(words_: list[str]) -> list[tuple[int, int]]:
     """Places where the blocks of a text begin and end: LEAST tokens or more up
     to a full stop, at most MOST; what is left at the end joins the last one."""
-    out, at, n = [], 0, len(words_)
+    out, at, n, stop = [], 0, len(words_), -1
     while at < n:
-        end = min(at + MOST, n)
-        try:
-            end = words_.index(".", at + LEAST - 1, end) + 1
-        except ValueError:
-            pass
+        if stop < at + LEAST - 1:  # the first one that can end this block
+            try:
+                stop = words_.index(".", at + LEAST - 1)
+            except ValueError:
+                stop = n
+        end = min(at + MOST, n, stop + 1)
         if n - end < LEAST:
             end = n
         out.append((at, end))
@@ -152,10 +156,20 @@ def block_hash(words_: list[str]) -> int:
     return xxhash.xxh3_64_intdigest(" ".join(words_).encode("utf-8", "surrogatepass")) - (1 << 63)
 
 
+def _ids(lists: list[list[str]], known: dict[str, int]) -> tuple[list[np.ndarray], list[str], list[int]]:
+    """Ids of the tokens of each text, all spelled words, and where those of each text begin and end."""
+    every = list(chain.from_iterable(lists))
+    ids = np.fromiter(map(known.get, every, repeat(0)), np.uint16, len(every))
+    none = ids == 0
+    rare = list(compress(every, none.tolist()))
+    ids[none] = np.minimum(np.fromiter(map(len, rare), np.int64, len(rare)), BY_LENGTH)
+    edge = np.cumsum([0, *map(len, lists)])
+    return np.split(ids, edge[1:-1]) if lists else [], rare, np.concatenate([[0], np.cumsum(none)])[edge].tolist()
+
+
 def token_ids(lists: list[list[str]], known: dict[str, int]) -> list[np.ndarray]:
     """Ids of the tokens of each text; a spelled word's is its length, BY_LENGTH at most."""
-    get = known.get
-    return [np.array([get(w) or (n if (n := len(w)) < BY_LENGTH else BY_LENGTH) for w in each], np.uint16) for each in lists]
+    return _ids(lists, known)[0]
 
 
 def padded(ids: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
@@ -176,11 +190,10 @@ def encode(docs: DataFrame, known: dict[str, int], pairs: np.ndarray, text: str
     def step(texts):
         own, table = sent.value
         lists = [tokens(t) for t in texts]
-        rare = [[w for w in each if w not in own] for each in lists]
-        p = spelled([w for each in rare for w in each], table).astype(np.float32)
-        edge = np.concatenate([[0], np.cumsum([len(x) for x in rare])]).astype(int).tolist()
+        ids, rare, edge = _ids(lists, own)
+        p = spelled(rare, table).astype(np.float32)
         parts = [blocks(each) for each in lists]
-        return [[x.tobytes() for x in token_ids(lists, own)], [p[i:j].tobytes() for i, j in zip(edge, edge[1:])],
+        return [[x.tobytes() for x in ids], [p[i:j].tobytes() for i, j in zip(edge, edge[1:])],
                 [[block_hash(each[i:j]) for i, j in part] for each, part in zip(lists, parts)], [[j for _, j in part] for part in parts],
                 [zlib.crc32(t.encode("utf-8", "surrogatepass")) for t in texts]]
 
@@ -205,28 +218,43 @@ def places(sizes: np.ndarray) -> np.ndarray:
 
 
 class Network:
-    """Weights in one float32 vector; the parts are views of it."""
+    """Weights in one float32 vector; the parts are views of it.  A softmax's
+    bias stands beside its weights, for a last column of ones beside h."""
 
     def __init__(self, flat: np.ndarray | None = None, seed: int = 5):
-        shapes = [(len(SIDES), SIZE, HIDDEN), (HIDDEN,), (HEAD + CLASSES, HIDDEN), (HEAD + CLASSES,), (CLASSES, EACH, HIDDEN), (CLASSES, EACH)]
+        shapes = [(len(SIDES), SIZE, HIDDEN), (HIDDEN,), (HEAD + CLASSES, HIDDEN + 1), (CLASSES, EACH, HIDDEN + 1)]
         total = sum(int(np.prod(s)) for s in shapes)
-        if flat is None:
-            rng = np.random.default_rng(seed)
-            flat = (rng.standard_normal(total) * 0.1).astype(np.float32)
-        self.flat, at, parts = flat, 0, []
+        self.flat, at, parts = np.empty(total, np.float32) if flat is None else flat, 0, []
         for s in shapes:
             n = int(np.prod(s))
-            parts.append(flat[at:at + n].reshape(s))
+            parts.append(self.flat[at:at + n].reshape(s))
             at += n
-        self.embed, self.bias, self.top, self.top_bias, self.low, self.low_bias = parts
-
-    def hidden(self, ids: np.ndarray, at: np.ndarray) -> np.ndarray:
-        h = self.embed[0].take(ids[at + SIDES[0]], 0)
-        for e, k in zip(self.embed[1:], SIDES[1:]):
-            h += e.take(ids[at + k], 0)
+        self.embed, self.bias, self.head, self.tail = parts
+        self.top, self.top_bias = self.head[:, :HIDDEN], self.head[:, HIDDEN]
+        self.low, self.low_bias = self.tail[:, :, :HIDDEN], self.tail[:, :, HIDDEN]
+        if flat is None:
+            start, at = (np.random.default_rng(seed).standard_normal(total) * 0.1).astype(np.float32), 0
+            for part in (self.embed, self.bias, self.top, self.top_bias, self.low, self.low_bias):
+                part[...] = start[at:at + part.size].reshape(part.shape)
+                at += part.size
+
+    def near(self, ids: np.ndarray, at: np.ndarray) -> np.ndarray:
+        """Rows of all embeddings together that the places see, a line for each side."""
+        return ids[at + np.array(SIDES)[:, None]] + np.arange(len(SIDES))[:, None] * SIZE
+
+    def seen(self, near: np.ndarray) -> np.ndarray:
+        """h of the places that see the rows."""
+        every = self.embed.reshape(-1, HIDDEN)
+        h = every.take(near[0], 0)
+        one = np.empty_like(h)
+        for rows in near[1:]:
+            h += every.take(rows, 0, out=one, mode="clip")
         h += self.bias
         return np.tanh(h, out=h)
 
+    def hidden(self, ids: np.ndarray, at: np.ndarray) -> np.ndarray:
+        return self.seen(self.near(ids, at))
+
     def by_class(self, ids: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, list]:
         """An order of the places by what the first softmax says of their tokens, that, the tokens, and the ranges of the classes."""
         own = ids[at]
@@ -237,24 +265,21 @@ class Network:
         return order, group, own, [(c, i, j) for c, (i, j) in enumerate(zip(edge, edge[1:])) if i < j]
 
     def in_top(self, h: np.ndarray) -> np.ndarray:
-        """What the first softmax is taken of, a column for each row of ``h``."""
-        x = self.top @ h.T
-        x += self.top_bias[:, None]
-        return x
+        """What the first softmax is taken of, a column for each row of ``h`` (``_with_one``)."""
+        return self.head @ h.T
 
     def in_class(self, h: np.ndarray, own: np.ndarray, classes: list) -> tuple[np.ndarray, np.ndarray]:
         """The same of the second softmax for the places that have a class, all classes in one table, and the tokens' rows in it."""
         begin = classes[0][1]
         x = np.empty((EACH, len(h) - begin), np.float32)
         for c, i, j in classes:
-            np.matmul(self.low[c], h[i:j].T, out=x[:, i - begin:j - begin])
-            x[:, i - begin:j - begin] += self.low_bias[c][:, None]
+            np.matmul(self.tail[c], h[i:j].T, out=x[:, i - begin:j - begin])
         return x, (own[begin:] - HEAD) % EACH
 
     def log_p(self, ids: np.ndarray, at: np.ndarray) -> np.ndarray:
         """log p of the tokens at the places, each from both its sides."""
         order, group, own, classes = self.by_class(ids, at)
-        h = self.hidden(ids, at[order])
+        h = _with_one(self.hidden(ids, at[order]))
         p = _log_softmax_at(self.in_top(h), group)
         if classes:
             p[classes[0][1]:] += _log_softmax_at(*self.in_class(h, own, classes))
@@ -265,43 +290,65 @@ class Network:
     def step(self, ids: np.ndarray, at: np.ndarray, rate: float) -> None:
         """One gradient step on the mean log-likelihood of the places."""
         order, group, own, classes = self.by_class(ids, at)
-        at, rate = at[order], rate / len(at)
-        h = self.hidden(ids, at)
-        g = _residual(self.in_top(h), group)
+        n, rate = len(at), np.float32(rate / len(at))
+        near = self.near(ids, at[order])
+        h = self.seen(near)
+        one = _with_one(h)
+        g, scale = _residual(self.in_top(one), group)
         dh = g.T @ self.top
-        self.top -= rate * (g @ h)
-        self.top_bias -= rate * g.sum(1)
-        begin = classes[0][1] if classes else 0
-        every = _residual(*self.in_class(h, own, classes)) if classes else None
-        for c, i, j in classes:
-            r = every[:, i - begin:j - begin]
-            dh[i:j] += r.T @ self.low[c]
-            self.low[c] -= rate * (r @ h[i:j])
-            self.low_bias[c] -= rate * r.sum(1)
+        dh *= scale[:, None]
+        self.head -= g @ (one * (rate * scale)[:, None])
+        if classes:
+            begin = classes[0][1]
+            every, scale = _residual(*self.in_class(one, own, classes))
+            scaled, more = one[begin:] * (rate * scale)[:, None], np.empty((n - begin, HIDDEN), np.float32)
+            for c, i, j in classes:
+                i, j = i - begin, j - begin
+                r = every[:, i:j]
+                np.matmul(r.T, self.low[c], out=more[i:j])
+                self.tail[c] -= r @ scaled[i:j]
+            more *= scale[:, None]
+            dh[begin:] += more
         dh *= 1 - h * h
         dh *= rate
         self.bias -= dh.sum(0)
-        for e, k in zip(self.embed, SIDES):
-            near = ids[at + k].astype(np.uint16)
-            order = np.argsort(near, kind="stable")
-            s = near[order]
-            first = np.flatnonzero(np.concatenate([[True], s[1:] != s[:-1]]))
-            e[s[first]] -= np.add.reduceat(dh.take(order, 0), first, axis=0)
+        near = near.astype(np.uint16).ravel()
+        order = np.argsort(near, kind="stable")
+        s = near[order]
+        first = np.flatnonzero(np.concatenate([[True], s[1:] != s[:-1]]))
+        dh = dh.take(np.tile(np.arange(n), len(SIDES)).take(order), 0)
+        # Two numbers as a complex one: the same sums in half the steps.
+        self.embed.reshape(-1, HIDDEN)[s[first]] -= np.add.reduceat(dh.view(np.complex64), first, axis=0).view(np.float32)
+
+
+def _with_one(h: np.ndarray) -> np.ndarray:
+    """``h`` and a column of ones."""
+    out = np.empty((len(h), HIDDEN + 1), np.float32)
+    out[:, :HIDDEN] = h
+    out[:, HIDDEN] = 1
+    return out
+
+
+def _safe(x: np.ndarray) -> None:
+    """Lower the columns by their greatest number unless all numbers are SAFE; a softmax stays the same."""
+    if not (x.min() > -SAFE and x.max() < SAFE):
+        x -= x.max(0)
 
 
 def _log_softmax_at(x: np.ndarray, at: np.ndarray) -> np.ndarray:
     """Of the rows ``at``, a column each."""
-    x -= x.max(0)
+    _safe(x)
     own = x[at, np.arange(len(at))]
     return own - np.log(np.exp(x, out=x).sum(0))
 
 
-def _residual(x: np.ndarray, at: np.ndarray) -> np.ndarray:
-    x -= x.max(0)
+def _residual(x: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Softmax less one in the rows ``at``, up to a factor for each column, and the factors."""
+    _safe(x)
     np.exp(x, out=x)
-    x /= x.sum(0)
-    x[at, np.arange(len(at))] -= 1
-    return x
+    total = x.sum(0)
+    x[at, np.arange(len(at))] -= total
+    return x, 1 / total
 
 
 def chosen(own: np.ndarray, sizes: np.ndarray, turn: int, masked: float) -> np.ndarray:

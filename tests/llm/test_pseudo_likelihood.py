@@ -239,3 +239,26 @@ def test_all_classes_in_one_softmax(monkeypatch):
     assert len(calls) == 2 and net.log_p(ids, at).sum() > sum(want)
     net.step(np.array([0, 0, 1, 2, 0, 0], np.uint16), np.array([2, 3]), 0.5)
     assert len(calls) == 3
+
+
+def test_softmax_beyond_what_float32_can_sum():
+    rng = np.random.default_rng(4)
+    for size in (1, 30, 500):
+        x = (rng.standard_normal((7, 50)) * size).astype(np.float32)
+        at = rng.integers(0, 7, 50)
+        y = x.astype(np.float64) - x.max(0)
+        want = y[at, np.arange(50)] - np.log(np.exp(y).sum(0))
+        assert np.allclose(P._log_softmax_at(x.copy(), at), want, rtol=1e-5, atol=1e-4)
+        g, scale = P._residual(x.copy(), at)
+        p = np.exp(y - np.log(np.exp(y).sum(0)))
+        p[at, np.arange(50)] -= 1
+        assert np.allclose(g * scale, p, atol=1e-5)
+
+
+def test_a_step_takes_few_passes_over_the_softmax():
+    """The softmax is left as powers and a factor a column: no division, no lowering of numbers that are small."""
+    x = np.zeros((4, 6), np.float32)
+    g, scale = P._residual(x, np.zeros(6, int))
+    assert g is x and np.array_equal(x[1:], np.ones((3, 6))) and np.array_equal(x[0], np.full(6, -3.0)) and np.array_equal(scale, np.full(6, 0.25, np.float32))
+    net = P.Network()
+    assert np.shares_memory(net.top, net.flat) and np.shares_memory(net.low_bias, net.flat)
