@@ -59,6 +59,8 @@ WIDTH, HIDDEN, BY_LENGTH = 2, 16, 32
 HEAD, CLASSES, EACH = 64, 16, 128
 SIZE = HEAD + CLASSES * EACH
 SIDES = [k for k in range(-WIDTH, WIDTH + 1) if k]
+#: What is predicted first for each token id: the token or its class.
+GROUP = np.array([i if i < HEAD else HEAD + (i - HEAD) // EACH for i in range(SIZE)], np.uint8)
 #: Numbers within it have a power of e that can be summed in float32 as they are.
 SAFE = 60
 LEAST, MOST, RECALL = 8, 32, 0.5
@@ -258,9 +260,9 @@ class Network:
     def by_class(self, ids: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, list]:
         """An order of the places by what the first softmax says of their tokens, that, the tokens, and the ranges of the classes."""
         own = ids[at]
-        group = np.where(own < HEAD, own, HEAD + (own - HEAD) // EACH).astype(np.uint8)
+        group = GROUP.take(own)
         order = np.argsort(group, kind="stable")
-        group, own = group[order], own[order]
+        group, own = group.take(order), own.take(order)
         edge = np.searchsorted(group, np.arange(HEAD, HEAD + CLASSES + 1)).tolist()
         return order, group, own, [(c, i, j) for c, (i, j) in enumerate(zip(edge, edge[1:])) if i < j]
 
@@ -311,14 +313,15 @@ class Network:
             dh[begin:] += more
         dh *= 1 - h * h
         dh *= rate
-        self.bias -= dh.sum(0)
+        self.bias -= np.ones(n, np.float32) @ dh
         near = near.astype(np.uint16).ravel()
         order = np.argsort(near, kind="stable")
-        s = near[order]
+        s = near.take(order)
         first = np.flatnonzero(np.concatenate([[True], s[1:] != s[:-1]]))
         dh = dh.take(np.tile(np.arange(n), len(SIDES)).take(order), 0)
         # Two numbers as a complex one: the same sums in half the steps.
-        self.embed.reshape(-1, HIDDEN)[s[first]] -= np.add.reduceat(dh.view(np.complex64), first, axis=0).view(np.float32)
+        every, rows = self.embed.reshape(-1, HIDDEN), s.take(first)
+        every[rows] = every.take(rows, 0) - np.add.reduceat(dh.view(np.complex64), first, axis=0).view(np.float32)
 
 
 def _with_one(h: np.ndarray) -> np.ndarray:
