@@ -163,3 +163,26 @@ def test_prepare_independent_of_partitioning(spark):
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", old)
     assert results[0] == results[1] and results[0]
+
+
+def test_kept_intermediates_give_the_same_rows(spark):
+    from affinity.sources.scratch import Run
+    cfg = Config(min_interactions=40, sample_fraction=0.7)
+    df = interactions_df(spark, _random_rows(80, 5))
+    lazy = sorted(tuple(r) for r in prep.prepare(df, cfg).collect())
+    with Run(spark) as run:
+        assert lazy == sorted(tuple(r) for r in prep.prepare(df, cfg, keep=run.keep).collect())
+    assert lazy
+
+
+def test_order_key_is_not_moved_through_the_join(spark):
+    cfg = Config(min_interactions=1, sample_fraction=1.0)
+    plan = prep.prepare(interactions_df(spark, _random_rows(5, 5)), cfg)._jdf.queryExecution().optimizedPlan()
+    joins, todo = [], [plan]
+    while todo:
+        node = todo.pop()
+        if node.nodeName() == "Join":
+            joins.append(node.left().output().mkString(","))
+        todo += [node.children().apply(i) for i in range(node.children().size())]
+    assert len(joins) == 2 and all("user_id" in j for j in joins)
+    assert not any("_k#" in j for j in joins), joins
