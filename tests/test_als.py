@@ -114,3 +114,48 @@ def test_recommend_unseen_exact(spark):
         assert not set(got_items) & seen[u]
         assert len(got_items) == k
         assert set(got_items) == set(expect_top) or abs(scores[k - 1][0] - scores[k][0]) < 1e-4
+
+
+def _counted_input(spark, monkeypatch):
+    """The catalog's interactions, each row counted whenever it is made."""
+    from affinity.plans import catalog
+    from affinity.sources.tables import INTERACTION_SCHEMA
+    made, draw = spark.sparkContext.accumulator(0), random.Random(2)
+    rows = [(u, b, 1, draw.randint(0, 5), 0) for u in range(40) for b in draw.sample(range(200), 45)]
+
+    def count(batches):
+        for batch in batches:
+            made.add(batch.num_rows)
+            yield batch
+
+    df = spark.createDataFrame(rows, INTERACTION_SCHEMA).mapInArrow(count, INTERACTION_SCHEMA)
+    monkeypatch.setattr(catalog, "_inter", lambda *_: df)
+    return catalog, made, len(rows)
+
+
+def test_input_of_a_fit_is_made_once(spark, monkeypatch):
+    from affinity.sources.scratch import Run
+    catalog, made, n = _counted_input(spark, monkeypatch)
+    with Run(spark) as run:
+        assert catalog._written(spark, "", run).count() == n
+    assert made.value == n
+
+
+def test_popularity_beside_the_models_reads_the_written_table(spark, monkeypatch):
+    catalog, made, n = _counted_input(spark, monkeypatch)
+    expect = sorted(tuple(r) for r in catalog.q_popularity_eval(spark, "").select("split", "map", "ndcg").collect())
+    before = made.value
+    monkeypatch.setattr(catalog.als, "two_model_protocol", lambda *_: spark.createDataFrame([], als.EVAL_SCHEMA))
+    got = sorted(tuple(r) for r in catalog._model_table(spark, "").where("model = 'popularity'").drop("model").collect())
+    assert got == expect and got
+    assert made.value - before == n
+
+
+def test_signals_are_made_before_the_join(spark):
+    from affinity.sources import fx_interactions
+    from conftest import SF001
+    node = fx_interactions(spark, SF001)._jdf.queryExecution().optimizedPlan()
+    while node.nodeName() != "Join":
+        node = node.children().apply(0)
+    moved = node.left().output().mkString(",")
+    assert "is_read#" in moved and "l_discount" not in moved and "l_returnflag" not in moved, moved
