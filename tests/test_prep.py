@@ -186,3 +186,17 @@ def test_order_key_is_not_moved_through_the_join(spark):
         todo += [node.children().apply(i) for i in range(node.children().size())]
     assert len(joins) == 2 and all("user_id" in j for j in joins)
     assert not any("_k#" in j for j in joins), joins
+
+
+def test_hashes_of_a_row_are_made_once(spark):
+    from affinity.sources.scratch import Run
+    cfg = Config(min_interactions=40, sample_fraction=0.7)
+    kept = {}
+    with Run(spark) as run:
+        def keep(df, name):
+            kept[name] = df._jdf.queryExecution().optimizedPlan().toString()
+            return run.keep(df, name)
+        out = prep.prepare(interactions_df(spark, _random_rows(80, 5)), cfg, keep=keep)
+        read = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "md5" in kept["sampled"] and "md5" not in kept["cuts"]
+    assert read.count("md5") == read.count("unhex") == 1  # the order of candidates
