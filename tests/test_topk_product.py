@@ -90,6 +90,15 @@ def test_equal_scores_and_signed_zeros_over_several_blocks(spark, run):
     assert lists(got) == plain(u, v, 7)
 
 
+def test_few_flags_of_many_are_found():
+    from affinity.operators.topk_product import _true
+    rng = np.random.default_rng(1)
+    for n in (0, 1, 7, 8, 9, 64, 1000, 4099):
+        for share in (0, 0.01, 0.5, 1):
+            flags = rng.random(n) < share
+            assert np.array_equal(_true(flags), np.flatnonzero(flags))
+
+
 def test_nobody_and_nothing(spark, run):
     users, items = frames(spark, np.ones((2, 2)), np.ones((3, 2)))
     assert top_products(users.where("false"), items, 3, run)[0].isEmpty()
