@@ -40,7 +40,7 @@ def test_shuffles_go_while_the_block_runs(spark):
         before = shuffles(spark)
         for i in range(3):
             spark.range(100).repartition(3 + i).collect()
-        assert until(lambda: shuffles(spark) <= before)
+        assert until(lambda: shuffles(spark) <= before, 120)  # collections are as far apart as the session is large
     with shuffles_freed(spark, every=60), shuffles_freed(spark, every=60):
         pass  # one thread for both, ended by the outer one
 
